@@ -14,7 +14,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from croploom.functions import geometry as G
 from croploom.functions.nested import from_geometry_array, to_geometry_array
 from croploom.functions.outline import draw
 from croploom.functions.rings import holds, inner_point, loops, signed_area, touching_pairs
@@ -279,16 +278,14 @@ def is_valid(geom: Column) -> Column:
 
 def is_plain_box(geom: Column) -> Column:
     """A single rectangle along the axes, which needs no further test."""
-    b = G.bbox(geom)
-    full = (b.xmax - b.xmin) * (b.ymax - b.ymin)
-    return (
-        (F.size(geom) == 1)
-        & (F.size(geom[0]) == 1)
-        & (F.size(geom[0][0]) == 5)
-        & (geom[0][0][0] == geom[0][0][4])
-        & (G.area(geom) == full)
-        & (full > 0)
-    )
+    ring = geom[0][0]
+    p = [ring[i] for i in range(5)]
+    along_x = (p[0].y == p[1].y) & (p[1].x == p[2].x) & (p[2].y == p[3].y) & (p[3].x == p[0].x)
+    along_y = (p[0].x == p[1].x) & (p[1].y == p[2].y) & (p[2].x == p[3].x) & (p[3].y == p[0].y)
+    return F.when(
+        (F.size(geom) == 1) & (F.size(geom[0]) == 1) & (F.size(ring) == 5),
+        (p[0] == p[4]) & (p[0].x != p[2].x) & (p[0].y != p[2].y) & (along_x | along_y),
+    ).otherwise(F.lit(False))
 
 
 _REPAIRED = T.StructType([T.StructField("geom", GEOM), T.StructField("method", T.IntegerType())])

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from croploom.functions import geometry as G
+from croploom.functions.scalars import let
 from croploom.operators.filters import BRANCHES, branches_of
 
 
@@ -47,13 +48,13 @@ def _spread(pc: DataFrame, grid: Grid) -> DataFrame:
     """One row per parcel and candidate cell, from the parcel's limits."""
     i0, i1 = grid.span(F.col("xmin"), F.col("xmax"), grid.x0, grid.cols)
     j0, j1 = grid.span(F.col("ymin"), F.col("ymax"), grid.y0, grid.rows)
-    # Whole numbers keep the later keys free of floating point; an empty span must go before
-    # sequence(), which would otherwise count backwards.
+    # Whole numbers keep the later keys free of floating point.  sequence() would count backwards
+    # over an empty span, hence the condition; it is no filter, as that would be pushed below the
+    # limits and have them worked out twice.
     return (
         pc.withColumns({"_i0": i0, "_i1": i1, "_j0": j0, "_j1": j1})
-        .where((F.col("_i0") <= F.col("_i1")) & (F.col("_j0") <= F.col("_j1")))
-        .withColumn("gi", F.explode(F.sequence("_i0", "_i1")))
-        .withColumn("gj", F.explode(F.sequence("_j0", "_j1")))
+        .withColumn("gi", F.explode(F.when(F.col("_i0") <= F.col("_i1"), F.sequence("_i0", "_i1"))))
+        .withColumn("gj", F.explode(F.when(F.col("_j0") <= F.col("_j1"), F.sequence("_j0", "_j1"))))
         .drop("_i0", "_i1", "_j0", "_j1")
         .withColumn("grd_id", grid.grd_id(F.col("gi"), F.col("gj")))
     )
@@ -82,13 +83,19 @@ def grid_join(pc: DataFrame, grid: Grid = EUROPE_10K, geom: str | None = "geom")
         (F.col("_b.xmin") >= x0) & (F.col("_b.xmax") <= x1) & (F.col("_b.ymin") >= y0) & (F.col("_b.ymax") <= y1)
     )
     g = F.col(geom)
-    cells = cells.withColumn("_in", within).withColumn(
-        "inter_m2",
-        # Most parcels lie inside one cell and need no cutting.
-        F.when(F.col("_in"), G.area(g)).otherwise(G.area(G.clip_cell(g, x0, y0, x1, y1))),
+    # Most parcels lie inside one cell and need no cutting.
+    hit = F.when(F.col("_in"), F.array(G.area(g))).otherwise(
+        let(
+            G.area(G.clip_cell(g, x0, y0, x1, y1)),
+            lambda m2: F.when(G.intersects_cell(g, x0, y0, x1, y1, m2), F.array(m2)),
+        )
+    )
+    return (
+        cells.withColumn("_in", within)
+        .withColumn("_hit", hit)
+        .withColumn("inter_m2", F.explode("_hit"))
+        .drop("_b", "_in", "_hit", *own)
     )
-    meets = F.col("_in") | G.intersects_cell(g, x0, y0, x1, y1, F.col("inter_m2"))
-    return cells.where(meets).drop("_b", "_in", *own)
 
 
 def grid_stats(

@@ -12,14 +12,19 @@ from croploom.functions import validity as V
 from croploom.operators.stats import join_ids
 
 
-def valid_column(geom: Column) -> Column:
-    """Validity; plain rectangles are settled without leaving the JVM."""
-    box = V.is_plain_box(geom)
-    return F.coalesce(V.is_valid(F.when(~box, geom)), F.when(geom.isNotNull(), F.lit(True)))
+def _with_suspect(df: DataFrame, geom: str) -> DataFrame:
+    """``_suspect``: the geometry where it needs the full test; null for plain rectangles."""
+    return df.withColumn("_suspect", F.when(~V.is_plain_box(F.col(geom)), F.col(geom)))
 
 
 def with_validity(df: DataFrame, geom: str = "geom") -> DataFrame:
-    return df.withColumn("valid", valid_column(F.col(geom)))
+    """Adds ``valid``; plain rectangles are settled without leaving the JVM."""
+    plain = F.col("_suspect").isNull() & F.col(geom).isNotNull()
+    return (
+        _with_suspect(df, geom)
+        .withColumn("valid", F.when(plain, True).otherwise(V.is_valid(F.col("_suspect"))))
+        .drop("_suspect")
+    )
 
 
 def invalid_rows(df: DataFrame, geom: str = "geom") -> DataFrame:
@@ -36,16 +41,17 @@ def repair_layer(df: DataFrame, geom: str = "geom") -> DataFrame:
 
     0 was valid already, 1 made valid, 3 zero-width buffer, 4 shrunk and grown, 9 still invalid.
     """
-    box = V.is_plain_box(F.col(geom))
+    plain = F.col("_suspect").isNull()
     return (
-        df.withColumn("_fix", V.repair(F.when(~box, F.col(geom))))
+        _with_suspect(df, geom)
+        .withColumn("_fix", V.repair(F.col("_suspect")))
         .withColumns(
             {
-                geom: F.coalesce(F.col("_fix.geom"), F.col(geom)),
-                "method": F.coalesce(F.col("_fix.method"), F.when(F.col(geom).isNotNull(), F.lit(0))),
+                geom: F.when(plain, F.col(geom)).otherwise(F.col("_fix.geom")),
+                "method": F.when(F.col(geom).isNotNull(), F.when(plain, F.lit(0)).otherwise(F.col("_fix.method"))),
             }
         )
-        .drop("_fix")
+        .drop("_fix", "_suspect")
     )
 
 

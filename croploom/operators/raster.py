@@ -66,22 +66,23 @@ def rasterise(
         runs = rows.withColumn("py", F.explode(F.sequence("_r0", "_r1")))
         return _cut_at_blocks(runs).select(*keys, "cf", "py", "px", "x0", "x1")
 
-    b = G.bbox(F.col(geom))
-    scanned = (
-        pc.select(*keys, F.col(value).alias("cf"), G.edges(F.col(geom)).alias("_e"), b.alias("_b"))
-        .withColumns(
-            {
-                "_r0": _first_pixel(F.col("_b.ymin"), scale),
-                "_r1": _first_pixel(F.col("_b.ymax"), scale) - 1,
-            }
-        )
-        .where(F.col("_r0") <= F.col("_r1"))
+    # Each step's array is a column of its own and empty cases fall out of explode(): a filter on such
+    # a column would be pushed below it and have the array worked out twice.
+    scanned = pc.select(
+        *keys,
+        F.col(value).alias("cf"),
+        F.filter(G.edges(F.col(geom)), lambda e: e.ay != e.by).alias("_e"),
+    ).withColumns(
+        {
+            "_r0": _first_pixel(F.array_min(F.transform("_e", lambda e: F.least(e.ay, e.by))), scale),
+            "_r1": _first_pixel(F.array_max(F.transform("_e", lambda e: F.greatest(e.ay, e.by))), scale) - 1,
+        }
     )
     # Bands first: each carries only the edges that reach it, so that a polygon with very many
     # edges and rows does not compare all of them with all.
     first, last = F.floor(F.col("_r0") / SCAN_BAND), F.floor(F.col("_r1") / SCAN_BAND)
     banded = (
-        scanned.withColumn("_band", F.explode(F.sequence(first, last)))
+        scanned.withColumn("_band", F.explode(F.when(F.col("_r0") <= F.col("_r1"), F.sequence(first, last))))
         .withColumns(
             {
                 "_r0": F.greatest(F.col("_r0"), F.col("_band") * SCAN_BAND),
@@ -96,14 +97,13 @@ def rasterise(
                 lambda e: (F.least(e.ay, e.by) <= F.col("_hi")) & (F.greatest(e.ay, e.by) > F.col("_lo")),
             ),
         )
-        .where(F.size("_e") > 0)
-        .drop("_b", "_band")
+        .drop("_band", "_lo", "_hi")
     )
     lines = banded.withColumn("py", F.explode(F.sequence("_r0", "_r1"))).withColumn(
         "_y", (F.col("py") + 0.5) * scale
     )
     # Even-odd rule: between the first and second crossing of the row's centre line is inside, ...
-    crossings = F.array_sort(
+    crossings = F.sort_array(
         F.transform(
             F.filter(
                 "_e",
@@ -112,16 +112,22 @@ def rasterise(
             lambda e: e.ax + (F.col("_y") - e.ay) * (e.bx - e.ax) / (e.by - e.ay),
         )
     )
+    inside = F.when(
+        F.size("_x") >= 2,
+        F.transform(
+            F.sequence(F.lit(0), F.expr("size(_x) div 2 - 1").cast("int")),
+            lambda i: F.struct(F.get("_x", i * 2).alias("a"), F.get("_x", i * 2 + 1).alias("b")),
+        ),
+    )
     spans = (
         lines.withColumn("_x", crossings)
-        .where(F.size("_x") >= 2)
-        .withColumn("_i", F.explode(F.sequence(F.lit(0), F.expr("size(_x) div 2 - 1"))))
+        .select(*keys, "cf", "py", F.explode(inside).alias("_s"))
         .select(
             *keys,
             "cf",
             "py",
-            _first_pixel(F.get("_x", F.col("_i") * 2), scale).alias("x0"),
-            _first_pixel(F.get("_x", F.col("_i") * 2 + 1), scale).alias("x1"),
+            _first_pixel(F.col("_s.a"), scale).alias("x0"),
+            _first_pixel(F.col("_s.b"), scale).alias("x1"),
         )
     )
     return _cut_at_blocks(spans).select(*keys, "cf", "py", "px", "x0", "x1")
@@ -137,7 +143,7 @@ def burn(runs: DataFrame, by: Iterable[str] = ("nuts",)) -> DataFrame:
     by = list(by)
     unit = [*by, "py", "px"]
     distinct = runs.groupBy(*unit, "year", "x0", "x1").agg(F.max("cf").alias("cf"))
-    ends = F.array_sort(
+    ends = F.sort_array(
         F.array_distinct(F.flatten(F.collect_set(F.array("x0", "x1")).over(Window.partitionBy(*unit))))
     )
     inner = F.slice(

@@ -382,13 +382,14 @@ def _(spark, sf):
 
 @query(
     "a6_label_median",
-    PIXELS.rstrip() + "," + BURNED + f""", l as (select nuts, px // 20 as bx, py // 20 as by, cf from burned where year = 1996)
-    select nuts, bx, by, median(cf) as median from l group by nuts, bx, by""",
+    PIXELS.rstrip() + "," + BURNED + ", " + """
+    l as (select nuts, px // 20 as gx, py // 20 as gy, cf from burned where year = 1996)
+    select nuts, gx, gy, median(cf) as median from l group by nuts, gx, gy""",
 )
 def _(spark, sf):
     burned = R.burn(R.rasterise(shapes(spark, sf).where("year = 1996"), SCALE))
-    px = R.pixels(burned).select("nuts", F.expr("px div 20").alias("bx"), F.expr("py div 20").alias("by"), "cf")
-    return A.median_by(px, ["nuts", "bx", "by"], "cf")
+    px = R.pixels(burned).select("nuts", F.expr("px div 20").alias("gx"), F.expr("py div 20").alias("gy"), "cf")
+    return A.median_by(px, ["nuts", "gx", "gy"], "cf")
 
 
 # --- geometry quality ----------------------------------------------------------------------------
@@ -428,8 +429,8 @@ def _(spark, sf):
     case cropfield % 6 when 2 then w * h / 2 else w * h :: double end as area, true as valid from parcels""",
 )
 def _(spark, sf):
-    fixed = Q.repair_layer(damaged(spark, sf))
-    return fixed.select("cropfield", "method", G.area(F.col("geom")).alias("area"), Q.valid_column(F.col("geom")).alias("valid"))
+    fixed = Q.with_validity(Q.repair_layer(damaged(spark, sf)))
+    return fixed.select("cropfield", "method", G.area(F.col("geom")).alias("area"), "valid")
 
 
 @query(
