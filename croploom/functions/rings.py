@@ -52,12 +52,26 @@ def inner_point(ring: np.ndarray) -> tuple[float, float]:
     return where
 
 
-def candidate_pairs(segs: np.ndarray, chunk: int = 2_000_000):
-    """Index pairs ``i < j`` of segments whose boxes meet, found along the sorted left ends."""
+def candidate_pairs(segs: np.ndarray, group: np.ndarray | None = None, chunk: int = 2_000_000):
+    """Index pairs ``i < j`` of segments whose boxes meet, found along the sorted left ends.
+
+    With ``group`` (ascending numbers) only segments of the same group are paired.
+    """
     x0, x1 = np.minimum(segs[:, 0], segs[:, 2]), np.maximum(segs[:, 0], segs[:, 2])
     y0, y1 = np.minimum(segs[:, 1], segs[:, 3]), np.maximum(segs[:, 1], segs[:, 3])
-    order = np.argsort(x0, kind="stable")
-    reach = np.searchsorted(x0[order], x1[order], side="right")
+    if group is None:
+        group = np.zeros(len(segs), dtype=int)
+    order = np.lexsort((x0, group))
+    # One ascending key over all groups, with a little slack as it is rounded; the box test below
+    # is exact.
+    low = np.full(group[-1] + 1, np.inf)
+    np.minimum.at(low, group, x0)
+    width = np.zeros(group[-1] + 1)
+    np.maximum.at(width, group, x1 - low[group])
+    scale = 0.5 / np.where(width > 0, width, 1.0)
+    key0 = group + (x0 - low[group]) * scale[group]
+    key1 = group + (x1 - low[group]) * scale[group]
+    reach = np.searchsorted(key0[order], key1[order] + 1e-9, side="right")
     count = reach - np.arange(len(order)) - 1
     start = 0
     while start < len(order):
@@ -67,7 +81,7 @@ def candidate_pairs(segs: np.ndarray, chunk: int = 2_000_000):
         left = np.repeat(np.arange(start, stop), n)
         right = left + 1 + (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
         i, j = order[left], order[right]
-        near = (y0[i] <= y1[j]) & (y0[j] <= y1[i])
+        near = (y0[i] <= y1[j]) & (y0[j] <= y1[i]) & (x0[j] <= x1[i]) & (x0[i] <= x1[j])
         yield np.minimum(i, j)[near], np.maximum(i, j)[near]
         start = stop
 

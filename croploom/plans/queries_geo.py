@@ -23,7 +23,7 @@ from croploom.operators import stats as A
 from croploom.plans import trial as T
 from croploom.plans.registry import query
 from croploom.schema import GEOM
-from croploom.session import materialise, shared_path
+from croploom.session import materialise, shared_path, spread
 from croploom.sources import layers as L
 from croploom.sources import sinks
 
@@ -409,7 +409,7 @@ def damaged(spark, sf) -> DataFrame:
         .when(fault == 4, F.array(a, b, c, spike, c, d, a))
         .otherwise(F.array(a, b, c, d, a, b, c, d, a))
     )
-    return T.parcels(spark, sf).select("nuts", "year", "cropfield", F.array(F.array(ring)).cast(GEOM).alias("geom"))
+    return spread(T.parcels(spark, sf)).select("nuts", "year", "cropfield", F.array(F.array(ring)).cast(GEOM).alias("geom"))
 
 
 @query("g9_f3_invalid_rows", BASE + "select nuts, cropfield from parcels where cropfield % 6 not in (0, 3)")

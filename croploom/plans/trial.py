@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from croploom.functions import geometry as G
 from croploom.operators.columns import area_ha
 from croploom.schema import GEOM
+from croploom.session import spread
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -74,7 +75,8 @@ def shaped(pc: DataFrame) -> DataFrame:
     """Parcels with their polygon instead of the limits, and the polygon's area."""
     g = shape(*[F.col(c) for c in ("xmin", "ymin", "xmax", "ymax", "kind")])
     return (
-        pc.withColumn("geom", g)
+        spread(pc)
+        .withColumn("geom", g)
         .drop("xmin", "ymin", "xmax", "ymax", "w", "h", "area_ha")
     )
 
