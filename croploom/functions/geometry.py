@@ -195,7 +195,7 @@ def clip_cell(geom: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> C
     """
     cut = F.transform(geom, lambda poly: F.transform(poly, lambda r: _clip_ring(r, x0, y0, x1, y1)))
     return F.transform(
-        F.filter(cut, lambda poly: F.size(poly[0]) > 0),
+        F.filter(cut, lambda poly: F.size(F.get(poly, F.lit(0))) > 0),
         lambda poly: F.filter(poly, lambda ring: F.size(ring) > 0),
     )
 

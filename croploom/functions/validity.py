@@ -178,9 +178,14 @@ def repair1(geom: list) -> list | None:
             continue
         outer = _assemble(_simple_loops(poly[0]), winding=False)
         holes = [r for ring in poly[1:] for p in _assemble(_simple_loops(ring), winding=False) for r in p[:1]]
+        placed = 0
         for part in outer:
             mine = [h for h in holes if holds(part[0], *inner_point(h))]
+            placed += len(mine)
             out.append([*part, *[h[::-1] for h in mine]])
+        if placed < len(holes):
+            # A hole that lies outside needs the rings to be rebuilt together.
+            return None
     return out or None
 
 
@@ -332,12 +337,13 @@ def is_valid(geom: Column) -> Column:
 
 def is_plain_box(geom: Column) -> Column:
     """A single rectangle along the axes, which needs no further test."""
-    ring = geom[0][0]
-    p = [ring[i] for i in range(5)]
+    rings = F.get(geom, F.lit(0))
+    ring = F.get(rings, F.lit(0))
+    p = [F.get(ring, F.lit(i)) for i in range(5)]
     along_x = (p[0].y == p[1].y) & (p[1].x == p[2].x) & (p[2].y == p[3].y) & (p[3].x == p[0].x)
     along_y = (p[0].x == p[1].x) & (p[1].y == p[2].y) & (p[2].x == p[3].x) & (p[3].y == p[0].y)
     return F.when(
-        (F.size(geom) == 1) & (F.size(geom[0]) == 1) & (F.size(ring) == 5),
+        (F.size(geom) == 1) & (F.size(rings) == 1) & (F.size(ring) == 5),
         (p[0] == p[4]) & (p[0].x != p[2].x) & (p[0].y != p[2].y) & (along_x | along_y),
     ).otherwise(F.lit(False))
 

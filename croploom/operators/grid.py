@@ -91,10 +91,11 @@ def grid_join(pc: DataFrame, grid: Grid = EUROPE_10K, geom: str | None = "geom")
         )
     )
     return (
+        # The array goes straight into explode(): held in a column first, it would be worked out once
+        # more for a filter that Spark infers from it.
         cells.withColumn("_in", within)
-        .withColumn("_hit", hit)
-        .withColumn("inter_m2", F.explode("_hit"))
-        .drop("_b", "_in", "_hit", *own)
+        .withColumn("inter_m2", F.explode(hit))
+        .drop("_b", "_in", *own)
     )
 
 

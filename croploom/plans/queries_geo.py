@@ -356,7 +356,7 @@ def _(spark, sf):
     OVERLAY + f"select nuts, {CF}, n_pixels * 2500 :: double as area_m2, true as valid from stack",
 )
 def _(spark, sf):
-    runs = S.stack_runs(shapes(spark, sf), YEARS, SCALE)
+    runs = materialise(S.stack_runs(shapes(spark, sf), YEARS, SCALE), "runs")
     drawn = S.stack_geometry(runs, YEARS, SCALE)
     return drawn.groupBy("nuts", *CF.split(", ")).agg(
         F.sum(G.area(F.col("geom"))).alias("area_m2"), F.bool_and(V.is_valid(F.col("geom"))).alias("valid")

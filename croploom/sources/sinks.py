@@ -53,7 +53,10 @@ def export_layers(df: DataFrame, path: str, stack: bool = False, mode: str = "ov
     kept = df if stack else select_available(df, YEARLY_COLUMNS)
     out = kept.withColumn("geometry", to_wkb("geom")).drop("geom")
     parts = [c for c in (("nuts",) if stack else ("nuts", "year")) if c in out.columns]
-    # Without a shuffle here: the writer opens one file per partition and layer it holds.
+    # Rows of a layer are brought together so that few files are written; adaptive execution cuts a
+    # layer that holds a large part of all rows into several tasks again.
+    if parts:
+        out = out.hint("rebalance", *parts)
     out.write.mode(mode).option("compression", "zstd").partitionBy(*parts).parquet(path)
     write_text(df.sparkSession, f"{path.rstrip('/')}/_geo_metadata.json", json.dumps(GEO_METADATA))
     return kept.groupBy(*parts, G.geom_type(F.col("geom")).alias("geom_type")).agg(F.count(F.lit(1)).alias("n"))
