@@ -204,8 +204,8 @@ def repair2(geom: list) -> list | None:
     return _assemble(found, winding=True) or None
 
 
-def repair3(geom: list, cell: float = 0.5) -> list | None:
-    """Shrink and grow by one metre on a half-metre raster: parts narrower than two metres go."""
+def repair3(geom: list, cell: float = 0.4) -> list | None:
+    """Shrink and grow by one metre on a fine raster, five cells to two metres: narrower parts go."""
     pts = np.concatenate([r for poly in geom for r in poly if len(r)] or [np.empty((0, 2))])
     pts = pts[np.all(np.isfinite(pts), axis=1)]
     if not len(pts):
@@ -217,7 +217,7 @@ def repair3(geom: list, cell: float = 0.5) -> list | None:
     grid = np.zeros((rows, cols), dtype=bool)
     for poly in geom:
         grid |= _fill(poly, low, rows, cols, cell)
-    reach = round(1 / cell)
+    reach = int(1 / cell)
     grid = _grow(~_grow(~grid, reach), reach)
     if not grid.any():
         return None

@@ -11,6 +11,15 @@ from croploom.functions import geometry as G
 from croploom.operators.numbering import number_rows
 
 
+def hold(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """A computed column that later filters and projections refer to but never repeat.
+
+    Spark moves a filter on a plain computed column below it and repeats the whole expression there;
+    it does not do so across a generated row.
+    """
+    return df.withColumn(name, F.explode(F.array(value)))
+
+
 def manifest_columns(manifest: DataFrame, nuts: str, year: int) -> list[tuple[str, str]]:
     """``(source column, standard name)`` pairs to keep for one layer.
 

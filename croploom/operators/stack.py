@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from croploom.functions.outline import outline
 from croploom.operators import raster as R
-from croploom.operators.joins import BROADCAST_ROWS, is_small
+from croploom.operators.joins import dim_join, is_small
 from croploom.operators.numbering import number_rows
 from croploom.operators.stats import thin_points
 from croploom.session import materialise
@@ -120,29 +120,25 @@ def dissolve(runs: DataFrame, years: Iterable[int], scale: float, by: Iterable[s
 
 def stack_geometry(
     runs: DataFrame,
-    years: Iterable[int],
+    label: Iterable[str],
     scale: float,
-    by: Iterable[str] = ("nuts",),
     max_runs: int = 20_000,
     tile: int = 512,
 ) -> DataFrame:
-    """Outlines of every combination as multipolygons, with ``part`` 0.
+    """Outlines of every label (columns of ``runs``) as multipolygons, with ``part`` 0.
 
-    A combination of more than ``max_runs`` runs is delivered in several rows, one per tile it
-    covers, so no outline is ever drawn from an unbounded list; nothing is left out.
+    A label of more than ``max_runs`` runs is delivered in several rows, one per tile it covers, so
+    no outline is ever drawn from an unbounded list; nothing is left out.  ``runs`` is read several
+    times and should be a stored table.
     """
-    label = [*by, *_cf(years)]
-    # Geometry only: the block cuts of the overlay do not matter, as touching runs share an outline.
+    label = list(label)
     sizes = runs.groupBy(*label).agg((F.count(F.lit(1)) > max_runs).alias("_big"))
     big = sizes.where("_big").drop("_big")
-    small_side = is_small(big, BROADCAST_ROWS)
-    big = F.broadcast(big) if small_side else big
-    normal = runs.join(big, label, "left_anti").select(
+    normal = dim_join(runs, big, label, "left_anti").select(
         *label, "py", "x0", "x1", F.lit(0).cast("bigint").alias("part")
     )
-    # Large ones are cut at tile columns, and a tile is one part.
     cut = (
-        runs.join(big, label, "left_semi")
+        dim_join(runs, big, label, "left_semi")
         .withColumn("_tx", F.explode(F.sequence(F.floor(F.col("x0") / tile), F.floor((F.col("x1") - 1) / tile))))
         .select(
             *label,
@@ -157,9 +153,16 @@ def stack_geometry(
         .groupBy(*label, "part")
         .agg(F.collect_list(F.struct("py", "x0", "x1")).alias("_runs"))
     )
-    return drawn.select(
-        *label, "part", outline(F.col("_runs"), F.lit(float(scale))).alias("geom")
-    ).withColumns({c: F.nullif(F.col(c), F.lit(0)) for c in _cf(years)})
+    return drawn.select(*label, "part", outline(F.col("_runs"), F.lit(float(scale))).alias("geom"))
+
+
+def label_runs(
+    runs: DataFrame, stack: DataFrame, years: Iterable[int], by: Iterable[str] = ("nuts",)
+) -> DataFrame:
+    """Runs with the ``cropfield`` of their stack row; runs of combinations not in the stack go."""
+    by, cf = list(by), _cf(years)
+    ids = stack.select(*by, "cropfield", *[F.coalesce(c, F.lit(0)).alias(c) for c in cf])
+    return dim_join(runs, ids, [*by, *cf], "inner").select(*by, "cropfield", "py", "x0", "x1")
 
 
 def attach_codes(
@@ -189,16 +192,15 @@ def coverage_gaps(pc_points: DataFrame, stack_points: DataFrame, size: int = 100
     return thin_points(pc_points, size).join(thin_points(stack_points, size), ["x", "y"], "left_anti")
 
 
-def stack_centroids(runs: DataFrame, years: Iterable[int], scale: float, by: Iterable[str] = ("nuts",)) -> DataFrame:
-    """Area-weighted centre of every combination, straight from its runs."""
-    cf = _cf(years)
+def run_centroids(runs: DataFrame, label: Iterable[str], scale: float) -> DataFrame:
+    """Area-weighted centre ``cx, cy`` of every label, straight from its runs."""
     n = F.col("x1") - F.col("x0")
     return (
-        runs.groupBy(*by, *cf)
+        runs.groupBy(*label)
         .agg(
             F.sum(n).alias("_n"),
             F.sum(n * (F.col("x0") + F.col("x1")) / 2).alias("_sx"),
             F.sum(n * (F.col("py") + 0.5)).alias("_sy"),
         )
-        .select(*by, *cf, (F.col("_sx") / F.col("_n") * scale).alias("cx"), (F.col("_sy") / F.col("_n") * scale).alias("cy"))
+        .select(*label, (F.col("_sx") / F.col("_n") * scale).alias("cx"), (F.col("_sy") / F.col("_n") * scale).alias("cy"))
     )

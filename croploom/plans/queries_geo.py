@@ -357,7 +357,8 @@ def _(spark, sf):
 )
 def _(spark, sf):
     runs = materialise(S.stack_runs(shapes(spark, sf), YEARS, SCALE), "runs")
-    drawn = S.stack_geometry(runs, YEARS, SCALE)
+    drawn = S.stack_geometry(runs, ["nuts", *CF.split(", ")], SCALE)
+    drawn = P.zero_to_null(drawn, CF.split(", "))
     return drawn.groupBy("nuts", *CF.split(", ")).agg(
         F.sum(G.area(F.col("geom"))).alias("area_m2"), F.bool_and(V.is_valid(F.col("geom"))).alias("valid")
     )
@@ -375,7 +376,7 @@ def _(spark, sf):
 def _(spark, sf):
     pc = T.parcels(spark, sf)
     runs = S.stack_runs(T.shaped(pc), YEARS, SCALE)
-    centres = S.stack_centroids(runs, YEARS, SCALE).select(F.round("cx", 6).alias("cx"), F.round("cy", 6).alias("cy"))
+    centres = S.run_centroids(runs, ["nuts", *CF.split(", ")], SCALE).select(F.round("cx", 6).alias("cx"), F.round("cy", 6).alias("cy"))
     points = pc.where(F.col("year").isin(YEARS)).select(((F.col("xmin") + F.col("xmax")) / 2).alias("cx"), ((F.col("ymin") + F.col("ymax")) / 2).alias("cy"))
     return S.coverage_gaps(points, centres)
 
@@ -409,7 +410,9 @@ def damaged(spark, sf) -> DataFrame:
         .when(fault == 4, F.array(a, b, c, spike, c, d, a))
         .otherwise(F.array(a, b, c, d, a, b, c, d, a))
     )
-    return spread(T.parcels(spark, sf)).select("nuts", "year", "cropfield", F.array(F.array(ring)).cast(GEOM).alias("geom"))
+    return P.hold(spread(T.parcels(spark, sf)), "geom", F.array(F.array(ring)).cast(GEOM)).select(
+        "nuts", "year", "cropfield", "geom"
+    )
 
 
 @query("g9_f3_invalid_rows", BASE + "select nuts, cropfield from parcels where cropfield % 6 not in (0, 3)")

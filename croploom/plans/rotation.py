@@ -33,13 +33,14 @@ def rotation_products(
     squares that hold parcels but nothing of the stack."""
     years, by = list(years), list(by)
     cf = [f"cf{y}" for y in years]
+    # Written once each: the runs feed the stack and its outlines, the numbered rows name them.
     runs = materialise(S.stack_runs(pc, years, scale, "geom", by, min_pixels), "stackruns")
     kept = S.dissolve(runs, years, scale, by).where(F.col("area_ha") >= min_ha)
-    stack = S.attach_codes(number_rows(kept, "cropfield", cf, by), pc, years, by)
+    numbered = materialise(number_rows(kept, "cropfield", cf, by), "stack")
+    labelled = materialise(S.label_runs(runs, numbered, years, by), "labelled")
     points = centroid_layer(pc.where(F.col("year").isin(years)).select("geom")).select("cx", "cy")
-    centres = S.stack_centroids(runs, years, scale, by)
     return RotationProducts(
-        stack=stack,
-        outlines=S.stack_geometry(runs, years, scale, by),
-        gaps=S.coverage_gaps(points, centres),
+        stack=S.attach_codes(numbered, pc, years, by),
+        outlines=S.stack_geometry(labelled, [*by, "cropfield"], scale),
+        gaps=S.coverage_gaps(points, S.run_centroids(labelled, [*by, "cropfield"], scale)),
     )

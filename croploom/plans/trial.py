@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from croploom.functions import geometry as G
-from croploom.operators.columns import area_ha
+from croploom.operators.columns import area_ha, hold
 from croploom.schema import GEOM
 from croploom.session import spread
 
@@ -74,11 +74,7 @@ def shape(x0: Column, y0: Column, x1: Column, y1: Column, kind: Column) -> Colum
 def shaped(pc: DataFrame) -> DataFrame:
     """Parcels with their polygon instead of the limits, and the polygon's area."""
     g = shape(*[F.col(c) for c in ("xmin", "ymin", "xmax", "ymax", "kind")])
-    return (
-        spread(pc)
-        .withColumn("geom", g)
-        .drop("xmin", "ymin", "xmax", "ymax", "w", "h", "area_ha")
-    )
+    return hold(spread(pc), "geom", g).drop("xmin", "ymin", "xmax", "ymax", "w", "h", "area_ha")
 
 
 # Signed rectangles whose sum is the polygon, and rectangles that together cover it.

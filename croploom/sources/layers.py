@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from croploom.functions.crs import geom_to_3035
 from croploom.functions.wkb import from_wkb
-from croploom.operators.columns import clean_names, manifest_columns, select_by_manifest
+from croploom.operators.columns import clean_names, hold, manifest_columns, select_by_manifest
 from croploom.operators.filters import drop_empty
 from croploom.operators.quality import repair_layer
 from croploom.schema import LAYER_FILE
@@ -90,7 +90,7 @@ def ingest_layer(
     else:
         kept = kept.withColumnRenamed(geometry, "geom")
     if source_srid == 4326:
-        kept = kept.withColumn("geom", geom_to_3035(F.col("geom")))
+        kept = hold(kept.withColumnRenamed("geom", "_lonlat"), "geom", geom_to_3035(F.col("_lonlat"))).drop("_lonlat")
     kept = kept.withColumns({"nuts": F.lit(nuts.lower()), "year": F.lit(year)})
     fixed = repair_layer(kept).withColumn(
         "reason",

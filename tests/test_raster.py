@@ -106,11 +106,11 @@ def test_stack_against_brute_force(spark, inset):
 def test_stack_geometry_parts(spark):
     pc = spark.createDataFrame([("a", 2020, 1, "x", box(0, 0, 3000, 2000)), ("a", 2020, 2, "y", box(4000, 0, 4100, 100))], LAYER)
     runs = S.stack_runs(pc, [2020], 2, inset=False)
-    whole = S.stack_geometry(runs, [2020], 2).collect()
+    whole = S.stack_geometry(runs, ["nuts", "cf2020"], 2).collect()
     assert sorted((r.cf2020, r.part) for r in whole) == [(1, 0), (2, 0)]
     assert len({r.cf2020: r.geom for r in whole}[1][0][0]) == 5
     # The large one is delivered tile by tile once it exceeds the bound, without loss.
-    parts = S.stack_geometry(runs, [2020], 2, max_runs=500).withColumn("a", G.area(F.col("geom"))).collect()
+    parts = S.stack_geometry(runs, ["nuts", "cf2020"], 2, max_runs=500).withColumn("a", G.area(F.col("geom"))).collect()
     assert sum(r.a for r in parts if r.cf2020 == 1) == 6_000_000
     assert sum(r.cf2020 == 1 for r in parts) == 6 and sum(r.cf2020 == 2 for r in parts) == 1
 
