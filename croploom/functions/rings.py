@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import atan2
+
 import numpy as np
 
 
@@ -37,6 +39,50 @@ def loops(points: list) -> list[list]:
     return done
 
 
+def part_at_meetings(walk: list) -> list[list]:
+    """A closed walk (end not repeated) rearranged into closed walks that do not cross.
+
+    Where the walk comes through a point several times, its arrivals and departures are paired like
+    brackets in their order around the point, so that no two passages cross there.
+    """
+    n = len(walk)
+    visits: dict = {}
+    for k, p in enumerate(walk):
+        visits.setdefault(p, []).append(k)
+    follow = list(range(n))  # arrival at k goes on as departure from follow[k]
+    for p, ks in visits.items():
+        if len(ks) == 1:
+            continue
+        spokes = []
+        for k in ks:
+            before, after = walk[k - 1], walk[(k + 1) % n]
+            spokes.append((atan2(before[1] - p[1], before[0] - p[0]), 0, k))
+            spokes.append((atan2(after[1] - p[1], after[0] - p[0]), 1, k))
+        spokes.sort()
+        waiting: list = []
+        seen = set()
+        for _, leaving, k in spokes + spokes:
+            if (leaving, k) in seen:
+                continue
+            if not leaving:
+                seen.add((0, k))
+                waiting.append(k)
+            elif waiting:
+                seen.add((1, k))
+                follow[waiting.pop()] = k
+    out, used = [], [False] * n
+    for start in range(n):
+        if used[start]:
+            continue
+        part, k = [], start
+        while not used[k]:
+            used[k] = True
+            part.append(walk[k])
+            k = follow[(k + 1) % n]
+        out.append(part)
+    return out
+
+
 def inner_point(ring: np.ndarray) -> tuple[float, float]:
     """Some point strictly inside a simple ring: middle of the widest span of a row that avoids corners."""
     a = np.asarray(ring, dtype=float)
@@ -86,49 +132,53 @@ def candidate_pairs(segs: np.ndarray, group: np.ndarray | None = None, chunk: in
         start = stop
 
 
-def _cross(ax, ay, bx, by):
-    return ax * by - ay * bx
+class Contacts:
+    """How segments ``i`` and ``j`` of each pair meet.
 
-
-def touching_pairs(segs: np.ndarray):
-    """Pairs of segments that share a point, with the shared points.
-
-    Yields ``(i, j, points)`` where points has one row for a crossing or touch and two for a shared
-    stretch.
+    ``crossing``: not parallel and sharing one point, at share ``t`` of i and ``u`` of j.
+    ``along``: on one line and sharing a point or, with ``stretch``, more than that; ``e0, e1`` are
+    the ends of j as shares of i.
     """
-    for i, j in candidate_pairs(segs):
-        if not len(i):
-            continue
-        p, r = segs[i, :2], segs[i, 2:] - segs[i, :2]
-        q, s = segs[j, :2], segs[j, 2:] - segs[j, :2]
-        d = _cross(r[:, 0], r[:, 1], s[:, 0], s[:, 1])
-        w = q - p
+
+    def __init__(self, segs: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
+        self.p, self.p_end = segs[i, :2], segs[i, 2:]
+        self.q, self.q_end = segs[j, :2], segs[j, 2:]
+        self.r = r = self.p_end - self.p
+        s, w = self.q_end - self.q, self.q - self.p
+        d = r[:, 0] * s[:, 1] - r[:, 1] * s[:, 0]
+        wr = w[:, 0] * r[:, 1] - w[:, 1] * r[:, 0]
         with np.errstate(divide="ignore", invalid="ignore"):
-            t = _cross(w[:, 0], w[:, 1], s[:, 0], s[:, 1]) / d
-            u = _cross(w[:, 0], w[:, 1], r[:, 0], r[:, 1]) / d
-        hit = (d != 0) & (t >= 0) & (t <= 1) & (u >= 0) & (u <= 1)
-        for k in np.flatnonzero(hit):
-            tk, uk = t[k], u[k]
-            if tk in (0.0, 1.0):
-                pt = segs[i[k], :2] if tk == 0 else segs[i[k], 2:]
-            elif uk in (0.0, 1.0):
-                pt = segs[j[k], :2] if uk == 0 else segs[j[k], 2:]
-            else:
-                pt = p[k] + tk * r[k]
-            yield int(i[k]), int(j[k]), [tuple(map(float, pt))]
-        on_line = (d == 0) & (_cross(w[:, 0], w[:, 1], r[:, 0], r[:, 1]) == 0)
-        for k in np.flatnonzero(on_line):
-            rr = float(r[k] @ r[k])
-            if rr == 0:
-                continue
-            e0 = float(w[k] @ r[k]) / rr
-            e1 = e0 + float(s[k] @ r[k]) / rr
-            lo, hi = max(0.0, min(e0, e1)), min(1.0, max(e0, e1))
-            if lo > hi:
-                continue
-            ends = []
-            for v in (segs[i[k], :2], segs[i[k], 2:], segs[j[k], :2], segs[j[k], 2:]):
-                at = float((v - p[k]) @ r[k]) / rr
-                if lo <= at <= hi and tuple(map(float, v)) not in ends:
-                    ends.append(tuple(map(float, v)))
-            yield int(i[k]), int(j[k]), ends
+            t = (w[:, 0] * s[:, 1] - w[:, 1] * s[:, 0]) / d
+            u = wr / d
+        # A common end is exact, however nearly parallel the two are; leaving it in opposite
+        # directions they share nothing else.
+        apart = np.zeros(len(i), dtype=bool)
+        for a, one in ((0.0, self.p), (1.0, self.p_end)):
+            for b, two in ((0.0, self.q), (1.0, self.q_end)):
+                common = (one[:, 0] == two[:, 0]) & (one[:, 1] == two[:, 1])
+                t[common], u[common] = a, b
+                apart |= common & (np.sum(r * s, axis=1) * (1 - 2 * a) * (1 - 2 * b) < 0)
+        self.t, self.u = t, u
+        self.crossing = (d != 0) & (t >= 0) & (t <= 1) & (u >= 0) & (u <= 1)
+        rr = np.sum(r * r, axis=1)
+        self.e0 = np.sum(w * r, axis=1) / rr
+        self.e1 = self.e0 + np.sum(s * r, axis=1) / rr
+        self.lo = np.maximum(0, np.minimum(self.e0, self.e1))
+        self.hi = np.minimum(1, np.maximum(self.e0, self.e1))
+        self.along = (d == 0) & (wr == 0) & (self.lo <= self.hi)
+        self.stretch = self.along & (self.lo < self.hi) & ~apart
+
+
+def chain(rings: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Edges of many closed rings: ends, ring number, place in the ring, edges per ring.
+
+    Edges of no length (repeated points) are left out.
+    """
+    sizes = np.array([len(r) - 1 for r in rings])
+    segs = np.concatenate([np.hstack([r[:-1], r[1:]]) for r in rings])
+    ring_no = np.repeat(np.arange(len(rings)), sizes)
+    real = (segs[:, 0] != segs[:, 2]) | (segs[:, 1] != segs[:, 3])
+    segs, ring_no = segs[real], ring_no[real]
+    sizes = np.bincount(ring_no, minlength=len(rings))
+    place = np.arange(len(segs)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    return segs, ring_no, place, sizes

@@ -6,8 +6,6 @@ a stretch, rings of one layer entry not crossing each other, holes inside their
 
 from __future__ import annotations
 
-from collections import Counter
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
@@ -16,119 +14,149 @@ from pyspark.sql import types as T
 
 from croploom.functions.nested import from_geometry_array, to_geometry_array
 from croploom.functions.outline import draw
-from croploom.functions.rings import candidate_pairs, holds, inner_point, loops, signed_area, touching_pairs
+from croploom.functions.rings import Contacts, candidate_pairs, chain, holds, inner_point, loops, part_at_meetings, signed_area
 from croploom.schema import GEOM
 
 # Largest raster, in cells, on which the last repair step is tried for one geometry.
 MAX_CELLS = 50_000_000
 
 
-def _segments(geom: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All edges with the number of their ring and their position in it."""
-    segs, ring_no, place = [], [], []
-    n = 0
-    for poly in geom:
-        for ring in poly:
-            segs.append(np.hstack([ring[:-1], ring[1:]]))
-            ring_no.append(np.full(len(ring) - 1, n))
-            place.append(np.arange(len(ring) - 1))
-            n += 1
-    return np.concatenate(segs), np.concatenate(ring_no), np.concatenate(place)
-
-
-def is_simple(geom: list) -> bool:
-    """No ring meets itself, no two rings cross or overlap, holes and parts lie where they should."""
-    rings = [r for poly in geom for r in poly]
-    sizes = [len(r) - 1 for r in rings]
-    segs, ring_no, place = _segments(geom)
-    if np.any((segs[:, 0] == segs[:, 2]) & (segs[:, 1] == segs[:, 3])):
-        # A repeated point is harmless; look at the ring without it.
-        geom = [[_no_repeats(r) for r in poly] for poly in geom]
-        if any(len(r) < 4 for poly in geom for r in poly):
-            return False
-        return is_simple(geom)
-    touches: Counter = Counter()
-    for i, j, pts in touching_pairs(segs):
+def valid_batch(geoms: list) -> list:
+    """Validity of many geometries in one vectorised pass; None for None, true for an empty one."""
+    out: list = [None if g is None else len(g) == 0 for g in geoms]
+    rings, owner = [], []
+    for k, geom in enumerate(geoms):
+        if geom and all(len(poly) > 0 and all(len(r) >= 4 for r in poly) for poly in geom):
+            for poly in geom:
+                for ring in poly:
+                    rings.append(np.asarray(ring, dtype=float))
+                    owner.append(k)
+    if not rings:
+        return out
+    owner = np.array(owner)
+    bad = np.zeros(len(geoms), dtype=bool)
+    bad[owner[~_closed_with_area(rings)]] = True
+    good = np.flatnonzero(~bad[owner])
+    if len(good):
+        rings, owner = [rings[g] for g in good], owner[good]
+        bad[_owners_that_meet(rings, owner)] = True
+    for k in np.unique(owner):
+        out[k] = bool(not bad[k] and (len(geoms[k]) + len(geoms[k][0]) == 2 or _nested_rightly(geoms[k])))
+    return out
+
+
+def _closed_with_area(rings: list[np.ndarray]) -> np.ndarray:
+    """For each ring: finite, closed and of non-zero area."""
+    sizes = np.array([len(r) for r in rings])
+    pts = np.concatenate(rings)
+    first = np.cumsum(sizes) - sizes
+    rel = pts - np.repeat(pts[first], sizes, axis=0)
+    cross = rel[:-1, 0] * rel[1:, 1] - rel[1:, 0] * rel[:-1, 1]
+    cross = np.append(cross, 0.0)
+    cross[first + sizes - 1] = 0.0
+    with np.errstate(invalid="ignore"):
+        area = np.add.reduceat(cross, first)
+        closed = np.all(pts[first] == pts[first + sizes - 1], axis=1)
+        return closed & np.isfinite(area) & (area != 0)
+
+
+def _owners_that_meet(rings: list[np.ndarray], owner: np.ndarray) -> np.ndarray:
+    """Geometries with a ring that crosses, touches or retraces itself, or two rings that share more
+    than corner points."""
+    segs, ring_no, place, sizes = chain(rings)
+    found = [owner[sizes < 3]]
+    for i, j in candidate_pairs(segs, owner[ring_no]):
+        c = Contacts(segs, i, j)
         same = ring_no[i] == ring_no[j]
-        if same:
-            gap = abs(int(place[i]) - int(place[j]))
-            neighbours = gap == 1 or gap == sizes[ring_no[i]] - 1
-            if not neighbours or len(pts) > 1:
-                return False
-            continue
-        if len(pts) > 1:
-            return False
-        corner = any(pts[0] == tuple(map(float, segs[k, e : e + 2])) for k in (i, j) for e in (0, 2))
-        if not corner:
-            return False
-        touches[tuple(sorted((int(ring_no[i]), int(ring_no[j]))))] += 1
-    # With crossings ruled out, one inner point tells on which side a whole ring lies.
-    outlines, at = [], 0
+        gap = np.abs(place[i] - place[j])
+        neighbours = same & ((gap == 1) | (gap == sizes[ring_no[i]] - 1))
+        at_corner = (c.t == 0) | (c.t == 1) | (c.u == 0) | (c.u == 1)
+        wrong = c.stretch | (same & ~neighbours & (c.crossing | c.along)) | (~same & c.crossing & ~at_corner)
+        found.append(owner[ring_no[i[wrong]]])
+    return np.concatenate(found)
+
+
+def _nested_rightly(geom: list) -> bool:
+    """Holes lie in their outline and not in each other, parts not in parts (rings do not cross)."""
     for poly in geom:
-        outer = poly[0]
         for k, hole in enumerate(poly[1:], 1):
-            if not holds(outer, *inner_point(hole)):
+            if not holds(poly[0], *inner_point(hole)):
                 return False
-            if any(
-                holds(other, *inner_point(hole)) or holds(hole, *inner_point(other))
-                for other in poly[1:k]
-            ):
-                return False
-        outlines.append(poly)
-        at += len(poly)
-    for a, one in enumerate(outlines):
-        for two in outlines[:a]:
-            if _overlap(one, two) or _overlap(two, one):
-                return False
-    return True
-
-
-def _overlap(one: list, two: list) -> bool:
-    """The inside of ``one`` reaches into the inside of ``two`` (rings known not to cross)."""
-    x, y = inner_point(one[0])
-    if len(one) > 1 and any(holds(h, x, y) for h in one[1:]):
-        return holds(two[0], x, y) and not any(holds(h, *inner_point(one[0])) for h in two[1:])
-    return holds(two[0], x, y) and not any(holds(h, x, y) for h in two[1:])
+            for other in poly[1:k]:
+                if holds(other, *inner_point(hole)) or holds(hole, *inner_point(other)):
+                    return False
+    return not any(
+        _within(one[0], two) or _within(two[0], one) for k, one in enumerate(geom) for two in geom[:k]
+    )
 
 
-def _no_repeats(ring: np.ndarray) -> np.ndarray:
-    keep = np.ones(len(ring), dtype=bool)
-    keep[1:] = np.any(ring[1:] != ring[:-1], axis=1)
-    return ring[keep]
+def _within(outline: np.ndarray, poly: list) -> bool:
+    """An outline lies in a polygon and not in one of its holes."""
+    at = inner_point(outline)
+    return holds(poly[0], *at) and not any(holds(h, *at) for h in poly[1:])
 
 
 def _closed(ring: np.ndarray) -> np.ndarray:
+    """Without points that are not finite, ends joined."""
+    ring = np.asarray(ring, dtype=float).reshape(-1, 2)
     ring = ring[np.all(np.isfinite(ring), axis=1)]
     if len(ring) and np.any(ring[0] != ring[-1]):
         ring = np.vstack([ring, ring[:1]])
-    return _no_repeats(ring) if len(ring) else ring
-
-
-def _simple_loops(ring: np.ndarray) -> list[np.ndarray]:
-    """A closed ring cut at every point where it meets itself; spikes and flat loops fall away."""
-    ring = _closed(np.asarray(ring, dtype=float))
-    if len(ring) < 4:
-        return []
-    segs = np.hstack([ring[:-1], ring[1:]])
-    extra: dict[int, list] = {}
-    for i, j, pts in touching_pairs(segs):
-        for k in (i, j):
-            extra.setdefault(k, []).extend(pts)
-    walk = []
-    for k, seg in enumerate(segs):
-        start = (float(seg[0]), float(seg[1]))
-        end = (float(seg[2]), float(seg[3]))
-        stops = sorted(
-            {p for p in extra.get(k, ()) if p not in (start, end)},
-            key=lambda p: (p[0] - start[0]) ** 2 + (p[1] - start[1]) ** 2,
-        )
-        walk.extend([start, *stops])
-    walk.append(walk[0])
-    out = []
-    for loop in loops(walk):
-        arr = np.asarray(loop)
-        if len(arr) >= 4 and signed_area(arr) != 0:
-            out.append(arr)
+    return ring
+
+
+def simple_loops(rings: list[np.ndarray]) -> list[list[np.ndarray]]:
+    """Each ring cut at every point where it meets itself; spikes and flat loops fall away."""
+    closed = [_closed(r) for r in rings]
+    out: list[list[np.ndarray]] = [[] for _ in rings]
+    usable = [k for k, r in enumerate(closed) if len(r) >= 4]
+    if not usable:
+        return out
+    segs, ring_no, _, _ = chain([closed[k] for k in usable])
+    if not len(segs):
+        return out
+    at_seg, at_point = [], []
+    for i, j in candidate_pairs(segs, ring_no):
+        c = Contacts(segs, i, j)
+        # A crossing inside an edge becomes a point of that edge; where the other edge ends there,
+        # exactly that end, so that both walks name the same point.
+        end_i = np.where((c.t == 0)[:, None], c.p, c.p_end)
+        end_j = np.where((c.u == 0)[:, None], c.q, c.q_end)
+        on_end_i, on_end_j = (c.t == 0) | (c.t == 1), (c.u == 0) | (c.u == 1)
+        with np.errstate(invalid="ignore"):
+            point = c.p + c.t[:, None] * c.r
+        point = np.where(on_end_j[:, None], end_j, point)
+        point = np.where(on_end_i[:, None], end_i, point)
+        for k, inner in ((i, c.crossing & ~on_end_i), (j, c.crossing & ~on_end_j)):
+            at_seg.append(k[inner])
+            at_point.append(point[inner])
+        # Of two edges on one line, each takes the ends of the other that lie inside it.
+        for share, end in ((c.e0, c.q), (c.e1, c.q_end)):
+            inner = c.stretch & (share > 0) & (share < 1)
+            at_seg.append(i[inner])
+            at_point.append(end[inner])
+        span = c.e1 - c.e0
+        with np.errstate(divide="ignore", invalid="ignore"):
+            for share, end in ((-c.e0 / span, c.p), ((1 - c.e0) / span, c.p_end)):
+                inner = c.stretch & (share > 0) & (share < 1)
+                at_seg.append(j[inner])
+                at_point.append(end[inner])
+    stops: dict[int, list] = {}
+    for k, p in zip(np.concatenate(at_seg).tolist(), map(tuple, np.concatenate(at_point).tolist())):
+        stops.setdefault(k, []).append(p)
+    walks: list[list] = [[] for _ in usable]
+    for k, (ring, (ax, ay, bx, by)) in enumerate(zip(ring_no.tolist(), segs.tolist())):
+        walks[ring].append((ax, ay))
+        if k in stops:
+            between = set(stops[k]) - {(ax, ay), (bx, by)}
+            walks[ring].extend(sorted(between, key=lambda p: (p[0] - ax) ** 2 + (p[1] - ay) ** 2))
+    for k, walk in zip(usable, walks):
+        parts = [walk] if len(set(walk)) == len(walk) else part_at_meetings(walk)
+        for loop in (x for part in parts for x in loops([*part, *part[:1]])):
+            if len(loop) >= 4:
+                arr = np.asarray(loop)
+                if signed_area(arr) != 0:
+                    out[k].append(arr)
     return out
 
 
@@ -170,14 +198,17 @@ def _assemble(found: list[np.ndarray], winding: bool) -> list:
     return list(polys.values())
 
 
-def repair1(geom: list) -> list | None:
-    """Close rings, drop repeats, spikes and flat rings, split self-crossings; holes stay holes."""
+def repair1(geom: list, cut: list[list[list[np.ndarray]]]) -> list | None:
+    """Rings closed, repeats, spikes and flat rings dropped, self-crossings split; holes stay holes.
+
+    ``cut`` has the simple loops of every ring.
+    """
     out = []
-    for poly in geom:
+    for poly in cut:
         if not poly:
             continue
-        outer = _assemble(_simple_loops(poly[0]), winding=False)
-        holes = [r for ring in poly[1:] for p in _assemble(_simple_loops(ring), winding=False) for r in p[:1]]
+        outer = _assemble(poly[0], winding=False)
+        holes = [p[0] for ring in poly[1:] for p in _assemble(ring, winding=False)]
         placed = 0
         for part in outer:
             mine = [h for h in holes if holds(part[0], *inner_point(h))]
@@ -189,14 +220,11 @@ def repair1(geom: list) -> list | None:
     return out or None
 
 
-def repair2(geom: list) -> list | None:
+def repair2(geom: list, cut: list[list[list[np.ndarray]]]) -> list | None:
     """All rings rebuilt together by winding number, as a zero-width buffer does."""
     found = []
-    for poly in geom:
-        for k, ring in enumerate(poly):
-            parts = _simple_loops(ring)
-            if not parts:
-                continue
+    for poly in cut:
+        for k, parts in enumerate(poly):
             # Orientation of the ring as a whole: outlines wind once forward, holes once back.
             sign = 1 if sum(signed_area(p) for p in parts) >= 0 else -1
             want = 1 if k == 0 else -1
@@ -204,7 +232,7 @@ def repair2(geom: list) -> list | None:
     return _assemble(found, winding=True) or None
 
 
-def repair3(geom: list, cell: float = 0.4) -> list | None:
+def repair3(geom: list, cut: object = None, cell: float = 0.4) -> list | None:
     """Shrink and grow by one metre on a fine raster, five cells to two metres: narrower parts go."""
     pts = np.concatenate([r for poly in geom for r in poly if len(r)] or [np.empty((0, 2))])
     pts = pts[np.all(np.isfinite(pts), axis=1)]
@@ -256,75 +284,6 @@ def _grow(grid: np.ndarray, reach: int) -> np.ndarray:
     return out
 
 
-def well_formed(geom: list) -> bool:
-    return len(geom) > 0 and all(
-        len(poly) > 0
-        and all(
-            len(r) >= 4 and bool(np.all(np.isfinite(r))) and bool(np.all(r[0] == r[-1])) and signed_area(r) != 0
-            for r in poly
-        )
-        for poly in geom
-    )
-
-
-def valid(geom: list) -> bool:
-    return well_formed(geom) and is_simple(geom)
-
-
-def valid_batch(geoms: list) -> list:
-    """Validity of many geometries at once; None for None, true for an empty one.
-
-    Geometries of one ring, which nearly all parcels are, share one vectorised pass over their
-    edges; the others are looked at one by one.
-    """
-    out = [None if g is None else len(g) == 0 for g in geoms]
-    single = []
-    for k, geom in enumerate(geoms):
-        if not geom:
-            continue
-        ring = geom[0][0] if len(geom) == 1 and len(geom[0]) == 1 else None
-        if ring is None or not np.all(np.isfinite(ring)):
-            out[k] = valid(geom)
-        elif len(ring) >= 4 and bool(np.all(ring[0] == ring[-1])) and signed_area(ring) != 0:
-            ring = _no_repeats(ring)
-            if len(ring) >= 4:
-                single.append((k, ring))
-    if single:
-        bad = _rings_meeting_themselves([r for _, r in single])
-        for (k, _), b in zip(single, bad):
-            out[k] = not b
-    return out
-
-
-def _rings_meeting_themselves(rings: list[np.ndarray]) -> np.ndarray:
-    """For each closed ring without repeated points: does it cross, touch or retrace itself."""
-    sizes = np.array([len(r) - 1 for r in rings])
-    segs = np.concatenate([np.hstack([r[:-1], r[1:]]) for r in rings])
-    ring_no = np.repeat(np.arange(len(rings)), sizes)
-    place = np.arange(len(segs)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    bad = np.zeros(len(rings), dtype=bool)
-    for i, j in candidate_pairs(segs, ring_no):
-        p, r = segs[i, :2], segs[i, 2:] - segs[i, :2]
-        q, s = segs[j, :2], segs[j, 2:] - segs[j, :2]
-        w = q - p
-        d = r[:, 0] * s[:, 1] - r[:, 1] * s[:, 0]
-        wr = w[:, 0] * r[:, 1] - w[:, 1] * r[:, 0]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            t = (w[:, 0] * s[:, 1] - w[:, 1] * s[:, 0]) / d
-            u = wr / d
-        gap = np.abs(place[i] - place[j])
-        neighbours = (gap == 1) | (gap == sizes[ring_no[i]] - 1)
-        crossing = (d != 0) & (t >= 0) & (t <= 1) & (u >= 0) & (u <= 1) & ~neighbours
-        # On one line: shared stretch, a mere touch counting only between edges that are no neighbours.
-        rr = np.sum(r * r, axis=1)
-        e0 = np.sum(w * r, axis=1) / rr
-        e1 = e0 + np.sum(s * r, axis=1) / rr
-        lo, hi = np.maximum(0, np.minimum(e0, e1)), np.minimum(1, np.maximum(e0, e1))
-        along = (d == 0) & (wr == 0) & ((lo < hi) | ((lo == hi) & ~neighbours))
-        bad[ring_no[i[crossing | along]]] = True
-    return bad
-
-
 @F.arrow_udf(T.BooleanType())
 def _valid_udf(col: pa.Array) -> pa.Array:
     return pa.array(valid_batch(from_geometry_array(col)), pa.bool_())
@@ -352,25 +311,40 @@ _REPAIRED = T.StructType([T.StructField("geom", GEOM), T.StructField("method", T
 _STEPS = ((1, repair1), (3, repair2), (4, repair3))
 
 
+def repair_batch(geoms: list) -> tuple[list, list]:
+    """Repaired geometries and the step that did it; only what is still invalid goes on a step."""
+    fixed = list(geoms)
+    methods = [None if ok is None else 0 if ok else 9 for ok in valid_batch(geoms)]
+    left = [k for k, m in enumerate(methods) if m == 9]
+    cut = _cut_all([geoms[k] for k in left])
+    for number, step in _STEPS:
+        tried = [_attempt(step, geoms[k], c) for k, c in zip(left, cut)]
+        fine = [t is not None and ok is True for t, ok in zip(tried, valid_batch(tried))]
+        for k, t, ok in zip(left, tried, fine):
+            if ok:
+                fixed[k], methods[k] = t, number
+        cut = [c for c, ok in zip(cut, fine) if not ok]
+        left = [k for k, ok in zip(left, fine) if not ok]
+    return fixed, methods
+
+
+def _attempt(step, geom: list, cut: list) -> list | None:
+    # One geometry that no step can deal with must not stop the others.
+    try:
+        return step(geom, cut) or None
+    except (ValueError, IndexError, ZeroDivisionError, FloatingPointError):
+        return None
+
+
+def _cut_all(geoms: list) -> list:
+    """The simple loops of every ring, nested as the geometries are."""
+    done = iter(simple_loops([r for geom in geoms for poly in geom for r in poly]))
+    return [[[next(done) for _ in poly] for poly in geom] for geom in geoms]
+
+
 @F.arrow_udf(_REPAIRED)
 def _repair_udf(col: pa.Array) -> pa.Array:
-    geoms, methods = [], []
-    given = from_geometry_array(col)
-    for geom, ok in zip(given, valid_batch(given)):
-        fixed, method = geom, (None if geom is None else 0)
-        if ok is False:
-            method = 9
-            for number, step in _STEPS:
-                try:
-                    tried = step(geom)
-                    good = tried is not None and valid([[np.asarray(r, dtype=float) for r in p] for p in tried])
-                except (ValueError, IndexError, ZeroDivisionError, FloatingPointError):
-                    good = False
-                if good:
-                    fixed, method = tried, number
-                    break
-        geoms.append(fixed)
-        methods.append(method)
+    geoms, methods = repair_batch(from_geometry_array(col))
     return pa.StructArray.from_arrays(
         [to_geometry_array(geoms), pa.array(methods, pa.int32())], names=["geom", "method"]
     )

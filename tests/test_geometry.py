@@ -224,15 +224,38 @@ def test_outline_random():
         ys, xs = np.nonzero(grid)
         polys = draw(np.column_stack([ys, xs, xs + 1]), 1.0)
         rings = [[np.array(r, dtype=float) for r in p] for p in polys]
-        assert V.valid(rings)
+        assert V.valid_batch([rings]) == [True]
         total = sum(abs(V.signed_area(p[0])) - sum(abs(V.signed_area(h)) for h in p[1:]) for p in rings)
         assert total == grid.sum()
 
 
-def test_batch_validity_equals_single():
+def test_batch_equals_one_by_one():
     rng = np.random.default_rng(11)
     geoms = []
     for _ in range(400):
         pts = rng.integers(0, 6, (rng.integers(3, 7), 2)).astype(float)
         geoms.append([[np.vstack([pts, pts[:1]])]])
-    assert V.valid_batch(geoms) == [V.valid(g) for g in geoms]
+    assert V.valid_batch(geoms) == [V.valid_batch([g])[0] for g in geoms]
+    assert V.repair_batch(geoms)[1] == [V.repair_batch([g])[1][0] for g in geoms]
+
+
+def even_odd(ring, x, y):
+    a = np.asarray(ring, dtype=float)
+    return sum(((p[1] > y) != (q[1] > y)) and x < p[0] + (y - p[1]) * (q[0] - p[0]) / (q[1] - p[1]) for p, q in zip(a[:-1], a[1:])) % 2
+
+
+def test_first_repair_keeps_alternate_filling():
+    """Random self-crossing rings: a repaired geometry covers what the ring's alternate filling does."""
+    rng = np.random.default_rng(12)
+    repaired = 0
+    for _ in range(150):
+        pts = rng.uniform(0, 100, (rng.integers(5, 10), 2))
+        ring = np.vstack([pts, pts[:1]])
+        (fixed,), (method,) = V.repair_batch([[[ring]]])
+        if method != 1:
+            continue
+        repaired += 1
+        for x, y in rng.uniform(0, 100, (40, 2)):
+            inside = sum(even_odd(r, x, y) for poly in fixed for r in poly) % 2
+            assert inside == even_odd(ring, x, y)
+    assert repaired > 100
