@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from croploom.functions.outline import outline
 from croploom.operators import raster as R
-from croploom.operators.joins import dim_join, is_small
+from croploom.operators.joins import dim_join
 from croploom.operators.numbering import number_rows
 from croploom.operators.stats import thin_points
 from croploom.session import materialise
@@ -29,40 +29,62 @@ def _long(df: DataFrame, years: list[int], keep: Iterable[str]) -> DataFrame:
     ).select(*keep, "_y.year", "_y.cf").where(F.col("cf") != 0)
 
 
-def drop_rare_ids(
+def settle_labels(
     combined: DataFrame, years: list[int], min_pixels: int, by: Iterable[str] = ("nuts",)
 ) -> DataFrame:
-    """Ids with too few pixels in their year become 0, after the overlay.
+    """Ids with too few pixels in their year become 0, then combinations with too few pixels go.
 
-    The counting runs on the distinct combinations, which are few next to the runs; only
-    combinations that hold a rare id are then looked up.
+    All counting runs on the distinct combinations, which are few next to the runs.  The runs are
+    then joined once, to those combinations that change or go.  ``combined`` is read twice and
+    should be a stored table.
     """
     by, cf = list(by), _cf(years)
-    sizes = combined.groupBy(*by, *cf).agg(F.sum(F.col("x1") - F.col("x0")).alias("n"))
+    final = [f"_f{y}" for y in years]
+    sizes = materialise(
+        combined.groupBy(*by, *cf).agg(F.sum(F.col("x1") - F.col("x0")).alias("n")), "sizes"
+    )
     rare = (
         _long(sizes, years, [*by, "n"])
         .groupBy(*by, "year", "cf")
         .agg(F.sum("n").alias("n"))
         .where(F.col("n") < min_pixels)
-        .drop("n")
-        .withColumn("_rare", F.lit(True))
+        .select(*by, "year", "cf", F.lit(True).alias("_rare"))
     )
-    hit = (
-        _long(sizes, years, [*by, *cf])
+    cleared = (
+        _long(sizes, years, [*by, *cf, "n"])
         .join(rare, [*by, "year", "cf"], "left")
-        .groupBy(*by, *cf)
-        .agg(*[F.max(F.when(F.col("year") == y, F.col("_rare"))).alias(f"_r{y}") for y in years])
-        .where(F.coalesce(*[F.col(f"_r{y}") for y in years], F.lit(False)))
+        .groupBy(*by, *cf, "n")
+        .agg(
+            *[
+                F.coalesce(F.max(F.when((F.col("year") == y) & F.col("_rare").isNull(), F.col("cf"))), F.lit(0)).alias(f)
+                for y, f in zip(years, final)
+            ]
+        )
+    )
+    kept = (
+        cleared.groupBy(*by, *final)
+        .agg(F.sum("n").alias("_total"))
+        .where((F.col("_total") >= min_pixels) & (F.greatest(*final, F.lit(0)) > 0))
+    )
+    changes = (
+        cleared.join(kept, [*by, *final], "left")
+        .where(F.col("_total").isNull() | ~_equal(cf, final))
+        .select(*by, *cf, *final, F.col("_total").isNull().alias("_gone"))
     )
-    hit = materialise(hit, "rare")
-    if is_small(hit, 0):
-        return combined
-    small = is_small(hit)
-    flagged = combined.join(F.broadcast(hit) if small else hit, [*by, *cf], "left")
-    cleared = flagged.withColumns(
-        {f"cf{y}": F.when(F.col(f"_r{y}"), F.lit(0)).otherwise(F.col(f"cf{y}")) for y in years}
-    ).drop(*[f"_r{y}" for y in years])
-    return cleared.where(F.greatest(*[F.col(c) for c in cf], F.lit(0)) > 0)
+    changes = materialise(changes, "changes")
+    return (
+        dim_join(combined, changes, [*by, *cf], "left")
+        .where(~F.coalesce("_gone", F.lit(False)))
+        .withColumns({c: F.coalesce(f, c) for c, f in zip(cf, final)})
+        .drop("_gone", *final)
+    )
+
+
+def _equal(a: list[str], b: list[str]):
+    out = F.lit(True)
+    for x, y in zip(a, b):
+        out = out & (F.col(x) == F.col(y))
+    return out
 
 
 def stack_runs(
@@ -76,17 +98,11 @@ def stack_runs(
 ) -> DataFrame:
     """Runs of the finished overlay: rare ids and rare combinations dropped, borders taken in."""
     years, by = list(years), list(by)
-    cf = _cf(years)
     wanted = pc.where(F.col("year").isin(years))
     combined = R.combine_years(R.burn(R.rasterise(wanted, scale, geom, by), by), years, by)
     if min_pixels > 1:
-        combined = drop_rare_ids(materialise(combined, "overlay"), years, min_pixels, by)
-    sizes = combined.groupBy(*by, *cf).agg(F.sum(F.col("x1") - F.col("x0")).alias("_n"))
-    runs = R.erode(combined, years, by) if inset else combined.drop("px")
-    if min_pixels <= 1:
-        return runs
-    rare = sizes.where(F.col("_n") < min_pixels).drop("_n")
-    return runs.join(rare, [*by, *cf], "left_anti")
+        combined = settle_labels(materialise(combined, "overlay"), years, min_pixels, by)
+    return R.erode(combined, years, by) if inset else combined.drop("px")
 
 
 def rotation_stack(
