@@ -172,7 +172,9 @@ def rare_values(burned: DataFrame, min_pixels: int = 10, by: Iterable[str] = ("n
 def min_support(burned: DataFrame, min_pixels: int = 10, by: Iterable[str] = ("nuts",)) -> DataFrame:
     """Without the runs of parcels that cover fewer pixels than the minimum in their year.
 
-    A run as long as the minimum proves its parcel large enough and skips the join.
+    A run as long as the minimum proves its parcel large enough and skips the join, so a parcel with
+    very many pixels does not weigh on one task.  ``burned`` is read several times and should be a
+    stored table.
     """
     by = list(by)
     length = F.col("x1") - F.col("x0")

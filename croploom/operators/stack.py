@@ -11,7 +11,7 @@ from croploom.functions.outline import outline
 from croploom.operators import raster as R
 from croploom.operators.joins import dim_join
 from croploom.operators.numbering import number_rows
-from croploom.operators.stats import thin_points
+from croploom.operators.stats import median_by, thin_points
 from croploom.session import materialise
 
 
@@ -29,20 +29,14 @@ def _long(df: DataFrame, years: list[int], keep: Iterable[str]) -> DataFrame:
     ).select(*keep, "_y.year", "_y.cf").where(F.col("cf") != 0)
 
 
-def settle_labels(
-    combined: DataFrame, years: list[int], min_pixels: int, by: Iterable[str] = ("nuts",)
-) -> DataFrame:
-    """Ids with too few pixels in their year become 0, then combinations with too few pixels go.
+def _sizes(combined: DataFrame, years: list[int], by: list[str]) -> DataFrame:
+    """Pixels of every distinct combination, as a stored table."""
+    grouped = combined.groupBy(*by, *_cf(years)).agg(F.sum(F.col("x1") - F.col("x0")).alias("n"))
+    return materialise(grouped, "sizes")
 
-    All counting runs on the distinct combinations, which are few next to the runs.  The runs are
-    then joined once, to those combinations that change or go.  ``combined`` is read twice and
-    should be a stored table.
-    """
-    by, cf = list(by), _cf(years)
-    final = [f"_f{y}" for y in years]
-    sizes = materialise(
-        combined.groupBy(*by, *cf).agg(F.sum(F.col("x1") - F.col("x0")).alias("n")), "sizes"
-    )
+
+def _without_rare_ids(sizes: DataFrame, years: list[int], min_pixels: int, by: list[str]) -> DataFrame:
+    """Each combination with ``_f<year>``: its id, or 0 where that id has too few pixels in the year."""
     rare = (
         _long(sizes, years, [*by, "n"])
         .groupBy(*by, "year", "cf")
@@ -50,17 +44,32 @@ def settle_labels(
         .where(F.col("n") < min_pixels)
         .select(*by, "year", "cf", F.lit(True).alias("_rare"))
     )
-    cleared = (
-        _long(sizes, years, [*by, *cf, "n"])
+    kept = F.col("_rare").isNull()
+    return (
+        _long(sizes, years, [*by, *_cf(years), "n"])
         .join(rare, [*by, "year", "cf"], "left")
-        .groupBy(*by, *cf, "n")
+        .groupBy(*by, *_cf(years), "n")
         .agg(
             *[
-                F.coalesce(F.max(F.when((F.col("year") == y) & F.col("_rare").isNull(), F.col("cf"))), F.lit(0)).alias(f)
-                for y, f in zip(years, final)
+                F.coalesce(F.max(F.when((F.col("year") == y) & kept, F.col("cf"))), F.lit(0)).alias(f"_f{y}")
+                for y in years
             ]
         )
     )
+
+
+def settle_labels(
+    combined: DataFrame, years: list[int], min_pixels: int, by: Iterable[str] = ("nuts",)
+) -> DataFrame:
+    """Ids with too few pixels in their year become 0, then combinations with too few pixels go.
+
+    All counting runs on the distinct combinations, which are few next to the runs.  The runs are
+    then joined once, to those combinations that change or go.  ``combined`` is read twice and
+    should be a stored table.
+    """
+    by, cf = list(by), _cf(years)
+    final = [f"_f{y}" for y in years]
+    cleared = _without_rare_ids(_sizes(combined, years, by), years, min_pixels, by)
     kept = (
         cleared.groupBy(*by, *final)
         .agg(F.sum("n").alias("_total"))
@@ -71,15 +80,72 @@ def settle_labels(
         .where(F.col("_total").isNull() | ~_equal(cf, final))
         .select(*by, *cf, *final, F.col("_total").isNull().alias("_gone"))
     )
-    changes = materialise(changes, "changes")
+    return _relabelled(combined, materialise(changes, "changes"), years, by)
+
+
+def _relabelled(runs: DataFrame, changes: DataFrame, years: list[int], by: list[str]) -> DataFrame:
+    """Runs with the ids of ``changes`` (``_f<year>``) where it has their combination; ``_gone`` ones
+    are left out."""
+    cf = _cf(years)
     return (
-        dim_join(combined, changes, [*by, *cf], "left")
+        dim_join(runs, changes, [*by, *cf], "left")
         .where(~F.coalesce("_gone", F.lit(False)))
-        .withColumns({c: F.coalesce(f, c) for c, f in zip(cf, final)})
-        .drop("_gone", *final)
+        .withColumns({c: F.coalesce(f"_f{y}", c) for c, y in zip(cf, years)})
+        .drop("_gone", *[f"_f{y}" for y in years])
     )
 
 
+def sequential_labels(
+    combined: DataFrame, years: list[int], min_pixels: int, by: Iterable[str] = ("nuts",)
+) -> tuple[DataFrame, DataFrame]:
+    """Labels built up year after year, as ``(labelled runs, ids per label)``.
+
+    After each year a label with too few pixels falls back to 0, from where a later year's id can
+    start a label anew.  The ids finally shown for a label are the median of the ids its pixels carry
+    in each year, those left out before included.  All of this runs on the distinct combinations.
+    ``combined`` is read twice and should be a stored table.
+    """
+    by, cf = list(by), _cf(years)
+    final = [f"_f{y}" for y in years]
+    labels = materialise(_without_rare_ids(_sizes(combined, years, by), years, min_pixels, by), "labels")
+    for k in range(1, len(final)):
+        upto = final[: k + 1]
+        enough = (
+            labels.groupBy(*by, *upto)
+            .agg((F.sum("n") >= min_pixels).alias("_enough"))
+            .where("_enough")
+        )
+        labels = labels.join(enough, [*by, *upto], "left").withColumns(
+            {c: F.when(F.col("_enough"), F.col(c)).otherwise(F.lit(0)) for c in upto}
+        ).drop("_enough")
+    labels = materialise(labels, "labels")
+    empty = F.greatest(*final, F.lit(0)) == 0
+    changes = labels.where(empty | ~_equal(cf, final)).select(*by, *cf, *final, empty.alias("_gone"))
+    runs = _relabelled(combined, materialise(changes, "changes"), years, by)
+    each_year = labels.where(~empty).select(
+        *by,
+        *final,
+        "n",
+        F.explode(
+            F.array(*[F.struct(F.lit(y).alias("year"), F.col(f"cf{y}").alias("cf")) for y in years])
+        ).alias("_y"),
+    ).select(*by, *final, "n", "_y.year", "_y.cf")
+    ids = (
+        median_by(each_year, [*by, *final, "year"], "cf", "_m", weight="n")
+        .groupBy(*by, *final)
+        .agg(
+            *[
+                F.coalesce(F.max(F.when(F.col("year") == y, F.rint("_m").cast("bigint"))), F.lit(0)).alias(f"_m{y}")
+                for y in years
+            ]
+        )
+        .select(*by, *[F.col(f).alias(c) for f, c in zip(final, cf)], *[F.col(f"_m{y}").alias(f"_f{y}") for y in years])
+        .where(~_equal(cf, final))
+        .withColumn("_gone", F.lit(False))
+    )
+    return runs, materialise(ids, "ids")
+
+
 def _equal(a: list[str], b: list[str]):
     out = F.lit(True)
     for x, y in zip(a, b):
@@ -95,11 +161,19 @@ def stack_runs(
     by: Iterable[str] = ("nuts",),
     min_pixels: int = 10,
     inset: bool = True,
+    sequential: bool = False,
 ) -> DataFrame:
-    """Runs of the finished overlay: rare ids and rare combinations dropped, borders taken in."""
+    """Runs of the finished overlay: rare ids and rare combinations dropped, borders taken in.
+
+    ``sequential`` follows the relabelling year after year (``sequential_labels``).
+    """
     years, by = list(years), list(by)
     wanted = pc.where(F.col("year").isin(years))
     combined = R.combine_years(R.burn(R.rasterise(wanted, scale, geom, by), by), years, by)
+    if sequential:
+        runs, ids = sequential_labels(materialise(combined, "overlay"), years, min_pixels, by)
+        runs = R.erode(runs, years, by) if inset else runs.drop("px")
+        return _relabelled(runs, ids, years, by)
     if min_pixels > 1:
         combined = settle_labels(materialise(combined, "overlay"), years, min_pixels, by)
     return R.erode(combined, years, by) if inset else combined.drop("px")
@@ -114,11 +188,12 @@ def rotation_stack(
     min_pixels: int = 10,
     min_ha: float = 0.1,
     inset: bool = True,
+    sequential: bool = False,
     numbered: bool = True,
 ) -> DataFrame:
     """One row per combination of yearly ids: ``cropfield``, ``cf<year>`` (null = none), ``area_ha``."""
     years, by = list(years), list(by)
-    runs = stack_runs(pc, years, scale, geom, by, min_pixels, inset)
+    runs = stack_runs(pc, years, scale, geom, by, min_pixels, inset, sequential)
     out = dissolve(runs, years, scale, by).where(F.col("area_ha") >= min_ha)
     return number_rows(out, "cropfield", _cf(years), by) if numbered else out
 

@@ -94,9 +94,13 @@ def thin_points(df: DataFrame, size: int = 1000, x: str = "cx", y: str = "cy") -
     ).distinct()
 
 
-def median_by(df: DataFrame, by: Iterable[str], col: str, name: str = "median") -> DataFrame:
+def median_by(
+    df: DataFrame, by: Iterable[str], col: str, name: str = "median", weight: str | None = None
+) -> DataFrame:
     """Exact median of a whole-number column per group, for groups of any size.
 
+    With ``weight`` a row stands for that many equal rows.
+
     Values are counted first, which spreads even one dominant group over all tasks.  Their high
     part then tells in which slice of 65,536 values the middle lies, and only that slice of each
     group is put in order.
@@ -105,7 +109,7 @@ def median_by(df: DataFrame, by: Iterable[str], col: str, name: str = "median")
     counts = (
         df.where(F.col(col).isNotNull())
         .groupBy(*by, F.col(col).cast("bigint").alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg((F.count(F.lit(1)) if weight is None else F.sum(weight)).alias("_n"))
         .withColumn("_hi", F.shiftright("_v", 16))
     )
     slices = counts.groupBy(*by, "_hi").agg(F.sum("_n").alias("_s"))

@@ -173,8 +173,8 @@ def _(spark, sf):
 
 
 def grid_by_year(spark, sf) -> DataFrame:
-    pc = shapes(spark, sf)
-    return GR.grid_stats(J.map_crops(pc, T.crop_map(pc)), by=("year", "hcat4_code"))
+    plain = T.parcels(spark, sf)
+    return GR.grid_stats(J.map_crops(T.shaped(plain), T.crop_map(plain)), by=("year", "hcat4_code"))
 
 
 GRID = """grid_year as (
@@ -284,7 +284,7 @@ def _(spark, sf):
     PIXELS.rstrip() + "," + BURNED + "," + SUPPORT + " select year, count(*) as n, sum(cf) :: bigint as ids from burned join support using (nuts, year, cf) where n >= 10 group by year",
 )
 def _(spark, sf):
-    kept = R.min_support(R.burn(R.rasterise(shapes(spark, sf), SCALE)), 10)
+    kept = R.min_support(materialise(R.burn(R.rasterise(shapes(spark, sf), SCALE)), "burned"), 10)
     n = F.col("x1") - F.col("x0")
     return kept.groupBy("year").agg(F.sum(n).alias("n"), F.sum(n * F.col("cf")).alias("ids"))
 
@@ -358,7 +358,7 @@ def _(spark, sf):
 def _(spark, sf):
     runs = materialise(S.stack_runs(shapes(spark, sf), YEARS, SCALE), "runs")
     drawn = S.stack_geometry(runs, ["nuts", *CF.split(", ")], SCALE)
-    drawn = P.zero_to_null(drawn, CF.split(", "))
+    drawn = drawn.withColumns({c: F.nullif(c, F.lit(0)) for c in CF.split(", ")})
     return drawn.groupBy("nuts", *CF.split(", ")).agg(
         F.sum(G.area(F.col("geom"))).alias("area_m2"), F.bool_and(V.is_valid(F.col("geom"))).alias("valid")
     )

@@ -26,6 +26,8 @@ def local_session(cpus: int | str = "*", app: str = "croploom", memory: str = "8
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
+        # Noting the Python line of every column operation costs more than the operation itself.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in RECOMMENDED_CONF.items():
         builder = builder.config(key, value)

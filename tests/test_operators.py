@@ -9,14 +9,17 @@ from croploom.functions import scalars as C
 from croploom.functions.similarity import partial_ratio, ratio, weighted_ratio, word_ratio
 from croploom.operators import columns as P
 from croploom.operators import filters as FL
+from croploom.operators import grid as GR
 from croploom.operators import joins as J
 from croploom.operators import matching as M
 from croploom.operators import numbering as N
+from croploom.operators import raster as R
 from croploom.operators import sets as U
 from croploom.operators import stats as A
 from croploom.plans.rotation import rotation_products
 from croploom.plans.yearly import yearly_products
 from croploom.plans import trial as T
+from croploom.session import materialise
 
 
 def test_number_rows_with_dominant_and_null_groups(spark):
@@ -115,6 +118,39 @@ def test_branch_filter_is_pushed_to_the_scan(spark, tmp_path):
     assert "GreaterThanOrEqual(hcat4_code,3310000500)" in plan and "LessThan(hcat4_code,3310000600)" in plan
 
 
+def executed(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_spatial_steps_need_no_shuffle(spark, sf):
+    pc = T.shaped(T.parcels(spark, sf))
+    stored = materialise(pc)
+    for df in (R.rasterise(stored, 50), GR.grid_join(stored), P.with_area_ha(stored), P.centroid_layer(stored)):
+        assert "Exchange" not in executed(df) and "Join" not in executed(df)
+    # Cutting is written once, not repeated for a filter.
+    assert "Filter (" not in executed(GR.grid_join(stored))
+
+
+def test_overlay_shuffles_twice(spark, sf):
+    """Equal runs are merged before the second shuffle; combining the years needs none."""
+    runs = materialise(R.rasterise(T.shaped(T.parcels(spark, sf)), 50))
+    plan = executed(R.combine_years(R.burn(runs), [1996, 1997]))
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_statistics_aggregate_before_the_shuffle(spark, sf):
+    plan = executed(A.area_stats(T.parcels(spark, sf).withColumns({"hcat4_code": F.lit(1), "usage_code": F.lit(1)})))
+    assert "partial_sum" in plan
+
+
+def test_scan_reads_only_what_is_used(spark, tmp_path):
+    path = str(tmp_path / "layers")
+    spark.range(10).selectExpr("'a' as nuts", "2020 as year", "id as cropfield", "'x' as original_code", "1.0F as area_ha", "array() as geom").write.partitionBy("nuts", "year").parquet(path)
+    df = spark.read.parquet(path).where("year = 2020")
+    plan = executed(A.id_bounds(df))
+    assert "ReadSchema: struct<cropfield:bigint>" in plan and "PartitionFilters: [isnotnull(year" in plan
+
+
 def test_harmonise_raises_on_unknown(spark):
     df = spark.createDataFrame([(1, 2)], "Alpha int, beta int")
     assert P.harmonise_columns(df, {"ALPHA": "cropfield", "beta": "beta"}).columns == ["cropfield", "beta"]

@@ -1,3 +1,5 @@
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -103,6 +105,52 @@ def test_stack_against_brute_force(spark, inset):
     assert sorted(r.cropfield for r in stack) == list(range(1, len(stack) + 1))
 
 
+def brute_sequential(boxes, years, scale, min_pixels):
+    """Labels built year after year on a plain pixel dictionary; borders are not taken in."""
+    pixel = {}
+    for year, cf, (x0, y0, x1, y1) in boxes:
+        for px in range(int(np.ceil(x0 / scale - 0.5)), int(np.ceil(x1 / scale - 0.5))):
+            for py in range(int(np.ceil(y0 / scale - 0.5)), int(np.ceil(y1 / scale - 0.5))):
+                ids = pixel.setdefault((px, py), dict.fromkeys(years, 0))
+                ids[year] = max(ids[year], cf)
+
+    def strong(values):
+        n = Counter(values.values())
+        return {p: v if n[v] >= min_pixels else 0 for p, v in values.items()}
+
+    label = strong({p: ids[years[0]] for p, ids in pixel.items()})
+    for y in years[1:]:
+        this = strong({p: ids[y] for p, ids in pixel.items()})
+        pair = strong({p: (label[p], this[p]) for p in pixel})
+        label = {p: 0 if pair[p] == 0 or (label[p] == 0 and this[p] == 0) else pair[p] for p in pixel}
+    members = {}
+    for p, v in label.items():
+        if v != 0:
+            members.setdefault(v, []).append(p)
+    out = Counter()
+    for ps in members.values():
+        ids = tuple(int(np.rint(np.median([pixel[p][y] for p in ps]))) for y in years)
+        out[ids] += len(ps)
+    return dict(out)
+
+
+def test_sequential_labels_against_brute_force(spark):
+    rng = np.random.default_rng(33)
+    years = [2018, 2019, 2020, 2021]
+    boxes = []
+    for k in range(1, 130):
+        x, y = rng.integers(0, 800, 2)
+        w, h = rng.integers(4, 150, 2)
+        boxes.append((int(rng.choice(years)), k, (x, y, x + w, y + h)))
+    pc = spark.createDataFrame([("a", y, k, "x", box(*b)) for y, k, b in boxes], LAYER)
+    stack = S.rotation_stack(pc, years, 4, min_ha=0, inset=False, sequential=True).collect()
+    got = {tuple(r[f"cf{y}"] or 0 for y in years): r.n_pixels for r in stack}
+    want = brute_sequential(boxes, years, 4, 10)
+    assert got == want
+    plain = S.rotation_stack(pc, years, 4, min_ha=0, inset=False).collect()
+    assert got != {tuple(r[f"cf{y}"] or 0 for y in years): r.n_pixels for r in plain}
+
+
 def test_stack_geometry_parts(spark):
     pc = spark.createDataFrame([("a", 2020, 1, "x", box(0, 0, 3000, 2000)), ("a", 2020, 2, "y", box(4000, 0, 4100, 100))], LAYER)
     runs = S.stack_runs(pc, [2020], 2, inset=False)
