@@ -24,10 +24,15 @@ def to_geometry_array(geoms: list) -> pa.Array:
             p_off.append(len(r_off) - 1)
         g_off.append(len(p_off) - 1)
     xy = np.concatenate(coords) if coords else np.empty((0, 2))
+    return assemble(g_off, p_off, r_off, xy, None if all(valid) else [not v for v in valid])
+
+
+def assemble(g_off, p_off, r_off, xy: np.ndarray, null: list | None = None) -> pa.Array:
+    """Arrow geometry column from the offsets of its three list levels and all points."""
     pts = pa.StructArray.from_arrays([pa.array(xy[:, 0]), pa.array(xy[:, 1])], fields=list(POINT_TYPE))
     rings = pa.ListArray.from_arrays(pa.array(r_off, pa.int32()), pts)
     polys = pa.ListArray.from_arrays(pa.array(p_off, pa.int32()), rings)
-    mask = None if all(valid) else pa.array([not v for v in valid])
+    mask = None if null is None else pa.array(null, pa.bool_())
     return pa.ListArray.from_arrays(pa.array(g_off, pa.int32()), polys, mask=mask)
 
 

@@ -339,6 +339,34 @@ def _(spark, sf):
     return S.rotation_stack(shapes(spark, sf), YEARS, SCALE)
 
 
+@query(
+    "r5_a6_sequential_stack",
+    PIXELS.rstrip()
+    + ","
+    + BURNED
+    + ","
+    + COMBINED
+    + """,
+    a as (select nuts, px, py, cf1996 as r1, cf1997 as r2, cf1998 as r3,
+      case when count(*) over (partition by nuts, cf1996) >= 10 then cf1996 else 0 end as t1,
+      case when count(*) over (partition by nuts, cf1997) >= 10 then cf1997 else 0 end as t2,
+      case when count(*) over (partition by nuts, cf1998) >= 10 then cf1998 else 0 end as t3 from combined),
+    b as (select *, count(*) over (partition by nuts, t1, t2) >= 10 as ok from a),
+    c as (select nuts, px, py, r1, r2, r3, case when ok then t1 else 0 end as l1, case when ok then t2 else 0 end as l2, t3 from b),
+    d as (select *, count(*) over (partition by nuts, l1, l2, t3) >= 10 as ok from c),
+    e as (select nuts, px, py, r1, r2, r3, l1, l2, t3 as l3 from d where ok and l1 + l2 + t3 > 0),
+    m as (select nuts, l1, l2, l3, cast(round_even(median(r1), 0) as bigint) as m1, cast(round_even(median(r2), 0) as bigint) as m2,
+      cast(round_even(median(r3), 0) as bigint) as m3 from e group by nuts, l1, l2, l3),
+    f as (select nuts, l1, l2, l3, px + dx as px, py + dy as py from e, (values (-1), (0), (1)) a(dx), (values (-1), (0), (1)) b(dy)
+      group by all having count(*) = 9)
+    select nuts, nullif(m1, 0) as cf1996, nullif(m2, 0) as cf1997, nullif(m3, 0) as cf1998, count(*) as n_pixels
+    from f join m using (nuts, l1, l2, l3) group by nuts, m1, m2, m3""",
+)
+def _(spark, sf):
+    out = S.rotation_stack(shapes(spark, sf), YEARS, SCALE, sequential=True, numbered=False)
+    return out.drop("area_ha")
+
+
 @query(
     "j8_attach_codes",
     OVERLAY

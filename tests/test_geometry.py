@@ -1,6 +1,7 @@
 import struct
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,6 +9,7 @@ from croploom.functions import crs
 from croploom.functions import geometry as G
 from croploom.functions import validity as V
 from croploom.functions import wkb as W
+from croploom.functions.nested import from_geometry_array
 from croploom.functions.outline import draw
 from croploom.operators import quality as Q
 from croploom.schema import GEOM
@@ -129,6 +131,13 @@ def test_wkb_variants():
     line = struct.pack("<BII4d", 1, 2, 2, 0, 0, 1, 1)
     collection = struct.pack("<BII", 1, 7, 3) + point + flat + line
     assert len(W.decode(collection)) == 1
+    values = [flat, big, raised, None, collection, point, b"\x01\x03", W.encode([[SQUARE]]), W.encode([[SQUARE], [SQUARE]]), W.encode([])]
+    for chosen in (values, values[:1] * 3, values[7:8] * 2, [None], [], values[3:8]):
+        got = from_geometry_array(W.decode_column(pa.array([None, *chosen], pa.binary()).slice(1)))
+        want = [W.decode(v) for v in chosen]
+        assert [g is None for g in got] == [w is None for w in want]
+        for g, w in zip(got, want):
+            assert g is None or [[r.tolist() for r in p] for p in g] == [[r.tolist() for r in p] for p in w]
     assert W.decode(b"\x01\x03") is None and W.decode(None) is None and W.decode(point) == []
 
 
