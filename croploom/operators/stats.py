@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from croploom.functions import geometry as G
 from croploom.operators.joins import lookup
 
 
@@ -171,10 +172,12 @@ def with_tile(df: DataFrame, step: int, x: str = "xmin", y: str = "ymin") -> Dat
     return df.withColumns({"tx": tile_key(F.col(x), step), "ty": tile_key(F.col(y), step)})
 
 
-def tile_presence(pc: DataFrame, step: int, overlap: int = 0) -> DataFrame:
-    """Tiles (closed, grown by half the overlap) and the years in which some parcel meets them.
+def tile_presence(pc: DataFrame, step: int, overlap: int = 0, geom: str | None = None) -> DataFrame:
+    """Tiles (closed, grown by half the overlap on every side) and the years in which some parcel meets
+    them.
 
-    A parcel is compared by its limits, as the tiles are far larger than parcels.
+    Candidates come from the limits ``xmin, ymin, xmax, ymax``.  With ``geom`` a parcel that is not
+    wholly inside a candidate tile is then tested itself; without, the rows are rectangles.
     """
     half = overlap / 2
 
@@ -184,9 +187,12 @@ def tile_presence(pc: DataFrame, step: int, overlap: int = 0) -> DataFrame:
     def hi(c):
         return F.floor((F.col(c) + half) / step).cast("bigint")
 
-    return (
-        pc.withColumn("tx", F.explode(F.sequence(lo("xmin"), hi("xmax"))))
-        .withColumn("ty", F.explode(F.sequence(lo("ymin"), hi("ymax"))))
-        .groupBy("tx", "ty", "year")
-        .agg(F.lit(1).alias("present"))
+    tiles = pc.withColumn("tx", F.explode(F.sequence(lo("xmin"), hi("xmax")))).withColumn(
+        "ty", F.explode(F.sequence(lo("ymin"), hi("ymax")))
     )
+    if geom is not None:
+        x0, y0 = F.col("tx") * step - F.lit(half), F.col("ty") * step - F.lit(half)
+        x1, y1 = x0 + (step + overlap), y0 + (step + overlap)
+        inside = (F.col("xmin") >= x0) & (F.col("xmax") <= x1) & (F.col("ymin") >= y0) & (F.col("ymax") <= y1)
+        tiles = tiles.where(inside | G.intersects_cell(F.col(geom), x0, y0, x1, y1))
+    return tiles.groupBy("tx", "ty", "year").agg(F.lit(1).alias("present"))

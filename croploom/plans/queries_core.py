@@ -306,10 +306,12 @@ def _(spark, sf):
 @query(
     "f2_id_range",
     BASE + """select nuts, year, count(*) as n from parcels
-    where cropfield between (select min(cropfield) from parcels) and 3000000 group by nuts, year""",
+    where cropfield between (select min(cropfield) from parcels) and (select max(cropfield) from parcels) group by nuts, year""",
 )
 def _(spark, sf):
-    return A.count_by(FL.id_range(T.parcels(spark, sf), 1, 3_000_000))
+    pc = T.parcels(spark, sf)
+    low, high = pc.agg(F.min("cropfield"), F.max("cropfield")).first()
+    return A.count_by(FL.id_range(pc, low, high))
 
 
 @query("f5_min_area", BASE + "select nuts, cropfield, area_ha from parcels where area_ha >= 4.0")
@@ -527,18 +529,6 @@ def _(spark, sf):
     return A.named_stats(stats, T.hierarchy(T.crop_map(pc)), usage)
 
 
-@query(
-    "a7_layer_extent",
-    BASE
-    + """, e as (select year, min(xmin) as xmin, min(ymin) as ymin, max(xmax) as xmax, max(ymax) as ymax from parcels group by year),
-    t as (select * from e union all select null, min(xmin), min(ymin), max(xmax), max(ymax) from e)
-    select year, cast(trunc(xmin / 50000) as bigint) * 50000 as xmin, cast(trunc(ymin / 50000) as bigint) * 50000 as ymin,
-      cast(ceil(xmax / 50000) as bigint) * 50000 + 50000 as xmax, cast(ceil(ymax / 50000) as bigint) * 50000 + 50000 as ymax from t""",
-)
-def _(spark, sf):
-    return A.snapped_extent(A.layer_extent(T.parcels(spark, sf)), 50_000)
-
-
 @query("a8_row_counts", BASE + "select nuts, year, count(*) as n from parcels group by nuts, year")
 def _(spark, sf):
     return A.count_by(T.parcels(spark, sf))

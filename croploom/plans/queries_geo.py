@@ -244,6 +244,30 @@ def _(spark, sf):
     return A.thin_points(c, 1000)
 
 
+@query(
+    "a7_layer_extent",
+    BASE
+    + """, e as (select year, min(xmin) as xmin, min(ymin) as ymin, max(xmax) as xmax, max(ymax) as ymax from parcels group by year),
+    t as (select * from e union all select null, min(xmin), min(ymin), max(xmax), max(ymax) from e)
+    select year, cast(trunc(xmin / 50000) as bigint) * 50000 as xmin, cast(trunc(ymin / 50000) as bigint) * 50000 as ymin,
+      cast(ceil(xmax / 50000) as bigint) * 50000 + 50000 as xmax, cast(ceil(ymax / 50000) as bigint) * 50000 + 50000 as ymax from t""",
+)
+def _(spark, sf):
+    return A.snapped_extent(A.layer_extent(P.with_bbox(shapes(spark, sf))), 50_000)
+
+
+@query(
+    "a15_tile_presence_polygons",
+    T.with_(T.PARCELS, T.COVER)
+    + """, t as (select year, x0, x1, y0, y1,
+        unnest(range(cast(ceil((x0 - 50) / 1000) as bigint) - 1, cast(floor((x1 + 50) / 1000) as bigint) + 1)) as tx from cover),
+    u as (select *, unnest(range(cast(ceil((y0 - 50) / 1000) as bigint) - 1, cast(floor((y1 + 50) / 1000) as bigint) + 1)) as ty from t)
+    select tx, ty, year, 1 as present from u group by tx, ty, year""",
+)
+def _(spark, sf):
+    return A.tile_presence(P.with_bbox(shapes(spark, sf)), 1000, overlap=100, geom="geom")
+
+
 # --- raster and rotation stack -------------------------------------------------------------------
 
 PIXELS = T.with_(T.PARCELS, T.SIGNED, T.SHAPE_PIXELS)
@@ -412,13 +436,13 @@ def _(spark, sf):
 @query(
     "a6_label_median",
     PIXELS.rstrip() + "," + BURNED + ", " + """
-    l as (select nuts, px // 20 as gx, py // 20 as gy, cf from burned where year = 1996)
-    select nuts, gx, gy, median(cf) as median from l group by nuts, gx, gy""",
+    l as (select nuts, year, px // 20 as gx, py // 20 as gy, cf from burned)
+    select nuts, year, gx, gy, median(cf) as median from l group by nuts, year, gx, gy""",
 )
 def _(spark, sf):
-    burned = R.burn(R.rasterise(shapes(spark, sf).where("year = 1996"), SCALE))
-    px = R.pixels(burned).select("nuts", F.expr("px div 20").alias("gx"), F.expr("py div 20").alias("gy"), "cf")
-    return A.median_by(px, ["nuts", "gx", "gy"], "cf")
+    burned = R.burn(R.rasterise(shapes(spark, sf), SCALE))
+    px = R.pixels(burned).select("nuts", "year", F.expr("px div 20").alias("gx"), F.expr("py div 20").alias("gy"), "cf")
+    return A.median_by(px, ["nuts", "year", "gx", "gy"], "cf")
 
 
 # --- geometry quality ----------------------------------------------------------------------------
