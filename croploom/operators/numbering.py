@@ -15,18 +15,25 @@ def number_rows(
     name: str,
     order_cols: Iterable[str | Column],
     by: Iterable[str] = (),
+    unique: bool = False,
 ) -> DataFrame:
     """Number rows from 1 in the given order, separately for each ``by`` group.
 
     The frame is range-sorted on the whole key, so a group of any size is spread over many tasks.
     Each sorted partition then needs only its starting number, which comes from the partition
-    counts: as groups are contiguous there are at most (partitions + groups) of those.  The last
-    sort key is random and only spreads rows that are equal in every other key.
+    counts: as groups are contiguous there are at most (partitions + groups) of those.
+
+    Unless the order is said to be ``unique``, a random last key spreads rows that are equal in all
+    others.  It is written down before the sort, so that a task that runs again sees the same values.
     """
     by = list(by)
     order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
+    columns = df.columns
+    if not unique:
+        df = materialise(df.withColumn("_tie", F.rand(7)), "ties")
+        order.append(F.col("_tie"))
     placed = materialise(
-        df.sort(*by, *order, F.rand(7))
+        df.sort(*by, *order)
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_idx", F.monotonically_increasing_id()),
         "numbered",
@@ -45,7 +52,7 @@ def number_rows(
     joined = placed.join(F.broadcast(s), cond)
     return joined.withColumn(
         name, (F.col("_idx") - F.col("_first") + F.col("_before") + 1).cast("bigint")
-    ).select(*[c for c in df.columns if c != name], name)
+    ).select(*[c for c in columns if c != name], name)
 
 
 def dense_label(df: DataFrame, cols: Iterable[str], name: str = "label", min_rows: int = 1) -> DataFrame:
@@ -56,7 +63,7 @@ def dense_label(df: DataFrame, cols: Iterable[str], name: str = "label", min_row
     """
     cols = list(cols)
     kept = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_rows)
-    return number_rows(kept, name, cols)
+    return number_rows(kept, name, cols, unique=True)
 
 
 def relabel(df: DataFrame, cols: Iterable[str], name: str = "label", min_rows: int = 1) -> DataFrame:

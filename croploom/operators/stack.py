@@ -195,7 +195,7 @@ def rotation_stack(
     years, by = list(years), list(by)
     runs = stack_runs(pc, years, scale, geom, by, min_pixels, inset, sequential)
     out = dissolve(runs, years, scale, by).where(F.col("area_ha") >= min_ha)
-    return number_rows(out, "cropfield", _cf(years), by) if numbered else out
+    return number_rows(out, "cropfield", _cf(years), by, unique=True) if numbered else out
 
 
 def dissolve(runs: DataFrame, years: Iterable[int], scale: float, by: Iterable[str] = ("nuts",)) -> DataFrame:

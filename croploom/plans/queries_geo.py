@@ -534,7 +534,7 @@ def _(spark, sf):
 
 def part_hierarchy(spark, sf) -> DataFrame:
     names = T.table(spark, sf, "part").select(C.spaces_to_underscores(F.col("p_name")).alias("hcat4_name")).distinct()
-    return N.number_rows(names, "pos", ["hcat4_name"]).withColumn("hcat4_code", 3310000000 + F.col("pos"))
+    return N.number_rows(names, "pos", ["hcat4_name"], unique=True).withColumn("hcat4_code", 3310000000 + F.col("pos"))
 
 
 def query_names(spark, sf) -> DataFrame:

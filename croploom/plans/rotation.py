@@ -36,7 +36,7 @@ def rotation_products(
     # Written once each: the runs feed the stack and its outlines, the numbered rows name them.
     runs = materialise(S.stack_runs(pc, years, scale, "geom", by, min_pixels), "stackruns")
     kept = S.dissolve(runs, years, scale, by).where(F.col("area_ha") >= min_ha)
-    numbered = materialise(number_rows(kept, "cropfield", cf, by), "stack")
+    numbered = materialise(number_rows(kept, "cropfield", cf, by, unique=True), "stack")
     labelled = materialise(S.label_runs(runs, numbered, years, by), "labelled")
     points = centroid_layer(pc.where(F.col("year").isin(years)).select("geom")).select("cx", "cy")
     return RotationProducts(
