@@ -40,7 +40,8 @@ def dim_join(
     Up to ``max_rows`` rows the code table is broadcast and the large side is not moved.  Beyond
     that the large side is shuffled on the keys plus a salt taken from the row's own content, so a
     key that holds a large part of all rows still goes to ``salts`` tasks; the code table is
-    repeated once per salt value.
+    repeated once per salt value.  As ``dim`` is counted first, it should be a table or cheap to
+    work out.
     """
     on = list(on)
     if is_small(dim, max_rows):

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from croploom.functions.scalars import norm_text, spaces_to_underscores, underscores_to_spaces
 from croploom.functions.similarity import best_of_batch
-from croploom.operators.joins import dim_join, lookup
+from croploom.operators.joins import BROADCAST_ROWS, dim_join, lookup
+from croploom.session import materialise
 
 # Candidates compared with one name at a time, and names handed over together.
 CHUNK = 512
@@ -31,7 +32,8 @@ def best_match(
     to the first candidate of the list; texts without any letter or digit find nothing.
 
     The candidate list is packed into arrays of at most ``chunk`` entries and each name visits each
-    array, so no name x candidate rows ever exist; with one array this is a broadcast lookup.
+    array, so no name x candidate rows ever exist.  The arrays are broadcast up to the usual bound of
+    rows; beyond it the visits to one array are spread over several tasks.
     """
     col = names.columns[0]
     clean = (
@@ -50,9 +52,10 @@ def best_match(
             F.lit(None).cast("bigint").alias("best"),
             F.lit(None).cast("double").alias("score"),
         )
+    most_packs = BROADCAST_ROWS // chunk
     visits = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(last).cast("bigint"))).alias("pack")
     if method == "levenshtein":
-        scored = clean.select("name", visits).join(packs, "pack")
+        scored = dim_join(clean.select("name", visits), packs, ["pack"], "inner", most_packs)
         found = scored.select(
             "name",
             F.array_max(
@@ -70,10 +73,10 @@ def best_match(
         batches = (
             clean.groupBy(F.pmod(F.xxhash64("name"), F.lit(groups)).alias("_g"))
             .agg(F.collect_list("name").alias("names"))
-            .select("names", visits)
+            .select("_g", "names", visits)
         )
         found = (
-            batches.join(packs, "pack")
+            dim_join(batches, packs, ["pack"], "inner", most_packs)
             .select(F.explode(best_of_batch("names", "cands")).alias("r"))
             .select("r.name", F.struct(F.col("r.score").alias("score"), (-F.col("r.pos")).alias("rank")).alias("hit"))
         )
@@ -97,7 +100,8 @@ def match_crop_names(
     ``hierarchy`` has ``pos`` (list order), ``hcat4_name``, ``hcat4_code``.
     """
     cands = hierarchy.select("pos", underscores_to_spaces(F.col("hcat4_name")).alias("text"))
-    hits = best_match(df.select(name), cands, method)
+    # Stored, as the joins below count their right side before they use it.
+    hits = materialise(best_match(df.select(name), cands, method), "hits")
     named = dim_join(
         hits, hierarchy.select(F.col("pos").alias("best"), F.col("hcat4_name").alias("hcat4_name_auto")), ["best"]
     ).select(F.col("text").alias("_key"), spaces_to_underscores(F.col("hcat4_name_auto")).alias("hcat4_name_auto"))

@@ -214,13 +214,15 @@ def test_ratio_against_table():
 
 
 @pytest.mark.parametrize("method", ["weighted", "levenshtein"])
-def test_best_match_in_chunks(spark, method):
+def test_best_match_in_chunks(spark, method, monkeypatch):
     cands = ["winter wheat", "spring wheat", "rye", "winter rye", "barley", "oats", "rye grass"]
     c = spark.createDataFrame(list(enumerate(cands)), "pos long, text string")
     names = spark.createDataFrame([("Winter-Wheat",), ("rye",), ("ryegrass",), ("  ",), (None,), ("rye",), ("zzz",)], "name string")
     whole = {r.text: (r.best, r.score) for r in M.best_match(names, c, method).collect()}
     small = {r.text: (r.best, r.score) for r in M.best_match(names, c, method, chunk=2).collect()}
     assert whole == small
+    monkeypatch.setattr(M, "BROADCAST_ROWS", 0)
+    assert whole == {r.text: (r.best, r.score) for r in M.best_match(names, c, method, chunk=2).collect()}
     assert set(whole) == {"winter wheat", "rye", "ryegrass", "zzz"}
     assert cands[whole["winter wheat"][0]] == "winter wheat" and cands[whole["ryegrass"][0]] == "rye grass"
     # Nothing in common: the first candidate of the list.
