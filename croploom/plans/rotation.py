@@ -28,13 +28,14 @@ def rotation_products(
     min_pixels: int = 10,
     min_ha: float = 0.1,
     by: Iterable[str] = ("nuts",),
+    sequential: bool = False,
 ) -> RotationProducts:
     """The stack with ``cropfield``, ``cf<year>``, ``c<year>``, ``area_ha``; its outlines; the 1 km
     squares that hold parcels but nothing of the stack."""
     years, by = list(years), list(by)
     cf = [f"cf{y}" for y in years]
     # Written once each: the runs feed the stack and its outlines, the numbered rows name them.
-    runs = materialise(S.stack_runs(pc, years, scale, "geom", by, min_pixels), "stackruns")
+    runs = materialise(S.stack_runs(pc, years, scale, "geom", by, min_pixels, sequential=sequential), "stackruns")
     kept = S.dissolve(runs, years, scale, by).where(F.col("area_ha") >= min_ha)
     numbered = materialise(number_rows(kept, "cropfield", cf, by, unique=True), "stack")
     labelled = materialise(S.label_runs(runs, numbered, years, by), "labelled")
