@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from croploom.llm import decontam, dedup
+from croploom.llm import decontam, dedup, langid, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -55,6 +55,28 @@ def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = langid.identify(docs.select("doc_id", "text"), *langid.learn(docs))
+    held_out = F.coalesce(F.expr("crc32(cast(doc_id as string)) % 3 = 1"), F.lit(False))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query()
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan_corpus(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    count = {f"n_{k}": F.expr(f"cast(size(filter(secrets, s -> s.kind = '{k}')) as bigint)") for k in secrets.KINDS}
+    joined = "array_join(transform({}, s -> concat_ws(':', s.kind, s.start, s.stop)), ',')"
+    base = joined.format("filter(secrets, s -> s.kind <> 'markov')")
+    return found.select(
+        "doc_id",
+        *(c.alias(k) for k, c in count.items()),
+        F.expr(f"sha2({base}, 256)").alias("base_sha256"),
+        F.expr(joined.format("secrets")).alias("spans"),
+    )
+
+
 _WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
