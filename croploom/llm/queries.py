@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from croploom.llm import decontam, dedup, langid, secrets
+from croploom.llm import ann, decontam, dedup, langid, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,6 +29,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+@query()
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest_neighbours(table(spark, sf_dir, "embeddings"))
+
+
 @query(
     rf"""
     with recursive w as (

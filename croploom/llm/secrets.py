@@ -17,7 +17,7 @@ ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"(?<![0-9a-f])[0-9a-f]{24,}"
 KINDS = ("assign", "access", "hex", "markov")
-TRAIN_DOCS = 20_000  # expected number of documents whose words and secrets the models are learned from
+TRAIN_DOCS = 5_000  # expected number of documents whose words and secrets the models are learned from
 LEAST = 20  # characters of a string that the models judge
 RATIO = 12.0  # log-likelihood ratio from which a string counts as random
 RUN = 256
