@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from croploom.llm import ann, decontam, dedup, langid, secrets
+from croploom.llm import ann, decontam, dedup, langid, pieces, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -60,6 +61,17 @@ def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query()
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    coded = pieces.decode(pieces.encode(docs, PIECES), PIECES)
+    digest = F.expr("sha2(array_join(ids, ','), 256)")
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_ids"), digest.alias("ids_sha256"), (F.col("decoded") == F.col("text")).alias("lossless"))
+
+
 @query()
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
