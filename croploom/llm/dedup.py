@@ -5,10 +5,12 @@ shingles, so half as many hash evaluations fill a signature.  Bands of five valu
 with 25 bands a pair at the threshold of 0.85 is missed with a probability of 4e-7.  Every link is
 confirmed on the full sets.
 
-Documents with equal sets are one node from the start.  In each bucket every node meets the node that
-shares most bands with others (in a group of near copies: the text they were made from); connected
-components follow, and then only nodes of one bucket that are still in different components meet.
-No pair within a component is ever made, so a large group costs as many checks as it has members.
+Documents with equal sets are one node from the start.  In each bucket every node first meets the
+bucket's leader, the node that shares most bands with others (in a group of near copies: the text they
+were made from).  Connected components follow.  Where a leader has met nodes of several components, all
+that it has met are dealt into blocks of bounded size, pairs of blocks compare their full sets with each
+other, and what comes out is at most a spanning forest of the components.  Pairs among those that are
+already connected with the leader are not compared again.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -26,6 +29,8 @@ from croploom.session import materialise
 SHINGLE = 5
 EVALUATIONS = 64
 BANDS, ROWS = 25, 5
+BLOCK_ROWS, BLOCK_BYTES = 1024, 4 << 20  # texts, and bytes of text, of one side of a block
+COLUMNS = 1 << 22  # cells of the membership matrix held at a time
 NUMERATOR, DENOMINATOR = 85, 100
 
 _rng = np.random.default_rng(20)
@@ -118,18 +123,60 @@ def _linked(numerator: int, denominator: int):
     return check
 
 
-def _confirm(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, numerator: int, denominator: int) -> DataFrame:
-    """The pairs (a, b) of nodes whose full sets are similar enough."""
-    used = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = nodes.join(used, "node", "left_semi").select("node", "doc_id", "text_key")
-    found = materialise(
-        texts.join(wanted, ["doc_id", "text_key"]).dropDuplicates(["doc_id", "text_key"]).select("node", "text"), "dedup-texts"
-    )
-    left = found.select(F.col("node").alias("a"), F.col("text").alias("left_text"))
-    right = found.select(F.col("node").alias("b"), F.col("text").alias("right_text"))
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "left_text", "right_text").mapInArrow(
-        _linked(numerator, denominator), "a binary, b binary"
-    )
+def common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets on the left with all on the right."""
+    h = np.concatenate([*left, *right])
+    owner = np.repeat(np.arange(len(left) + len(right)), [len(s) for s in (*left, *right)])
+    values, place, seen = np.unique(h, return_inverse=True, return_counts=True)
+    shared = np.cumsum(seen > 1) - 1  # what is in one set only cannot be common
+    ok = seen[place] > 1
+    owner, place = owner[ok], shared[place[ok]]
+    order = np.argsort(place, kind="stable")
+    owner, place = owner[order], place[order]
+    out = np.zeros((len(left), len(right)), np.float32)
+    total = int(place[-1]) + 1 if len(place) else 0
+    step = max(256, COLUMNS // (len(left) + len(right)))
+    for lo in range(0, total, step):
+        i, j = np.searchsorted(place, (lo, lo + step))
+        m = np.zeros((len(left) + len(right), min(step, total - lo)), np.float32)
+        m[owner[i:j], place[i:j] - lo] = 1
+        out += m[: len(left)] @ m[len(left) :].T
+    return np.rint(out).astype(np.int64)
+
+
+def _bridges(numerator: int, denominator: int):
+    """Components that similar texts of one block connect; a spanning forest of them at most."""
+
+    def run(key: tuple, block: pd.DataFrame) -> pd.DataFrame:
+        i, j = key[1], key[2]
+        sets = distinct(*shingles(pa.array(block["text"], pa.large_string())))
+        sets = [sets[0][a:b] for a, b in zip(sets[1][:-1], sets[1][1:])]
+        root, part = block["root"].to_list(), block["part"].to_numpy()
+        rows, cols = np.flatnonzero(part == i), np.flatnonzero(part == j)
+        if not len(rows) or not len(cols):
+            return pd.DataFrame({"a": [], "b": []})
+        names = {r: n for n, r in enumerate(dict.fromkeys(root))}
+        own = np.array([names[r] for r in root])
+        size = np.array([len(s) for s in sets])
+        both = common([sets[k] for k in rows], [sets[k] for k in cols])
+        near = denominator * both >= numerator * (size[rows][:, None] + size[cols][None, :] - both)
+        near &= own[rows][:, None] != own[cols][None, :]
+        roots, out = list(names), []
+        above = list(range(len(roots)))
+
+        def top(x: int) -> int:
+            while above[x] != x:
+                above[x] = x = above[above[x]]
+            return x
+
+        for x, y in {(own[rows[p]], own[cols[q]]) for p, q in zip(*np.nonzero(near))}:
+            tx, ty = top(x), top(y)
+            if tx != ty:
+                above[tx] = ty
+                out.append((roots[x], roots[y]))
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    return run
 
 
 def near_duplicates(docs: DataFrame, numerator: int = NUMERATOR, denominator: int = DENOMINATOR) -> DataFrame:
@@ -165,25 +212,42 @@ def near_duplicates(docs: DataFrame, numerator: int = NUMERATOR, denominator: in
     stars = materialise(
         members.join(leaders, "band").filter("node <> a").select("a", F.col("node").alias("b")).distinct(), "dedup-stars"
     )
-    texts = rows.filter("doc_id is not null")
-    links = materialise(_confirm(stars, nodes, texts, numerator, denominator), "dedup-links")
+    wanted = nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", "doc_id", "text_key")
+    texts = rows.filter("doc_id is not null").join(wanted, ["doc_id", "text_key"]).dropDuplicates(["doc_id", "text_key"]).select("node", "text")
+    texts = materialise(texts, "dedup-texts")
+    left = texts.select(F.col("node").alias("a"), F.col("text").alias("left_text"))
+    right = texts.select(F.col("node").alias("b"), F.col("text").alias("right_text"))
+    sided = stars.join(right, "b").join(left, "a").select("a", "b", "left_text", "right_text")
+    links = materialise(sided.mapInArrow(_linked(numerator, denominator), "a binary, b binary"), "dedup-links")
     groups = components(links)
-    placed = members.select("band", "node").join(groups, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
-    placed = materialise(placed, "dedup-placed")
-    mixed = placed.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("band")
-    open_ = placed.join(mixed, "band", "left_semi")
-    rest = (
-        open_.select("band", F.col("node").alias("a"), F.col("root").alias("ra"))
-        .join(open_.select("band", F.col("node").alias("b"), F.col("root").alias("rb")), "band")
-        .filter("a < b and ra <> rb")
-        .select("a", "b")
-        .distinct()
+
+    # Pairs of one bucket meet among all that met the bucket's leader.
+    met = stars.select(F.col("a").alias("leader"), F.col("b").alias("node"))
+    met = met.unionByName(met.select("leader", F.col("leader").alias("node")).distinct())
+    met = met.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    main = met.filter("node = leader").select("leader", F.col("root").alias("main"))
+    met = materialise(met.join(main, "leader").withColumn("open", F.expr("root <> main")).drop("main"), "dedup-met")
+    texts = texts.withColumn("size", F.octet_length("text").cast("long"))
+    tally = {f"{k}_n": F.expr(f"count_if(open = {k})") for k in ("true", "false")}
+    tally |= {f"{k}_b": F.expr(f"sum(if(open = {k}, size, 0))") for k in ("true", "false")}
+    sizes = met.join(texts.select("node", "size"), "node").groupBy("leader").agg(*(c.alias(k) for k, c in tally.items()))
+    parts = {k: F.ceil(F.greatest(F.col(f"{k}_n") / BLOCK_ROWS, F.col(f"{k}_b") / BLOCK_BYTES)).cast("int") for k in ("false", "true")}
+    sizes = sizes.filter("true_n > 0").select("leader", parts["false"].alias("closed_parts"), parts["true"].alias("open_parts"))
+    own = F.expr("if(open, closed_parts + pmod(xxhash64(node), open_parts), pmod(xxhash64(node), closed_parts))").cast("int")
+    cells = F.expr(
+        "if(open, concat(transform(sequence(0, part), i -> named_struct('i', i, 'j', part)), "
+        "transform(filter(sequence(part, closed_parts + open_parts), k -> k > part and k < closed_parts + open_parts), k -> named_struct('i', part, 'j', k))), "
+        "transform(sequence(closed_parts, closed_parts + open_parts - 1), k -> named_struct('i', part, 'j', k)))"
     )
-    tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = materialise(rest.join(tried, ["a", "b"], "left_anti"), "dedup-rest")
-    more = materialise(_confirm(rest, nodes, texts, numerator, denominator), "dedup-more")
-    groups = components(links.unionByName(more))
-    ids = nodes.select("node", "doc_id").join(groups, "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("root"))
+    cells = met.join(sizes, "leader").withColumn("part", own).select("leader", "node", "root", "part", F.explode(cells).alias("c"))
+    blocks = cells.join(texts, "node").select("leader", "c.i", "c.j", "part", "root", "text")
+    bridges = materialise(
+        blocks.groupBy("leader", "i", "j").applyInPandas(_bridges(numerator, denominator), "a binary, b binary"), "dedup-bridges"
+    )
+    again = components(bridges).select(F.col("node").alias("root"), F.col("root").alias("final"))
+
+    ids = nodes.select("node", "doc_id").join(groups, "node", "left").select("doc_id", "node", F.coalesce("root", "node").alias("root"))
+    ids = ids.join(again, "root", "left").select("node", "doc_id", F.coalesce("final", "root").alias("root"))
     smallest = ids.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     placed_ids = ids.join(smallest, "root").select("node", "component_id")
     out = signed.select("doc_id", "n_shingles", F.expr("if(doc_id is null, null, node)").alias("node")).join(placed_ids, "node", "left")

@@ -110,6 +110,24 @@ def test_chain_of_edits_is_one_component(spark):
     assert got(near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))) == want
 
 
+def test_a_loose_group_is_compared_in_blocks(spark, monkeypatch):
+    from croploom.llm import dedup
+
+    monkeypatch.setattr(dedup, "BLOCK_ROWS", 7)
+    monkeypatch.setattr(dedup, "COLUMNS", 4000)
+    rnd = random.Random(8)
+    base = ["b%d" % i for i in range(160)]
+    rows = []
+    for i in range(70):
+        t = list(base)
+        for k in rnd.sample(range(5, 150), rnd.choice([1, 2, 3, 4])):
+            t[k] = "e%d" % rnd.randrange(25 if i % 2 else 10**6)
+        rows.append((1000 - i, " ".join(t)))
+    want = brute(rows)
+    assert 1 < len({r[2] for r in want}) < len(rows)
+    assert got(near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))) == want
+
+
 def test_one_id_with_two_texts_and_empty_table(spark):
     rows = [(1, "a b c d e f"), (1, "g h i j k l"), (2, "g h i j k l"), (0, "a b c d e f")]
     assert got(near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
