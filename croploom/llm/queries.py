@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from croploom.llm import ann, decontam, dedup, langid, pieces, secrets
+from croploom.llm import ann, coder, decontam, dedup, langid, pieces, secrets
+from croploom.session import shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +28,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+
+
+@query()
+def op5_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_path(spark, "token-ids")
+    coder.write_ids(table(spark, sf_dir, "documents"), WORD_BPE, path)
+    return coder.read_digests(spark.read.parquet(path))
+
+
 _LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
