@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from croploom.llm import ann, coder, decontam, dedup, langid, pieces, secrets
+from croploom.llm import ann, coder, decontam, dedup, langid, pieces, secrets, toolcalls
 from croploom.session import shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,6 +41,77 @@ def op5_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 _LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+#: Tools of the calls derived from conversations.
+SCHEMAS = {
+    "ask": {"chars": ("integer", True), "meta": ("object", False), "text": ("string", True)},
+    "configure": {"text": ("string", True)},
+}
+
+
+def calls_of(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Calls and results from plain conversations.
+
+    Every turn that is not the assistant's is a call that uses the one two turns before, and the
+    assistant's turns are results of the turn before.  Depending on its length the text's argument
+    list lacks an argument, has one of a wrong type, is cut off or has one too many.
+    """
+    t = turns.withColumn("n", F.length("text").cast("long"))
+    name = F.concat(F.lit("t"), F.col("turn").cast("string"))
+    back = lambda k: F.concat(F.lit("t"), (F.col("turn") - k).cast("string"))
+    text = F.concat(F.lit('"text" : '), toolcalls.quoted(F.col("text")))
+    chars = F.concat(F.lit(', "chars": '), F.when(F.expr("n % 11 = 0"), F.concat(F.lit('"'), F.col("n").cast("string"), F.lit('"'))).otherwise(F.col("n").cast("string")))
+    meta = F.concat(F.lit(', "meta": {"z": [1, 2.5, null], "a": '), F.when(F.expr("n % 2 = 0"), F.lit("true")).otherwise(F.lit("false")), F.lit("}"))
+    whole = F.concat(F.lit("{ "), text, F.when(F.expr("n % 7 = 0"), F.lit("")).otherwise(chars), F.when(F.expr("n % 5 = 0"), meta).otherwise(F.lit("")), F.when(F.expr("n % 13 = 0"), F.lit("")).otherwise(F.lit(" }")))
+    tool = F.when(F.col("role") == "user", "ask").when(F.col("role") == "system", "configure").otherwise(F.col("role"))
+    calls = t.filter("role <> 'assistant'").select("conv_id", name.alias("call_id"), F.when(F.col("turn") >= 2, back(2)).alias("parent_id"), tool.alias("tool"), whole.alias("arguments"), "turn")
+    results = t.filter("role = 'assistant'").select("conv_id", back(1).alias("call_id"), F.col("text").alias("content"), "turn")
+    return calls, results
+
+
+@query(
+    """
+    with recursive t as (
+        select *, length(text) n, to_json(text)::varchar q from conversations
+    ), c as (
+        select conv_id, turn, 't' || turn call_id, case when turn >= 2 then 't' || (turn - 2) end parent_id,
+            case role when 'user' then 'ask' when 'system' then 'configure' else role end tool, n, q,
+            case when n % 11 = 0 then '"' || n || '"' else n::varchar end ch from t where role <> 'assistant'
+    ), j as (
+        select c.*, p.call_id is not null has_parent, r.text is not null has_result, to_json(r.text)::varchar rq from c
+        left join c p on p.conv_id = c.conv_id and p.call_id = c.parent_id
+        left join t r on r.conv_id = c.conv_id and r.turn = c.turn + 1 and r.role = 'assistant'
+    ), d as (
+        select conv_id, call_id, 0::bigint as depth from j where not has_parent
+        union all
+        select j.conv_id, j.call_id, d.depth + 1 from j join d on d.conv_id = j.conv_id and d.call_id = j.parent_id
+    ), o as (
+        select j.*, depth, row_number() over (partition by j.conv_id order by depth, turn, j.call_id) as pos
+        from j join d on d.conv_id = j.conv_id and d.call_id = j.call_id
+    ), a as (
+        select *, n % 13 = 0 cut, '{' || case when n % 7 = 0 then '' else '"chars":' || ch || ',' end
+            || case when n % 5 = 0 then '"meta":{"a":' || (n % 2 = 0)::varchar || ',"z":[1,2.5,null]},' else '' end || '"text":' || q || '}' canon,
+            '{ "text" : ' || q || case when n % 7 = 0 then '' else ', "chars": ' || ch end
+            || case when n % 5 = 0 then ', "meta": {"z": [1, 2.5, null], "a": ' || (n % 2 = 0)::varchar || '}' else '' end raw from o
+    ), b as (
+        select *, case when cut then to_json(raw)::varchar else canon end args, list_sort(list_filter([
+            case when parent_id is not null and not has_parent then 'no_parent' end,
+            case when not has_result then 'no_result' end,
+            case when tool not in ('ask', 'configure') then 'unknown_tool' when cut then 'not_an_object' end,
+            case when tool = 'ask' and not cut and n % 7 = 0 then 'missing:chars' end,
+            case when tool = 'ask' and not cut and n % 7 <> 0 and n % 11 = 0 then 'type:chars' end,
+            case when tool = 'configure' and not cut and n % 7 <> 0 then 'unknown:chars' end,
+            case when tool = 'configure' and not cut and n % 5 = 0 then 'unknown:meta' end], lambda x: x is not null)) problems from a
+    )
+    select conv_id, call_id, tool, depth, pos::bigint as position, has_result::int::bigint n_results, array_to_string(problems, ',') problems,
+        sha256('{"arguments":' || args || ',"id":"' || call_id || '","parent":' || coalesce('"' || parent_id || '"', 'null') || ',"position":' || pos
+            || ',"result":' || coalesce(rq, 'null') || ',"tool":"' || tool || '"}') line_sha256 from b
+    """
+)
+def op3_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = toolcalls.link(*calls_of(table(spark, sf_dir, "conversations")), SCHEMAS)
+    return linked.select("conv_id", "call_id", "tool", "depth", "position", "n_results", F.array_join("problems", ",").alias("problems"), F.sha2("line", 256).alias("line_sha256"))
+
+
 @query()
 def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest_neighbours(table(spark, sf_dir, "embeddings"))
