@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from croploom.llm import ann, coder, decontam, dedup, langid, pieces, secrets, toolcalls
+from croploom.llm import ann, coder, decontam, dedup, langid, pieces, secrets, surrogates, tokencount, toolcalls
 from croploom.session import shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -215,3 +215,19 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.size("spans") > 0).alias("contaminated"),
     )
+
+
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+@query()
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_path(spark, "flat-tokens")
+    tokencount.write_flat(table(spark, sf_dir, "documents").select("doc_id", "text"), RANKS, path)
+    return tokencount.count_documents(spark.read.parquet(path))
+
+
+@query()
+def op9_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.pseudonymise(docs, b"a key that a job would read from its secret store")
