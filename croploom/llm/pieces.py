@@ -27,6 +27,7 @@ from croploom.llm.words import MASK, U64, mix, slices
 DROPOUT, SEED, STREAMS = 0.1, 17, 16
 STREAMS_MOST = 1 << 16
 LONG = 64
+SLICE_BYTES, SLICE_IDS = 1 << 19, 1 << 18  # text and ids handled at a time, a longer document alone
 NONE = np.int64(1) << 40  # rank of a pair that is not a candidate
 _CHUNK = re.compile(r" *[^ ]+| +")
 _BITS = 20
@@ -292,7 +293,7 @@ def encode(docs: DataFrame, path: str, dropout: float = DROPOUT, seed: int = SEE
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(path)
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", SLICE_BYTES):
                 where = batch.column("__stream").to_numpy()
                 ids, first = encode_texts(model, batch.column("text").to_pylist(), where, dropout, seed)
                 kept = [(c, n) for c, n in zip(batch.columns, batch.schema.names) if n != "__stream"]
@@ -309,13 +310,17 @@ def decode(coded: DataFrame, path: str, name: str = "decoded") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(path)
-        for batch in batches:
-            col = batch.column("ids")
-            size = np.diff(col.offsets.to_numpy()).astype(np.int64)
-            size[np.array(col.is_null())] = 0
-            texts = decode_ids(model, col.flatten().to_numpy().astype(np.int64), np.concatenate([[0], np.cumsum(size)]))
-            texts = pa.array([None if null else t for t, null in zip(texts, col.is_null().to_pylist())], pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=[*batch.schema.names, name])
+        for whole in batches:
+            first = np.concatenate([[0], np.cumsum([len(x) if x.is_valid else 0 for x in whole.column("ids")])])
+            lo = 0
+            while lo < whole.num_rows:
+                hi = max(lo + 1, int(np.searchsorted(first, first[lo] + SLICE_IDS, side="right")) - 1)
+                batch = whole.slice(lo, hi - lo)
+                col = batch.column("ids")
+                texts = decode_ids(model, col.flatten().to_numpy().astype(np.int64), first[lo : hi + 1] - first[lo])
+                texts = pa.array([None if null else t for t, null in zip(texts, col.is_null().to_pylist())], pa.string())
+                yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=[*batch.schema.names, name])
+                lo = hi
 
     return coded.mapInArrow(run, coded.withColumn(name, F.lit(None).cast("string")).schema)
 
