@@ -8,10 +8,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from croploom.llm import decontam, dedup
-from croploom.llm.queries import table
+from croploom.llm import decontam, dedup, langid, pieces, secrets
+from croploom.llm.queries import PIECES, table
 from croploom.session import materialise
 
+#: Cosine with the nearest language below which a text counts as no language: about what noise gives.
+LEAST_SCORE = 0.05
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without letters, or near to no language, go; a missing lang is filled in.
+
+    Where no document is labelled nothing can be told, and all documents with letters stay.
+    """
+    languages, prototypes = langid.learn(docs)
+    if not languages:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
+    kept = langid.identify(docs, languages, prototypes).filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE))
+    return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays; rows without an id pass unchanged."""
@@ -25,9 +40,27 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return decontam.remove(docs, table(spark, sf_dir, "benchmark"))
 
 
+def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets in texts become a mark, and n_chars follows the text."""
+    found = secrets.scan_corpus(docs)
+    found = found.withColumn("text", secrets.redacted())
+    found = found.withColumn("n_chars", F.when(F.size("secrets") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return found.select(*docs.columns)
+
+
+def segment(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Piece ids of what is left, and whether they decode to the text they came from."""
+    coded = pieces.decode(pieces.encode(docs.select("doc_id", "lang", "source", "text"), PIECES), PIECES)
+    lossless = F.col("decoded") == F.coalesce("text", F.lit(""))
+    return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_ids"), "ids", lossless.alias("lossless"))
+
+
 STAGES = [
+    ("language", language),
     ("near_dedup", near_dedup),
     ("decontaminate", decontaminate),
+    ("redact", redact),
+    ("segment", segment),
 ]
 
 #: No SQL: the language model of the first stage and the seeded segmentation of the last are not expressible in it.
