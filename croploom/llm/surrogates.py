@@ -68,7 +68,7 @@ def units(kind: str, found: str) -> list[tuple[str, str]]:
     if kind == "iban":
         return [("iban", found.replace(" ", ""))]
     if kind in ("ssn", "card", "phone"):
-        return [(kind, digits(found))]
+        return [(kind, digits(found)[-10:] if kind == "phone" else digits(found))]  # a country code stays as it is
     if kind == "ip":
         return [("ip", ".".join(str(int(x)) for x in found.split(".")))]
     title, *names = found.split(" ")
@@ -147,9 +147,7 @@ def draw(key: bytes, kind: str, identity: str, attempt: int) -> str:
     if kind == "ssn":
         return f"9{d.below(100):02d}{1 + d.below(99):02d}{1 + d.below(9999):04d}"
     if kind == "phone":
-        keep = max(0, len(identity) - 10)  # the country code
-        rest = "".join(str(d.below(10)) for _ in identity[keep + 1 :])
-        return identity[:keep] + str(2 + d.below(8)) + rest
+        return str(2 + d.below(8)) + "".join(str(d.below(10)) for _ in identity[1:])
     if kind == "ip":
         block = private([int(x) for x in identity.split(".")])
         while True:
@@ -176,7 +174,8 @@ def written(kind: str, found: str, known: Callable[[str, str], str]) -> str:
     if kind == "person":
         title, *names = found.split(" ")
         return " ".join([title, *(s.upper() if n.isupper() else s[0].upper() + s[1:] for n, s in zip(names, own))])
-    chars = iter(own[0])
+    before = digits(found)[: len(digits(found)) - len(own[0])] if kind == "phone" else ""
+    chars = iter(before + own[0])
     return "".join(next(chars) if (c.isalnum() if kind == "iban" else c.isdigit() and c.isascii()) else c for c in found)
 
 
