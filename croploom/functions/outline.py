@@ -1,4 +1,8 @@
-"""Outlines of raster runs as polygons with holes."""
+"""Outlines of raster runs as polygons with holes.
+
+Border pieces are found tile by tile.  On the lines between tiles they are cut into pixels, so that
+pieces of neighbouring tiles that run against each other cancel out when the rings are closed.
+"""
 
 from __future__ import annotations
 
@@ -6,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from croploom.functions.nested import to_geometry_array
 from croploom.functions.rings import holds, loops, signed_area
@@ -86,7 +91,12 @@ def _without_straight(ring):
 
 def draw(runs: np.ndarray, scale: float) -> list[list[list[tuple[float, float]]]]:
     """Multipolygon of 4-connected regions from rows of ``(py, x0, x1)``."""
-    rings = _rings(_border_steps(runs))
+    return close(_border_steps(runs), scale)
+
+
+def close(steps: dict, scale: float) -> list[list[list[tuple[float, float]]]]:
+    """Multipolygon from directed border pieces."""
+    rings = _rings(steps)
     areas = [signed_area(r) for r in rings]
     polys = [[r] for r, a in zip(rings, areas) if a > 0]
     sizes = [a for a in areas if a > 0]
@@ -103,15 +113,62 @@ def draw(runs: np.ndarray, scale: float) -> list[list[list[tuple[float, float]]]
     return [[[(x * scale, y * scale) for x, y in r] for r in p] for p in polys]
 
 
+def tile_pieces(runs: np.ndarray, tile: int) -> list[tuple[int, int, int, int]]:
+    """Border pieces ``(x, y, x2, y2)`` of the runs of one tile; single pixels on the tile's border."""
+    out = []
+    for (x, y), ends in _border_steps(runs).items():
+        for x2, y2 in ends:
+            on_border = y % tile == 0 if y == y2 else x % tile == 0
+            if not on_border:
+                out.append((x, y, x2, y2))
+                continue
+            dx, dy = int(np.sign(x2 - x)), int(np.sign(y2 - y))
+            out += [(x + k * dx, y + k * dy, x + (k + 1) * dx, y + (k + 1) * dy) for k in range(abs(x2 - x) + abs(y2 - y))]
+    return out
+
+
+def _joined(pieces: np.ndarray) -> dict:
+    """Pieces of all tiles as steps, without those that another one runs against."""
+    there = set(map(tuple, pieces.tolist()))
+    steps: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    for x, y, x2, y2 in sorted(there):
+        if (x2, y2, x, y) not in there:
+            steps.setdefault((x, y), []).append((x2, y2))
+    return steps
+
+
+_PIECES = T.ArrayType(T.StructType([T.StructField(n, T.IntegerType()) for n in ("x", "y", "x2", "y2")]))
+
+
+def _tables(col: pa.Array) -> list[np.ndarray]:
+    """The rows of each list of structs as a table."""
+    flat = col.flatten()
+    table = np.column_stack([flat.field(i).to_numpy(zero_copy_only=False) for i in range(flat.type.num_fields)])
+    ends = np.cumsum(col.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+    return [table[a:b] for a, b in zip(np.concatenate([[0], ends[:-1]]), ends)] if len(ends) else []
+
+
+@F.arrow_udf(_PIECES)
+def _tile_pieces(runs: pa.Array, tile: pa.Array) -> pa.Array:
+    size = tile[0].as_py() if len(tile) else 1
+    found = [tile_pieces(t, size) for t in _tables(runs)]
+    flat = np.array([p for f in found for p in f], np.int32).reshape(-1, 4)
+    off = np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int32)
+    fields = pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(flat[:, i])) for i in range(4)], names=["x", "y", "x2", "y2"])
+    return pa.ListArray.from_arrays(pa.array(off), fields)
+
+
 @F.arrow_udf(GEOM)
-def _outline(runs: pa.Array, scale: pa.Array) -> pa.Array:
+def _closed_rings(pieces: pa.Array, scale: pa.Array) -> pa.Array:
     factor = scale[0].as_py() if len(scale) else 1.0
-    flat = runs.flatten()
-    table = np.column_stack([flat.field(i).to_numpy(zero_copy_only=False) for i in range(3)])
-    ends = np.cumsum(runs.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
-    starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
-    return to_geometry_array([draw(table[a:b], factor) for a, b in zip(starts, ends)])
+    return to_geometry_array([close(_joined(t), factor) for t in _tables(pieces)])
+
+
+def border_pieces(runs: Column, tile: int) -> Column:
+    """Border pieces of the runs ``(py, x0, x1)`` of one tile."""
+    return _tile_pieces(runs, F.lit(tile))
 
 
-def outline(runs: Column, scale: Column) -> Column:
-    return _outline(runs, scale)
+def outline(pieces: Column, scale: float) -> Column:
+    """The multipolygon of all border pieces of a label."""
+    return _closed_rings(pieces, F.lit(float(scale)))

@@ -17,8 +17,8 @@ from croploom.functions.outline import draw
 from croploom.functions.rings import Contacts, candidate_pairs, chain, holds, inner_point, loops, part_at_meetings, signed_area
 from croploom.schema import GEOM
 
-# Largest raster, in cells, on which the last repair step is tried for one geometry.
-MAX_CELLS = 50_000_000
+# Cells of the last repair step's raster that are held at a time, whatever the geometry's size.
+BAND_CELLS = 4_000_000
 
 
 def valid_batch(geoms: list) -> list:
@@ -50,11 +50,11 @@ def _closed_with_area(rings: list[np.ndarray]) -> np.ndarray:
     sizes = np.array([len(r) for r in rings])
     pts = np.concatenate(rings)
     first = np.cumsum(sizes) - sizes
-    rel = pts - np.repeat(pts[first], sizes, axis=0)
-    cross = rel[:-1, 0] * rel[1:, 1] - rel[1:, 0] * rel[:-1, 1]
-    cross = np.append(cross, 0.0)
-    cross[first + sizes - 1] = 0.0
     with np.errstate(invalid="ignore"):
+        rel = pts - np.repeat(pts[first], sizes, axis=0)
+        cross = rel[:-1, 0] * rel[1:, 1] - rel[1:, 0] * rel[:-1, 1]
+        cross = np.append(cross, 0.0)
+        cross[first + sizes - 1] = 0.0
         area = np.add.reduceat(cross, first)
         closed = np.all(pts[first] == pts[first + sizes - 1], axis=1)
         return closed & np.isfinite(area) & (area != 0)
@@ -233,41 +233,52 @@ def repair2(geom: list, cut: list[list[list[np.ndarray]]]) -> list | None:
 
 
 def repair3(geom: list, cut: object = None, cell: float = 0.4) -> list | None:
-    """Shrink and grow by one metre on a fine raster, five cells to two metres: narrower parts go."""
+    """Shrink and grow by one metre on a fine raster, five cells to two metres: narrower parts go.
+
+    The raster is worked on in bands of rows that reach over their borders by what shrinking and
+    growing look at, and only its runs are kept.
+    """
     pts = np.concatenate([r for poly in geom for r in poly if len(r)] or [np.empty((0, 2))])
     pts = pts[np.all(np.isfinite(pts), axis=1)]
     if not len(pts):
         return None
     low = np.floor(pts.min(axis=0) / cell).astype(int) - 4
     cols, rows = (np.ceil(pts.max(axis=0) / cell).astype(int) + 4 - low).tolist()
-    if cols * rows > MAX_CELLS:
-        return None
-    grid = np.zeros((rows, cols), dtype=bool)
-    for poly in geom:
-        grid |= _fill(poly, low, rows, cols, cell)
     reach = int(1 / cell)
-    grid = _grow(~_grow(~grid, reach), reach)
-    if not grid.any():
-        return None
-    padded = np.pad(grid, ((0, 0), (1, 1))).astype(np.int8)
-    step = np.diff(padded, axis=1)
-    ys, starts = np.nonzero(step == 1)
-    _, ends = np.nonzero(step == -1)
-    return draw(np.column_stack([ys + low[1], starts + low[0], ends + low[0]]), cell)
-
-
-def _fill(poly: list, low, rows: int, cols: int, cell: float) -> np.ndarray:
-    """Even-odd raster of one polygon by cell centres."""
-    flips = np.zeros((rows, cols + 1), dtype=np.int32)
-    for ring in poly:
-        ring = _closed(np.asarray(ring, dtype=float))
-        for (ax, ay), (bx, by) in zip(ring[:-1] / cell - low, ring[1:] / cell - low):
-            if ay == by:
-                continue
-            (x0, y0), (x1, y1) = sorted(((ax, ay), (bx, by)), key=lambda p: p[1])
-            r = np.arange(int(np.ceil(y0 - 0.5)), int(np.ceil(y1 - 0.5)))
-            x = x0 + (r + 0.5 - y0) * (x1 - x0) / (y1 - y0)
-            np.add.at(flips, (r, np.clip(np.ceil(x - 0.5).astype(int), 0, cols)), 1)
+    edges = [_edges(poly, low, cell) for poly in geom]
+    step = max(4 * reach, BAND_CELLS // cols)
+    runs = []
+    for top in range(0, rows, step):
+        first, last = top - 2 * reach, min(rows, top + step) + 2 * reach
+        grid = np.zeros((last - first, cols), dtype=bool)
+        for e in edges:
+            grid |= _fill(e, first, last, cols)
+        grid = _grow(~_grow(~grid, reach), reach)[2 * reach : last - first - 2 * reach]
+        change = np.diff(np.pad(grid, ((0, 0), (1, 1))).astype(np.int8), axis=1)
+        ys, starts = np.nonzero(change == 1)
+        _, ends = np.nonzero(change == -1)
+        runs.append(np.column_stack([ys + top + low[1], starts + low[0], ends + low[0]]))
+    runs = np.concatenate(runs)
+    return draw(runs, cell) if len(runs) else None
+
+
+def _edges(poly: list, low, cell: float) -> np.ndarray:
+    """Sloping and upright edges of a polygon in cells from ``low``, lower end first."""
+    rings = [_closed(np.asarray(r, dtype=float)) / cell - low for r in poly if len(r)]
+    e = np.concatenate([np.hstack([r[:-1], r[1:]]) for r in rings if len(r)] or [np.empty((0, 4))])
+    e = np.where((e[:, 1] > e[:, 3])[:, None], e[:, [2, 3, 0, 1]], e)
+    return e[e[:, 1] != e[:, 3]]
+
+
+def _fill(edges: np.ndarray, first: int, last: int, cols: int) -> np.ndarray:
+    """Even-odd raster of the rows from first to last by cell centres."""
+    flips = np.zeros((last - first, cols + 1), dtype=np.int32)
+    lo = np.maximum(np.ceil(edges[:, 1] - 0.5).astype(int), first)
+    hi = np.minimum(np.ceil(edges[:, 3] - 0.5).astype(int), last)
+    for (x0, y0, x1, y1), a, b in zip(edges[lo < hi], lo[lo < hi], hi[lo < hi]):
+        r = np.arange(a, b)
+        x = x0 + (r + 0.5 - y0) * (x1 - x0) / (y1 - y0)
+        np.add.at(flips, (r - first, np.clip(np.ceil(x - 0.5).astype(int), 0, cols)), 1)
     return np.cumsum(flips, axis=1)[:, :cols] % 2 == 1
 
 
@@ -301,9 +312,11 @@ def is_plain_box(geom: Column) -> Column:
     p = [F.get(ring, F.lit(i)) for i in range(5)]
     along_x = (p[0].y == p[1].y) & (p[1].x == p[2].x) & (p[2].y == p[3].y) & (p[3].x == p[0].x)
     along_y = (p[0].x == p[1].x) & (p[1].y == p[2].y) & (p[2].x == p[3].x) & (p[3].y == p[0].y)
+    # Equality holds for NaN and infinities too, a difference of 0 only for finite numbers.
+    finite = F.forall(ring, lambda q: (q.x - q.x == 0) & (q.y - q.y == 0))
     return F.when(
         (F.size(geom) == 1) & (F.size(rings) == 1) & (F.size(ring) == 5),
-        (p[0] == p[4]) & (p[0].x != p[2].x) & (p[0].y != p[2].y) & (along_x | along_y),
+        finite & (p[0] == p[4]) & (p[0].x != p[2].x) & (p[0].y != p[2].y) & (along_x | along_y),
     ).otherwise(F.lit(False))
 
 

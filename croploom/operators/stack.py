@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from croploom.functions.outline import outline
+from croploom.functions.outline import border_pieces, outline
 from croploom.operators import raster as R
 from croploom.operators.joins import dim_join
 from croploom.operators.numbering import number_rows
@@ -209,42 +209,25 @@ def dissolve(runs: DataFrame, years: Iterable[int], scale: float, by: Iterable[s
     )
 
 
-def stack_geometry(
-    runs: DataFrame,
-    label: Iterable[str],
-    scale: float,
-    max_runs: int = 20_000,
-    tile: int = 512,
-) -> DataFrame:
-    """Outlines of every label (columns of ``runs``) as multipolygons, with ``part`` 0.
+def stack_geometry(runs: DataFrame, label: Iterable[str], scale: float, tile: int = 512) -> DataFrame:
+    """The outline of every label (columns of ``runs``) as one multipolygon.
 
-    A label of more than ``max_runs`` runs is delivered in several rows, one per tile it covers, so
-    no outline is ever drawn from an unbounded list; nothing is left out.  ``runs`` is read several
-    times and should be a stored table.
+    Runs are cut at tile borders, and each (label, tile) finds its border pieces for itself, from at
+    most tile x tile pixels.  What meets per label is its border, which is what the row holds.
     """
     label = list(label)
-    sizes = runs.groupBy(*label).agg((F.count(F.lit(1)) > max_runs).alias("_big"))
-    big = sizes.where("_big").drop("_big")
-    normal = dim_join(runs, big, label, "left_anti").select(
-        *label, "py", "x0", "x1", F.lit(0).cast("bigint").alias("part")
-    )
-    cut = (
-        dim_join(runs, big, label, "left_semi")
-        .withColumn("_tx", F.explode(F.sequence(F.floor(F.col("x0") / tile), F.floor((F.col("x1") - 1) / tile))))
-        .select(
-            *label,
-            "py",
-            F.greatest(F.col("x0"), F.col("_tx") * tile).cast("int").alias("x0"),
-            F.least(F.col("x1"), (F.col("_tx") + 1) * tile).cast("int").alias("x1"),
-            (F.floor(F.col("py") / tile) * 1_000_000_000 + F.col("_tx")).cast("bigint").alias("part"),
-        )
-    )
-    drawn = (
-        normal.unionByName(cut)
-        .groupBy(*label, "part")
-        .agg(F.collect_list(F.struct("py", "x0", "x1")).alias("_runs"))
+    cut = runs.withColumn("_tx", F.explode(F.sequence(F.floor(F.col("x0") / tile), F.floor((F.col("x1") - 1) / tile)))).select(
+        *label,
+        F.floor(F.col("py") / tile).alias("_ty"),
+        "_tx",
+        F.col("py").cast("int").alias("py"),
+        F.greatest(F.col("x0"), F.col("_tx") * tile).cast("int").alias("x0"),
+        F.least(F.col("x1"), (F.col("_tx") + 1) * tile).cast("int").alias("x1"),
     )
-    return drawn.select(*label, "part", outline(F.col("_runs"), F.lit(float(scale))).alias("geom"))
+    tiles = cut.groupBy(*label, "_ty", "_tx").agg(F.collect_list(F.struct("py", "x0", "x1")).alias("_runs"))
+    pieces = tiles.select(*label, border_pieces(F.col("_runs"), tile).alias("_pieces"))
+    drawn = pieces.groupBy(*label).agg(F.flatten(F.collect_list("_pieces")).alias("_pieces"))
+    return drawn.select(*label, outline(F.col("_pieces"), scale).alias("geom"))
 
 
 def label_runs(
@@ -278,9 +261,10 @@ def attach_codes(
     return stack.join(wide, [*by, "cropfield"], "left")
 
 
-def coverage_gaps(pc_points: DataFrame, stack_points: DataFrame, size: int = 1000) -> DataFrame:
-    """Squares that hold parcels of some year but nothing of the stack."""
-    return thin_points(pc_points, size).join(thin_points(stack_points, size), ["x", "y"], "left_anti")
+def coverage_gaps(pc_points: DataFrame, stack_points: DataFrame, size: int = 1000, by: Iterable[str] = ()) -> DataFrame:
+    """Squares that hold parcels of some year but nothing of the stack, separately for each ``by`` group."""
+    by = list(by)
+    return thin_points(pc_points, size, by=by).join(thin_points(stack_points, size, by=by), [*by, "x", "y"], "left_anti")
 
 
 def run_centroids(runs: DataFrame, label: Iterable[str], scale: float) -> DataFrame:

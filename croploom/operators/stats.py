@@ -28,7 +28,7 @@ def count_by(df: DataFrame, keys: Iterable[str] = ("nuts", "year"), name: str =
 
 
 def id_bounds(df: DataFrame, keys: Iterable[str] = ("nuts", "year"), col: str = "cropfield") -> DataFrame:
-    return df.groupBy(*keys).agg(F.min(col).alias("mmin"), F.max(col).alias("mmax"))
+    return df.groupBy(*keys).agg(F.min(col).alias("lowest"), F.max(col).alias("highest"))
 
 
 def reconcile(src: DataFrame, dst: DataFrame, key: str) -> DataFrame:
@@ -88,10 +88,10 @@ def snapped_extent(extent: DataFrame, step: int) -> DataFrame:
     )
 
 
-def thin_points(df: DataFrame, size: int = 1000, x: str = "cx", y: str = "cy") -> DataFrame:
-    """Distinct points after rounding to a coarse raster."""
+def thin_points(df: DataFrame, size: int = 1000, x: str = "cx", y: str = "cy", by: Iterable[str] = ()) -> DataFrame:
+    """Distinct points after rounding to a coarse raster, separately for each ``by`` group."""
     return df.select(
-        (F.rint(F.rint(x) / size) * size).alias("x"), (F.rint(F.rint(y) / size) * size).alias("y")
+        *by, (F.rint(F.rint(x) / size) * size).alias("x"), (F.rint(F.rint(y) / size) * size).alias("y")
     ).distinct()
 
 

@@ -306,12 +306,14 @@ def _(spark, sf):
 @query(
     "f2_id_range",
     BASE + """select nuts, year, count(*) as n from parcels
-    where cropfield between (select min(cropfield) from parcels) and (select max(cropfield) from parcels) group by nuts, year""",
+    where cropfield between (select min(cropfield) + (max(cropfield) - min(cropfield)) // 4 from parcels)
+      and (select max(cropfield) - (max(cropfield) - min(cropfield)) // 4 from parcels) group by nuts, year""",
 )
 def _(spark, sf):
     pc = T.parcels(spark, sf)
     low, high = pc.agg(F.min("cropfield"), F.max("cropfield")).first()
-    return A.count_by(FL.id_range(pc, low, high))
+    quarter = (high - low) // 4
+    return A.count_by(FL.id_range(pc, low + quarter, high - quarter))
 
 
 @query("f5_min_area", BASE + "select nuts, cropfield, area_ha from parcels where area_ha >= 4.0")
@@ -536,7 +538,7 @@ def _(spark, sf):
 
 @query(
     "a14_id_bounds",
-    BASE + "select nuts, year, min(cropfield) as mmin, max(cropfield) as mmax from parcels group by nuts, year",
+    BASE + "select nuts, year, min(cropfield) as lowest, max(cropfield) as highest from parcels group by nuts, year",
 )
 def _(spark, sf):
     return A.id_bounds(T.parcels(spark, sf))
@@ -592,9 +594,11 @@ def _(spark, sf):
     return U.sorted_names(file_names(T.parcels(spark, sf)))
 
 
-@query("l2_schema_probe", BASE + "select * from parcels where false")
+@query("l2_schema_probe", BASE + "select * from parcels order by cropfield desc limit 25")
 def _(spark, sf):
-    return U.empty_like(T.parcels(spark, sf))
+    # The first rows in an order, appended to a frame that has only the columns.
+    pc = T.parcels(spark, sf)
+    return U.union_layers([U.empty_like(pc), U.head_rows(pc.orderBy(F.desc("cropfield")), 25)])
 
 
 @query(
@@ -623,10 +627,10 @@ def _(spark, sf):
     return U.union_layers([pc.where("kind = 0").select(*base, F.col("w").alias("off_area")), pc.where("kind <> 0").select(*base)])
 
 
-@query("u2_union_distinct", BASE + "select distinct nuts, original_code, w, h from parcels where w < 500")
+@query("u2_union_distinct", BASE + "select distinct nuts, original_code, w, h from parcels")
 def _(spark, sf):
     pc = T.parcels(spark, sf).select("nuts", "original_code", "w", "h")
-    return U.union_distinct([pc.where("w < 400"), pc.where("w between 200 and 499")])
+    return U.union_distinct([pc.where("w < 400"), pc.where("w >= 200")])
 
 
 @query(

@@ -23,14 +23,14 @@ from croploom.operators import stats as A
 from croploom.plans import trial as T
 from croploom.plans.registry import query
 from croploom.schema import GEOM
-from croploom.session import materialise, shared_path, spread
+from croploom.session import materialise, shared_path
 from croploom.sources import layers as L
 from croploom.sources import sinks
 
 BASE = T.with_(T.PARCELS)
 SIGNED = T.with_(T.PARCELS, T.SIGNED)
 SCALE = T.PIXEL_SCALE
-YEARS = [1996, 1997, 1998]
+YEARS = list(range(1995, 2002))  # all years of the order tables
 
 
 def shapes(spark, sf) -> DataFrame:
@@ -75,10 +75,10 @@ def _(spark, sf):
 
 @query(
     "g13_promote_to_multi",
-    BASE + "select cropfield, 1 :: bigint as parts, case when kind = 1 then 6 else 4 end :: bigint as corners from parcels where kind <> 3",
+    BASE + "select cropfield, 1 :: bigint as parts, case when kind = 1 then 6 else 4 end :: bigint as corners from parcels",
 )
 def _(spark, sf):
-    single = shapes(spark, sf).where("kind <> 3").withColumn("geom", G.to_multi(F.col("geom")[0]))
+    single = shapes(spark, sf).withColumn("geom", G.to_multi(F.col("geom")[0]))
     return single.select(
         "cropfield", F.size("geom").cast("bigint").alias("parts"), (F.size(F.col("geom")[0][0]) - 1).cast("bigint").alias("corners")
     )
@@ -315,9 +315,9 @@ def _(spark, sf):
 
 CF = ", ".join(f"cf{y}" for y in YEARS)
 PIVOT = ", ".join(f"coalesce(max(case when year = {y} then cf end), 0) as cf{y}" for y in YEARS)
-COMBINED = f"combined as (select nuts, px, py, {PIVOT} from burned where year in (1996, 1997, 1998) group by nuts, px, py)"
+COMBINED = f"combined as (select nuts, px, py, {PIVOT} from burned group by nuts, px, py)"
 STRONG = f"""strong as (select b.* from burned b join support s using (nuts, year, cf) where s.n >= 10),
-  overlay as (select nuts, px, py, {PIVOT} from strong where year in (1996, 1997, 1998) group by nuts, px, py)"""
+  overlay as (select nuts, px, py, {PIVOT} from strong group by nuts, px, py)"""
 SIZES = f"sizes as (select nuts, {CF}, count(*) as n from overlay group by nuts, {CF})"
 ERODED = f"""eroded as (select nuts, {CF}, px + dx as px, py + dy as py from overlay,
   (values (-1), (0), (1)) a(dx), (values (-1), (0), (1)) b(dy) group by all having count(*) = 9)"""
@@ -363,6 +363,31 @@ def _(spark, sf):
     return S.rotation_stack(shapes(spark, sf), YEARS, SCALE)
 
 
+def _sequential_sql() -> str:
+    """Labels built up year after year on pixels, for any list of years."""
+    n = len(YEARS)
+    first = ", ".join(
+        f"cf{y} as r{i}, case when count(*) over (partition by nuts, cf{y}) >= 10 then cf{y} else 0 end as l{i}" for i, y in enumerate(YEARS)
+    )
+    steps = [f"s0 as (select nuts, px, py, {first} from combined)"]
+    raw = ", ".join(f"r{i}" for i in range(n))
+    for k in range(1, n):
+        upto = ", ".join(f"l{i}" for i in range(k + 1))
+        new = ", ".join(f"case when ok then l{i} else 0 end as l{i}" if i <= k else f"l{i}" for i in range(n))
+        steps.append(f"o{k} as (select *, count(*) over (partition by nuts, {upto}) >= 10 as ok from s{k - 1})")
+        steps.append(f"s{k} as (select nuts, px, py, {raw}, {new} from o{k})")
+    lab = ", ".join(f"l{i}" for i in range(n))
+    steps.append(f"e as (select * from s{n - 1} where {' + '.join(f'l{i}' for i in range(n))} > 0)")
+    mid = ", ".join(f"cast(round_even(median(r{i}), 0) as bigint) as m{i}" for i in range(n))
+    steps.append(f"m as (select nuts, {lab}, {mid} from e group by nuts, {lab})")
+    steps.append(
+        f"f as (select nuts, {lab}, px + dx as px, py + dy as py from e, (values (-1), (0), (1)) a(dx), (values (-1), (0), (1)) b(dy) "
+        "group by all having count(*) = 9)"
+    )
+    out = ", ".join(f"nullif(m{i}, 0) as cf{y}" for i, y in enumerate(YEARS))
+    return ",\n".join(steps) + f" select nuts, {out}, count(*) as n_pixels from f join m using (nuts, {lab}) group by nuts, {', '.join(f'm{i}' for i in range(n))}"
+
+
 @query(
     "r5_a6_sequential_stack",
     PIXELS.rstrip()
@@ -370,21 +395,8 @@ def _(spark, sf):
     + BURNED
     + ","
     + COMBINED
-    + """,
-    a as (select nuts, px, py, cf1996 as r1, cf1997 as r2, cf1998 as r3,
-      case when count(*) over (partition by nuts, cf1996) >= 10 then cf1996 else 0 end as t1,
-      case when count(*) over (partition by nuts, cf1997) >= 10 then cf1997 else 0 end as t2,
-      case when count(*) over (partition by nuts, cf1998) >= 10 then cf1998 else 0 end as t3 from combined),
-    b as (select *, count(*) over (partition by nuts, t1, t2) >= 10 as ok from a),
-    c as (select nuts, px, py, r1, r2, r3, case when ok then t1 else 0 end as l1, case when ok then t2 else 0 end as l2, t3 from b),
-    d as (select *, count(*) over (partition by nuts, l1, l2, t3) >= 10 as ok from c),
-    e as (select nuts, px, py, r1, r2, r3, l1, l2, t3 as l3 from d where ok and l1 + l2 + t3 > 0),
-    m as (select nuts, l1, l2, l3, cast(round_even(median(r1), 0) as bigint) as m1, cast(round_even(median(r2), 0) as bigint) as m2,
-      cast(round_even(median(r3), 0) as bigint) as m3 from e group by nuts, l1, l2, l3),
-    f as (select nuts, l1, l2, l3, px + dx as px, py + dy as py from e, (values (-1), (0), (1)) a(dx), (values (-1), (0), (1)) b(dy)
-      group by all having count(*) = 9)
-    select nuts, nullif(m1, 0) as cf1996, nullif(m2, 0) as cf1997, nullif(m3, 0) as cf1998, count(*) as n_pixels
-    from f join m using (nuts, l1, l2, l3) group by nuts, m1, m2, m3""",
+    + ","
+    + _sequential_sql(),
 )
 def _(spark, sf):
     out = S.rotation_stack(shapes(spark, sf), YEARS, SCALE, sequential=True, numbered=False)
@@ -394,9 +406,8 @@ def _(spark, sf):
 @query(
     "j8_attach_codes",
     OVERLAY
-    + f"""select n.nuts, n.cropfield, {CF}, n_pixels, n.area_ha, a.original_code as c1996, b.original_code as c1997, c.original_code as c1998
-    from numbered n left join parcels a on a.cropfield = cf1996 and a.nuts = n.nuts
-    left join parcels b on b.cropfield = cf1997 and b.nuts = n.nuts left join parcels c on c.cropfield = cf1998 and c.nuts = n.nuts""",
+    + f"select n.nuts, n.cropfield, {CF}, n_pixels, n.area_ha, {', '.join(f'p{y}.original_code as c{y}' for y in YEARS)} from numbered n "
+    + " ".join(f"left join parcels p{y} on p{y}.cropfield = cf{y} and p{y}.nuts = n.nuts" for y in YEARS),
 )
 def _(spark, sf):
     pc = shapes(spark, sf)
@@ -421,16 +432,16 @@ def _(spark, sf):
     OVERLAY.rstrip()
     + f""", s as (select nuts, {CF}, avg(px + 0.5) * 50 as cx, avg(py + 0.5) * 50 as cy from eroded
        join (select * exclude (n) from sizes where n >= 10) using (nuts, {CF}) group by nuts, {CF}),
-    p as (select (xmin + xmax) / 2 as cx, (ymin + ymax) / 2 as cy from parcels where year in (1996, 1997, 1998))
-    select distinct round_even(round_even(cx, 0) / 1000, 0) * 1000 as x, round_even(round_even(cy, 0) / 1000, 0) * 1000 as y from p
-    except select round_even(round_even(round(cx, 6), 0) / 1000, 0) * 1000, round_even(round_even(round(cy, 6), 0) / 1000, 0) * 1000 from s""",
+    p as (select nuts, (xmin + xmax) / 2 as cx, (ymin + ymax) / 2 as cy from parcels)
+    select distinct nuts, round_even(round_even(cx, 0) / 1000, 0) * 1000 as x, round_even(round_even(cy, 0) / 1000, 0) * 1000 as y from p
+    except select nuts, round_even(round_even(round(cx, 6), 0) / 1000, 0) * 1000, round_even(round_even(round(cy, 6), 0) / 1000, 0) * 1000 from s""",
 )
 def _(spark, sf):
     pc = T.parcels(spark, sf)
     runs = S.stack_runs(T.shaped(pc), YEARS, SCALE)
-    centres = S.run_centroids(runs, ["nuts", *CF.split(", ")], SCALE).select(F.round("cx", 6).alias("cx"), F.round("cy", 6).alias("cy"))
-    points = pc.where(F.col("year").isin(YEARS)).select(((F.col("xmin") + F.col("xmax")) / 2).alias("cx"), ((F.col("ymin") + F.col("ymax")) / 2).alias("cy"))
-    return S.coverage_gaps(points, centres)
+    centres = S.run_centroids(runs, ["nuts", *CF.split(", ")], SCALE).select("nuts", F.round("cx", 6).alias("cx"), F.round("cy", 6).alias("cy"))
+    points = pc.select("nuts", ((F.col("xmin") + F.col("xmax")) / 2).alias("cx"), ((F.col("ymin") + F.col("ymax")) / 2).alias("cy"))
+    return S.coverage_gaps(points, centres, by=["nuts"])
 
 
 @query(
@@ -449,30 +460,41 @@ def _(spark, sf):
 
 
 def damaged(spark, sf) -> DataFrame:
-    """Rectangles, five in six with a fault: open ring, bow-tie, repeated point, spike, traced twice."""
+    """Rectangles, most with a fault: open ring, bow-tie, repeated point, spike, traced twice, a
+    coordinate that is not a number or infinite; and a few of two parts that overlap."""
     x0, y0, x1, y1 = (F.col(c) for c in ("xmin", "ymin", "xmax", "ymax"))
     a, b, c, d = G.point(x0, y0), G.point(x1, y0), G.point(x1, y1), G.point(x0, y1)
     spike = G.point(x1 + 30, y1)
-    fault = F.col("cropfield") % 6
+    nan, inf = F.lit(float("nan")), F.lit(float("inf"))
+    fault = F.col("cropfield") % 8
     ring = (
         F.when(fault == 0, F.array(a, b, c, d, a))
         .when(fault == 1, F.array(a, b, c, d))
         .when(fault == 2, F.array(a, c, b, d, a))
         .when(fault == 3, F.array(a, b, b, c, d, a))
         .when(fault == 4, F.array(a, b, c, spike, c, d, a))
-        .otherwise(F.array(a, b, c, d, a, b, c, d, a))
-    )
-    return P.hold(spread(T.parcels(spark, sf)), "geom", F.array(F.array(ring)).cast(GEOM)).select(
-        "nuts", "year", "cropfield", "geom"
+        .when(fault == 5, F.array(a, b, c, d, a, b, c, d, a))
+        .when(fault == 6, G.box_ring(nan, y0, x1, y1))
+        .otherwise(G.box_ring(x0, y0, inf, y1))
     )
+    mx, my = (x0 + x1) / 2, (y0 + y1) / 2
+    overlapping = F.array(F.array(G.box_ring(x0, y0, x1, y1)), F.array(G.box_ring(mx, my, mx + F.col("w"), my + F.col("h"))))
+    geom = F.when(F.expr(OVERLAPPING), overlapping.cast(GEOM)).otherwise(F.array(F.array(ring)).cast(GEOM))
+    return P.hold(T.dealt(T.parcels(spark, sf)), "geom", geom).select("nuts", "year", "cropfield", "geom")
+
+
+OVERLAPPING = "cropfield % 1024 = 8"
+INVALID = f"({OVERLAPPING} or cropfield % 8 not in (0, 3))"
+# What the steps end with; the last one takes three cells of 0.4 m from each of six corners.
+METHOD = f"case when {OVERLAPPING} then 4 when cropfield % 8 in (0, 3) then 0 when cropfield % 8 = 5 then 3 when cropfield % 8 > 5 then 9 else 1 end"
 
 
-@query("g9_f3_invalid_rows", BASE + "select nuts, cropfield from parcels where cropfield % 6 not in (0, 3)")
+@query("g9_f3_invalid_rows", BASE + "select nuts, cropfield from parcels where " + INVALID)
 def _(spark, sf):
     return Q.invalid_rows(damaged(spark, sf)).select("nuts", "cropfield")
 
 
-@query("q1_invalid_snapshot", BASE + "select year, 0 as method, count(*) as n from parcels where cropfield % 6 not in (0, 3) group by year")
+@query("q1_invalid_snapshot", BASE + "select year, 0 as method, count(*) as n from parcels where " + INVALID + " group by year")
 def _(spark, sf):
     return A.count_by(Q.invalid_snapshot(damaged(spark, sf)), ["year", "method"])
 
@@ -480,19 +502,21 @@ def _(spark, sf):
 @query(
     "q2_q3_g10_g11_repair",
     BASE
-    + """select cropfield, case cropfield % 6 when 0 then 0 when 3 then 0 when 5 then 3 else 1 end as method,
-    case cropfield % 6 when 2 then w * h / 2 else w * h :: double end as area, true as valid from parcels""",
+    + f"""select cropfield, {METHOD} as method, case when {OVERLAPPING} then w * h * 1.75 - 2.88
+    when cropfield % 8 = 2 then w * h / 2 when cropfield % 8 < 6 then w * h :: double end as area, cropfield % 8 < 6 as valid from parcels""",
 )
 def _(spark, sf):
     fixed = Q.with_validity(Q.repair_layer(damaged(spark, sf)))
-    return fixed.select("cropfield", "method", G.area(F.col("geom")).alias("area"), "valid")
+    area = F.when(F.col("method") != 9, F.round(G.area(F.col("geom")), 4))
+    return fixed.select("cropfield", "method", area.alias("area"), "valid")
 
 
 @query(
     "a9_q4_validity_report",
     BASE
-    + """select nuts, year, count(*) filter (where cropfield % 6 not in (0, 3)) as input,
-    count(*) filter (where cropfield % 6 = 5) as makevalid, 0 :: bigint as buffer0, 0 :: bigint as buffer1 from parcels group by nuts, year""",
+    + f"""select nuts, year, count(*) filter (where {INVALID}) as input,
+    count(*) filter (where {METHOD} > 1) as makevalid, count(*) filter (where {METHOD} > 3) as buffer0,
+    count(*) filter (where {METHOD} = 9) as buffer1 from parcels group by nuts, year""",
 )
 def _(spark, sf):
     return Q.validity_report(Q.repair_layer(damaged(spark, sf)))

@@ -39,9 +39,9 @@ def rotation_products(
     kept = S.dissolve(runs, years, scale, by).where(F.col("area_ha") >= min_ha)
     numbered = materialise(number_rows(kept, "cropfield", cf, by, unique=True), "stack")
     labelled = materialise(S.label_runs(runs, numbered, years, by), "labelled")
-    points = centroid_layer(pc.where(F.col("year").isin(years)).select("geom")).select("cx", "cy")
+    points = centroid_layer(pc.where(F.col("year").isin(years)).select(*by, "geom")).select(*by, "cx", "cy")
     return RotationProducts(
         stack=S.attach_codes(numbered, pc, years, by),
         outlines=S.stack_geometry(labelled, [*by, "cropfield"], scale),
-        gaps=S.coverage_gaps(points, S.run_centroids(labelled, [*by, "cropfield"], scale)),
+        gaps=S.coverage_gaps(points, S.run_centroids(labelled, [*by, "cropfield"], scale), by=by),
     )

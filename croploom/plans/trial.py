@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from croploom.functions import geometry as G
 from croploom.operators.columns import area_ha, hold
 from croploom.schema import GEOM
-from croploom.session import spread
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -71,10 +70,15 @@ def shape(x0: Column, y0: Column, x1: Column, y1: Column, kind: Column) -> Colum
     )
 
 
+def dealt(pc: DataFrame) -> DataFrame:
+    """The derived parcels over all tasks: a table of one file would be one task's geometry work."""
+    return pc.repartition(int(pc.sparkSession.conf.get("spark.sql.shuffle.partitions")), "cropfield")
+
+
 def shaped(pc: DataFrame) -> DataFrame:
     """Parcels with their polygon instead of the limits, and the polygon's area."""
     g = shape(*[F.col(c) for c in ("xmin", "ymin", "xmax", "ymax", "kind")])
-    return hold(spread(pc), "geom", g).drop("xmin", "ymin", "xmax", "ymax", "w", "h", "area_ha")
+    return hold(dealt(pc), "geom", g).drop("xmin", "ymin", "xmax", "ymax", "w", "h", "area_ha")
 
 
 # Signed rectangles whose sum is the polygon, and rectangles that together cover it.

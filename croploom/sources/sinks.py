@@ -13,6 +13,7 @@ from croploom.functions.wkb import to_wkb
 from croploom.operators.columns import select_available
 from croploom.schema import LAYER_SRID
 
+# The columns of a published yearly layer.
 YEARLY_COLUMNS = ("nuts", "year", "cropfield", "original_code", "off_id", "off_area", "area_ha", "geom")
 
 # The column description of the GeoParquet 1.0 metadata.
@@ -57,7 +58,8 @@ def export_layers(df: DataFrame, path: str, stack: bool = False, mode: str = "ov
     # layer that holds a large part of all rows into several tasks again.
     if parts:
         out = out.hint("rebalance", *parts)
-    out.write.mode(mode).option("compression", "zstd").partitionBy(*parts).parquet(path)
+    # Only the folders of the layers at hand are replaced, whatever the session's setting is.
+    out.write.mode(mode).option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(*parts).parquet(path)
     write_text(df.sparkSession, f"{path.rstrip('/')}/_geo_metadata.json", json.dumps(GEO_METADATA))
     return kept.groupBy(*parts, G.geom_type(F.col("geom")).alias("geom_type")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -84,5 +86,5 @@ def write_by_year(stats: DataFrame, path: str) -> None:
 def write_report(df: DataFrame, folder: str, name: str, ts: datetime | None = None) -> str:
     """A small aggregated report as one CSV file in a folder stamped with the minute."""
     path = f"{folder.rstrip('/')}/{(ts or datetime.now()).strftime('%Y%m%d%H%M')}/{name}"
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    df.repartition(1).write.mode("overwrite").option("header", True).csv(path)
     return path

@@ -268,3 +268,36 @@ def test_first_repair_keeps_alternate_filling():
             inside = sum(even_odd(r, x, y) for poly in fixed for r in poly) % 2
             assert inside == even_odd(ring, x, y)
     assert repaired > 100
+
+
+def test_last_repair_step_does_not_depend_on_its_bands(monkeypatch):
+    from croploom.functions import validity as V
+
+    geom = [[np.array([(0, 0), (60, 0), (60, 30), (30.3, 30), (30.3, 80), (30, 80), (30, 30), (0, 30), (0, 0)], float)]]
+    whole = V.repair3(geom)
+    monkeypatch.setattr(V, "BAND_CELLS", 1000)
+    assert V.repair3(geom) == whole
+    assert len(whole) == 1 and abs(abs(signed(whole[0][0])) - 1800) < 5  # the narrow tower goes
+
+
+def test_last_repair_step_has_no_largest_size():
+    from croploom.functions import validity as V
+
+    wide = [[np.array([(0, 0), (2500, 0), (2500, 9000), (0, 9000), (0, 0)], float)]]
+    assert abs(abs(signed(V.repair3(wide)[0][0])) - 2500 * 9000) < 5
+
+
+def signed(ring):
+    r = np.asarray(ring)
+    return float((r[:-1, 0] * r[1:, 1] - r[1:, 0] * r[:-1, 1]).sum() / 2)
+
+
+@pytest.mark.parametrize("bad", [float("nan"), float("inf"), float("-inf")])
+def test_rectangles_with_odd_coordinates_are_invalid(spark, bad):
+    from croploom.operators import quality as Q
+    from croploom.schema import GEOM
+
+    ring = [(bad, 0.0), (5.0, 0.0), (5.0, 5.0), (bad, 5.0), (bad, 0.0)]
+    df = spark.createDataFrame([(1, [[ring]])], f"id long, geom {GEOM.simpleString()}")
+    assert [r.valid for r in Q.with_validity(df).collect()] == [False]
+    assert [r.method for r in Q.repair_layer(df).collect()] == [9]

@@ -151,16 +151,36 @@ def test_sequential_labels_against_brute_force(spark):
     assert got != {tuple(r[f"cf{y}"] or 0 for y in years): r.n_pixels for r in plain}
 
 
-def test_stack_geometry_parts(spark):
+def test_stack_geometry_over_tiles(spark):
     pc = spark.createDataFrame([("a", 2020, 1, "x", box(0, 0, 3000, 2000)), ("a", 2020, 2, "y", box(4000, 0, 4100, 100))], LAYER)
     runs = S.stack_runs(pc, [2020], 2, inset=False)
-    whole = S.stack_geometry(runs, ["nuts", "cf2020"], 2).collect()
-    assert sorted((r.cf2020, r.part) for r in whole) == [(1, 0), (2, 0)]
-    assert len({r.cf2020: r.geom for r in whole}[1][0][0]) == 5
-    # The large one is delivered tile by tile once it exceeds the bound, without loss.
-    parts = S.stack_geometry(runs, ["nuts", "cf2020"], 2, max_runs=500).withColumn("a", G.area(F.col("geom"))).collect()
-    assert sum(r.a for r in parts if r.cf2020 == 1) == 6_000_000
-    assert sum(r.cf2020 == 1 for r in parts) == 6 and sum(r.cf2020 == 2 for r in parts) == 1
+    for tile in (100, 512, 100_000):
+        rows = S.stack_geometry(runs, ["nuts", "cf2020"], 2, tile=tile).collect()
+        assert sorted(r.cf2020 for r in rows) == [1, 2]
+        assert len({r.cf2020: r.geom for r in rows}[1][0][0]) == 5
+
+
+@pytest.mark.parametrize("tile", [1, 3, 8, 64])
+def test_pieces_of_tiles_give_the_same_outline(tile):
+    from croploom.functions import outline as O
+
+    rng = np.random.default_rng(tile)
+    for share in (0.3, 0.6, 0.9):
+        grid = rng.random((20, 23)) < share
+        runs = np.array([(y - 7, x - 5, x - 4) for y, x in zip(*np.nonzero(grid))])
+        tiles = {}
+        for y, a, b in runs.tolist():
+            tiles.setdefault((y // tile, a // tile), []).append((y, a, b))
+        pieces = np.array([p for t in tiles.values() for p in O.tile_pieces(np.array(t), tile)])
+        area = lambda polys: sum(O.signed_area(r) for p in polys for r in p)
+        key = lambda polys: sorted((round(area([p]), 6), len(p), sorted(set(map(tuple, p[0])))) for p in polys)
+        got, want = O.close(O._joined(pieces), 2.0), O.draw(runs, 2.0)
+        assert key(got) == key(want) and area(got) == grid.sum() * 4
+
+
+def test_coverage_gaps_stay_in_their_region(spark):
+    points = spark.createDataFrame([("a", 10.0, 10.0), ("b", 10.0, 10.0)], "nuts string, cx double, cy double")
+    assert [r.nuts for r in S.coverage_gaps(points, points.where("nuts = 'b'"), by=["nuts"]).collect()] == ["a"]
 
 
 def test_many_copies_on_one_block(spark):

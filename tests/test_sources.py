@@ -6,6 +6,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from croploom.functions import geometry as G
 from croploom.functions import wkb as W
 from croploom.operators import stats as A
 from croploom.schema import CROP_HIERARCHY, FADN_CROSSWALK
@@ -137,3 +138,15 @@ def test_to_do(spark):
         return spark.createDataFrame([(n,) for n in names], "layer string")
 
     assert [r.layer for r in I.layers_to_do(frame("a", "b", "c", "d"), frame("b"), frame("d")).orderBy("layer").collect()] == ["a", "c"]
+
+
+def test_export_of_one_region_leaves_the_others(spark, tmp_path):
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        for nuts in ("a", "b"):
+            row = spark.createDataFrame([(nuts, 2020, 1)], "nuts string, year int, cropfield long").withColumn("geom", G.envelope(*(F.lit(float(v)) for v in (0, 0, 5, 5))))
+            sinks.export_layers(row, str(tmp_path / "out"))
+        assert sorted(r.nuts for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a", "b"]
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
