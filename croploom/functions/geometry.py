@@ -267,13 +267,3 @@ def geom_type(geom: Column) -> Column:
         .when(F.size(geom) == 1, "Polygon")
         .when(F.size(geom) > 1, "MultiPolygon")
     )
-
-
-def rings_well_formed(geom: Column) -> Column:
-    """The cheap part of the validity test: rings closed, four points or more, no zero area."""
-    return F.forall(
-        F.flatten(geom),
-        lambda r: (F.size(r) >= 4)
-        & (r[0] == F.element_at(r, -1))
-        & (F.abs(_ring_area_signed(r)) > 0),
-    ) & F.forall(geom, lambda poly: F.size(poly) > 0)

@@ -26,12 +26,13 @@ from croploom.llm.words import U64, buffers, slices
 from croploom.session import materialise
 
 BLOCK = 8192  # ids in a block
-LANES = 1024  # blocks coded side by side
+LANES = 512  # blocks coded side by side
 END = 2  # id after each document
 
-_SLOTS = 12  # bits of a prediction table's index
+_SLOTS = 11  # bits of a prediction table's index
 _SHARE = 16  # bits of an id's share in the third prediction
 _TOP = U64(1 << 32)
+_ALL = slice(None)
 _LEAST, _MOST = 64, 3800  # bounds of a learned trust, of 4096
 
 
@@ -112,12 +113,12 @@ class _Encoder:
     """Range coder states of all lanes, and the words they have given out."""
 
     def __init__(self, lanes: int, steps: int) -> None:
-        self.words = np.zeros((lanes, 3 * steps + 2), np.uint32)
+        self.words = np.zeros((lanes, steps // 2 + 8), np.uint32)
         self.used = np.zeros(lanes, np.int64)
         self.low, self.range = np.zeros(lanes, U64), np.full(lanes, (1 << 64) - 1, U64)
         self.all = np.arange(lanes)
 
-    def narrow(self, lanes: np.ndarray, at: np.ndarray, width: np.ndarray, depth: int) -> None:
+    def narrow(self, lanes: np.ndarray | slice, at: np.ndarray, width: np.ndarray, depth: int) -> None:
         """Narrow the ranges of some lanes to [at, at + width) of 2**depth."""
         r = self.range[lanes] >> U64(depth)
         low = self.low[lanes]
@@ -125,15 +126,20 @@ class _Encoder:
         rng = r * width.astype(U64)
         over = new < low
         if over.any():
-            _carry(self.words, self.used, lanes[over])
+            _carry(self.words, self.used, self.all[lanes][over])
         out = np.flatnonzero(rng < _TOP)
-        where = lanes[out]
+        where = out if isinstance(lanes, slice) else lanes[out]
         self.words[where, self.used[where]] = new[out] >> U64(32)
         self.used[where] += 1
         new[out] <<= U64(32)
         rng[out] <<= U64(32)
         self.low[lanes], self.range[lanes] = new, rng
 
+    def room(self) -> None:
+        """Room for the words of one more id, which are three at most, and the end."""
+        if self.used.max() + 5 > self.words.shape[1]:
+            self.words = np.concatenate([self.words, np.zeros_like(self.words)], axis=1)
+
     def end(self) -> list[bytes]:
         self.words[self.all, self.used] = self.low >> U64(32)
         self.words[self.all, self.used + 1] = self.low & U64(0xFFFFFFFF)
@@ -157,16 +163,16 @@ class _Decoder:
         self.code = self.words[:, 0].astype(U64) << U64(32) | self.words[:, 1].astype(U64)
         self.used, self.range = np.full(len(coded), 2), np.full(len(coded), (1 << 64) - 1, U64)
 
-    def ask(self, lanes: np.ndarray, depth: int) -> np.ndarray:
+    def ask(self, lanes: np.ndarray | slice, depth: int) -> np.ndarray:
         """Where in 2**depth the code of each lane lies."""
         self.step = self.range[lanes] >> U64(depth)
         return np.minimum(self.code[lanes] // self.step, U64((1 << depth) - 1)).astype(np.int64)
 
-    def narrow(self, lanes: np.ndarray, at: np.ndarray, width: np.ndarray) -> None:
+    def narrow(self, lanes: np.ndarray | slice, at: np.ndarray, width: np.ndarray) -> None:
         code = self.code[lanes] - self.step * at.astype(U64)
         rng = self.step * width.astype(U64)
         more = np.flatnonzero(rng < _TOP)
-        where = lanes[more]
+        where = more if isinstance(lanes, slice) else lanes[more]
         code[more] = code[more] << U64(32) | self.words[where, np.minimum(self.used[where], self.words.shape[1] - 1)].astype(U64)
         self.used[where] += 1
         rng[more] <<= U64(32)
@@ -178,12 +184,14 @@ def encode_blocks(ids: np.ndarray, vocabulary: int) -> list[bytes]:
     lanes, steps = ids.shape
     m, coder = _Models(lanes), _Encoder(lanes, steps)
     n, bits = 1 << _SLOTS, max(1, (vocabulary - 1).bit_length())
-    for s in np.ascontiguousarray(ids.T.astype(np.int64)):
+    for column in np.ascontiguousarray(ids.T):
+        s = column.astype(np.int64)
+        coder.room()
         m.predict()
         hit2 = s == m.p2
         hit1 = (s == m.p1) & ~hit2
         at = np.where(hit2, 0, np.where(hit1, m.w2, m.w12))
-        coder.narrow(coder.all, at, np.where(hit2, m.w2, np.where(hit1, m.w12 - m.w2, 4096 - m.w12)), 12)
+        coder.narrow(_ALL, at, np.where(hit2, m.w2, np.where(hit1, m.w12 - m.w2, 4096 - m.w12)), 12)
         missed = np.flatnonzero(~(hit2 | hit1))
         x = s[missed]
         slot = m.place(x, missed)
@@ -200,15 +208,15 @@ def decode_blocks(coded: list[bytes], steps: int, vocabulary: int) -> np.ndarray
     """Ids of blocks, ``steps`` of each; a shorter block's row goes on with whatever its words say."""
     lanes = len(coded)
     m, coder = _Models(lanes), _Decoder(coded)
-    n, bits, every = 1 << _SLOTS, max(1, (vocabulary - 1).bit_length()), np.arange(lanes)
-    out = np.empty((steps, lanes), np.int64)
+    n, bits = 1 << _SLOTS, max(1, (vocabulary - 1).bit_length())
+    out = np.empty((steps, lanes), np.uint32)
     for t in range(steps):
         m.predict()
-        v = coder.ask(every, 12)
+        v = coder.ask(_ALL, 12)
         hit2 = v < m.w2
         hit1 = (v < m.w12) & ~hit2
         at = np.where(hit2, 0, np.where(hit1, m.w2, m.w12))
-        coder.narrow(every, at, np.where(hit2, m.w2, np.where(hit1, m.w12 - m.w2, 4096 - m.w12)))
+        coder.narrow(_ALL, at, np.where(hit2, m.w2, np.where(hit1, m.w12 - m.w2, 4096 - m.w12)))
         s = np.where(hit2, m.p2, m.p1).astype(np.int64)
         missed = np.flatnonzero(~(hit2 | hit1))
         v, base = coder.ask(missed, _SHARE), m.cum[missed]
@@ -235,7 +243,7 @@ class WordIds:
     at most ``MOST`` words are remembered.
     """
 
-    MOST = 1_000_000
+    MOST = 300_000
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -395,29 +403,39 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _PIECES = ["file", "block", "place", "doc_id", "n_tokens", "n", "crc"]
 
 
-def crc32_join(first: int, second: int, size: int) -> int:
-    """Checksum of two byte strings one after the other, from theirs and the second's size.
+def _appending() -> list[list[int]]:
+    """Bit matrices of what appending 2**k zero bytes does to a checksum."""
+    now = [0xEDB88320] + [1 << i for i in range(31)]  # one zero bit
+    out = []
+    for k in range(3 + 40):
+        if k >= 3:
+            out.append(now)
+        now = [_times(now, c) for c in now]
+    return out
 
-    Appending a zero byte is a linear map of the checksum's bits; its powers are found by squaring.
-    """
-    step = [0xEDB88320] + [1 << i for i in range(31)]  # one zero bit
-    times = lambda m, v: _xor(m[i] for i in range(32) if v >> i & 1)
-    size *= 8
+
+def _times(matrix: list[int], v: int) -> int:
+    out, i = 0, 0
+    while v:
+        if v & 1:
+            out ^= matrix[i]
+        v, i = v >> 1, i + 1
+    return out
+
+
+_APPENDING = _appending()
+
+
+def crc32_join(first: int, second: int, size: int) -> int:
+    """Checksum of two byte strings one after the other, from theirs and the second's size."""
+    k = 0
     while size:
         if size & 1:
-            first = times(step, first)
-        step = [times(step, c) for c in step]
-        size >>= 1
+            first = _times(_APPENDING[k], first)
+        size, k = size >> 1, k + 1
     return first ^ second
 
 
-def _xor(values: Iterator[int]) -> int:
-    out = 0
-    for v in values:
-        out ^= v
-    return out
-
-
 def _join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sums = []

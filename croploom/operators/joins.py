@@ -8,14 +8,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A code table above this many rows is not broadcast.
+from croploom.session import size_in_bytes, stored
+
+# A code table above this many rows, or bytes of its files, is not broadcast.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 32 << 20
 SALTS = 16
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Counts the rows; meant for code tables, whose count is cheap next to a parcel shuffle."""
-    return df.count() <= max_rows
+    """Whether a stored frame may be broadcast; counting it reads no columns."""
+    return size_in_bytes(df) <= BROADCAST_BYTES and df.count() <= max_rows
 
 
 def _salt(df: DataFrame, salts: int) -> Column:
@@ -40,10 +43,10 @@ def dim_join(
     Up to ``max_rows`` rows the code table is broadcast and the large side is not moved.  Beyond
     that the large side is shuffled on the keys plus a salt taken from the row's own content, so a
     key that holds a large part of all rows still goes to ``salts`` tasks; the code table is
-    repeated once per salt value.  As ``dim`` is counted first, it should be a table or cheap to
-    work out.
+    repeated once per salt value.  ``dim`` is stored first, so that it is worked out once however it
+    came about.
     """
-    on = list(on)
+    on, dim = list(on), stored(dim, "codes")
     if is_small(dim, max_rows):
         return big.join(F.broadcast(dim), on, how)
     left = big.withColumn("_salt", _salt(big, salts))
@@ -90,7 +93,7 @@ def _pattern_pairs(pc: DataFrame, m: DataFrame) -> DataFrame:
         m.withColumn("original_code", F.col("_code")), ["nuts", "original_code"]
     )
     patterns = codes.where(wild).withColumn("_like", _spark_pattern(F.col("original_code")))
-    matched = patterns.join(m, "nuts").where(F.like(F.col("_code"), F.col("_like"))).drop("_like")
+    matched = dim_join(patterns, m, ["nuts"], "inner").where(F.like(F.col("_code"), F.col("_like"))).drop("_like")
     return plain.unionByName(matched.select(*plain.columns))
 
 

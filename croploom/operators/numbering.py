@@ -26,6 +26,8 @@ def number_rows(
     Unless the order is said to be ``unique``, a random last key spreads rows that are equal in all
     others.  It is written down before the sort, so that a task that runs again sees the same values.
     """
+    from croploom.operators.joins import is_small
+
     by = list(by)
     order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
     columns = df.columns
@@ -48,8 +50,9 @@ def number_rows(
     cond = F.col("_pid") == F.col("_p")
     for c in by:
         cond = cond & F.col(c).eqNullSafe(F.col(f"_k_{c}"))
-    # Size bound of the broadcast: one row per sorted partition and per group.
-    joined = placed.join(F.broadcast(s), cond)
+    # One row per sorted partition and per group: broadcast within the bound of code tables.
+    s = materialise(s, "starts")
+    joined = placed.join(F.broadcast(s) if is_small(s) else s, cond)
     return joined.withColumn(
         name, (F.col("_idx") - F.col("_first") + F.col("_before") + 1).cast("bigint")
     ).select(*[c for c in columns if c != name], name)

@@ -31,35 +31,22 @@ def id_bounds(df: DataFrame, keys: Iterable[str] = ("nuts", "year"), col: str =
     return df.groupBy(*keys).agg(F.min(col).alias("lowest"), F.max(col).alias("highest"))
 
 
-def reconcile(src: DataFrame, dst: DataFrame, key: str) -> DataFrame:
-    """Rows in the source and rows loaded, per layer, with their ratio and a message.
+def reconcile(src: DataFrame, dst: DataFrame, key: str, present: DataFrame | None = None) -> DataFrame:
+    """Rows in the source and rows loaded, per layer, with their ratio, what is missing and a status.
 
-    A layer that was not loaded at all has null count and ratio.
+    Status: ``complete``, ``partial``, ``missing`` (nothing was loaded; null count and ratio), or
+    ``present`` for layers named in ``present``, which an earlier run has loaded.
     """
     a = src.groupBy(key).agg(F.count(F.lit(1)).alias("n_original"))
     b = dst.groupBy(key).agg(F.count(F.lit(1)).alias("n_final"))
-    missing = F.col("n_original") - F.col("n_final")
-    percent = F.round(100 - F.col("n_final") / F.col("n_original") * 100, 4)
-    message = (
-        F.when(F.col("n_final").isNull(), "FAILED")
-        .when(missing == 0, "IMPORTED FULL")
-        .otherwise(
-            F.concat(
-                F.lit("IMPORTED but FAILED on "),
-                F.format_string("%.4f", percent),
-                F.lit("% ("),
-                missing.cast("string"),
-                F.lit("/"),
-                F.col("n_original").cast("string"),
-                F.lit(")"),
-            )
-        )
-    )
-    return (
-        a.join(b, key, "full")
-        .withColumn("ratio", F.col("n_final") / F.col("n_original"))
-        .withColumn("message", message)
+    out = a.join(b, key, "full").withColumns(
+        {"ratio": F.col("n_final") / F.col("n_original"), "n_missing": F.col("n_original") - F.coalesce("n_final", F.lit(0))}
     )
+    status = F.when(F.col("n_final").isNull(), "missing").when(F.col("n_missing") == 0, "complete").otherwise("partial")
+    if present is None:
+        return out.withColumn("status", status)
+    done = present.select(key).distinct().withColumn("_present", F.lit(True))
+    return out.join(done, key, "left").withColumn("status", F.when(F.col("_present"), "present").otherwise(status)).drop("_present")
 
 
 def layer_extent(pc: DataFrame, keys: Iterable[str] = ("year",)) -> DataFrame:

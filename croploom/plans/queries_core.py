@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from croploom.functions import geometry as G
 from croploom.functions import scalars as C
+from croploom.functions.wkb import to_wkb
 from croploom.operators import columns as P
 from croploom.operators import filters as FL
 from croploom.operators import joins as J
@@ -58,23 +60,21 @@ def _(spark, sf):
 
 @query(
     "s2_layer_scan",
-    BASE
-    + """select nuts, year, count(*) as n, sum(cropfield) :: bigint as ids, count(off_id) as off_ids from (
-      select *, cast(null as varchar) as off_id from parcels) group by nuts, year""",
+    T.with_(T.PARCELS, T.SIGNED)
+    + """select nuts, year, count(distinct cropfield) as n, count(distinct cropfield) filter (where cropfield % 2 = 0) as off_ids,
+      sum(sign * (x1 - x0) * (y1 - y0)) :: double as area from signed group by nuts, year""",
 )
 def _(spark, sf):
-    # Written with the layer naming of the data set, one folder per year, and scanned back.
-    pc = T.parcels(spark, sf)
+    # Written with the layer naming of the data set, one folder per layer, and scanned back.
     root = shared_path(spark, "layers")
-    pc.select("cropfield", "original_code", "area_ha", F.concat("nuts", F.lit("_"), "year", F.lit(".parquet")).alias("layer")).write.partitionBy("layer").parquet(root)
-    spark_paths = f"{root}/*"
-    raw = spark.read.schema(L.LAYER_FILE).parquet(spark_paths)
-    # Folder names read layer=<region>_<year>.parquet
-    path = F.regexp_replace(F.col("_metadata.file_path"), "/layer=", "/")
+    pc = T.shaped(T.parcels(spark, sf)).withColumn("geometry", to_wkb("geom"))
+    off_id = F.when(F.col("cropfield") % 2 == 0, F.col("cropfield").cast("string"))
+    name = F.concat("nuts", F.lit("_"), "year", F.lit(".parquet"))
+    pc.select("cropfield", "original_code", off_id.alias("off_id"), "geometry", name.alias("layer")).write.partitionBy("layer").parquet(root)
     return (
-        raw.select(L.path_region(path).alias("nuts"), L.path_year(path).alias("year"), "cropfield", "off_id")
+        L.read_layers(spark, f"{root}/*")
         .groupBy("nuts", "year")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("cropfield").alias("ids"), F.count("off_id").alias("off_ids"))
+        .agg(F.count(F.lit(1)).alias("n"), F.count("off_id").alias("off_ids"), F.sum(G.area(F.col("geom"))).alias("area"))
     )
 
 
@@ -97,10 +97,8 @@ def _(spark, sf):
     + """, src as (select nuts || '_' || cast(year as varchar) as layer, count(*) as n_original from parcels group by 1),
     dst as (select nuts || '_' || cast(year as varchar) as layer, count(*) as n_final from parcels
             where not (w = 100 and kind = 3) and nuts <> 'n4' group by 1)
-    select layer, n_original, n_final, n_final / n_original as ratio,
-           case when n_final is null then 'FAILED' when n_final = n_original then 'IMPORTED FULL'
-                else 'IMPORTED but FAILED on ' || format('{:.4f}', round(100 - n_final / n_original * 100, 4)) || '% ('
-                     || cast(n_original - n_final as varchar) || '/' || cast(n_original as varchar) || ')' end as message
+    select layer, n_original, n_final, n_final / n_original as ratio, n_original - coalesce(n_final, 0) as n_missing,
+           case when n_final is null then 'missing' when n_final = n_original then 'complete' else 'partial' end as status
     from src full join dst using (layer)""",
 )
 def _(spark, sf):
@@ -151,12 +149,14 @@ def _(spark, sf):
     BASE + "select nuts, count(*) as n, sum(cropfield) :: bigint as ids from parcels group by nuts",
 )
 def _(spark, sf):
-    # Written as parquet in the shared folder rather than into a session catalog.
-    path = shared_path(spark, "table")
-    pc = T.parcels(spark, sf).select("nuts", "cropfield")
-    pc.where("cropfield % 2 = 0").write.mode(sinks.MODES["replace"]).parquet(path)
-    pc.where("cropfield % 2 = 1").write.mode(sinks.MODES["append"]).parquet(path)
-    return spark.read.parquet(path).groupBy("nuts").agg(F.count(F.lit(1)).alias("n"), F.sum("cropfield").alias("ids"))
+    # A database in the shared folder, so that no session's own warehouse is needed.
+    path = shared_path(spark, "tables")
+    base = path.rsplit("/", 1)[1].replace("-", "_")
+    spark.sql(f"create database {base} location '{path}'")
+    pc = T.parcels(spark, sf).select(F.col("nuts").alias(" NUTS"), "cropfield")
+    sinks.write_table(pc.where("cropfield % 2 = 0"), f"{base}.parcels", "replace")
+    sinks.write_table(pc.where("cropfield % 2 = 1"), f"{base}.parcels", "append")
+    return spark.table(f"{base}.parcels").groupBy("nuts").agg(F.count(F.lit(1)).alias("n"), F.sum("cropfield").alias("ids"))
 
 
 @query(
@@ -453,6 +453,69 @@ def _(spark, sf):
     return J.todo(tiles.select("tx", "ty").distinct(), done)
 
 
+CHAIN = """agri as (
+  select hcat4_code, 'A' || cast(hcat4_code % 7 as varchar) as agriprod_code, '=' as link from hierarchy where hcat4_code % 5 <> 4
+  union all select hcat4_code, 'A' || cast(hcat4_code % 3 as varchar), '<' from hierarchy where hcat4_code % 2 = 0),
+  fadn as (
+  select distinct agriprod_code, 'F' || cast(substr(agriprod_code, 2) :: int // 2 as varchar) as fadn_code from agri where agriprod_code <> 'A6'
+  union all select distinct agriprod_code, 'F9' from agri where agriprod_code in ('A0', 'A1')),
+  lucas as (
+  select distinct agriprod_code, '=' as link, 'L' || substr(agriprod_code, 2) as lucas_lc_code from agri where agriprod_code <> 'A5'
+  union all select distinct agriprod_code, '>', 'L0' from agri)"""
+
+
+def chain_tables(pc: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Derived code tables with repeated codes and links: to agricultural products, and from these on."""
+    h = T.hierarchy(T.crop_map(pc)).select("hcat4_code")
+    code = lambda k: F.concat(F.lit("A"), (F.col("hcat4_code") % k).cast("string")).alias("agriprod_code")
+    agri = h.where("hcat4_code % 5 <> 4").select("hcat4_code", code(7), F.lit("=").alias("link")).unionByName(
+        h.where("hcat4_code % 2 = 0").select("hcat4_code", code(3), F.lit("<").alias("link"))
+    )
+    codes = agri.select("agriprod_code").distinct()
+    number = F.expr("cast(substring(agriprod_code, 2) as int)")
+    fadn = codes.where("agriprod_code <> 'A6'").select("agriprod_code", F.concat(F.lit("F"), F.floor(number / 2).cast("string")).alias("fadn_code"))
+    fadn = fadn.unionByName(codes.where("agriprod_code in ('A0', 'A1')").select("agriprod_code", F.lit("F9").alias("fadn_code")))
+    lucas = codes.where("agriprod_code <> 'A5'").select(
+        "agriprod_code", F.lit("=").alias("link"), F.concat(F.lit("L"), F.expr("substring(agriprod_code, 2)")).alias("lucas_lc_code")
+    )
+    return agri, fadn, lucas.unionByName(codes.select("agriprod_code", F.lit(">").alias("link"), F.lit("L0").alias("lucas_lc_code")))
+
+
+@query(
+    "j14_crosswalk_chain",
+    T.with_(T.PARCELS, T.CROP_MAP, T.USAGE_MAP, T.MAPPED, T.HIERARCHY, CHAIN)
+    + """, m as (select hcat4_code, count(*) as parcels from mapped where hcat4_code is not null group by 1),
+    a as (select * from m join agri using (hcat4_code)),
+    f as (select 'fadn' as step, fadn_code as code, parcels, hcat4_code from a join fadn using (agriprod_code)),
+    l as (select 'lucas' as step, lucas_lc_code as code, parcels, hcat4_code from a join lucas using (agriprod_code) where lucas.link = '='),
+    u as (select 'no product' as step, cast(hcat4_code as varchar) as code, 0 :: bigint as parcels, hcat4_code from m where hcat4_code not in (select hcat4_code from agri)
+      union all select distinct 'no fadn', agriprod_code, 0 :: bigint, null :: bigint from a where agriprod_code not in (select agriprod_code from fadn)
+      union all select distinct 'no lucas', agriprod_code, 0 :: bigint, null :: bigint from a where agriprod_code not in (select agriprod_code from lucas where link = '='))
+    select step, code, count(*) as links, sum(parcels) :: bigint as parcels, count(distinct hcat4_code) as crops
+    from (select * from f union all select * from l union all select * from u) group by step, code""",
+)
+def _(spark, sf):
+    # Crop codes through agricultural products to two further systems; every step fans out.
+    pc = T.parcels(spark, sf)
+    agri, fadn, lucas = chain_tables(pc)
+    lucas = lucas.where("link = '='").drop("link")
+    m = mapped(spark, sf).where("hcat4_code is not null").groupBy("hcat4_code").agg(F.count(F.lit(1)).alias("parcels"))
+    a = J.crosswalk(m, agri.drop("link"), "hcat4_code")
+    nothing = [F.lit(0).cast("bigint").alias("parcels"), F.lit(None).cast("bigint").alias("hcat4_code")]
+    f = J.crosswalk(a, fadn, "agriprod_code").select(F.lit("fadn").alias("step"), F.col("fadn_code").alias("code"), "parcels", "hcat4_code")
+    lu = J.crosswalk(a, lucas, "agriprod_code").select(F.lit("lucas").alias("step"), F.col("lucas_lc_code").alias("code"), "parcels", "hcat4_code")
+    none = J.uncovered(m, agri, "hcat4_code").select(
+        F.lit("no product").alias("step"), F.col("hcat4_code").cast("string").alias("code"), nothing[0], "hcat4_code"
+    )
+    gaps = [
+        J.uncovered(a, t, "agriprod_code").select(F.lit(f"no {n}").alias("step"), F.col("agriprod_code").alias("code"), *nothing)
+        for n, t in (("fadn", fadn), ("lucas", lucas))
+    ]
+    return U.union_layers([f, lu, none, *gaps]).groupBy("step", "code").agg(
+        F.count(F.lit(1)).alias("links"), F.sum("parcels").alias("parcels"), F.count_distinct("hcat4_code").alias("crops")
+    )
+
+
 CROSSWALK = """cross_map as (
   select hcat4_code, target, link from (
     select hcat4_code, 'T' || cast(hcat4_code % 1000000 // 100000 as varchar) as target, '=' as link from hierarchy where hcat4_code % 10 <> 8

@@ -524,19 +524,36 @@ def _(spark, sf):
 
 @query(
     "s5_ingest_layer",
-    SIGNED + "select year, count(*) as n, sum(sign * (x1 - x0) * (y1 - y0)) as area from (select *, 1 as one from signed) group by year"
-    .replace("count(*) as n", "count(distinct cropfield) as n"),
-)
-def _(spark, sf):
-    source = shapes(spark, sf).select(
-        F.col("cropfield").alias("ID"), F.col("original_code").alias("CODE"), F.col("year").alias("YR"), F.lit(1).alias("junk"), to_wkb("geom").alias("wkb_geometry")
-    )
+    SIGNED
+    + """select year, coalesce(reason, '') as reason, count(distinct cropfield) as n, sum(case when reason is null then sign * (x1 - x0) * (y1 - y0) end) as area
+    from (select *, case when cropfield % 11 = 0 or cropfield % 13 = 0 then 'no readable geometry' when cropfield % 17 = 0 then 'empty geometry' end as reason
+      from signed) group by year, reason
+    union all select 0, '', count(*), null from (select distinct cropfield from signed)""",
+)
+def _(spark, sf):
+    # A source layer with missing, cut-off and empty geometries; and one in longitude and latitude.
+    wkb = to_wkb("geom")
+    pc = shapes(spark, sf).withColumn("wkb", wkb)
+    id_ = F.col("cropfield")
+    broken = F.when(id_ % 11 == 0, F.lit(None)).when(id_ % 13 == 0, F.substring("wkb", 1, 7)).when(id_ % 17 == 0, F.unhex(F.lit("010600000000000000"))).otherwise(F.col("wkb"))
+    source = pc.select(id_.alias("ID"), F.col("original_code").alias("CODE"), F.col("year").alias("YR"), F.lit(1).alias("junk"), broken.alias("wkb_geometry"))
     manifest = spark.createDataFrame(
         [("n1", 1996, "id", "off_id", 1), ("n1", 1996, "code", "original_code", 1), ("n1", 1996, "yr", "source_year", 1), ("n1", 1996, "junk", "junk", 0)],
         "nuts string, year int, column_name string, type string, tokeep int",
     )
-    good, _ = L.ingest_layer(source, manifest, "n1", 1996, geometry="wkb_geometry")
-    return good.groupBy(F.col("source_year").alias("year")).agg(F.count(F.lit(1)).alias("n"), F.sum(G.area(F.col("geom"))).alias("area"))
+    good, bad = L.ingest_layer(source, manifest, "n1", 1996, geometry="wkb_geometry")
+    year = F.col("source_year").alias("year")
+    lon = ((id_ % 100) / 100).cast("double")
+    degrees = pc.select(id_.alias("ID"), F.col("original_code").alias("CODE"), F.col("year").alias("YR"), G.envelope(lon + 5, lon + 45, lon + 5.01, lon + 45.01).cast(GEOM).alias("shape"))
+    away, _ = L.ingest_layer(degrees, manifest.where("tokeep = 1"), "n1", 1996, geometry="shape", source_srid=4326)
+    near = away.where(G.area(F.col("geom")).between(8e5, 9.5e5))
+    return (
+        good.select(year, F.lit("").alias("reason"), G.area(F.col("geom")).alias("a"))
+        .unionByName(bad.select(year, "reason", F.lit(None).cast("double").alias("a")))
+        .groupBy("year", "reason")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("a").alias("area"))
+        .unionByName(near.agg(F.count(F.lit(1)).alias("n")).select(F.lit(0).alias("year"), F.lit("").alias("reason"), "n", F.lit(None).cast("double").alias("area")))
+    )
 
 
 @query(

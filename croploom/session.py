@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_FOLDER: ContextVar[str | None] = ContextVar("folder of the running job", default=None)
+
 # Settings a cluster job should start with.  Nothing here is required for correct results.
 RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -39,6 +44,8 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local-mode session may fall back to a temporary folder of this machine.
     """
+    if _FOLDER.get():
+        return _FOLDER.get()
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if path:
         return path
@@ -62,4 +69,32 @@ def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def stored(df: DataFrame, label: str = "stage") -> DataFrame:
+    """``df`` if it is a stored stage already, else ``materialise(df)``."""
+    return df if getattr(df, "stored_at", None) else materialise(df, label)
+
+
+def size_in_bytes(df: DataFrame) -> int:
+    """The planner's size of a frame; for a stored stage that of its files."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """A folder for the stages stored within, removed at the end.
+
+    For jobs that write their results; a frame that is still to be read must not outlive it.
+    """
+    path = shared_path(spark, "job")
+    token = _FOLDER.set(path)
+    try:
+        yield path
+    finally:
+        _FOLDER.reset(token)
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -14,9 +14,11 @@ from croploom.operators.columns import clean_names, hold, manifest_columns, sele
 from croploom.operators.filters import drop_empty
 from croploom.operators.quality import repair_layer
 from croploom.schema import LAYER_FILE
+from croploom.session import materialise
 
 # A layer is one file or one folder of files named <region>_<year>.parquet.
-_LAYER_PATH = r"/([^/_]+)_([0-9]{4}|stack)\.parquet"
+# (Spark writes such a folder as <column>=<region>_<year>.parquet.)
+_LAYER_PATH = r"/(?:[^/=]+=)?([^/_=]+)_([0-9]{4}|stack)\.parquet"
 
 
 def path_region(path: Column) -> Column:
@@ -98,5 +100,7 @@ def ingest_layer(
         .when(F.size("geom") == 0, "empty geometry")
         .when(F.col("method") == 9, "could not be repaired"),
     )
+    # Stored once: decoding and repair are dear, and both results read them.
+    fixed = materialise(fixed, "ingested")
     good = drop_empty(fixed.where(F.col("reason").isNull())).drop("reason", "method")
     return good, fixed.where(F.col("reason").isNotNull()).drop("method")
