@@ -21,6 +21,7 @@ from croploom.operators import raster as R
 from croploom.operators import stack as S
 from croploom.operators import stats as A
 from croploom.plans import trial as T
+from croploom.plans.layers import layer_job
 from croploom.plans.registry import query
 from croploom.schema import GEOM
 from croploom.session import materialise, shared_path
@@ -556,6 +557,40 @@ def _(spark, sf):
     )
 
 
+@query(
+    "s1_s11_layer_job",
+    SIGNED
+    + """, r as (select distinct nuts, year, cropfield, year = 1995 as present, cropfield % 10 = 0 as broken from signed where nuts <> 'n9'),
+    a as (select nuts, year, sum(sign * (x1 - x0) * (y1 - y0)) :: double as area, count(distinct original_code) as codes from signed
+      where cropfield % 10 <> 0 group by nuts, year),
+    g as (select nuts, year, present, count(*) as n_original, count(*) filter (where not broken) as n_kept from r group by nuts, year, present)
+    select nuts || '_' || year as layer, n_original, case when not present and n_kept > 0 then n_kept end as n_final,
+      n_original - case when present then 0 else n_kept end as n_missing,
+      case when present then 'present' when n_kept = 0 then 'missing' when n_kept = n_original then 'complete' else 'partial' end as status,
+      case when not present then area end as area, case when not present and n_kept > 0 then n_kept end as highest, case when not present then codes end as codes
+    from g left join a using (nuts, year)""",
+)
+def _(spark, sf):
+    # Source rows with the column names of their region; some geometries are missing, one year is done.
+    pc = shapes(spark, sf)
+    odd = F.expr("cast(substring(nuts, 2) as int) % 2 = 1")
+    attrs = F.when(odd, F.create_map(F.lit("FID"), F.col("cropfield").cast("string"), F.lit("Kultur"), F.col("original_code"))).otherwise(
+        F.create_map(F.lit("ID_PARCEL"), F.col("cropfield").cast("string"), F.lit("CODE"), F.col("original_code"))
+    )
+    wkb = F.when(F.col("cropfield") % 10 != 0, F.col("wkb"))
+    sources = pc.withColumn("wkb", to_wkb("geom")).select("nuts", "year", attrs.alias("attrs"), wkb.alias("wkb"))
+    layers = pc.select("nuts", "year", odd.alias("odd")).distinct()
+    names = F.when(F.col("odd"), F.array(*[F.struct(F.lit(a).alias("column_name"), F.lit(b).alias("type")) for a, b in (("fid", "off_id"), ("kultur", "original_code"))]))
+    names = names.otherwise(F.array(*[F.struct(F.lit(a).alias("column_name"), F.lit(b).alias("type")) for a, b in (("id_parcel", "off_id"), ("code", "original_code"))]))
+    manifest = layers.select("nuts", "year", F.inline(names)).withColumn("tokeep", F.lit(1))
+    out = layer_job(sources, layers.where("nuts <> 'n9'"), manifest, shared_path(spark, "layer-job"), layers.where("year = 1995"))
+    sums = out.layers.groupBy("nuts", "year").agg(
+        F.sum(G.area(from_wkb("geometry"))).alias("area"), F.max("cropfield").alias("highest"), F.count_distinct("original_code").alias("codes")
+    )
+    sums = sums.select(C.layer_name(F.col("nuts"), F.col("year")).alias("layer"), "area", "highest", "codes")
+    return out.report.drop("ratio").join(sums, "layer", "left")
+
+
 @query(
     "s8_export_layers",
     SIGNED + "select nuts, year, count(distinct cropfield) as n, sum(sign * (x1 - x0) * (y1 - y0)) as area from signed group by nuts, year",
