@@ -7,6 +7,7 @@ best-fitting stretch.
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -114,6 +115,64 @@ def weighted_ratio(a: str, b: str) -> float:
     return max(best, partial_word_ratio(a, b) * WORD_WEIGHT * weight)
 
 
+# Character counts are kept in so many bins; characters that share one only loosen the bound.
+BINS = 64
+_SLACK = 1e-6
+
+
+class Bounds:
+    """Upper bounds of the weighted score of one name with each of many candidates.
+
+    A common subsequence is no longer than what two texts have in common as bags of characters, and a
+    stretch of n characters that has k in common with a text is scored 200 k / (n + k) at most.  Word
+    scores are bounded by the same bags where no word is shared or repeated, otherwise by 100.
+    """
+
+    def __init__(self, texts: list[str]) -> None:
+        self.length = np.array([len(t) for t in texts], float)
+        self.bags = np.stack([_bag(t) for t in texts]) if texts else np.zeros((0, BINS), np.int32)
+        self.words = [set(t.split()) for t in texts]
+        self.repeats = np.array([len(w) < len(t.split()) for w, t in zip(self.words, texts)], bool)
+        self.holders: dict[str, list[int]] = {}
+        for i, ws in enumerate(self.words):
+            for w in ws:
+                self.holders.setdefault(w, []).append(i)
+
+    def of(self, name: str) -> np.ndarray:
+        if not name:
+            return np.zeros(len(self.length))
+        common = np.minimum(self.bags, _bag(name)).sum(axis=1)
+        short, long = np.minimum(self.length, len(name)), np.maximum(self.length, len(name))
+        own = name.split()
+        loose = self.repeats.copy() if len(set(own)) == len(own) else np.ones(len(short), bool)
+        loose[[i for w in set(own) for i in self.holders.get(w, ())]] = True
+        plain = 200.0 * common / np.maximum(short + long, 1)
+        part = 200.0 * common / np.maximum(short + common, 1)
+        stretch = long / np.maximum(short, 1)
+        weight = np.where(stretch <= FAR_LENGTH_ABOVE, PARTIAL_WEIGHT, FAR_PARTIAL_WEIGHT)
+        near = np.maximum(plain, WORD_WEIGHT * np.where(loose, 100.0, plain))
+        far = np.maximum(plain, weight * np.maximum(part, WORD_WEIGHT * np.where(loose, 100.0, part)))
+        return np.where(self.length == 0, 0.0, np.where(stretch < SAME_LENGTH_BELOW, near, far)) + _SLACK
+
+
+def _bag(text: str) -> np.ndarray:
+    return np.bincount([ord(c) % BINS for c in text], minlength=BINS).astype(np.int32)
+
+
+def best_of(name: str, texts: list[str], bounds: Bounds) -> tuple[float, int]:
+    """The best score and its first place in the list; the most promising candidates go first, and
+    those whose bound is below the best score so far are not compared."""
+    limit = bounds.of(name)
+    best, at = -1.0, -1
+    for i in np.argsort(-limit, kind="stable").tolist():
+        if limit[i] < best:
+            break
+        score = weighted_ratio(name, texts[i])
+        if score > best or (score == best and i < at):
+            best, at = score, i
+    return best, at
+
+
 @F.arrow_udf(
     T.ArrayType(
         T.StructType(
@@ -129,13 +188,10 @@ def best_of_batch(names: pa.Array, candidates: pa.Array) -> pa.Array:
     """For each row: a batch of names against a batch of ``(pos, text)``; the first best one wins."""
     out = []
     for batch, cands in zip(names.to_pylist(), candidates.to_pylist()):
-        row = []
+        texts = [c["text"] for c in cands]
+        bounds, row = Bounds(texts), []
         for name in batch:
-            best, at = -1.0, None
-            for c in cands:
-                score = weighted_ratio(name, c["text"])
-                if score > best:
-                    best, at = score, c["pos"]
-            row.append({"name": name, "score": best, "pos": at})
+            best, at = best_of(name, texts, bounds)
+            row.append({"name": name, "score": best, "pos": cands[at]["pos"] if at >= 0 else None})
         out.append(row)
     return pa.array(out, pa.list_(pa.struct([("name", pa.string()), ("score", pa.float64()), ("pos", pa.int64())])))
