@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -98,3 +98,14 @@ def scratch(spark: SparkSession) -> Iterator[str]:
         _FOLDER.reset(token)
         target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def settled(spark: SparkSession, label: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """The frame that ``make`` defines, stored; the stages that it stores on its way are removed."""
+    path = shared_path(spark, label)
+    with scratch(spark):
+        df = make()
+        df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
