@@ -6,6 +6,8 @@ a stretch, rings of one layer entry not crossing each other, holes inside their
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
@@ -305,19 +307,67 @@ def is_valid(geom: Column) -> Column:
     return _valid_udf(geom)
 
 
-def is_plain_box(geom: Column) -> Column:
-    """A single rectangle along the axes, which needs no further test."""
-    rings = F.get(geom, F.lit(0))
-    ring = F.get(rings, F.lit(0))
-    p = [F.get(ring, F.lit(i)) for i in range(5)]
-    along_x = (p[0].y == p[1].y) & (p[1].x == p[2].x) & (p[2].y == p[3].y) & (p[3].x == p[0].x)
-    along_y = (p[0].x == p[1].x) & (p[1].y == p[2].y) & (p[2].x == p[3].x) & (p[3].y == p[0].y)
+def _bound(value: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn`` of a value that is worked out once, however often ``fn`` refers to it."""
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
+def _up(e: Column) -> Column:
+    return (e.y > 0) | ((e.y == 0) & (e.x > 0))
+
+
+def _turns_once(ring: Column) -> Column:
+    """A closed ring that turns one way only, and once around: convex, so it cannot meet itself."""
+
+    def edge(i: Column) -> Column:
+        a, b = F.get(ring, i - 1), F.get(ring, i)
+        return F.struct((b.x - a.x).alias("x"), (b.y - a.y).alias("y"))
+
+    def corners(e: Column) -> Column:
+        def corner(i: Column) -> Column:
+            one, two = F.get(e, i), F.get(e, (i + 1) % F.size(e))
+            return F.struct(
+                (one.x * two.y - one.y * two.x).alias("turn"),
+                (one.x * two.x + one.y * two.y).alias("along"),
+                (~_up(one) & _up(two)).cast("int").alias("round"),
+            )
+
+        return F.transform(F.sequence(F.lit(0), F.size(e) - 1), corner)
+
+    def once(c: Column) -> Column:
+        one_way = F.forall(c, lambda q: q.turn >= 0) | F.forall(c, lambda q: q.turn <= 0)
+        forward = F.forall(c, lambda q: (q.turn != 0) | (q.along > 0))
+        return one_way & forward & F.exists(c, lambda q: q.turn != 0) & (F.aggregate(c, F.lit(0), lambda n, q: n + q["round"]) == 1)
+
+    return _bound(_bound(F.transform(F.sequence(F.lit(1), F.size(ring) - 1), edge), corners), once)
+
+
+def easy_ring(geom: Column) -> Column:
+    """The ring, closed and without repeated points, of a geometry of one ring that is convex then.
+
+    Null for all others.  Such a geometry is valid if its ring was closed, and is made valid by
+    closing it; neither needs the full test.
+    """
+    ring = F.get(F.get(geom, F.lit(0)), F.lit(0))
     # Equality holds for NaN and infinities too, a difference of 0 only for finite numbers.
     finite = F.forall(ring, lambda q: (q.x - q.x == 0) & (q.y - q.y == 0))
-    return F.when(
-        (F.size(geom) == 1) & (F.size(rings) == 1) & (F.size(ring) == 5),
-        finite & (p[0] == p[4]) & (p[0].x != p[2].x) & (p[0].y != p[2].y) & (along_x | along_y),
-    ).otherwise(F.lit(False))
+
+    def clean(r: Column) -> Column:
+        return F.filter(r, lambda p, i: (i == 0) | (p != F.get(r, i - 1)))
+
+    def close(r: Column) -> Column:
+        return F.when(F.get(r, F.lit(0)) == F.element_at(r, -1), r).otherwise(F.concat(r, F.slice(r, 1, 1)))
+
+    def convex(r: Column) -> Column:
+        return F.when((F.size(r) >= 4) & _turns_once(r), r)
+
+    single = (F.size(geom) == 1) & (F.size(F.get(geom, F.lit(0))) == 1) & (F.size(ring) >= 3)
+    return F.when(single & finite, _bound(_bound(_bound(ring, clean), close), convex))
+
+
+def is_closed(geom: Column) -> Column:
+    """Whether the first ring ends where it begins."""
+    return _bound(F.get(F.get(geom, F.lit(0)), F.lit(0)), lambda r: F.get(r, F.lit(0)) == F.element_at(r, -1))
 
 
 _REPAIRED = T.StructType([T.StructField("geom", GEOM), T.StructField("method", T.IntegerType())])

@@ -6,10 +6,11 @@ import struct
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from croploom.functions.nested import assemble, from_geometry_array, to_geometry_array
+from croploom.functions.nested import assemble, to_geometry_array
 from croploom.schema import GEOM
 
 # WKB type numbers.
@@ -140,6 +141,50 @@ def from_wkb(col: pa.Array) -> pa.Array:
     return decode_column(col)
 
 
+def _scatter(out: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
+    """Write equally long byte rows at given places."""
+    out[at[:, None] + np.arange(rows.shape[1])] = rows
+
+
+def _headers(kind: int, counts: np.ndarray) -> np.ndarray:
+    rows = np.zeros((len(counts), 9), np.uint8)
+    rows[:, 0], rows[:, 1] = 1, kind
+    rows[:, 5:] = counts.astype("<u4").view(np.uint8).reshape(-1, 4)
+    return rows
+
+
+def _starts(outer: np.ndarray, off: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Where inner parts start: after their outer part's header of nine bytes, one behind the other."""
+    ends = np.concatenate([[0], np.cumsum(size)])
+    return np.repeat(outer + 9 - ends[off[:-1]], np.diff(off)) + ends[:-1]
+
+
+def encode_column(col: pa.Array) -> pa.Array:
+    """Little-endian 2-D multipolygons of a whole geometry column, from its offsets; null stays null."""
+    if not len(col) or col.null_count == len(col):
+        return pa.nulls(len(col), pa.binary())
+    null = col.is_null().to_numpy(zero_copy_only=False)
+    polys = col.flatten()  # without what lies under nulls
+    rings = polys.flatten()
+    pts = rings.flatten()
+    g, p, r = (np.concatenate([[0], np.cumsum(a.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))]).astype(np.int64) for a in (col, polys, rings))
+    ring_size = 4 + 16 * np.diff(r)
+    poly_size = 9 + np.diff(np.concatenate([[0], np.cumsum(ring_size)])[p])
+    geom_size = np.where(null, 0, 9 + np.diff(np.concatenate([[0], np.cumsum(poly_size)])[g]))
+    ends = np.concatenate([[0], np.cumsum(geom_size)])
+    out = np.zeros(int(ends[-1]), np.uint8)
+    poly_at = _starts(ends[:-1], g, poly_size)
+    ring_at = _starts(poly_at, p, ring_size)
+    _scatter(out, ends[:-1][~null], _headers(MULTIPOLYGON, np.diff(g)[~null]))
+    _scatter(out, poly_at, _headers(POLYGON, np.diff(p)))
+    _scatter(out, ring_at, np.diff(r).astype("<u4").view(np.uint8).reshape(-1, 4))
+    xy = np.column_stack([pts.field(i).to_numpy(zero_copy_only=False) for i in range(2)]).astype("<f8")
+    inside = np.arange(len(xy)) - np.repeat(r[:-1], np.diff(r))
+    _scatter(out, np.repeat(ring_at + 4, np.diff(r)) + 16 * inside, xy.view(np.uint8).reshape(-1, 16))
+    plain = pa.Array.from_buffers(pa.binary(), len(col), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(out)])
+    return pc.if_else(pa.array(null), pa.scalar(None, pa.binary()), plain) if null.any() else plain
+
+
 @F.arrow_udf(T.BinaryType())
 def to_wkb(col: pa.Array) -> pa.Array:
-    return pa.array([encode(g) for g in from_geometry_array(col)], pa.binary())
+    return encode_column(col)

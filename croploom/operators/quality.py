@@ -9,21 +9,24 @@ from pyspark.sql import functions as F
 
 from croploom.functions import geometry as G
 from croploom.functions import validity as V
+from croploom.operators.columns import hold
 from croploom.operators.stats import join_ids
 
 
 def _with_suspect(df: DataFrame, geom: str) -> DataFrame:
-    """``_suspect``: the geometry where it needs the full test; null for plain rectangles."""
-    return df.withColumn("_suspect", F.when(~V.is_plain_box(F.col(geom)), F.col(geom)))
+    """``_easy``: the ring of a convex geometry of one ring; ``_suspect``: every other geometry, which
+    needs the full test."""
+    eased = hold(df, "_easy", V.easy_ring(F.col(geom)))
+    return eased.withColumn("_suspect", F.when(F.col("_easy").isNull(), F.col(geom)))
 
 
 def with_validity(df: DataFrame, geom: str = "geom") -> DataFrame:
-    """Adds ``valid``; plain rectangles are settled without leaving the JVM."""
-    plain = F.col("_suspect").isNull() & F.col(geom).isNotNull()
+    """Adds ``valid``; convex rings are settled without leaving the JVM."""
+    easy = F.col("_easy").isNotNull()
     return (
         _with_suspect(df, geom)
-        .withColumn("valid", F.when(plain, True).otherwise(V.is_valid(F.col("_suspect"))))
-        .drop("_suspect")
+        .withColumn("valid", F.when(easy, V.is_closed(F.col(geom))).otherwise(V.is_valid(F.col("_suspect"))))
+        .drop("_easy", "_suspect")
     )
 
 
@@ -41,17 +44,18 @@ def repair_layer(df: DataFrame, geom: str = "geom") -> DataFrame:
 
     0 was valid already, 1 made valid, 3 zero-width buffer, 4 shrunk and grown, 9 still invalid.
     """
-    plain = F.col("_suspect").isNull()
+    easy, closed = F.col("_easy").isNotNull(), V.is_closed(F.col(geom))
+    method = F.when(easy, F.when(closed, 0).otherwise(1)).otherwise(F.col("_fix.method"))
     return (
         _with_suspect(df, geom)
         .withColumn("_fix", V.repair(F.col("_suspect")))
         .withColumns(
             {
-                geom: F.when(plain, F.col(geom)).otherwise(F.col("_fix.geom")),
-                "method": F.when(F.col(geom).isNotNull(), F.when(plain, F.lit(0)).otherwise(F.col("_fix.method"))),
+                "method": F.when(F.col(geom).isNotNull(), method),
+                geom: F.when(easy & closed, F.col(geom)).when(easy, F.array(F.array("_easy"))).otherwise(F.col("_fix.geom")),
             }
         )
-        .drop("_fix", "_suspect")
+        .drop("_fix", "_easy", "_suspect")
     )
 
 

@@ -301,3 +301,31 @@ def test_rectangles_with_odd_coordinates_are_invalid(spark, bad):
     df = spark.createDataFrame([(1, [[ring]])], f"id long, geom {GEOM.simpleString()}")
     assert [r.valid for r in Q.with_validity(df).collect()] == [False]
     assert [r.method for r in Q.repair_layer(df).collect()] == [9]
+
+
+def test_convex_rings_are_settled_as_the_full_test_does(spark):
+    from croploom.functions import validity as V
+    from croploom.operators import quality as Q
+    from croploom.schema import GEOM
+
+    rng = np.random.default_rng(5)
+    rings = []
+    for n in range(3, 12):
+        t = np.sort(rng.random(n)) * 2 * np.pi
+        circle = [(float(np.round(3e6 + 90 * np.cos(a), 3)), float(np.round(2e6 + 50 * np.sin(a), 3))) for a in t]
+        rings += [[*circle, circle[0]], circle[::-1] + [circle[-1]], circle, [circle[0], *circle, circle[0]], [*circle, circle[1], circle[0]]]
+        star = [circle[(k * 2) % n] for k in range(n)]
+        rings.append([*star, star[0]])
+    rings += [[(0.0, 0.0), (1.0, 0.0), (2.0, 0.0), (2.0, 2.0), (0.0, 0.0)], [(0.0, 0.0), (2.0, 0.0), (1.0, 0.0), (2.0, 2.0), (0.0, 0.0)]]
+    rings += [[(0.0, 0.0), (1.0, 1.0), (0.0, 0.0)], [(0.0, 0.0), (1.0, 1.0), (2.0, 2.0), (0.0, 0.0)], [(0.0, 0.0)] * 5, [(0.0, 0.0), (1.0, 0.0)], []]
+    df = spark.createDataFrame([(i, [[r]]) for i, r in enumerate(rings)], f"id long, geom {GEOM.simpleString()}")
+    want = V.valid_batch([[[np.asarray(r, float).reshape(-1, 2)]] for r in rings])
+    got = {r.id: r.valid for r in Q.with_validity(df).collect()}
+    assert [got[i] for i in range(len(rings))] == want
+    fixed = {r.id: r for r in Q.with_validity(Q.repair_layer(df)).withColumn("a", G.area(F.col("geom"))).collect()}
+    full = dict(zip(range(len(rings)), zip(*V.repair_batch([[[np.asarray(r, float).reshape(-1, 2)]] for r in rings]))))
+    for i, (geom, method) in full.items():
+        assert fixed[i].method == method, rings[i]
+        if method in (0, 1):
+            assert fixed[i].valid and abs(abs(fixed[i].a) - abs(sum(signed(r) for p in geom for r in p))) < 0.1
+    assert df.select(V.easy_ring(F.col("geom")).alias("e")).where("e is not null").count() > 30

@@ -150,3 +150,14 @@ def test_export_of_one_region_leaves_the_others(spark, tmp_path):
         assert sorted(r.nuts for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a", "b"]
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+
+
+def test_columns_are_encoded_as_single_values_are():
+    from croploom.functions.nested import from_geometry_array, to_geometry_array
+
+    sq = [(0.0, 0.0), (1.0, 0.0), (1.0, 1.5), (0.0, 0.0)]
+    hole = [(0.1, 0.1), (0.2, 0.1), (0.2, 0.2), (0.1, 0.1), (0.1, 0.1)]
+    geoms = [[[sq]], None, [], [[sq, hole], [sq]], [[sq], [sq], [hole]], None, [[[]]], [[]]]
+    col = to_geometry_array(geoms)
+    for part in (col, col.slice(1), col.slice(3, 2), col.slice(1, 1), col.slice(0, 0)):
+        assert W.encode_column(part).to_pylist() == [W.encode(g) for g in from_geometry_array(part)]
