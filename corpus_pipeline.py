@@ -12,19 +12,16 @@ from croploom.llm import decontam, dedup, langid, pieces, secrets
 from croploom.llm.queries import PIECES, table
 from croploom.session import materialise
 
-#: Cosine with the nearest language below which a text counts as no language: about what noise gives.
-LEAST_SCORE = 0.05
-
-
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without letters, or near to no language, go; a missing lang is filled in.
+    """Documents without letters go, and those with a positive cosine to no language; a missing lang is filled in.
 
-    Where no document is labelled nothing can be told, and all documents with letters stay.
+    Short texts have small cosines, so any positive one counts.  Where no document is labelled nothing
+    can be told, and all documents with letters stay.
     """
     languages, prototypes = langid.learn(docs)
     if not languages:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
-    kept = langid.identify(docs, languages, prototypes).filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE))
+    kept = langid.identify(docs, languages, prototypes).filter((F.col("lang_pred") != "und") & (F.col("score") > 0))
     return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
 
 
@@ -50,9 +47,8 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def segment(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of what is left, and whether they decode to the text they came from."""
-    coded = pieces.decode(pieces.encode(docs.select("doc_id", "lang", "source", "text"), PIECES), PIECES)
-    lossless = F.col("decoded") == F.coalesce("text", F.lit(""))
-    return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_ids"), "ids", lossless.alias("lossless"))
+    coded = pieces.encode(docs.select("doc_id", "lang", "source", "text"), PIECES, check="lossless")
+    return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_ids"), "ids", "lossless")
 
 
 STAGES = [

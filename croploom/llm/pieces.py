@@ -22,7 +22,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from croploom.llm.words import MASK, U64, mix, slices
+from croploom.llm.words import MASK, U64, mix, release, slices
 
 DROPOUT, SEED, STREAMS = 0.1, 17, 16
 STREAMS_MOST = 1 << 16
@@ -278,29 +278,37 @@ def decode_ids(model: Pieces, ids: np.ndarray, first: np.ndarray) -> list[str]:
     return out
 
 
-def encode(docs: DataFrame, path: str, dropout: float = DROPOUT, seed: int = SEED, streams: int = STREAMS, key: str = "doc_id") -> DataFrame:
+def encode(
+    docs: DataFrame, path: str, dropout: float = DROPOUT, seed: int = SEED, streams: int = STREAMS, key: str = "doc_id", check: str | None = None
+) -> DataFrame:
     """``docs`` (any columns besides text) with ``ids``: array of piece ids, without control ids.
 
     Without dropout these are the ids that the sentencepiece library gives, but for U+2581, which is
     encoded as bytes here so that decoding returns it.  Documents are dealt to ``streams`` streams of
     dropout decisions by a hash of the column ``key``.  Null and empty texts have no ids.  Repeated
-    rows are encoded alike.  A column of ``docs`` named ids is replaced.
+    rows are encoded alike.  With ``check``, the ids are decoded in the same task, and a column of that
+    name says whether this gives the text back (for a null text: an empty one).  Columns of ``docs``
+    named ids or like ``check`` are replaced.
     """
     if not 1 <= streams <= STREAMS_MOST:
         raise ValueError(f"streams must be from 1 to {STREAMS_MOST}")
-    docs = docs.drop("ids")
+    docs = docs.drop("ids", *([check] if check else []))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(path)
         for whole in batches:
             for batch in slices(whole, "text", SLICE_BYTES):
                 where = batch.column("__stream").to_numpy()
-                ids, first = encode_texts(model, batch.column("text").to_pylist(), where, dropout, seed)
+                texts = batch.column("text").to_pylist()
+                ids, first = encode_texts(model, texts, where, dropout, seed)
                 kept = [(c, n) for c, n in zip(batch.columns, batch.schema.names) if n != "__stream"]
-                ids = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(ids.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([*(c for c, _ in kept), ids], names=[*(n for _, n in kept), "ids"])
+                kept.append((pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(ids.astype(np.int32))), "ids"))
+                if check:
+                    back = decode_ids(model, ids, first)
+                    kept.append((pa.array([b == (t or "") for b, t in zip(back, texts)], pa.bool_()), check))
+                yield pa.RecordBatch.from_arrays([c for c, _ in kept], names=[n for _, n in kept])
 
-    schema = docs.withColumn("ids", F.array().cast("array<int>")).schema
+    schema = docs.withColumns({"ids": F.array().cast("array<int>")} | ({check: F.lit(True)} if check else {})).schema
     return docs.withColumn("__stream", F.pmod(F.xxhash64(key), F.lit(streams)).cast("long")).mapInArrow(run, schema)
 
 
@@ -321,6 +329,7 @@ def decode(coded: DataFrame, path: str, name: str = "decoded") -> DataFrame:
                 texts = pa.array([None if null else t for t, null in zip(texts, col.is_null().to_pylist())], pa.string())
                 yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=[*batch.schema.names, name])
                 lo = hi
+            release()
 
     return coded.mapInArrow(run, coded.withColumn(name, F.lit(None).cast("string")).schema)
 

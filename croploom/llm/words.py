@@ -8,6 +8,7 @@ is 0x80 or more, and so are the bytes that a class of "all but these ASCII chara
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -72,6 +73,16 @@ def buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+_libc = ctypes.CDLL(None)
+
+
+def release() -> None:
+    """Give memory that is no longer used back to the system: Python workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_libc, "malloc_trim"):
+        _libc.malloc_trim(0)
+
+
 def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Runs of rows with at most so many bytes of text each, or a single row."""
     _, off = buffers(batch.column(column))
@@ -81,6 +92,7 @@ def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Itera
         hi = min(hi, batch.num_rows)
         yield batch.slice(lo, hi - lo)
         lo = hi
+    release()
 
 
 class Words:

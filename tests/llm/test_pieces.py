@@ -86,5 +86,7 @@ def test_operators(spark):
     out = P.decode(P.encode(df, PATH, 0.3), PATH).collect()
     assert sorted((str(r.doc_id), r.text or "", r.decoded) for r in out) == sorted((str(d), t or "", t or "") for d, t in rows)
     assert len({tuple(r.ids) for r in out if r.doc_id == 1}) == 1
+    checked = P.encode(df, PATH, 0.3, check="decoded").collect()
+    assert len(checked) == len(rows) and all(r.decoded is True for r in checked)
     assert P.decode(P.encode(df.limit(0), PATH), PATH).count() == 0
     assert P.decode(spark.createDataFrame([(None,), ([],)], "ids array<int>"), PATH).filter("decoded is null").count() == 1
