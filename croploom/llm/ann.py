@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from croploom.operators.numbering import number_rows
-from croploom.session import materialise
+from croploom.session import materialise, settled
 
 NEAREST = 10
 CURVES, DIRECTIONS, BITS = 16, 6, 6
@@ -195,7 +195,13 @@ def nearest_neighbours(
     take no part, nor do vectors of another length than most have (of equally frequent lengths, the
     shorter).  Repeated rows count once; of several vectors under one id the nearest counts.  Other
     columns are ignored.  An empty table gives no rows.
+
+    The work is done when this is called; the result is stored.
     """
+    return settled(vectors.sparkSession, "neighbours", lambda: _neighbours(vectors, query_filter, nearest, curves, vec))
+
+
+def _neighbours(vectors: DataFrame, query_filter: str, nearest: int, curves: int, vec: str) -> DataFrame:
     spark = vectors.sparkSession
     rows = vectors.filter("vec_id is not null").filter(usable(vec)).select("vec_id", F.col(vec).alias("vec"))
     sizes = rows.groupBy(F.size("vec").alias("n")).count().orderBy(F.desc("count"), "n").first()

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from croploom.llm.components import components
 from croploom.llm.words import SPACED, U64, Words, buffers, fold, mix, slices
-from croploom.session import materialise
+from croploom.session import materialise, settled
 
 SHINGLE = 5
 EVALUATIONS = 64
@@ -190,7 +190,13 @@ def near_duplicates(docs: DataFrame, numerator: int = NUMERATOR, denominator: in
     Null, empty or wordless text: n_shingles 0, linked with nothing, kept.  Repeated rows: each comes
     out, linked as any copy.  Several texts under one id: each row is linked by its own text.  A null
     doc_id takes no part: component_id null, kept true.  An empty table gives no rows.
+
+    The work is done when this is called; the result is stored.
     """
+    return settled(docs.sparkSession, "near-duplicates", lambda: _components_of(docs, numerator, denominator))
+
+
+def _components_of(docs: DataFrame, numerator: int, denominator: int) -> DataFrame:
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
     signed = materialise(
         rows.mapInArrow(_sign, "doc_id long, text_key long, n_shingles long, node binary, bands array<long>"), "dedup-signed"
