@@ -3,8 +3,8 @@
 The windows of all benchmark items are brought to the tasks as sorted hashes with their words.  Tasks
 hash every word window of every text with array arithmetic, look the hashes up, and compare the words
 of each find, so that a result never rests on a hash.  The broadcast set is counted first: a benchmark
-of more than ``WINDOWS`` distinct (window, item) pairs is split by hash into parts of about that many, which
-go over the texts one after the other.
+of more than ``WINDOWS`` distinct (window, item) pairs is split by hash into parts of about that many,
+which go over the texts one after the other; a window that very many items share is in several parts.
 """
 
 from __future__ import annotations
@@ -135,7 +135,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, w
         {"n_words": F.lit(0).cast("long"), "items": none, "spans": F.array().cast("array<struct<first:long,words:long,start:long,stop:long>>")}
     )
     for part in range(parts):
-        own = pairs.filter(F.pmod(F.xxhash64("k", "words"), F.lit(parts)) == part)
+        own = pairs.filter(F.pmod(F.xxhash64("k", "words", "item_id"), F.lit(parts)) == part)
         rows = own.groupBy("k", "words").agg(F.collect_set("item_id").alias("items")).collect()
         shared = spark.sparkContext.broadcast(WindowSet([(r.k, bytes(r.words), list(r["items"])) for r in rows]))
         out = out.mapInArrow(_scan(shared), out.schema)
