@@ -272,4 +272,4 @@ def test_rotation_products(spark, sf):
     known = {r.cropfield: r.original_code for r in pc.collect()}
     for r in rows:
         assert r.c1996 == (known[r.cf1996] if r.cf1996 else None)
-    assert out.outlines.count() == len(rows) and out.gaps.columns == ["x", "y"]
+    assert out.outlines.count() == len(rows) and out.gaps.columns == ["nuts", "x", "y"]
