@@ -17,16 +17,18 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from croploom.llm.words import U64, buffers, slices
 from croploom.session import materialise
 
-BLOCK = 8192  # ids in a block
-LANES = 512  # blocks coded side by side
+BLOCK = 4096  # ids in a block
+LANES = 1536  # blocks coded side by side
 END = 2  # id after each document
 
 _SLOTS = 11  # bits of a prediction table's index
@@ -84,8 +86,8 @@ class _Models:
 
     def learn(self, s: np.ndarray, hit2: np.ndarray, hit1: np.ndarray, missed: np.ndarray, held: np.ndarray) -> None:
         """hit1: p1 is right and p2 was wrong; missed: lanes with neither; held: which of those a slot holds."""
-        self.trust2[self.it] = np.clip(self.t2 + (((hit2 << 12) - self.t2) >> 5), _LEAST, _MOST)
-        t1 = np.clip(self.t1 + (((hit1 << 12) - self.t1) >> 5), _LEAST, _MOST)
+        self.trust2[self.it] = np.minimum(np.maximum(self.t2 + (((hit2 << 12) - self.t2) >> 5), _LEAST), _MOST)
+        t1 = np.minimum(np.maximum(self.t1 + (((hit1 << 12) - self.t1) >> 5), _LEAST), _MOST)
         self.trust1[self.it] = np.where(hit2, self.t1, t1)
         fresh = s << 3 | 1
         c2, c1 = self.e2 & 7, self.e1 & 7
@@ -260,16 +262,14 @@ class WordIds:
         texts = [raw[a:b].split() for a, b in zip(offsets[:-1], offsets[1:])]
         if len(self.known) > self.MOST:
             self.known, self.first = {}, [0]
-        known, fresh = self.known, []
-        for t in texts:
-            for w in t:
-                if w not in known:
-                    known[w] = len(known)
-                    fresh.append(w)
+        flat, known = list(chain.from_iterable(texts)), self.known
+        code, names = pd.factorize(np.fromiter(flat, object, len(flat)))
+        fresh = [w for w in names if w not in known]
+        known.update(zip(fresh, range(len(known), len(known) + len(fresh))))
         if fresh:
             coded = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in fresh], add_special_tokens=False)]
             size = np.array([len(c) for c in coded], np.int64)
-            new = np.fromiter((i for c in coded for i in c), np.uint32, int(size.sum()))
+            new = np.fromiter(chain.from_iterable(coded), np.uint32, int(size.sum()))
             start = int(self.first[-1])
             while start + len(new) > len(self.ids):
                 self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
@@ -277,7 +277,7 @@ class WordIds:
             self.first = np.concatenate([np.asarray(self.first, np.int64), start + np.cumsum(size)])
         first = np.asarray(self.first, np.int64)
         n = np.array([len(t) for t in texts], np.int64)
-        code = np.fromiter((known[w] for t in texts for w in t), np.int64, int(n.sum()))
+        code = np.fromiter(map(known.__getitem__, names), np.int64, len(names))[code] if len(flat) else np.zeros(0, np.int64)
         size = first[code + 1] - first[code] if len(code) else np.zeros(0, np.int64)
         text = np.repeat(np.arange(len(texts)), n)
         total = np.bincount(text, weights=size, minlength=len(texts)).astype(np.int64) + 1
