@@ -2,12 +2,15 @@
 
 Encoding follows the model's merges: of all neighbouring symbols whose union is a piece, the pair with
 the best score is merged first, the leftmost of equals.  Under dropout a candidate, that is a pair of
-spans of a word, is skipped when a keyed hash of the seed, the document's stream number, the word and
-the spans falls below the dropout rate.  The decision belongs to the candidate and not to the moment it
-is looked at, so an encoding can be repeated exactly, on any cluster.
-
-The distinct words of a batch of texts are merged together, one merge per word and pass over the batch;
-only words of more than ``LONG`` symbols go through an agenda one by one.
+spans of a word, is skipped when a keyed hash of the seed, the document, the word's place in it, the word
+and the spans falls below the dropout rate.  The decision belongs to the candidate and not to the moment
+it is looked at, so an encoding can be repeated exactly, on any cluster.  Each occurrence of a word has
+decisions of its own.
+
+The distinct words of a batch of texts are merged together without dropout, one merge per word and pass
+over the batch.  An occurrence that skips none of its word's merges is cut like that; the others are merged
+again, each for itself but together as well.  Only words of more than ``LONG`` symbols go through an agenda
+one by one.
 """
 
 from __future__ import annotations
@@ -24,9 +27,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from croploom.llm.words import MASK, U64, mix, release, slices
 
-DROPOUT, SEED, STREAMS = 0.1, 17, 16
-STREAMS_MOST = 1 << 16
+DROPOUT, SEED = 0.1, 17
 LONG = 64
+OCCURRENCES = 1 << 16  # occurrences of words whose decisions are looked at together
 SLICE_BYTES, SLICE_IDS = 1 << 19, 1 << 18  # text and ids handled at a time, a longer document alone
 NONE = np.int64(1) << 40  # rank of a pair that is not a candidate
 _CHUNK = re.compile(r" *[^ ]+| +")
@@ -67,14 +70,11 @@ class Pieces:
         self.pairs = pairs
         self.key = np.full(1 << _BITS, -1, np.int64)
         self.merged, self.rank = np.zeros(1 << _BITS, np.int64), np.full(1 << _BITS, NONE)
-        self.probes = 1
         for k, (i, r) in pairs.items():
             at = (k * int(_HASH) & MASK) >> (64 - _BITS)
-            tries = 1
             while self.key[at] >= 0:
-                at, tries = (at + 1) & ((1 << _BITS) - 1), tries + 1
+                at = (at + 1) & ((1 << _BITS) - 1)
             self.key[at], self.merged[at], self.rank[at] = k, i, r
-            self.probes = max(self.probes, tries)
         text = [names[i].replace("▁", " ").encode() if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i)) else b"" for i in range(n)]
         for b in range(256):
             text[self.first_byte + b] = bytes([b])
@@ -85,11 +85,17 @@ class Pieces:
         """Merged piece and rank of each pair of symbols."""
         k = np.where((left < 0) | (right < 0), -2, left * self.symbols + right)
         at = ((k.astype(U64) * _HASH) >> U64(64 - _BITS)).astype(np.int64)
-        rank, merged = np.full(len(k), NONE), np.zeros(len(k), np.int64)
-        for _ in range(self.probes):
-            hit = self.key[at] == k
-            rank[hit], merged[hit] = self.rank[at[hit]], self.merged[at[hit]]
-            at = (at + 1) & ((1 << _BITS) - 1)
+        got = self.key[at]
+        hit = got == k
+        rank, merged = np.where(hit, self.rank[at], NONE), np.where(hit, self.merged[at], 0)
+        more = np.flatnonzero(~hit & (got >= 0) & (k >= 0))  # an empty place ends a search
+        while len(more):
+            at[more] = (at[more] + 1) & ((1 << _BITS) - 1)
+            got = self.key[at[more]]
+            hit = got == k[more]
+            found = more[hit]
+            rank[found], merged[found] = self.rank[at[found]], self.merged[at[found]]
+            more = more[~hit & (got >= 0)]
         return merged, rank
 
 
@@ -140,10 +146,13 @@ def agenda(model: Pieces, points: np.ndarray, key: int, dropout: float) -> list[
     return [sym[i] if sym[i] >= 0 else -1 - int(points[i]) for i in range(n) if alive[i]]
 
 
-def merge_all(model: Pieces, points: np.ndarray, first: np.ndarray, key: np.ndarray, dropout: float) -> tuple[np.ndarray, np.ndarray]:
+def merge_all(
+    model: Pieces, points: np.ndarray, first: np.ndarray, key: np.ndarray, dropout: float, made: list[tuple[np.ndarray, ...]] | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """Symbols of many words, as ``agenda`` gives them, and how many each word has.
 
-    ``first`` tells where each word's characters begin; no word is empty.
+    ``first`` tells where each word's characters begin; no word is empty.  The merges, as word and spans,
+    are added to ``made``.
     """
     n, words = len(points), len(first) - 1
     word = np.repeat(np.arange(words), np.diff(first))
@@ -155,42 +164,44 @@ def merge_all(model: Pieces, points: np.ndarray, first: np.ndarray, key: np.ndar
     prv[first[:-1]] = -1
     stop = place + 1
     alive = np.ones(n, bool)
-    rank, new = np.full(n, NONE), np.zeros(n, np.int64)
+    # rank of the pair at a position, then the position: the least of a word is the leftmost best pair
+    last = np.iinfo(np.int64).max
+    rank, new = np.full(n, last), np.zeros(n, np.int64)
 
     def offer(i: np.ndarray) -> None:
         i = i[i >= 0]
-        rank[i] = NONE
+        rank[i] = last
         i = i[nxt[i] >= 0]
         j = nxt[i]
         m, r = model.look_up(sym[i], sym[j])
         some = np.flatnonzero(r < NONE)
         i, j, m, r = i[some], j[some], m[some], r[some]
-        ok = ~skipped(key[word[i]], place[i], place[j], stop[j], dropout)
-        rank[i[ok]], new[i[ok]] = r[ok], m[ok]
+        if dropout > 0:
+            ok = ~skipped(key[word[i]], place[i], place[j], stop[j], dropout)
+            i, m, r = i[ok], m[ok], r[ok]
+        rank[i], new[i] = r * n + i, m
 
     offer(np.arange(n))
     # positions that may still merge, word by word; finished words leave
-    at = np.arange(n)
+    at, size = np.arange(n), np.diff(first)
     while len(at):
-        w = word[at]
-        begin = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]]))
-        best = np.minimum.reduceat(rank[at], begin)
-        size = np.diff(np.concatenate([begin, [len(at)]]))
-        going = best < NONE
-        hit = np.flatnonzero((rank[at] == np.repeat(best, size)) & np.repeat(going, size))
-        if not len(hit):
+        best = np.minimum.reduceat(rank[at], np.cumsum(size) - size)
+        going = best < last
+        i = best[going] % n
+        if not len(i):
             break
-        lead = hit[np.concatenate([[True], w[hit[1:]] != w[hit[:-1]]])]
-        i = at[lead]
         j = nxt[i]
+        if made is not None:
+            made.append((word[i], place[i], place[j], stop[j]))
         sym[i], stop[i] = new[i], stop[j]
-        alive[j], rank[j] = False, NONE
+        alive[j], rank[j] = False, last
         nxt[i] = nxt[j]
         has = nxt[i] >= 0
         prv[nxt[i][has]] = i[has]
         offer(np.concatenate([prv[i], i]))
         at = at[np.repeat(going, size)]
         at = at[alive[at]]
+        size = size[going] - 1
     out = np.where(sym >= 0, sym, -1 - points.astype(np.int64))[alive]
     return out, np.bincount(word[alive], minlength=words)
 
@@ -225,45 +236,77 @@ def _with_bytes(model: Pieces, sym: np.ndarray, size: np.ndarray) -> tuple[np.nd
 
 
 def encode_texts(model: Pieces, texts: list[str | None], streams: np.ndarray, dropout: float, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of whole texts, and where each text's begin."""
+    """Ids of whole texts, and where each text's begin.
+
+    ``streams`` has a whole number for each text; texts with equal ones share their decisions, place by place.
+    """
     chunks = [_CHUNK.findall(" " + t) if t else [] for t in texts]
     count = np.array([len(c) for c in chunks], np.int64)
     flat = [w for c in chunks for w in c]
     if not flat:
         return np.zeros(0, np.int64), np.zeros(len(texts) + 1, np.int64)
     code, names = pd.factorize(np.array(flat, object))
-    stream = np.repeat(streams, count)
-    if dropout <= 0:
-        stream = np.zeros_like(stream)
-    code, both = pd.factorize(code.astype(np.int64) * STREAMS_MOST + stream)
-    name, own_stream = both // STREAMS_MOST, both % STREAMS_MOST
     points = np.frombuffer("".join(names).encode("utf-32-le", "replace"), np.uint32)
     length = np.array([len(x) for x in names], np.int64)
     begin = np.concatenate([[0], np.cumsum(length)])
-    h = mix((points.astype(U64) + U64(1)) * U64(0xA24BAED4963EE407) + mix(_ranges(np.zeros(len(length), np.int64), length).astype(U64)))
-    word_hash = np.add.reduceat(h, begin[:-1])
-    key = mix(word_hash[name] + mix(own_stream.astype(U64) + U64(seed * int(_HASH) & MASK)))
-    short = np.flatnonzero(length[name] <= LONG)
-    out_size = np.zeros(len(both), np.int64)
-    parts, owners = [], []
+
+    def merged(name: np.ndarray, key: np.ndarray, rate: float, made: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+        size = length[name]
+        sym, n = merge_all(model, points[_ranges(begin[name], size)], np.concatenate([[0], np.cumsum(size)]), key, rate, made)
+        return _with_bytes(model, sym, n)
+
+    def alone(name: int, key: int) -> np.ndarray:
+        sym = np.array(agenda(model, points[begin[name] : begin[name + 1]], key, dropout), np.int64)
+        return _with_bytes(model, sym, np.array([len(sym)]))[0]
+
+    # every distinct word without dropout: its ids, and its merges one after another
+    short = np.flatnonzero(length <= LONG)
+    own_start, own_size = np.zeros(len(names), np.int64), np.zeros(len(names), np.int64)
+    parts, total, made = [], 0, []
     if len(short):
-        size = length[name[short]]
-        sym, n = merge_all(model, points[_ranges(begin[name[short]], size)], np.concatenate([[0], np.cumsum(size)]), key[short], dropout)
-        ids, n = _with_bytes(model, sym, n)
-        parts.append(ids)
-        owners.append(np.repeat(short, n))
-    for k in np.flatnonzero(length[name] > LONG):
-        sym = np.array(agenda(model, points[begin[name[k]] : begin[name[k] + 1]], int(key[k]), dropout), np.int64)
-        ids, _ = _with_bytes(model, sym, np.array([len(sym)]))
-        parts.append(ids)
-        owners.append(np.full(len(ids), k))
-    ids, owner = np.concatenate(parts), np.concatenate(owners)
-    out_size = np.bincount(owner, minlength=len(both))
-    order = np.argsort(owner, kind="stable")
-    start = np.concatenate([[0], np.cumsum(out_size)])
-    size = out_size[code]
+        ids, n = merged(short, np.zeros(len(short), U64), 0.0, made if dropout > 0 else None)
+        own_size[short], own_start[short] = n, np.cumsum(n) - n
+        parts, total = [ids], len(ids)
+    if dropout <= 0:
+        for k in np.flatnonzero(length > LONG):
+            parts.append(alone(k, 0))
+            own_start[k], own_size[k] = total, len(parts[-1])
+            total += len(parts[-1])
+    start, size = own_start[code], own_size[code]
+
+    if dropout > 0:
+        h = mix((points.astype(U64) + U64(1)) * U64(0xA24BAED4963EE407) + mix(_ranges(np.zeros(len(length), np.int64), length).astype(U64)))
+        word_hash = np.add.reduceat(h, begin[:-1])
+        text_key = mix(streams.astype(U64) + U64(seed * int(_HASH) & MASK))
+        place = _ranges(np.zeros(len(count), np.int64), count)
+        owner = np.repeat(np.arange(len(texts)), count)
+        steps = np.zeros(len(names), np.int64)
+        if made:
+            word, *spans = (np.concatenate(x) for x in zip(*made))
+            steps[short] = np.bincount(word, minlength=len(short))
+            order = np.argsort(word, kind="stable")
+            spans = [x[order] for x in spans]
+        first_step = np.cumsum(steps) - steps
+        for lo in range(0, len(code), OCCURRENCES):
+            name = code[lo : lo + OCCURRENCES]
+            key = mix(word_hash[name] + mix(text_key[owner[lo : lo + OCCURRENCES]] + place[lo : lo + OCCURRENCES].astype(U64)))
+            differs = np.zeros(len(name), bool)
+            n = steps[name]
+            if n.any():
+                at, who = _ranges(first_step[name], n), np.repeat(np.arange(len(name)), n)
+                differs[who[skipped(key[who], *(x[at] for x in spans), dropout)]] = True
+            again = np.flatnonzero(differs)
+            if len(again):
+                ids, n = merged(name[again], key[again], dropout)
+                start[lo + again], size[lo + again] = total + np.cumsum(n) - n, n
+                parts.append(ids)
+                total += len(ids)
+            for k in np.flatnonzero(length[name] > LONG):
+                parts.append(alone(name[k], int(key[k])))
+                start[lo + k], size[lo + k] = total, len(parts[-1])
+                total += len(parts[-1])
     first = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(count)])]
-    return ids[order][_ranges(start[code], size)], first
+    return np.concatenate(parts)[_ranges(start, size)], first
 
 
 def decode_ids(model: Pieces, ids: np.ndarray, first: np.ndarray) -> list[str]:
@@ -279,19 +322,17 @@ def decode_ids(model: Pieces, ids: np.ndarray, first: np.ndarray) -> list[str]:
 
 
 def encode(
-    docs: DataFrame, path: str, dropout: float = DROPOUT, seed: int = SEED, streams: int = STREAMS, key: str = "doc_id", check: str | None = None
+    docs: DataFrame, path: str, dropout: float = DROPOUT, seed: int = SEED, key: str = "doc_id", check: str | None = None
 ) -> DataFrame:
     """``docs`` (any columns besides text) with ``ids``: array of piece ids, without control ids.
 
     Without dropout these are the ids that the sentencepiece library gives, but for U+2581, which is
-    encoded as bytes here so that decoding returns it.  Documents are dealt to ``streams`` streams of
-    dropout decisions by a hash of the column ``key``.  Null and empty texts have no ids.  Repeated
-    rows are encoded alike.  With ``check``, the ids are decoded in the same task, and a column of that
+    encoded as bytes here so that decoding returns it.  Dropout decisions are keyed by a hash of the column
+    ``key`` and the text (the text alone where the key is null), and by each word's place in the text.
+    Null and empty texts have no ids.  Repeated rows are encoded alike.  With ``check``, the ids are decoded in the same task, and a column of that
     name says whether this gives the text back (for a null text: an empty one).  Columns of ``docs``
     named ids or like ``check`` are replaced.
     """
-    if not 1 <= streams <= STREAMS_MOST:
-        raise ValueError(f"streams must be from 1 to {STREAMS_MOST}")
     docs = docs.drop("ids", *([check] if check else []))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -309,7 +350,7 @@ def encode(
                 yield pa.RecordBatch.from_arrays([c for c, _ in kept], names=[n for _, n in kept])
 
     schema = docs.withColumns({"ids": F.array().cast("array<int>")} | ({check: F.lit(True)} if check else {})).schema
-    return docs.withColumn("__stream", F.pmod(F.xxhash64(key), F.lit(streams)).cast("long")).mapInArrow(run, schema)
+    return docs.withColumn("__stream", F.xxhash64(key, "text")).mapInArrow(run, schema)
 
 
 def decode(coded: DataFrame, path: str, name: str = "decoded") -> DataFrame:

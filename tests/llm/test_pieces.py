@@ -90,3 +90,41 @@ def test_operators(spark):
     assert len(checked) == len(rows) and all(r.decoded is True for r in checked)
     assert P.decode(P.encode(df.limit(0), PATH), PATH).count() == 0
     assert P.decode(spark.createDataFrame([(None,), ([],)], "ids array<int>"), PATH).filter("decoded is null").count() == 1
+
+
+def test_each_occurrence_has_its_own_decisions(model, spark):
+    word, n = " internationalisation", 60
+    _, ids, first = coded(model, [word[1:] + word * (n - 1)], 0.1)
+    text = P.decode_ids(model, ids, first)[0]
+    cuts, now = [], []
+    for i in ids.tolist():  # a word begins where a piece begins with a blank
+        if model.bytes[model.begin[i] : model.begin[i] + 1].tobytes() == b" " and now:
+            cuts.append(tuple(now))
+            now = []
+        now.append(i)
+    cuts.append(tuple(now))
+    assert text == word[1:] + word * (n - 1) and len(cuts) == n and len(set(cuts)) > 16
+    df = spark.createDataFrame([(i, word[1:]) for i in range(400)] + [(None, f"{word[1:]}{word} {i}") for i in range(40)], "doc_id long, text string")
+    out = P.encode(df, PATH, 0.1).collect()
+    assert len({tuple(r.ids) for r in out if r.doc_id is not None}) > 16
+    assert len({tuple(r.ids[:4]) for r in out if r.doc_id is None}) > 1
+
+
+@pytest.mark.parametrize("dropout", [0.1, 0.5])
+def test_sharing_changes_nothing(model, dropout, monkeypatch):
+    rnd = random.Random(5)
+    texts = [" ".join(rnd.choice(["the", "information", "字é", "about", "x" * 70 + "ing"]) for _ in range(80)) for _ in range(5)]
+    keys = np.arange(5)
+    got = coded(model, texts, dropout, keys)[0]
+    monkeypatch.setattr(P, "OCCURRENCES", 7)
+    assert coded(model, texts, dropout, keys)[0] == got
+    merge_all, skipped = P.merge_all, P.skipped
+
+    def with_a_skipped_step(model, points, first, key, rate, made=None):
+        if made is not None:
+            made.append((np.arange(len(first) - 1), *[np.full(len(first) - 1, -1)] * 3))
+        return merge_all(model, points, first, key, rate, made)
+
+    monkeypatch.setattr(P, "merge_all", with_a_skipped_step)
+    monkeypatch.setattr(P, "skipped", lambda key, a, b, c, rate: skipped(key, a, b, c, rate) | (a == -1))
+    assert coded(model, texts, dropout, keys)[0] == got
