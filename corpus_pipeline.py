@@ -12,6 +12,10 @@ from croploom.llm import decontam, dedup, langid, pieces, secrets
 from croploom.llm.queries import PIECES, table
 from croploom.session import materialise
 
+#: Jaccard similarity of word shingles from which documents are near copies.
+SIMILAR = 80, 100
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without letters go, and those with a positive cosine to no language; a missing lang is filled in.
 
@@ -26,8 +30,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays; rows without an id pass unchanged."""
-    kept = dedup.near_duplicates(docs).filter("kept and doc_id is not null").select("doc_id")
+    """One document of each group of Jaccard similarity 0.8 or more stays; rows without an id pass unchanged."""
+    kept = dedup.near_duplicates(docs, *SIMILAR).filter("kept and doc_id is not null").select("doc_id")
     named = docs.filter("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return named.select(*docs.columns).unionByName(docs.filter("doc_id is null"))
 

@@ -1,9 +1,9 @@
 """Near duplicates by min-max hashing.
 
 Each permutation gives two signature values, the smallest and the largest image of a document's
-shingles, so half as many hash evaluations fill a signature.  Bands of five values make candidates;
-with 25 bands a pair at the threshold of 0.85 is missed with a probability of 4e-7.  Every link is
-confirmed on the full sets.
+shingles, so half as many hash evaluations fill a signature.  Bands of five values make candidates, so
+many that a pair at the threshold is missed with a probability of less than 5e-7: 25 for 0.85, 37 for
+0.8.  Every link is confirmed on the full sets.
 
 Documents with equal sets are one node from the start.  In each bucket every node first meets the
 bucket's leader, the node that shares most bands with others (in a group of near copies: the text they
@@ -15,6 +15,7 @@ already connected with the leader are not compared again.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,14 +29,25 @@ from croploom.session import materialise, settled
 
 SHINGLE = 5
 EVALUATIONS = 64
-BANDS, ROWS = 25, 5
+ROWS, MISS = 5, 5e-7  # values of a band, and how likely a pair at the threshold may be missed
 BLOCK_ROWS, BLOCK_BYTES = 1024, 4 << 20  # texts, and bytes of text, of one side of a block
 COLUMNS = 1 << 22  # cells of the membership matrix held at a time
 NUMERATOR, DENOMINATOR = 85, 100
 
-_rng = np.random.default_rng(20)
-_A = _rng.integers(0, 1 << 63, EVALUATIONS, dtype=np.int64).astype(U64) * U64(2) + U64(1)
-_B = _rng.integers(0, 1 << 63, EVALUATIONS, dtype=np.int64).astype(U64)
+
+def _factors(evaluations: int) -> tuple[np.ndarray, np.ndarray]:
+    """Multipliers and addends of the permutations; more of them begin with the same ones."""
+    rng = np.random.default_rng(20)
+    a, b = zip(*(rng.integers(0, 1 << 63, (2, EVALUATIONS), dtype=np.int64).astype(U64) for _ in range(-(-evaluations // EVALUATIONS))))
+    return np.concatenate(a) * U64(2) + U64(1), np.concatenate(b)
+
+
+def bands_for(numerator: int, denominator: int) -> int:
+    """How many bands a threshold needs."""
+    if not 0 < numerator <= denominator:
+        raise ValueError("the threshold must be above 0 and at most 1")
+    same = (numerator / denominator) ** ROWS
+    return 1 if same == 1 else math.ceil(math.log(MISS) / math.log1p(-same))
 
 
 def shingles(col: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -62,46 +74,52 @@ def distinct(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(sets) if sets else h), np.concatenate([[0], np.cumsum(sizes)])
 
 
-def signature(h: np.ndarray, first: np.ndarray) -> np.ndarray:
+def signature(h: np.ndarray, first: np.ndarray, evaluations: int = EVALUATIONS) -> np.ndarray:
     """Minima and maxima of all permutations, one row per non-empty set."""
-    out = np.empty((len(first), 2 * EVALUATIONS), U64)
-    for k in range(EVALUATIONS):
-        v = h * _A[k] + _B[k]
+    times, plus = _factors(evaluations)
+    out = np.empty((len(first), 2 * evaluations), U64)
+    for k in range(evaluations):
+        v = h * times[k] + plus[k]
         out[:, 2 * k] = np.minimum.reduceat(v, first)
         out[:, 2 * k + 1] = np.maximum.reduceat(v, first)
     return out
 
 
-def band_keys(sig: np.ndarray) -> np.ndarray:
-    keys = [fold([sig[:, b * ROWS + r] for r in range(ROWS)] + [np.full(len(sig), b, U64)]) for b in range(BANDS)]
-    return np.stack(keys, axis=1).view(np.int64) if len(sig) else np.zeros((0, BANDS), np.int64)
-
-
-def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for whole in batches:
-        for batch in slices(whole, "text"):
-            h, first = distinct(*shingles(batch.column("text")))
-            n = np.diff(first)
-            full = np.flatnonzero(n > 0)
-            node = np.zeros((len(n), 2), U64)
-            bands = np.zeros((0, BANDS), np.int64)
-            if len(full):
-                at = first[:-1][full]
-                node[full, 0] = np.add.reduceat(mix(h ^ U64(0x5851F42D4C957F2D)), at)
-                node[full, 1] = np.add.reduceat(mix(h ^ U64(0x14057B7EF767814F)), at)
-                bands = band_keys(signature(h, at))
-            ends = np.concatenate([[0], np.cumsum((n > 0) * BANDS)]).astype(np.int32)
-            raw = node.tobytes()
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    batch.column("text_key"),
-                    pa.array(n, pa.int64()),
-                    pa.array([raw[16 * i : 16 * i + 16] if c else None for i, c in enumerate(n)], pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(ends), pa.array(bands.ravel())),
-                ],
-                names=["doc_id", "text_key", "n_shingles", "node", "bands"],
-            )
+def band_keys(sig: np.ndarray, bands: int) -> np.ndarray:
+    keys = [fold([sig[:, b * ROWS + r] for r in range(ROWS)] + [np.full(len(sig), b, U64)]) for b in range(bands)]
+    return np.stack(keys, axis=1).view(np.int64) if len(sig) else np.zeros((0, bands), np.int64)
+
+
+def _sign(n_bands: int):
+    evaluations = -(-n_bands * ROWS // 2)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, "text"):
+                h, first = distinct(*shingles(batch.column("text")))
+                n = np.diff(first)
+                full = np.flatnonzero(n > 0)
+                node = np.zeros((len(n), 2), U64)
+                bands = np.zeros((0, n_bands), np.int64)
+                if len(full):
+                    at = first[:-1][full]
+                    node[full, 0] = np.add.reduceat(mix(h ^ U64(0x5851F42D4C957F2D)), at)
+                    node[full, 1] = np.add.reduceat(mix(h ^ U64(0x14057B7EF767814F)), at)
+                    bands = band_keys(signature(h, at, evaluations), n_bands)
+                ends = np.concatenate([[0], np.cumsum((n > 0) * n_bands)]).astype(np.int32)
+                raw = node.tobytes()
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("doc_id"),
+                        batch.column("text_key"),
+                        pa.array(n, pa.int64()),
+                        pa.array([raw[16 * i : 16 * i + 16] if c else None for i, c in enumerate(n)], pa.binary()),
+                        pa.ListArray.from_arrays(pa.array(ends), pa.array(bands.ravel())),
+                    ],
+                    names=["doc_id", "text_key", "n_shingles", "node", "bands"],
+                )
+
+    return run
 
 
 def _linked(numerator: int, denominator: int):
@@ -199,7 +217,7 @@ def near_duplicates(docs: DataFrame, numerator: int = NUMERATOR, denominator: in
 def _components_of(docs: DataFrame, numerator: int, denominator: int) -> DataFrame:
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
     signed = materialise(
-        rows.mapInArrow(_sign, "doc_id long, text_key long, n_shingles long, node binary, bands array<long>"), "dedup-signed"
+        rows.mapInArrow(_sign(bands_for(numerator, denominator)), "doc_id long, text_key long, n_shingles long, node binary, bands array<long>"), "dedup-signed"
     )
     named = signed.filter("doc_id is not null and n_shingles > 0")
     nodes = materialise(

@@ -58,3 +58,12 @@ def test_stages_keep_the_columns(spark, corpus):
     nothing = docs.withColumn("lang", F.lit(None).cast("string"))
     assert P.language(spark, nothing, path).filter("doc_id >= 400").count() == 0
     assert [n for n, _ in P.STAGES] == ["language", "near_dedup", "decontaminate", "redact", "segment"]
+
+
+def test_near_copies_from_a_similarity_of_080_go(spark, tmp_path):
+    words = [f"w{i}" for i in range(104)]  # 100 shingles; a change inside costs five of each
+    changed = lambda at: " ".join("x" if i in at else w for i, w in enumerate(words))
+    rows = [(1, " ".join(words)), (2, changed([20, 60])), (11, " ".join(f"v{w}" for w in words)), (12, " ".join(f"v{w}" if i not in (20, 60, 90) else "x" for i, w in enumerate(words)))]
+    docs = spark.createDataFrame([(i, t, "aa", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    assert 0.80 <= 90 / 110 < 0.85 and 85 / 115 < 0.80
+    assert sorted(r.doc_id for r in P.near_dedup(spark, docs, str(tmp_path)).collect()) == [1, 11, 12]

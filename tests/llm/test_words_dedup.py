@@ -145,3 +145,13 @@ def test_signature_agreement_estimates_similarity():
         s = signature(h, np.array([0, 370]))
         errors.append((s[0] == s[1]).mean() - 340 / 400)
     assert abs(np.mean(errors)) < 0.03
+
+
+def test_bands_follow_the_threshold(spark):
+    from croploom.llm.dedup import bands_for
+
+    assert bands_for(85, 100) == 25 and bands_for(1, 1) == 1
+    for n in (50, 80, 85, 90):
+        assert (1 - (n / 100) ** 5) ** bands_for(n, 100) <= 5e-7
+    rows = made(5)
+    assert got(near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 80, 100)) == brute(rows, 80)
