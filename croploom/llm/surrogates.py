@@ -16,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+import sys
 import unicodedata
 from collections.abc import Callable, Iterator
 
@@ -30,6 +31,19 @@ TITLES = {
     "Dr": "x", "Prof": "x",
 }
 _TITLE = "|".join(sorted(map(re.escape, TITLES), key=len, reverse=True))
+_LOWER = "".join(map(chr, (c for c in range(sys.maxunicode + 1) if chr(c).islower())))
+_LETTER = r"(?:[^\W\d_]|[\u0300-\u036f])"
+_FIRST = rf"[^\W\d_{re.escape(_LOWER)}]"
+_LINE = r"[^\S\r\n]"  # a blank within a line
+_BLANK = rf"(?:{_LINE}+|{_LINE}*\r?\n{_LINE}*)"
+_PART = rf"(?:{_FIRST}{_LETTER}*(?:['’]{_FIRST}{_LETTER}+)+|{_FIRST}{_LETTER}+)"
+_WORD = rf"{_PART}(?:[-‐‑]{_PART})*(?!\w)"
+_INITIALS = rf"(?:{_FIRST}(?:\.{_LINE}*|{_BLANK}))*"
+_NEXT = rf"{_BLANK}(?!(?:{_TITLE})(?!\w)){_INITIALS}(?!(?:{_TITLE})(?!\w)){_WORD}"
+_PERSON = rf"(?<!\w)(?:{_TITLE})(?:\.{_BLANK}?|{_BLANK})(?:(?:Prof|Dr)(?:\.{_BLANK}?|{_BLANK}))*{_INITIALS}{_WORD}(?:{_NEXT})*"
+#: What of a name is replaced: parts between hyphens and blanks, and initials.
+_TOKEN = re.compile(rf"(?<!\w)(?:{_PART}|{_FIRST})(?!\w)")
+_HEAD = re.compile(rf"(?:(?:{_TITLE})(?:\.\s*|\s+))(?:(?:Prof|Dr)(?:\.\s*|\s+))*")
 _PATTERNS = {
     "email": r"(?<![A-Za-z0-9._+-])[A-Za-z0-9][A-Za-z0-9._+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
@@ -37,11 +51,11 @@ _PATTERNS = {
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "card": r"(?<![0-9])[3-6](?:[ -]?[0-9]){12,18}(?![0-9])",
     "phone": r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?)?\(?[0-9]{2,4}\)?[ .-][0-9]{3,4}[ .-][0-9]{3,4}(?![0-9])",
-    "person": rf"(?<!\w)(?:{_TITLE})\.? [^\W\d_a-z][^\W\d_]+(?: [^\W\d_a-z][^\W\d_]+)?(?!\w)",
+    "person": _PERSON,
 }
 _ALL = re.compile("|".join(f"(?P<{k}>{p})" for k, p in _PATTERNS.items()))
 #: A text without any of these holds no entity.
-HINT = rf"[@0-9]|(?:{_TITLE})\.? "
+HINT = rf"[@0-9]|(?:{_TITLE})[^\p{{L}}\p{{N}}_]"
 
 #: Syllables of made-up names by script: beginnings, middles, and endings of female, male and family names.
 SYLLABLES = {
@@ -50,6 +64,9 @@ SYLLABLES = {
     "greek": ("Βα Γα Δε Κα Λο Μι Να Πε Ρο Σα Τε Φι", "λα μι νε ρο σα τι δο", "να ρα λια", "νος ρης λας", "δης κος λου"),
 }
 
+#: Letters of initials by script.
+ALPHABETS = {"latin": "abcdefghijklmnopqrstuvwxyz", "cyrillic": "абвгдежзийклмнопрстуфхцчшщъыьэюя", "greek": "αβγδεζηθικλμνξοπρστυφχψω"}
+
 
 def digits(text: str) -> str:
     return re.sub(r"[^0-9]", "", text)
@@ -71,20 +88,63 @@ def units(kind: str, found: str) -> list[tuple[str, str]]:
         return [(kind, digits(found)[-10:] if kind == "phone" else digits(found))]  # a country code stays as it is
     if kind == "ip":
         return [("ip", ".".join(str(int(x)) for x in found.split(".")))]
-    title, *names = found.split(" ")
-    own = [("family", names[-1])]
-    if len(names) > 1:
-        own.insert(0, ("given_" + TITLES[title.rstrip(".")], names[0]))
-    return [(f"{k}_{script(n)}", n.lower()) for k, n in own]
+    gender, tokens = name_tokens(found)
+    last = tokens[-1][1]
+    family = max((m.end() for m in re.finditer(r"\s|\.", found[:last])), default=0)
+    return [(_name_kind(t, a >= family, gender), plain(t)) for t, a, _ in tokens]
+
+
+def plain(name: str) -> str:
+    """A name's identity; an initial is a letter of its script's alphabet."""
+    if len(name) > 1:
+        return unicodedata.normalize("NFC", name).lower().replace("’", "'")
+    letters, c = ALPHABETS[script(name)], unicodedata.normalize("NFD", name.lower())[0]
+    return c if c in letters else letters[ord(c) % len(letters)]
+
+
+def _name_kind(name: str, family: bool, gender: str) -> str:
+    return ("initial_" if len(name) == 1 else "family_" if family else f"given_{gender}_") + script(name)
+
+
+def name_tokens(found: str) -> tuple[str, list[tuple[str, int, int]]]:
+    """Gender of a person's titles, and the (name, start, stop) of all that is replaced."""
+    head = _HEAD.match(found).end()
+    genders = [TITLES[t] for t in re.findall(_TITLE, found[:head])]
+    return next((g for g in genders if g != "x"), "x"), [(m.group(), m.start(), m.end()) for m in _TOKEN.finditer(found, head)]
 
 
 def entities(text: str) -> Iterator[tuple[str, int, int]]:
     """(kind, start, stop) of what is found, from left to right."""
-    for m in _ALL.finditer(text):
-        kind = m.lastgroup
+    at = 0
+    while m := _ALL.search(text, at):
+        kind, at = m.lastgroup, m.end()
         if kind == "ip" and any(int(x) > 255 for x in m.group().split(".")):
             continue
-        yield kind, m.start(), m.end()
+        if kind == "person" and "\n" in m.group():
+            # a word in the next line belongs to the name unless the text has it in small letters as well
+            _, tokens = name_tokens(m.group())
+            for (_, _, before), (name, start, _) in zip(tokens, tokens[1:]):
+                if "\n" in m.group()[before:start] and re.search(rf"(?<!\w){re.escape(name.lower())}(?!\w)", text):
+                    at = m.start() + before
+                    break
+        yield kind, m.start(), at
+
+
+def everything(text: str) -> list[tuple[str, int, int]]:
+    """What is found and, as kind mention, each other whole-word mention of a name found in the text."""
+    found = list(entities(text))
+    names = {i for kind, a, b in found if kind == "person" for k, i in units(kind, text[a:b]) if not k.startswith("initial")}
+    if not names:
+        return found
+    out, at = [], 0
+    for kind, a, b in [*found, ("", len(text), len(text))]:
+        for m in _TOKEN.finditer(text, at, a):
+            if plain(m.group()) in names and len(m.group()) > 1:
+                out.append(("mention", m.start(), m.end()))
+        if kind:
+            out.append((kind, a, b))
+        at = b
+    return out
 
 
 class _Draw:
@@ -156,12 +216,20 @@ def draw(key: bytes, kind: str, identity: str, attempt: int) -> str:
             if private(ip) == block:
                 return ".".join(map(str, ip))
     *role, own = kind.split("_")
+    if role == ["initial"]:  # one shift for all, so different ones stay different
+        letters = ALPHABETS[own]
+        shift = 1 + _Draw(key, kind).below(len(letters) - 1)
+        return letters[(letters.index(identity) + shift) % len(letters)]
     begin, middle, female, male, family = (s.split(" ") for s in SYLLABLES[own])
     last = family if role == ["family"] else female if role[-1] == "f" else male if role[-1] == "m" else female + male
     inner = "".join(middle[d.below(len(middle))] for _ in range(1 + d.below(2) + attempt // 4))
     return (begin[d.below(len(begin))] + inner + last[d.below(len(last))]).lower()
 
 
+def cased(name: str, new: str) -> str:
+    return new.upper() if name.isupper() else new[0].upper() + new[1:]
+
+
 def written(kind: str, found: str, known: Callable[[str, str], str]) -> str:
     """A found entity's surrogate in the form in which it was found."""
     own = [known(k, i) for k, i in units(kind, found)]
@@ -172,8 +240,11 @@ def written(kind: str, found: str, known: Callable[[str, str], str]) -> str:
     if kind == "ip":
         return own[0]
     if kind == "person":
-        title, *names = found.split(" ")
-        return " ".join([title, *(s.upper() if n.isupper() else s[0].upper() + s[1:] for n, s in zip(names, own))])
+        out, at = [], 0
+        for (name, a, b), new in zip(name_tokens(found)[1], own):
+            out += [found[at:a], cased(name, new)]
+            at = b
+        return "".join([*out, found[at:]])
     before = digits(found)[: len(digits(found)) - len(own[0])] if kind == "phone" else ""
     chars = iter(before + own[0])
     return "".join(next(chars) if (c.isalnum() if kind == "iban" else c.isdigit() and c.isascii()) else c for c in found)
@@ -202,7 +273,7 @@ def _drawn(secret: bytes):
 
 def assign(found: DataFrame, secret: bytes) -> DataFrame:
     """(kind, identity, surrogate) for distinct (kind, identity): no two surrogates of a kind are equal, none is an identity."""
-    real = found.select("kind", F.col("identity").alias("surrogate"))
+    real = found.filter("kind not like 'initial%'").select("kind", F.col("identity").alias("surrogate"))
     kept = None
     open_ = found.select("kind", "identity", F.lit(0).alias("attempt"))
     while True:
@@ -224,8 +295,12 @@ def _replaced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text, known in zip(batch.column("text").to_pylist(), batch.column("__known").to_pylist()):
             names = {(k["kind"], k["identity"]): k["surrogate"] for k in known or ()}
             out, at, n = [], 0, 0
-            for kind, a, b in entities(text):
-                out += [text[at:a], written(kind, text[a:b], lambda k, i: names[k, i])]
+            found = everything(text)
+            people = [units(kind, text[a:b]) for kind, a, b in found if kind == "person"]
+            first = {i: names[k, i] for u in reversed(people) for k, i in reversed(u)}  # a name's first form counts
+            for kind, a, b in found:
+                own = text[a:b]
+                out += [text[at:a], cased(own, first[plain(own)]) if kind == "mention" else written(kind, own, lambda k, i: names[k, i])]
                 at, n = b, n + 1
             texts.append("".join([*out, text[at:]]))
             counts.append(n)
@@ -238,7 +313,9 @@ def pseudonymise(docs: DataFrame, secret: bytes) -> DataFrame:
     """``docs`` (any columns besides text) with surrogates in text, and n_entities.
 
     Emails, IBANs, IP addresses, social-security, card and phone numbers, and names after a title are
-    found.  The same secret gives the same draw, but an entity's surrogate can depend on the others in
+    found; names with initials, apostrophes, hyphens and any number of words, and all other capitalised
+    whole-word mentions of their words in the same text.  Names that no title introduces in the text, and
+    small words inside names (von, de), are not.  The same secret gives the same draw, but an entity's surrogate can depend on the others in
     the table, as draws that collide are repeated.  Null texts stay null, texts without entities as
     they are, n_entities 0.  Repeated rows come out alike.  A column named n_entities is replaced.
     """

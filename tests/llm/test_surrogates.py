@@ -59,3 +59,29 @@ def test_keys_and_plain_rows(spark):
     assert one[0] == (rows[0], 0) and one[1] == (None, 0) and one[2] == ("", 0)
     assert one[5][1] == 1 and len(one[5][0]) == len(rows[5]) and one[5][0].endswith("word ")
     assert run(spark, []) == {}
+
+
+def test_whole_names_and_later_mentions(spark):
+    texts = [
+        "Dr Anna Maria Schmidt spoke.",
+        "Frau Schmidt-Meyer and Herr Meyer met.",
+        "Mr O'Brien's car, Mr J. Smith and Mr J.R. Smith",
+        "Mr John Smith came. Then Smith left; John Smith said Smith's and SMITH, not Smithers.",
+        "Mr  John\tPaul\u00a0Smith, Mr\nSmith and Herr Prof. Dr. Meyer",
+        "Mr John\nSmith came",
+        "I met Mr Smith\nThe dog saw the cat. The end",
+        "г-н Иванов сказал слово",
+    ]
+    out = [v[0] for _, v in sorted(run(spark, texts).items())]
+    for real, o in zip(["Anna Maria Schmidt", "Schmidt Meyer", "Brien Smith", "John", "John Paul Smith Meyer", "John Smith", "Smith", "Иванов"], out):
+        assert not [w for w in real.split() if re.search(rf"\b{w}\b", o)], o
+    assert re.fullmatch(r"Dr \w+ \w+ \w+ spoke\.", out[0])
+    m = re.fullmatch(r"Frau (\w+)-(\w+) and Herr (\w+) met\.", out[1])
+    assert m and m[2] == m[3] != m[1]
+    assert re.fullmatch(r"Mr \w+'s car, Mr [A-Z]\. (\w+) and Mr [A-Z]\.[A-Z]\. \1", out[2])
+    m = re.fullmatch(r"Mr (\w+) (\w+) came\. Then (\w+) left; (\w+) (\w+) said (\w+)'s and (\w+), not Smithers\.", out[3])
+    assert m and m[2] == m[3] == m[5] == m[6] == m[7].title() and m[1] == m[4]
+    m = re.fullmatch(r"Mr  \w+\t\w+\u00a0(\w+), Mr\n(\w+) and Herr Prof\. Dr\. \w+", out[4])
+    assert m and m[1] == m[2]
+    assert re.fullmatch(r"I met Mr \w+\nThe dog saw the cat\. The end", out[6])
+    assert re.fullmatch(r"г-н \w+ сказал слово", out[7])
