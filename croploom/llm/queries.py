@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from croploom.llm import ann, coder, decontam, dedup, langid, pieces, secrets, surrogates, tokencount, toolcalls
+from croploom.llm import ann, coder, decontam, dedup, langid, merkle, pieces, secrets, surrogates, tokencount, toolcalls
 from croploom.session import shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -230,3 +230,54 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return surrogates.pseudonymise(docs, b"a key that a job would read from its secret store")
+
+
+#: Unsigned crc32 of a decimal number, bit by bit.
+_CRC = (
+    "xor(list_reduce(list_concat([4294967295], list_transform(string_split(doc_id::varchar, ''), lambda c: ascii(c)::bigint)), "
+    "lambda a, c: list_reduce([xor(a, c), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"
+)
+_LEAF = " || ".join(
+    f"case when {c} is null then '-' else strlen({c}::varchar) || ':' || {c}::varchar end" for c in ("doc_id", "source", "lang", "n_chars")
+)
+_TEXT = " || case when {0} is null then '-' else strlen({0}) || ':' || {0} end"
+_LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query(
+    f"""
+    with recursive d as (
+        select doc_id, coalesce('=' || source, '') g, sha256({_LEAF}{_TEXT.format("text")}) leaf,
+            sha256({_LEAF}{_TEXT.format(_LOWERED)}) low, {_CRC} % 5 = 0 hit from documents
+    ), l as (
+        select *, row_number() over (partition by g order by doc_id nulls first, leaf) - 1 i, count(*) over (partition by g) n from d
+    ), t as (
+        select g, 0 lv, i, leaf h, n from l
+        union all
+        select g, lv + 1, i // 16, sha256(string_agg(h, '' order by i)), (n + 15) // 16 from t where n > 1 group by g, lv, i // 16, n
+    ), s as (
+        select g, h subroot, row_number() over (order by g) - 1 i, count(*) over () n from t where n = 1
+    ), u as (
+        select '*' g, 0 lv, i, subroot h, n from s
+        union all
+        select g, lv + 1, i // 16, sha256(string_agg(h, '' order by i)), (n + 15) // 16 from u where n > 1 group by g, lv, i // 16, n
+    ), a as (
+        select * from t union all select * from u
+    ), r as (
+        select g, lv, i // 16 run, list(h order by i) kids, n from a where n > 1 group by g, lv, i // 16, n
+    ), c as (
+        select g g0, i i0, doc_id, g, 0 lv, i, n, case when hit then low else leaf end h, '' p from l
+        union all
+        select c.g0, c.i0, c.doc_id, case when c.n > 1 then c.g else '*' end, case when c.n > 1 then c.lv + 1 else 0 end,
+            case when c.n > 1 then c.i // 16 else s.i end, case when c.n > 1 then (c.n + 15) // 16 else s.n end,
+            case when c.n > 1 then sha256(array_to_string(r.kids[:c.i % 16], '') || c.h || array_to_string(r.kids[c.i % 16 + 2:], '')) else c.h end,
+            case when c.n > 1 then c.p || array_to_string(r.kids[:c.i % 16], '') || array_to_string(r.kids[c.i % 16 + 2:], '') else c.p end
+        from c left join r on r.g = c.g and r.lv = c.lv and r.run = c.i // 16 left join s on s.g = c.g
+        where c.n > 1 or c.g <> '*'
+    )
+    select l.doc_id, l.leaf, s.subroot, u.h root, sha256(c.p) proof_sha256, c.h folded_root, c.h = u.h verified
+    from l join s on s.g = l.g join c on c.g0 = l.g and c.i0 = l.i and c.g = '*' and c.n = 1 join u on u.n = 1
+    """
+)
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
