@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from croploom.llm import ann, coder, decontam, dedup, langid, merkle, pieces, secrets, surrogates, tokencount, toolcalls
+from croploom.llm import ann, centroids, coder, decontam, dedup, langid, merkle, pieces, secrets, surrogates, tokencount, toolcalls, toxicity
 from croploom.session import shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -281,3 +281,54 @@ _LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstu
 )
 def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+def _rounds(n: int) -> str:
+    """SQL of n rounds on long tables: x (row, place, value) of vectors, c0 (cluster, place, value) of centroids."""
+    out = []
+    for k in range(n + 1):
+        out.append(
+            f"""a{k} as materialized (
+            select r, c, dist from (
+                select r, c, dist, row_number() over (partition by r order by dist, c) o from (
+                    select x.r, c.c, sum((x.x - c.x) * (x.x - c.x))::bigint dist from x join c{k} c on c.i = x.i group by 1, 2)
+            ) where o = 1
+        ), c{k + 1} as materialized (
+            select c{k}.c, c{k}.i, coalesce(m.x, c{k}.x) x from c{k} left join (
+                select c, i, ((s - ((s % n) + n) % n) // n)::bigint x from (select c, i, sum(x) s, count(*) n from a{k} join x using (r) group by 1, 2)
+            ) m on m.c = c{k}.c and m.i = c{k}.i
+        )"""
+        )
+    return ", ".join(out)
+
+
+@query(
+    f"""
+    with v as materialized (
+        select vec_id, row_number() over () r, list_transform(embedding, lambda e: floor(256 * e::double)::bigint) v
+        from embeddings where len(embedding) = 64 and len(list_filter(embedding, lambda e: e is not null and isfinite(e))) = 64
+    ), x as materialized (
+        select r, unnest(range(1, 65)) i, unnest(v) x from v
+    ), f as (
+        select v, row_number() over (order by sha256('2:' || vec_id), v) - 1 c from v where vec_id is not null
+        order by sha256('2:' || vec_id), v limit 40
+    ), c0 as materialized (
+        select c, unnest(range(1, 65)) i, unnest(v) x from f
+    ), {_rounds(5)}, h as (
+        select c, sha256(string_agg(x::varchar, ',' order by i)) centroid_sha256 from c5 group by c
+    )
+    select v.vec_id, c::int as cluster, dist as distance, (sum(dist) over (partition by c))::bigint cluster_inertia,
+        (sum(dist) over ())::bigint inertia, centroid_sha256 from a5 join v using (r) join h using (c)
+    """
+)
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    held_out = F.coalesce(F.expr("crc32(cast(doc_id as string)) % 4 = 2"), F.lit(False))
+    scored = toxicity.score(docs, model, spans=False)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
