@@ -30,10 +30,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of Jaccard similarity 0.8 or more stays; rows without an id pass unchanged."""
-    kept = dedup.near_duplicates(docs, *SIMILAR).filter("kept and doc_id is not null").select("doc_id")
-    named = docs.filter("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(*docs.columns).unionByName(docs.filter("doc_id is null"))
+    """One row of each group of Jaccard similarity 0.8 or more stays, judged by its own text, with or without an id."""
+    return dedup.keep_one(docs, *SIMILAR)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
