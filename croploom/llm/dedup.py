@@ -214,16 +214,46 @@ def near_duplicates(docs: DataFrame, numerator: int = NUMERATOR, denominator: in
     return settled(docs.sparkSession, "near-duplicates", lambda: _components_of(docs, numerator, denominator))
 
 
+def keep_one(docs: DataFrame, numerator: int = NUMERATOR, denominator: int = DENOMINATOR) -> DataFrame:
+    """``docs`` (doc_id, text and any other columns) with one row of each group of near duplicates.
+
+    Rows are judged by their own texts: of a group the row with the smallest doc_id stays (null last), of
+    several texts under that id the one with the smallest digest, of equal rows any.  Rows whose text has
+    no word all stay.
+    """
+    found = settled(docs.sparkSession, "near-groups", lambda: _groups(docs, numerator, denominator, nameless=True)[0])
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), F.col("doc_id"), F.col("text_key"))).alias("m")
+    kept = found.groupBy("component").agg(first).select(F.coalesce("m.doc_id", F.lit(0)).alias("_id"), "m.nameless", F.col("m.text_key").alias("_key"))
+    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    keyed = docs.filter(worded).withColumns({"_id": F.coalesce("doc_id", F.lit(0)), "nameless": F.col("doc_id").isNull(), "_key": F.md5("text")})
+    own = keyed.join(kept, ["_id", "nameless", "_key"], "left_semi").dropDuplicates(["_id", "nameless", "_key"])
+    return own.select(*docs.columns).unionByName(docs.filter(~worded))
+
+
 def _components_of(docs: DataFrame, numerator: int, denominator: int) -> DataFrame:
-    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
+    groups, signed = _groups(docs, numerator, denominator)
+    smallest = groups.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    placed_ids = groups.join(smallest, "component").select("node", "component_id")
+    out = signed.select("doc_id", "n_shingles", F.expr("if(doc_id is null, null, node)").alias("node")).join(placed_ids, "node", "left")
+    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
+        "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
+    )
+
+
+def _groups(docs: DataFrame, numerator: int, denominator: int, nameless: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(node, doc_id, text_key, component) of each distinct set, and the signed rows.
+
+    doc_id and text_key are those of the set's first row; rows without id take part if ``nameless``.
+    """
+    rows = docs.select("doc_id", "text", F.md5("text").alias("text_key"))
     signed = materialise(
-        rows.mapInArrow(_sign(bands_for(numerator, denominator)), "doc_id long, text_key long, n_shingles long, node binary, bands array<long>"), "dedup-signed"
+        rows.mapInArrow(_sign(bands_for(numerator, denominator)), "doc_id long, text_key string, n_shingles long, node binary, bands array<long>"), "dedup-signed"
     )
-    named = signed.filter("doc_id is not null and n_shingles > 0")
+    named = signed.filter("n_shingles > 0" if nameless else "doc_id is not null and n_shingles > 0")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), F.col("doc_id"), F.col("text_key"))).alias("m")
     nodes = materialise(
-        named.groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("m"), F.first("bands").alias("bands")).select(
-            "node", "m.doc_id", "m.text_key", "bands"
-        ),
+        named.groupBy("node").agg(first, F.first("bands").alias("bands")).select("node", "m.doc_id", "m.text_key", "bands"),
         "dedup-nodes",
     )
     each = nodes.select("node", F.explode("bands").alias("band"))
@@ -237,7 +267,9 @@ def _components_of(docs: DataFrame, numerator: int, denominator: int) -> DataFra
         members.join(leaders, "band").filter("node <> a").select("a", F.col("node").alias("b")).distinct(), "dedup-stars"
     )
     wanted = nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", "doc_id", "text_key")
-    texts = rows.filter("doc_id is not null").join(wanted, ["doc_id", "text_key"]).dropDuplicates(["doc_id", "text_key"]).select("node", "text")
+    same = ["_id", "nameless", "text_key"]
+    keyed = {"_id": F.coalesce("doc_id", F.lit(0)), "nameless": F.col("doc_id").isNull()}
+    texts = rows.withColumns(keyed).drop("doc_id").join(wanted.withColumns(keyed).drop("doc_id"), same).dropDuplicates(same).select("node", "text")
     texts = materialise(texts, "dedup-texts")
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("left_text"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("right_text"))
@@ -270,12 +302,6 @@ def _components_of(docs: DataFrame, numerator: int, denominator: int) -> DataFra
     )
     again = components(bridges).select(F.col("node").alias("root"), F.col("root").alias("final"))
 
-    ids = nodes.select("node", "doc_id").join(groups, "node", "left").select("doc_id", "node", F.coalesce("root", "node").alias("root"))
-    ids = ids.join(again, "root", "left").select("node", "doc_id", F.coalesce("final", "root").alias("root"))
-    smallest = ids.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    placed_ids = ids.join(smallest, "root").select("node", "component_id")
-    out = signed.select("doc_id", "n_shingles", F.expr("if(doc_id is null, null, node)").alias("node")).join(placed_ids, "node", "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
-        "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
-    )
+    ids = nodes.select("node", "doc_id", "text_key").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    ids = ids.join(again, "root", "left").select("node", "doc_id", "text_key", F.coalesce("final", "root").alias("component"))
+    return ids, signed

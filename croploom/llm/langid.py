@@ -14,12 +14,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from croploom.llm.words import U64, mix, slices
 
 SIZE = 1024  # elements of a vector
-TRAIN_DOCS = 20_000  # expected number of labelled documents that prototypes are learned from
+TRAIN_DOCS = 5_000  # expected number of labelled documents of each language that prototypes are learned from
 PIECE = 1 << 20  # characters of one text handled at a time
 BLOCK = 4096  # trigram vectors made at a time
 CELLS = 1 << 22  # (document, trigram) counts held at a time
@@ -129,15 +129,21 @@ def _learn(size: int):
     return run
 
 
+def taken(n: Column, most: int, *key: Column) -> Column:
+    """Whether a row is in a sample of ``most`` of n rows, in expectation; the share is never rounded to nothing."""
+    return F.pmod(F.xxhash64(*key), F.lit(1 << 53)) / float(1 << 53) < F.lit(float(most)) / n
+
+
 def learn(docs: DataFrame, train_docs: int = TRAIN_DOCS, size: int = SIZE) -> tuple[list[str], np.ndarray]:
     """Languages and prototypes from labelled documents (doc_id, text, lang).
 
     Documents with a null lang or text, or whose crc32(doc_id) mod 3 is 1, teach nothing.  Of the others
-    a sample by a hash of doc_id is used, ``train_docs`` documents in expectation.
+    of each language a sample by a hash of (doc_id, text) is used, ``train_docs`` documents in expectation
+    and all where there are fewer.
     """
     usable = docs.filter("lang is not null and text is not null and crc32(cast(doc_id as string)) % 3 <> 1")
-    n = usable.count()
-    sample = usable.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(min(1.0, train_docs / max(n, 1)) * (1 << 20)))
+    counts = usable.groupBy("lang").agg(F.count("*").alias("_n"))
+    sample = usable.join(counts, "lang").filter(taken(F.col("_n"), train_docs, F.col("doc_id"), F.col("text")))
     parts = sample.select("text", "lang").mapInArrow(_learn(size), "lang string, place int, value long")
     rows = parts.groupBy("lang", "place").agg(F.sum("value").alias("value"))
     rows = rows.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("place", "value"))).alias("v")).select("lang", F.col("v.value").alias("v")).collect()

@@ -13,6 +13,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from croploom.llm.langid import taken
+
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"(?<![0-9a-f])[0-9a-f]{24,}"
@@ -93,12 +95,13 @@ def samples_of(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
     """Labelled samples (text, random) from a corpus.
 
     Random: what the fixed patterns find, and digests of the texts in base 16, 64 and 36.  Ordinary:
-    words without digits, alone and joined as identifiers.  Documents are taken by a hash of their
-    text, ``train_docs`` in expectation; every word of those counts.
+    words without digits, alone and joined as identifiers.  Rows are taken by a hash of their id (where
+    there is one) and text, ``train_docs`` in expectation, so a text that many rows have counts by its
+    share of them; every word of those counts.
     """
-    texts = docs.filter("text is not null").select("text")
-    share = min(1.0, train_docs / max(texts.count(), 1))
-    own = texts.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    texts = docs.filter("text is not null")
+    n = F.lit(float(max(texts.count(), 1)))
+    own = texts.filter(taken(n, train_docs, *(F.col(c) for c in ("doc_id", "text") if c in docs.columns))).select("text")
     a, c, h = (_quoted(p) for p in (ASSIGN, ACCESS, HEX))
     seeded = "array(sha2(text, 256), translate(base64(unhex(sha2(text, 384))), '=', ''), conv(substring(sha2(text, 224), 1, 15), 16, 36), substring(sha2(text, 512), 1, 40))"
     random = f"concat(regexp_extract_all(text, {a}, 2), regexp_extract_all(text, {c}, 0), regexp_extract_all(text, {h}, 0), {seeded})"

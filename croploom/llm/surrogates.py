@@ -57,6 +57,8 @@ _ALL = re.compile("|".join(f"(?P<{k}>{p})" for k, p in _PATTERNS.items()))
 #: A text without any of these holds no entity.
 HINT = rf"[@0-9]|(?:{_TITLE})[^\p{{L}}\p{{N}}_]"
 
+WIDER, WIDEST = 6, 24  # rounds from which wider forms are drawn
+
 #: Syllables of made-up names by script: beginnings, middles, and endings of female, male and family names.
 SYLLABLES = {
     "latin": ("Bo Da Fe Ga Ka Lo Mi Na Pe Ro Sa Te Vi Wo", "la mi ne ro sa ti ve do", "na ra lia", "n rd ls", "mer feld ko sson"),
@@ -188,7 +190,12 @@ def private(ip: list[int]) -> int:
 
 
 def draw(key: bytes, kind: str, identity: str, attempt: int) -> str:
-    """The surrogate identity of a unit in a round."""
+    """The surrogate identity of a unit in a round.
+
+    Where a kind has few values left, later rounds draw from a wider form: private addresses from the
+    largest private block, then numbers that no address has; social-security numbers of any area, then,
+    as phones and cards, letters among the digits.  So the rounds end however many entities there are.
+    """
     d = _Draw(key, kind, identity, str(attempt))
     if kind == "domain":
         head, _, top = identity.rpartition(".")
@@ -199,17 +206,25 @@ def draw(key: bytes, kind: str, identity: str, attempt: int) -> str:
     if kind == "iban":
         country, rest = identity[:2], "".join(str(d.below(10)) if c.isdigit() else chr(65 + d.below(26)) for c in identity[4:])
         return country + iban_check(country, rest) + rest
+    if kind in ("ssn", "phone", "card") and attempt >= WIDEST:
+        return "".join("0123456789ABCDEFGHJKLMNPQRSTUVWXYZ"[d.below(34)] for _ in identity)
     if kind == "card":
         body = identity[0] + "".join(str(d.below(10)) for _ in identity[1:-1])
         last = luhn(body)
         valid = luhn(identity[:-1]) == int(identity[-1])
         return body + str(last if valid else (last + 1 + d.below(9)) % 10)
+    if kind == "ssn" and attempt >= WIDER:
+        return f"{d.below(1000):03d}{1 + d.below(99):02d}{1 + d.below(9999):04d}"
     if kind == "ssn":
         return f"9{d.below(100):02d}{1 + d.below(99):02d}{1 + d.below(9999):04d}"
     if kind == "phone":
         return str(2 + d.below(8)) + "".join(str(d.below(10)) for _ in identity[1:])
     if kind == "ip":
         block = private([int(x) for x in identity.split(".")])
+        if attempt >= WIDEST:
+            return ".".join(str(256 + d.below(744)) for _ in range(4))
+        if attempt >= WIDER and block:
+            block = 1
         while True:
             ip = [1 + d.below(223), d.below(256), d.below(256), 1 + d.below(254)]
             ip[: [0, 1, 2, 2, 1][block]] = [[], [10], [192, 168], [172, 16 + d.below(16)], [127]][block]

@@ -1,8 +1,8 @@
 """Words of whole Arrow batches, hashed with array arithmetic instead of a Python step per word.
 
 Texts stay in Arrow's one byte buffer.  A byte table says which bytes separate words and folds A-Z.
-The hash of a word comes from prefix sums of byte values times powers of an odd number, in 64-bit
-arithmetic, so that a batch costs a few passes over its bytes.  Every byte of a multi-byte character
+The hash of a word is the sum of a random number for each pair of a byte and its place in the word, so
+that a batch costs a few passes over its bytes and no two words collide by their structure.  Every byte of a multi-byte character
 is 0x80 or more, and so are the bytes that a class of "all but these ASCII characters" takes.
 """
 
@@ -16,8 +16,7 @@ import pyarrow as pa
 
 U64 = np.uint64
 MASK = (1 << 64) - 1
-STEP = 0x9E3779B97F4A7C15  # odd, so that its powers can be inverted
-STEP_INV = pow(STEP, -1, 1 << 64)
+PLACES = 64  # places in a word with a table of their own
 FOLD = U64(0xD1342543DE82EF95)
 CHUNK = 1 << 18  # bytes hashed at a time
 SLICE_BYTES = 2 << 20  # bytes of text handled at a time, a longer document alone
@@ -33,13 +32,10 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, dtype=U64)
-    out[0] = 1
-    return np.cumprod(out, dtype=U64)
-
-
-_POW, _INV = _powers(STEP, CHUNK), _powers(STEP_INV, CHUNK)
+def _by_place(low: np.ndarray) -> np.ndarray:
+    """Random numbers for (place, byte); the last row is mixed with the place for all later ones."""
+    cells = np.arange((PLACES + 1) * 256, dtype=U64).reshape(PLACES + 1, 256)[:, low]
+    return mix((cells + U64(1)) * U64(0xA24BAED4963EE407))
 
 
 class WordClass:
@@ -50,7 +46,7 @@ class WordClass:
         low[65:91] += 32
         self.lower = low.astype(np.uint8)
         self.inside = np.array([int(b) not in separators for b in low])
-        self.value = mix((low.astype(U64) + U64(1)) * U64(0xA24BAED4963EE407))
+        self.value = _by_place(low.astype(np.int64)).ravel()
 
 
 SPACED = WordClass(_SPACE)  # [^\x20\x09-\x0D]+
@@ -112,23 +108,27 @@ class Words:
         self.end = np.flatnonzero(ends) + 1
         at = np.empty(len(self.start), U64)
         to = np.empty(len(self.start), U64)
-        inv = np.empty(len(self.start), U64)
-        carry, scale, back = 0, 1, 1
-        full, full_inv = pow(STEP, CHUNK, 1 << 64), pow(STEP_INV, CHUNK, 1 << 64)
+        carry = U64(0)
         for lo in range(0, n, CHUNK):
-            part = kind.value[data[lo : lo + CHUNK]]
-            m = len(part)
-            sums = np.zeros(m + 1, U64)
-            np.cumsum(part * _POW[:m], out=sums[1:])
-            sums = sums * U64(scale) + U64(carry)
-            i, j = np.searchsorted(self.start, (lo, lo + m))
-            here = self.start[i:j] - lo
-            at[i:j] = sums[here]
-            inv[i:j] = _INV[here] * U64(back)
-            i, j = np.searchsorted(self.end, (lo, lo + m), side="right")
+            hi = min(lo + CHUNK, n)
+            i, j = np.searchsorted(self.start, (lo, hi))
+            sums = np.zeros(hi - lo + 1, U64)
+            if i < j or (i and self.end[i - 1] > lo):
+                own = np.repeat(np.arange(max(i - 1, 0), j), np.diff(np.concatenate([[lo], self.start[i:j], [hi]]))[0 if i else 1 :])
+                skip = hi - lo - len(own)  # what lies before the first word
+                place = np.arange(lo + skip, hi) - self.start[own]
+                part = kind.value[np.minimum(place, PLACES) * 256 + data[lo + skip : hi]]
+                late = np.flatnonzero(place >= PLACES)
+                if len(late):
+                    part[late] = mix(part[late] + place[late].astype(U64) * U64(0x9E3779B97F4A7C15))
+                part[~inside[lo + skip : hi]] = 0
+                np.cumsum(part, out=sums[1 + skip :])
+            sums += carry
+            at[i:j] = sums[self.start[i:j] - lo]
+            i, j = np.searchsorted(self.end, (lo, hi), side="right")
             to[i:j] = sums[self.end[i:j] - lo]
-            carry, scale, back = int(sums[m]), scale * full & MASK, back * full_inv & MASK
-        self.hash = mix((to - at) * inv)
+            carry = sums[-1]
+        self.hash = mix(to - at)
         self.first = np.searchsorted(self.start, offsets)
 
     def windows(self, k: int) -> tuple[np.ndarray, np.ndarray]:

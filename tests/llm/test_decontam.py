@@ -60,3 +60,12 @@ def test_removal(spark):
     assert sorted(tuple(r) for r in D.remove(df, bench, whole=False, window=4).fillna("-").collect()) == [(1, "é say  ! end"), (2, "clean"), (3, "-")]
     assert D.remove(df.limit(0), bench).count() == 0
     assert D.remove(df, bench.limit(0)).count() == 3
+
+
+def test_benchmark_windows_of_patterned_words_are_all_found(spark):
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    two = one.translate(str.maketrans("ab", "ba"))
+    bench = spark.createDataFrame([(1, one), (2, two)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"x {one} y"), (2, f"x {two} y")], "doc_id long, text string")
+    got = {r.doc_id: list(r["items"]) for r in D.decontaminate(docs, bench).collect()}
+    assert got == {1: ["1"], 2: ["2"]}

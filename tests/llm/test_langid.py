@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from croploom.llm import langid as L
 
@@ -54,3 +55,19 @@ def test_held_out_accuracy(spark, sf):
 
     found = op2_language_id(spark, sf).join(table(spark, sf, "documents").select("doc_id", "lang"), "doc_id").filter("held_out").collect()
     assert found and sum(r.lang == r.lang_pred for r in found) >= 0.95 * len(found)
+
+
+def test_samples_never_go_empty(spark):
+    rows = spark.range(100_000).select("id", F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    for n in (1e5, 1e11, 1e15):
+        share = L.taken(F.lit(n), int(n / 500), F.col("id"), F.col("text"))
+        assert 100 < rows.filter(share).count() < 320
+    assert rows.filter(L.taken(F.lit(5), 20, F.col("id"))).count() == 100_000
+    tiny = L.taken(F.lit(1e15), 1_000_000, F.col("id"), F.col("text"))
+    assert spark.range(1).select(F.lit(1e6) / F.lit(1e15)).first()[0] > 0 and rows.filter(tiny).count() == 0
+
+
+def test_rare_languages_are_learned_beside_frequent_ones(spark):
+    rows = [(i, f"the river and the stone under paper green {i}", "aa") for i in range(400)] + [(1000 + i, f"zql wrk xev jupi ovvo krall {i}", "bb") for i in range(6)]
+    languages, prototypes = L.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"), train_docs=20)
+    assert languages == ["aa", "bb"] and (prototypes != 0).any(axis=1).all()

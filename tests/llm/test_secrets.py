@@ -6,6 +6,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from croploom.llm import secrets as S
 
@@ -72,3 +73,9 @@ def test_redaction_and_empty_cases(spark, models):
     assert S.scan_corpus(df.filter("doc_id > 5")).count() == 0
     flat = S.learn(spark.createDataFrame([], "text string, random boolean"))
     assert [r.secrets for r in S.scan(df.filter("doc_id = 3"), flat).collect()] == [[], []]
+
+
+def test_a_text_of_very_many_rows_keeps_the_sample_bounded(spark):
+    docs = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("one hot text of five words").alias("text"))
+    n = S.samples_of(docs, train_docs=100).filter("not random").count()
+    assert 6 * 50 < n < 6 * 160

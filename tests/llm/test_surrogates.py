@@ -85,3 +85,23 @@ def test_whole_names_and_later_mentions(spark):
     assert m and m[1] == m[2]
     assert re.fullmatch(r"I met Mr \w+\nThe dog saw the cat\. The end", out[6])
     assert re.fullmatch(r"г-н \w+ сказал слово", out[7])
+
+
+def test_a_kind_with_few_values_ends(spark):
+    from croploom.llm import surrogates
+
+    found = spark.range(45_000).selectExpr("'ip' kind", "concat('192.168.', id div 256, '.', id % 256) identity")
+    got = surrogates.assign(found, b"k")
+    rows = got.selectExpr("count(*) n", "count(distinct surrogate) d", "count(distinct identity) i").first()
+    assert tuple(rows) == (45_000, 45_000, 45_000)
+    assert got.join(found.selectExpr("identity surrogate"), "surrogate").count() == 0
+    assert got.filter("not (surrogate like '10.%' or surrogate like '192.168.%')").count() == 0
+
+
+def test_widest_forms_keep_the_length():
+    from croploom.llm import surrogates
+
+    for kind, identity in (("ssn", "123456789"), ("phone", "2125550123"), ("card", "4111111111111111")):
+        new = surrogates.draw(b"k", kind, identity, surrogates.WIDEST)
+        assert len(new) == len(identity) and new.isalnum()
+    assert all(int(x) > 255 for x in surrogates.draw(b"k", "ip", "8.8.8.8", surrogates.WIDEST).split("."))

@@ -9,7 +9,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from croploom.llm import words as W
-from croploom.llm.dedup import near_duplicates
+from croploom.llm.dedup import keep_one, near_duplicates
 
 RULES = {
     "spaced": (W.SPACED, r"[^\x20\x09-\x0D]+"),
@@ -155,3 +155,36 @@ def test_bands_follow_the_threshold(spark):
         assert (1 - (n / 100) ** 5) ** bands_for(n, 100) <= 5e-7
     rows = made(5)
     assert got(near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 80, 100)) == brute(rows, 80)
+
+
+def thue_morse(n):
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+    return one, one.translate(str.maketrans("ab", "ba"))
+
+
+def test_long_words_of_a_pattern_are_not_equal(spark):
+    for n in (64, 1024, 4096):
+        data, off = W.buffers(pa.array(thue_morse(n)))
+        assert len(set(W.Words(data, off, W.SPACED).hash.tolist())) == 2
+    a, b = thue_morse(2048)
+    docs = spark.createDataFrame([(1, a), (2, b), (3, a)], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in near_duplicates(docs).collect()} == {1: 1, 2: 2, 3: 1}
+
+
+def test_hash_of_words_over_several_chunks():
+    long = "q" * (W.CHUNK - 3) + " " + "x" * (2 * W.CHUNK) + " tail " + "z" * 70
+    for text in (long, " " + long, "a" + long):
+        data, off = W.buffers(pa.array([text, *text.split(" ")]))
+        w = W.Words(data, off, W.SPACED)
+        assert w.hash[: w.first[1]].tolist() == w.hash[w.first[1] :].tolist()
+
+
+def test_one_row_of_each_group_is_kept(spark):
+    a, b = " ".join(f"w{i}" for i in range(40)), " ".join(f"v{i}" for i in range(40))
+    rows = [(1, a, "x"), (2, a, "x"), (2, b, "clean"), (None, a, "n"), (None, b + " end", "n"), (None, "only here", "n"), (None, "only here", "n")]
+    rows += [(5, "", "e"), (5, "", "e"), (6, None, "e"), (None, " \t", "e"), (7, "a b", "t"), (7, "a b", "t")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, node string")
+    got = sorted(map(tuple, keep_one(df).collect()), key=str)
+    want = [(1, a, "x"), (2, b, "clean"), (None, "only here", "n"), (5, "", "e"), (5, "", "e"), (6, None, "e"), (None, " \t", "e"), (7, "a b", "t")]
+    assert got == sorted(want, key=str)
+    assert keep_one(df.limit(0)).collect() == []
