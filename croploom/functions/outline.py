@@ -1,7 +1,7 @@
-"""Outlines of raster runs as polygons with holes.
+"""Outlines of raster runs as polygons with holes, and the border lines of single tiles.
 
-Border pieces are found tile by tile.  On the lines between tiles they are cut into pixels, so that
-pieces of neighbouring tiles that run against each other cancel out when the rings are closed.
+Within a tile, border lines are followed up to the lines between tiles.  On those they are cut into
+pixels, so that pieces of neighbouring tiles that run against each other can cancel out.
 """
 
 from __future__ import annotations
@@ -12,9 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from croploom.functions.nested import to_geometry_array
 from croploom.functions.rings import holds, loops, signed_area
-from croploom.schema import GEOM
 
 
 def _border_steps(runs: np.ndarray) -> dict:
@@ -58,16 +56,7 @@ def _rings(steps: dict) -> list[list[tuple[int, int]]]:
         start = next(iter(steps))
         ring, at, heading = [start], start, None
         while True:
-            nexts = steps[at]
-            pick = 0
-            if len(nexts) > 1 and heading is not None:
-                turns = [
-                    heading[0] * np.sign(n[1] - at[1]) - heading[1] * np.sign(n[0] - at[0]) for n in nexts
-                ]
-                pick = int(np.argmax(turns))
-            to = nexts.pop(pick)
-            if not nexts:
-                del steps[at]
+            to = _next(steps, at, heading)
             heading = (np.sign(to[0] - at[0]), np.sign(to[1] - at[1]))
             at = to
             ring.append(at)
@@ -113,31 +102,56 @@ def close(steps: dict, scale: float) -> list[list[list[tuple[float, float]]]]:
     return [[[(x * scale, y * scale) for x, y in r] for r in p] for p in polys]
 
 
-def tile_pieces(runs: np.ndarray, tile: int) -> list[tuple[int, int, int, int]]:
-    """Border pieces ``(x, y, x2, y2)`` of the runs of one tile; single pixels on the tile's border."""
-    out = []
-    for (x, y), ends in _border_steps(runs).items():
-        for x2, y2 in ends:
-            on_border = y % tile == 0 if y == y2 else x % tile == 0
-            if not on_border:
-                out.append((x, y, x2, y2))
-                continue
-            dx, dy = int(np.sign(x2 - x)), int(np.sign(y2 - y))
-            out += [(x + k * dx, y + k * dy, x + (k + 1) * dx, y + (k + 1) * dy) for k in range(abs(x2 - x) + abs(y2 - y))]
-    return out
-
-
-def _joined(pieces: np.ndarray) -> dict:
-    """Pieces of all tiles as steps, without those that another one runs against."""
-    there = set(map(tuple, pieces.tolist()))
-    steps: dict[tuple[int, int], list[tuple[int, int]]] = {}
-    for x, y, x2, y2 in sorted(there):
-        if (x2, y2, x, y) not in there:
-            steps.setdefault((x, y), []).append((x2, y2))
-    return steps
+CLOSED, OPEN, EDGE = 0, 1, 2  # kinds of a tile's lines
 
 
-_PIECES = T.ArrayType(T.StructType([T.StructField(n, T.IntegerType()) for n in ("x", "y", "x2", "y2")]))
+def tile_lines(runs: np.ndarray, tile: int) -> list[tuple[int, list[tuple[int, int]]]]:
+    """Border lines of the runs of one tile, as (kind, points), inside on the left.
+
+    ``CLOSED`` rings lie within the tile and visit no point twice.  ``OPEN`` lines go from one tile line
+    to another and are cut where two lines meet.  An ``EDGE`` is a pixel's border on a tile line.
+    """
+    out: list[tuple[int, list[tuple[int, int]]]] = []
+    steps: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    for (x, y), ends in _border_steps(runs).items():
+        for x2, y2 in ends:
+            if y % tile == 0 if y == y2 else x % tile == 0:
+                dx, dy = int(np.sign(x2 - x)), int(np.sign(y2 - y))
+                out += [(EDGE, [(x + k * dx, y + k * dy), (x + (k + 1) * dx, y + (k + 1) * dy)]) for k in range(abs(x2 - x) + abs(y2 - y))]
+            else:
+                steps.setdefault((x, y), []).append((x2, y2))
+    meeting = {v for v, ends in steps.items() if len(ends) > 1}
+    for start in [v for v in steps if v[0] % tile == 0 or v[1] % tile == 0]:
+        while steps.get(start):
+            line, at, heading = [start], start, None
+            while True:
+                to = _next(steps, at, heading)
+                heading, at = (np.sign(to[0] - at[0]), np.sign(to[1] - at[1])), to
+                line.append(at)
+                on_line = at[0] % tile == 0 or at[1] % tile == 0
+                if on_line or at in meeting:
+                    out.append((OPEN, _without_inner_straight(line)))
+                    line = [at]
+                if on_line:
+                    break
+    return out + [(CLOSED, r) for r in _rings(steps)]
+
+
+def _next(steps: dict, at: tuple, heading: tuple | None) -> tuple:
+    """Where a line goes on: to the left where it may choose."""
+    nexts = steps[at]
+    pick = 0
+    if len(nexts) > 1 and heading is not None:
+        pick = int(np.argmax([heading[0] * np.sign(n[1] - at[1]) - heading[1] * np.sign(n[0] - at[0]) for n in nexts]))
+    to = nexts.pop(pick)
+    if not nexts:
+        del steps[at]
+    return to
+
+
+def _without_inner_straight(line: list) -> list:
+    inner = [b for a, b, c in zip(line, line[1:], line[2:]) if (b[0] - a[0]) * (c[1] - b[1]) != (b[1] - a[1]) * (c[0] - b[0])]
+    return [line[0], *inner, line[-1]]
 
 
 def _tables(col: pa.Array) -> list[np.ndarray]:
@@ -148,27 +162,22 @@ def _tables(col: pa.Array) -> list[np.ndarray]:
     return [table[a:b] for a, b in zip(np.concatenate([[0], ends[:-1]]), ends)] if len(ends) else []
 
 
-@F.arrow_udf(_PIECES)
-def _tile_pieces(runs: pa.Array, tile: pa.Array) -> pa.Array:
-    size = tile[0].as_py() if len(tile) else 1
-    found = [tile_pieces(t, size) for t in _tables(runs)]
-    flat = np.array([p for f in found for p in f], np.int32).reshape(-1, 4)
-    off = np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int32)
-    fields = pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(flat[:, i])) for i in range(4)], names=["x", "y", "x2", "y2"])
-    return pa.ListArray.from_arrays(pa.array(off), fields)
-
-
-@F.arrow_udf(GEOM)
-def _closed_rings(pieces: pa.Array, scale: pa.Array) -> pa.Array:
-    factor = scale[0].as_py() if len(scale) else 1.0
-    return to_geometry_array([close(_joined(t), factor) for t in _tables(pieces)])
+_POINTS = T.ArrayType(T.StructType([T.StructField("x", T.IntegerType()), T.StructField("y", T.IntegerType())]))
+_LINES = T.ArrayType(T.StructType([T.StructField("kind", T.IntegerType()), T.StructField("points", _POINTS)]))
 
 
-def border_pieces(runs: Column, tile: int) -> Column:
-    """Border pieces of the runs ``(py, x0, x1)`` of one tile."""
-    return _tile_pieces(runs, F.lit(tile))
-
-
-def outline(pieces: Column, scale: float) -> Column:
-    """The multipolygon of all border pieces of a label."""
-    return _closed_rings(pieces, F.lit(float(scale)))
+@F.arrow_udf(_LINES)
+def _tile_lines(runs: pa.Array, tile: pa.Array) -> pa.Array:
+    size = tile[0].as_py() if len(tile) else 1
+    found = [tile_lines(t, size) for t in _tables(runs)]
+    lines = [line for f in found for line in f]
+    xy = np.array([p for _, points in lines for p in points], np.int32).reshape(-1, 2)
+    ends = [np.concatenate([[0], np.cumsum([len(x) for x in level])]).astype(np.int32) for level in ([p for _, p in lines], found)]
+    points = pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(xy[:, i])) for i in range(2)], names=["x", "y"])
+    kinds = pa.array([k for k, _ in lines], pa.int32())
+    return pa.ListArray.from_arrays(pa.array(ends[1]), pa.StructArray.from_arrays([kinds, pa.ListArray.from_arrays(pa.array(ends[0]), points)], names=["kind", "points"]))
+
+
+def border_lines(runs: Column, tile: int) -> Column:
+    """Border lines of the runs ``(py, x0, x1)`` of one tile, as structs of kind and points."""
+    return _tile_lines(runs, F.lit(tile))

@@ -93,7 +93,12 @@ def _nested_rightly(geom: list) -> bool:
 
 
 def _within(outline: np.ndarray, poly: list) -> bool:
-    """An outline lies in a polygon and not in one of its holes."""
+    """An outline lies in a polygon and not in one of its holes.
+
+    Its inner point may lie in a hole that belongs to it, and there in a smaller part.
+    """
+    if abs(signed_area(outline)) >= abs(signed_area(poly[0])):
+        return False
     at = inner_point(outline)
     return holds(poly[0], *at) and not any(holds(h, *at) for h in poly[1:])
 

@@ -7,7 +7,6 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from croploom.functions.outline import border_pieces, outline
 from croploom.operators import raster as R
 from croploom.operators.joins import dim_join
 from croploom.operators.numbering import number_rows
@@ -209,27 +208,6 @@ def dissolve(runs: DataFrame, years: Iterable[int], scale: float, by: Iterable[s
     )
 
 
-def stack_geometry(runs: DataFrame, label: Iterable[str], scale: float, tile: int = 512) -> DataFrame:
-    """The outline of every label (columns of ``runs``) as one multipolygon.
-
-    Runs are cut at tile borders, and each (label, tile) finds its border pieces for itself, from at
-    most tile x tile pixels.  What meets per label is its border, which is what the row holds.
-    """
-    label = list(label)
-    cut = runs.withColumn("_tx", F.explode(F.sequence(F.floor(F.col("x0") / tile), F.floor((F.col("x1") - 1) / tile)))).select(
-        *label,
-        F.floor(F.col("py") / tile).alias("_ty"),
-        "_tx",
-        F.col("py").cast("int").alias("py"),
-        F.greatest(F.col("x0"), F.col("_tx") * tile).cast("int").alias("x0"),
-        F.least(F.col("x1"), (F.col("_tx") + 1) * tile).cast("int").alias("x1"),
-    )
-    tiles = cut.groupBy(*label, "_ty", "_tx").agg(F.collect_list(F.struct("py", "x0", "x1")).alias("_runs"))
-    pieces = tiles.select(*label, border_pieces(F.col("_runs"), tile).alias("_pieces"))
-    drawn = pieces.groupBy(*label).agg(F.flatten(F.collect_list("_pieces")).alias("_pieces"))
-    return drawn.select(*label, outline(F.col("_pieces"), scale).alias("geom"))
-
-
 def label_runs(
     runs: DataFrame, stack: DataFrame, years: Iterable[int], by: Iterable[str] = ("nuts",)
 ) -> DataFrame:

@@ -20,6 +20,7 @@ from croploom.operators import quality as Q
 from croploom.operators import raster as R
 from croploom.operators import stack as S
 from croploom.operators import stats as A
+from croploom.operators import tracing as TR
 from croploom.plans import trial as T
 from croploom.plans.layers import layer_job
 from croploom.plans.registry import query
@@ -421,7 +422,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     runs = materialise(S.stack_runs(shapes(spark, sf), YEARS, SCALE), "runs")
-    drawn = S.stack_geometry(runs, ["nuts", *CF.split(", ")], SCALE)
+    drawn = TR.stack_geometry(runs, ["nuts", *CF.split(", ")], SCALE)
     drawn = drawn.withColumns({c: F.nullif(c, F.lit(0)) for c in CF.split(", ")})
     return drawn.groupBy("nuts", *CF.split(", ")).agg(
         F.sum(G.area(F.col("geom"))).alias("area_m2"), F.bool_and(V.is_valid(F.col("geom"))).alias("valid")

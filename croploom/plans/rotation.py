@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from croploom.operators import stack as S
 from croploom.operators.columns import centroid_layer
 from croploom.operators.numbering import number_rows
+from croploom.operators.tracing import stack_geometry
 from croploom.session import materialise
 
 
@@ -42,6 +43,6 @@ def rotation_products(
     points = centroid_layer(pc.where(F.col("year").isin(years)).select(*by, "geom")).select(*by, "cx", "cy")
     return RotationProducts(
         stack=S.attach_codes(numbered, pc, years, by),
-        outlines=S.stack_geometry(labelled, [*by, "cropfield"], scale),
+        outlines=stack_geometry(labelled, [*by, "cropfield"], scale),
         gaps=S.coverage_gaps(points, S.run_centroids(labelled, [*by, "cropfield"], scale), by=by),
     )

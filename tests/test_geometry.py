@@ -329,3 +329,12 @@ def test_convex_rings_are_settled_as_the_full_test_does(spark):
         if method in (0, 1):
             assert fixed[i].valid and abs(abs(fixed[i].a) - abs(sum(signed(r) for p in geom for r in p))) < 0.1
     assert df.select(V.easy_ring(F.col("geom")).alias("e")).where("e is not null").count() > 30
+
+
+def test_a_part_in_the_hole_of_another_is_valid():
+    from croploom.functions.validity import valid_batch
+
+    ring = lambda a, b: [(a, a), (b, a), (b, b), (a, b), (a, a)]
+    frame = [ring(0, 10), ring(1, 9)[::-1]]
+    for geom, want in (([frame, [ring(2, 8)]], True), ([[ring(2, 8)], frame], True), ([[ring(0, 10)], [ring(2, 8)]], False), ([[ring(2, 8)], [ring(0, 10)]], False)):
+        assert valid_batch([geom]) == [want]

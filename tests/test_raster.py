@@ -9,6 +9,7 @@ from croploom.functions import geometry as G
 from croploom.operators import grid as GR
 from croploom.operators import raster as R
 from croploom.operators import stack as S
+from croploom.operators import tracing as TR
 from croploom.schema import GEOM
 
 LAYER = StructType(
@@ -155,27 +156,70 @@ def test_stack_geometry_over_tiles(spark):
     pc = spark.createDataFrame([("a", 2020, 1, "x", box(0, 0, 3000, 2000)), ("a", 2020, 2, "y", box(4000, 0, 4100, 100))], LAYER)
     runs = S.stack_runs(pc, [2020], 2, inset=False)
     for tile in (100, 512, 100_000):
-        rows = S.stack_geometry(runs, ["nuts", "cf2020"], 2, tile=tile).collect()
+        rows = TR.stack_geometry(runs, ["nuts", "cf2020"], 2, tile=tile).collect()
         assert sorted(r.cf2020 for r in rows) == [1, 2]
         assert len({r.cf2020: r.geom for r in rows}[1][0][0]) == 5
 
 
 @pytest.mark.parametrize("tile", [1, 3, 8, 64])
-def test_pieces_of_tiles_give_the_same_outline(tile):
+def test_outlines_do_not_depend_on_tiles(spark, tile):
     from croploom.functions import outline as O
+    from croploom.functions.validity import valid_batch
 
     rng = np.random.default_rng(tile)
-    for share in (0.3, 0.6, 0.9):
+    rows, want = [], {}
+    for label, share in (("a", 0.3), ("b", 0.6), (None, 0.75), ("c", 0.9), ("d", 1.0)):
         grid = rng.random((20, 23)) < share
-        runs = np.array([(y - 7, x - 5, x - 4) for y, x in zip(*np.nonzero(grid))])
-        tiles = {}
-        for y, a, b in runs.tolist():
-            tiles.setdefault((y // tile, a // tile), []).append((y, a, b))
-        pieces = np.array([p for t in tiles.values() for p in O.tile_pieces(np.array(t), tile)])
-        area = lambda polys: sum(O.signed_area(r) for p in polys for r in p)
-        key = lambda polys: sorted((round(area([p]), 6), len(p), sorted(set(map(tuple, p[0])))) for p in polys)
-        got, want = O.close(O._joined(pieces), 2.0), O.draw(runs, 2.0)
-        assert key(got) == key(want) and area(got) == grid.sum() * 4
+        if label == "d":  # rings in rings
+            y, x = np.indices(grid.shape)
+            grid = np.minimum(np.minimum(x, 22 - x), np.minimum(y, 19 - y)) % 2 == 0
+        own = [(int(y) - 7, int(x) - 5, int(x) - 4) for y, x in zip(*np.nonzero(grid))]
+        rows += [(label, 1, *r) for r in own]
+        want[label] = O.draw(np.array(own), 2.0), grid.sum()
+    runs = spark.createDataFrame(rows, "nuts string, k int, py int, x0 int, x1 int")
+    area = lambda polys: sum(O.signed_area(r) for p in polys for r in p)
+    key = lambda polys: sorted((round(area([p]), 6), len(p), sorted(sorted(set(map(tuple, r))) for r in p)) for p in polys)
+    got = TR.stack_geometry(runs, ["nuts", "k"], 2, tile=tile).collect()
+    assert len(got) == len(want)
+    for r in got:
+        polys = [[[tuple(q) for q in ring] for ring in poly] for poly in r.geom]
+        assert key(polys) == key(want[r.nuts][0]) and area(polys) == want[r.nuts][1] * 4
+        assert valid_batch([polys]) == [True]
+        assert all(O.signed_area(p[0]) > 0 and all(O.signed_area(h) < 0 for h in p[1:]) for p in polys)
+
+
+def test_no_row_before_the_rings_holds_more_than_a_tile(spark):
+    runs = spark.range(60).selectExpr("1 k", "cast(id as int) py", "0 x0", "cast(2 + id % 3 * 60 as int) x1")
+    seen = []
+    plain = TR.materialise
+    TR.materialise = lambda df, label="stage": seen.append((label, plain(df, label))) or seen[-1][1]
+    try:
+        (row,) = TR.stack_geometry(runs, ["k"], 1, tile=16).collect()
+    finally:
+        TR.materialise = plain
+    longest = {name: df.selectExpr("max(size(points))").first()[0] for name, df in seen if "points" in df.columns}
+    assert set(longest) == {"tile-lines", "border-lines", "ring-parts"} and max(longest.values()) <= 4 * 16 < len(row.geom[0][0])
+
+
+def test_no_runs_give_no_outlines(spark):
+    assert TR.stack_geometry(spark.createDataFrame([], "k int, py int, x0 int, x1 int"), ["k"], 1).collect() == []
+
+
+def test_rings_are_ordered_by_doubling(spark):
+    from croploom.operators.listrank import cycles
+
+    rng = np.random.default_rng(9)
+    links, want, at = [], {}, 0
+    for n in (1, 1, 2, 3, 64, 100, 257):
+        ids = [int(x) for x in rng.permutation(n) + at]
+        at += n
+        start = ids.index(min(ids))
+        for k, i in enumerate(ids):
+            links.append((i, ids[(k + 1) % n]))
+            want[i] = (min(ids), (k - start) % n)
+    got = cycles(spark.createDataFrame(links, "id long, nxt long")).collect()
+    assert {r.id: (r.ring, r.place) for r in got} == want
+    assert cycles(spark.createDataFrame([], "id long, nxt long")).count() == 0
 
 
 def test_coverage_gaps_stay_in_their_region(spark):
