@@ -10,7 +10,11 @@ from pyspark.sql import functions as F
 from croploom.functions import geometry as G
 from croploom.functions import validity as V
 from croploom.operators.columns import hold
+from croploom.operators.crossings import large_validity
 from croploom.operators.stats import join_ids
+from croploom.session import materialise
+
+MOST_POINTS = 2_000  # points of a geometry that is tested in one piece
 
 
 def _with_suspect(df: DataFrame, geom: str) -> DataFrame:
@@ -20,18 +24,26 @@ def _with_suspect(df: DataFrame, geom: str) -> DataFrame:
     return eased.withColumn("_suspect", F.when(F.col("_easy").isNull(), F.col(geom)))
 
 
-def with_validity(df: DataFrame, geom: str = "geom") -> DataFrame:
-    """Adds ``valid``; convex rings are settled without leaving the JVM."""
-    easy = F.col("_easy").isNotNull()
-    return (
-        _with_suspect(df, geom)
-        .withColumn("valid", F.when(easy, V.is_closed(F.col(geom))).otherwise(V.is_valid(F.col("_suspect"))))
-        .drop("_easy", "_suspect")
-    )
-
+def with_validity(df: DataFrame, geom: str = "geom", most_points: int = MOST_POINTS) -> DataFrame:
+    """Adds ``valid``; convex rings are settled without leaving the JVM.
 
-def invalid_rows(df: DataFrame, geom: str = "geom") -> DataFrame:
-    return with_validity(df, geom).where(~F.col("valid")).drop("valid")
+    Of the others, geometries of up to ``most_points`` points are tested whole, batch by batch, and larger
+    ones by ``large_validity``, whose edges meet in cells.
+    """
+    easy = F.col("_easy").isNotNull()
+    eased = _with_suspect(df, geom)
+    n = F.expr("aggregate(_suspect, 0, (s, poly) -> s + aggregate(poly, 0, (t, r) -> t + size(r)))")
+    large = F.coalesce(n > most_points, F.lit(False))
+    small = eased.where(~large).withColumn("valid", F.when(easy, V.is_closed(F.col(geom))).otherwise(V.is_valid(F.col("_suspect"))))
+    rest = materialise(eased.where(large).drop("_easy", "_suspect"), "large")
+    small = small.drop("_easy", "_suspect")
+    if not rest.limit(1).count():
+        return small
+    return small.unionByName(large_validity(rest, geom))
+
+
+def invalid_rows(df: DataFrame, geom: str = "geom", most_points: int = MOST_POINTS) -> DataFrame:
+    return with_validity(df, geom, most_points).where(~F.col("valid")).drop("valid")
 
 
 def invalid_snapshot(df: DataFrame, geom: str = "geom") -> DataFrame:
