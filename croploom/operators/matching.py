@@ -9,22 +9,19 @@ from pyspark.sql import functions as F
 
 from croploom.functions.scalars import norm_text, spaces_to_underscores, underscores_to_spaces
 from croploom.functions.similarity import best_of_batch
+from croploom.operators.gramindex import best_by_index, edit_similarity
 from croploom.operators.joins import BROADCAST_ROWS, dim_join, lookup
 from croploom.session import materialise
 
 # Candidates compared with one name at a time, and names handed over together.
 CHUNK = 512
 BATCH = 64
-
-
-def edit_similarity(a: Column, b: Column) -> Column:
-    """1 minus the edit distance over the longer length."""
-    longest = F.greatest(F.length(a), F.length(b))
-    return F.when(longest > 0, 1 - F.levenshtein(a, b) / longest).otherwise(F.lit(0.0))
+# Pairs of names and candidates from which an index is cheaper than comparing them all.
+INDEX_FROM = 1_000_000
 
 
 def best_match(
-    names: DataFrame, candidates: DataFrame, method: str = "weighted", chunk: int = CHUNK
+    names: DataFrame, candidates: DataFrame, method: str = "weighted", chunk: int = CHUNK, index_from: int = INDEX_FROM
 ) -> DataFrame:
     """The best candidate of every distinct name: ``(text, best, score)``.
 
@@ -33,12 +30,20 @@ def best_match(
 
     The candidate list is packed into arrays of at most ``chunk`` entries and each name visits each
     array, so no name x candidate rows ever exist.  The arrays are broadcast up to the usual bound of
-    rows; beyond it the visits to one array are spread over several tasks.
+    rows; beyond it the visits to one array are spread over several tasks.  With the edit distance, and
+    from ``index_from`` pairs on, only names do so that have no candidate near enough for the prefix index
+    (``gramindex``); the result is the same.
     """
     col = names.columns[0]
     clean = (
         names.select(norm_text(F.col(col)).alias("name")).where(F.col("name") != "").distinct()
     )
+    near = None
+    if method == "levenshtein":
+        listed = candidates.select(F.col("pos").cast("bigint"), norm_text(F.col("text")).alias("text"))
+        clean = materialise(clean, "names")
+        if clean.count() * listed.count() >= index_from:
+            near, clean = best_by_index(clean, listed)
     packs = (
         candidates.select(F.col("pos").cast("bigint"), norm_text(F.col("text")).alias("text"))
         .withColumn("pack", F.expr(f"pos div {chunk}"))
@@ -80,9 +85,9 @@ def best_match(
             .select(F.explode(best_of_batch("names", "cands")).alias("r"))
             .select("r.name", F.struct(F.col("r.score").alias("score"), (-F.col("r.pos")).alias("rank")).alias("hit"))
         )
+    hits = found.groupBy("name").agg(F.max("hit").alias("hit"))
     return (
-        found.groupBy("name")
-        .agg(F.max("hit").alias("hit"))
+        (hits if near is None else hits.unionByName(near))
         .select(
             F.col("name").alias("text"), (-F.col("hit.rank")).alias("best"), F.col("hit.score").alias("score")
         )
@@ -94,6 +99,7 @@ def match_crop_names(
     hierarchy: DataFrame,
     name: str = "translated_name",
     method: str = "weighted",
+    index_from: int = INDEX_FROM,
 ) -> DataFrame:
     """Adds ``hcat4_name_auto`` and ``hcat4_code_auto``, the best crop of the hierarchy by name.
 
@@ -101,7 +107,7 @@ def match_crop_names(
     """
     cands = hierarchy.select("pos", underscores_to_spaces(F.col("hcat4_name")).alias("text"))
     # Stored, as the joins below count their right side before they use it.
-    hits = materialise(best_match(df.select(name), cands, method), "hits")
+    hits = materialise(best_match(df.select(name), cands, method, index_from=index_from), "hits")
     named = dim_join(
         hits, hierarchy.select(F.col("pos").alias("best"), F.col("hcat4_name").alias("hcat4_name_auto")), ["best"]
     ).select(F.col("text").alias("_key"), spaces_to_underscores(F.col("hcat4_name_auto")).alias("hcat4_name_auto"))

@@ -621,19 +621,25 @@ def query_names(spark, sf) -> DataFrame:
     )
 
 
-@query(
-    "m1_j10_w3_best_match",
-    """with cand as (select replace(n, '_', ' ') as text, n as name, row_number() over (order by n) as pos from (select distinct replace(p_name, ' ', '_') as n from part)),
+BEST_MATCH = """with cand as (select replace(n, '_', ' ') as text, n as name, row_number() over (order by n) as pos from (select distinct replace(p_name, ' ', '_') as n from part)),
     q as (select distinct lower(p_type) || ' ' || p_name as t from part),
     s as (select t, pos, name, 1 - levenshtein(t, text) / greatest(length(t), length(text)) as score from q, cand),
     b as (select t, name as hcat4_name_auto, 3310000000 + pos as hcat4_code_auto from s qualify row_number() over (partition by t order by score desc, pos) = 1)
-    select p_partkey, hcat4_name_auto, hcat4_code_auto from part join b on t = lower(p_type) || ' ' || p_name""",
-)
+    select p_partkey, hcat4_name_auto, hcat4_code_auto from part join b on t = lower(p_type) || ' ' || p_name"""
+
+
+@query("m1_j10_w3_best_match", BEST_MATCH)
 def _(spark, sf):
     out = M.match_crop_names(query_names(spark, sf), materialise(part_hierarchy(spark, sf), "names"), method="levenshtein")
     return out.select("p_partkey", "hcat4_name_auto", "hcat4_code_auto")
 
 
+@query("j10_best_match_by_index", BEST_MATCH)
+def _(spark, sf):
+    out = M.match_crop_names(query_names(spark, sf), materialise(part_hierarchy(spark, sf), "names"), method="levenshtein", index_from=0)
+    return out.select("p_partkey", "hcat4_name_auto", "hcat4_code_auto")
+
+
 @query("m1_best_match_weighted")
 def _(spark, sf):
     out = M.match_crop_names(query_names(spark, sf), materialise(part_hierarchy(spark, sf), "names"))
