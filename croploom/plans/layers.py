@@ -12,11 +12,12 @@ from croploom.functions.scalars import layer_name
 from croploom.functions.wkb import from_wkb
 from croploom.operators.columns import area_ha
 from croploom.operators.joins import dim_join
-from croploom.operators.numbering import number_rows
+from croploom.operators.ledger import keep_numbers, layer_digests
 from croploom.operators.quality import repair_layer
 from croploom.operators.stats import reconcile
 from croploom.session import materialise, scratch
-from croploom.sources.sinks import export_layers, write_report
+from croploom.sources.sinks import export_layers, replace_layers, write_report
+from croploom.streaming.incremental import layers_changed
 
 # Standard columns that a manifest can name, and their types.
 STANDARD = {"off_id": "string", "off_area": "double", "original_code": "string"}
@@ -29,6 +30,7 @@ class LayerProducts:
     layers: DataFrame
     quarantine: DataFrame
     report: DataFrame
+    digests: DataFrame
 
 
 def harmonised(sources: DataFrame, manifest: DataFrame) -> DataFrame:
@@ -58,33 +60,50 @@ def layer_job(sources: DataFrame, import_list: DataFrame, manifest: DataFrame, o
 
     Harmonises columns, decodes and repairs geometries, numbers the parcels of each layer, computes
     areas, and exports one folder per layer below ``out``; rows without a usable geometry are written
-    to quarantine with a reason.  The report has a row per listed layer: rows in the source, exported
-    and missing, and whether the layer is complete, partial, missing, or was there before.  Repeated
-    runs add the layers that are new.
+    to quarantine with a reason.  Numbers come from a ledger below ``out``: a row that was there in an
+    earlier run has the number it had.  The report has a row per listed layer: rows in the source,
+    exported and missing, and whether the layer is complete, partial, missing, or was there before.
+
+    ``done`` may have a ``digest`` as well, as in the ``digests`` of an earlier run: then a listed layer
+    whose source rows have changed since is taken in again.  All that is written is written by layer
+    and replaces what an earlier run has left of it, so a run that failed can be repeated.
     """
     spark = sources.sparkSession
     listed = import_list.select(F.lower("nuts").alias("nuts"), "year").distinct()
     rows = sources.withColumn("nuts", F.lower("nuts"))
-    wanted = listed if done is None else listed.join(done.select(F.lower("nuts").alias("nuts"), "year").distinct(), ["nuts", "year"], "left_anti")
     name = layer_name(F.col("nuts"), F.col("year")).alias("layer")
     with scratch(spark):
+        asked = dim_join(rows, listed, ["nuts", "year"], "left_semi")
+        digests = materialise(layer_digests(asked.select("nuts", "year", "attrs", "wkb")), "digests")
+        wanted = listed
+        if done is not None:
+            known = done.withColumn("nuts", F.lower("nuts")).select(*[c for c in ("nuts", "year", "digest") if c in done.columns]).distinct()
+            if "digest" in known.columns:
+                changed = layers_changed(digests, known).select("nuts", "year", F.lit(True).alias("_changed"))
+                known = materialise(known.join(changed, ["nuts", "year"], "left").where("_changed is null").select("nuts", "year"), "done")
+            wanted = listed.join(known, ["nuts", "year"], "left_anti")
+        wanted = materialise(wanted, "wanted")
         todo = dim_join(rows, wanted, ["nuts", "year"], "left_semi")
-        fixed = repair_layer(harmonised(todo, manifest).withColumn("geom", from_wkb("wkb")).drop("wkb"))
+        raw = harmonised(todo, manifest).withColumn("_wkb", F.md5("wkb"))
+        fixed = repair_layer(raw.withColumn("geom", from_wkb("wkb")).drop("wkb"))
         reason = (
             F.when(F.col("geom").isNull(), "no readable geometry")
             .when(F.size("geom") == 0, "empty geometry")
             .when(F.col("method") == 9, "could not be repaired")
         )
         fixed = materialise(fixed.withColumn("reason", reason), "layers")
-        fixed.where("reason is not null").drop("method").write.mode("append").parquet(f"{out}/quarantine")
-        good = number_rows(fixed.where("reason is null").drop("reason", "method"), "cropfield", ["off_id"], ["nuts", "year"])
-        export_layers(good.withColumn("area_ha", area_ha(G.area(F.col("geom")))), f"{out}/layers")
-        present = None if done is None else done.select(name)
-        source = dim_join(rows, listed, ["nuts", "year"], "left_semi").select(name)
-        report = reconcile(source, fixed.where("reason is null").select(name), "layer", present)
-        path = write_report(report, f"{out}/report", "layers.csv")
+        bad = fixed.where("reason is not null").drop("method", "_wkb")
+        replace_layers(bad, f"{out}/quarantine", wanted)
+        good = keep_numbers(fixed.where("reason is null").drop("reason", "method"), f"{out}/keys", ["off_id", "off_area", "original_code", "_wkb"])
+        export_layers(good.drop("_wkb").withColumn("area_ha", area_ha(G.area(F.col("geom")))), f"{out}/layers")
+        replace_layers(digests, f"{out}/digests", listed)
+        present = None if done is None else known.select(name)
+        report = reconcile(asked.select(name), fixed.where("reason is null").select(name), "layer", present)
+        path = write_report(report, f"{out}/report", "layers.csv", stamp="%Y%m%d%H%M%S%f")
+    read = lambda df, sub: spark.read.schema(df.schema).parquet(f"{out}/{sub}")
     return LayerProducts(
         layers=spark.read.parquet(f"{out}/layers"),
-        quarantine=spark.read.parquet(f"{out}/quarantine"),
+        quarantine=read(bad, "quarantine"),
         report=spark.read.option("header", True).schema(report.schema).csv(path),
+        digests=read(digests, "digests"),
     )

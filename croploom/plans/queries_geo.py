@@ -14,6 +14,7 @@ from croploom.operators import columns as P
 from croploom.operators import filters as FL
 from croploom.operators import grid as GR
 from croploom.operators import joins as J
+from croploom.operators import ledger as LG
 from croploom.operators import matching as M
 from croploom.operators import numbering as N
 from croploom.operators import quality as Q
@@ -28,6 +29,7 @@ from croploom.schema import GEOM
 from croploom.session import materialise, shared_path
 from croploom.sources import layers as L
 from croploom.sources import sinks
+from croploom.streaming import incremental as I
 
 BASE = T.with_(T.PARCELS)
 SIGNED = T.with_(T.PARCELS, T.SIGNED)
@@ -593,6 +595,40 @@ def _(spark, sf):
     return out.report.drop("ratio").join(sums, "layer", "left")
 
 
+@query(
+    "p4_kept_numbers",
+    BASE
+    + """, a as (select nuts, year, cropfield, row_number() over (partition by nuts, year order by lpad(cropfield :: varchar, 12, '0')) as n from parcels where cropfield % 10 < 7),
+    t as (select nuts, year, count(*) as top from a group by nuts, year),
+    b as (select p.nuts, p.year, p.cropfield, coalesce(top, 0) + row_number() over (partition by p.nuts, p.year order by lpad(p.cropfield :: varchar, 12, '0')) as n
+      from parcels p left join t using (nuts, year) where p.cropfield % 10 >= 7)
+    select nuts, year, cropfield as off_id, n as number from a where cropfield % 10 > 1 union all select nuts, year, cropfield, n from b""",
+)
+def _(spark, sf):
+    # A second run lacks some of the first one's rows and has others; rows of both keep their numbers.
+    pc = T.parcels(spark, sf).select("nuts", "year", F.lpad(F.col("cropfield").cast("string"), 12, "0").alias("off_id"), "original_code", "cropfield")
+    path = shared_path(spark, "keys")
+    out = None
+    for part in ("cropfield % 10 < 7", "cropfield % 10 > 1"):
+        out = LG.keep_numbers(pc.where(part).drop("cropfield"), path, ["off_id", "original_code"], name="number")
+    return out.select("nuts", "year", F.col("off_id").cast("long").alias("off_id"), "number")
+
+
+@query(
+    "s7_changed_layers",
+    BASE
+    + """select distinct nuts, year from parcels where (nuts = 'n3' and year = 1996) or year = 2001
+    union select nuts, year from parcels where nuts = 'n5' and year = 1997 group by nuts, year having count(*) filter (where cropfield % 2 = 0) between 1 and count(*) - 1""",
+)
+def _(spark, sf):
+    # One layer has another code, one lacks rows, one year is new; the order of rows does not count.
+    pc = T.parcels(spark, sf).select("nuts", "year", "cropfield", "original_code", "xmin", "w")
+    n3, n5 = F.expr("nuts = 'n3' and year = 1996"), F.expr("nuts = 'n5' and year = 1997")
+    now = pc.where(~n5 | (F.col("cropfield") % 2 == 1)).withColumn("original_code", F.when(n3, F.concat("original_code", F.lit("x"))).otherwise(F.col("original_code")))
+    done = LG.layer_digests(pc.where("year <> 2001").orderBy(F.desc("cropfield")))
+    return I.layers_changed(LG.layer_digests(now), done).select("nuts", "year")
+
+
 @query(
     "s8_export_layers",
     SIGNED + "select nuts, year, count(distinct cropfield) as n, sum(sign * (x1 - x0) * (y1 - y0)) as area from signed group by nuts, year",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -68,9 +69,46 @@ MODES = {"replace": "overwrite", "append": "append", "fail": "errorifexists"}
 
 
 def write_table(df: DataFrame, name: str, mode: str = "replace", partition_by: tuple[str, ...] = ()) -> None:
-    """A catalog table, column names stripped and in lower case; mode replace, append or fail."""
+    """A catalog table, column names stripped and in lower case; mode replace, append or fail.
+
+    A replacement is loaded aside and renamed into place, and the old table goes only after that.  A
+    write that fails leaves the old rows as they were.
+    """
+    spark = df.sparkSession
     clean = df.toDF(*[c.strip().lower() for c in df.columns])
-    clean.write.mode(MODES[mode]).partitionBy(*partition_by).saveAsTable(name)
+    if mode != "replace" or not spark.catalog.tableExists(name):
+        clean.write.mode(MODES[mode]).partitionBy(*partition_by).saveAsTable(name)
+        return
+    mark = uuid.uuid4().hex[:12]
+    aside, old = f"{name}__new_{mark}", f"{name}__old_{mark}"
+    try:
+        clean.write.partitionBy(*partition_by).saveAsTable(aside)
+    except Exception:
+        spark.sql(f"drop table if exists {aside}")
+        raise
+    spark.sql(f"alter table {name} rename to {old}")
+    try:
+        spark.sql(f"alter table {aside} rename to {name}")
+    except Exception:
+        spark.sql(f"alter table {old} rename to {name}")
+        raise
+    spark.sql(f"drop table {old}")
+
+
+def replace_layers(df: DataFrame, path: str, layers: DataFrame) -> None:
+    """Rows of some layers (nuts, year), one folder each; those of ``layers`` without rows are emptied.
+
+    Writing the same again changes nothing.  The list of layers, not their rows, is looked at here.
+    """
+    spark = df.sparkSession
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("nuts", "year").parquet(path)
+    have = df.select("nuts", "year").distinct()
+    jvm = spark.sparkContext._jvm
+    for r in layers.select("nuts", "year").distinct().join(have, ["nuts", "year"], "left_anti").collect():
+        target = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/nuts={r.nuts}/year={r.year}")
+        fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if fs.exists(target):
+            fs.delete(target, True)
 
 
 def write_by_year(stats: DataFrame, path: str) -> None:
@@ -83,8 +121,8 @@ def write_by_year(stats: DataFrame, path: str) -> None:
     )
 
 
-def write_report(df: DataFrame, folder: str, name: str, ts: datetime | None = None) -> str:
-    """A small aggregated report as one CSV file in a folder stamped with the minute."""
-    path = f"{folder.rstrip('/')}/{(ts or datetime.now()).strftime('%Y%m%d%H%M')}/{name}"
+def write_report(df: DataFrame, folder: str, name: str, ts: datetime | None = None, stamp: str = "%Y%m%d%H%M") -> str:
+    """A small aggregated report as one CSV file in a folder stamped with the minute, or by ``stamp``."""
+    path = f"{folder.rstrip('/')}/{(ts or datetime.now()).strftime(stamp)}/{name}"
     df.repartition(1).write.mode("overwrite").option("header", True).csv(path)
     return path

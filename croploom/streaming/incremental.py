@@ -20,6 +20,11 @@ def layers_to_do(available: DataFrame, done: DataFrame, empty: DataFrame | None
     return todo(available, done, empty)
 
 
+def layers_changed(now: DataFrame, done: DataFrame) -> DataFrame:
+    """Layers that are new or whose digest is another one than in the done list (see ``layer_digests``)."""
+    return now.join(done.select(*now.columns), now.columns, "left_anti")
+
+
 def layer_stream(spark: SparkSession, folder: str, schema: T.StructType = LAYER_FILE) -> DataFrame:
     """New layer files of a folder as a stream with region, year and decoded geometry."""
     raw = spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(folder)

@@ -161,3 +161,88 @@ def test_columns_are_encoded_as_single_values_are():
     col = to_geometry_array(geoms)
     for part in (col, col.slice(1), col.slice(3, 2), col.slice(1, 1), col.slice(0, 0)):
         assert W.encode_column(part).to_pylist() == [W.encode(g) for g in from_geometry_array(part)]
+
+
+def test_a_failing_replacement_leaves_the_old_rows(spark, tmp_path):
+    spark.sql("create database if not exists swap_test location '" + str(tmp_path / "db") + "'")
+    try:
+        sinks.write_table(spark.range(5).toDF("ID "), "swap_test.t")
+        broken = spark.range(9).select(F.when(F.col("id") == 8, F.raise_error(F.lit("no"))).otherwise(F.col("id")).alias("id"))
+        with pytest.raises(Exception):
+            sinks.write_table(broken, "swap_test.t")
+        assert spark.table("swap_test.t").count() == 5
+        sinks.write_table(spark.table("swap_test.t").selectExpr("id * 2 as id"), "swap_test.t")  # read while it is replaced
+        assert sorted(r.id for r in spark.table("swap_test.t").collect()) == [0, 2, 4, 6, 8]
+        assert [t.name for t in spark.catalog.listTables("swap_test")] == ["t"]
+    finally:
+        spark.sql("drop database swap_test cascade")
+
+
+def test_numbers_stay_with_their_rows(spark, tmp_path):
+    from croploom.operators.ledger import keep_numbers
+
+    def run(rows):
+        df = spark.createDataFrame(rows, "nuts string, year int, off_id string, code string")
+        return sorted(map(tuple, keep_numbers(df, str(tmp_path / "keys"), ["off_id", "code"]).collect()), key=str)
+
+    a = [("x", 1, "b", "1"), ("x", 1, "a", "1"), ("x", 1, "a", "1"), ("y", 1, None, None), ("y", 1, None, None)]
+    one = run(a)
+    assert {r[4] for r in one if r[0] == "x"} == {1, 2, 3} and {r[4] for r in one if r[0] == "y"} == {1, 2}
+    assert run(a[::-1]) == one
+    two = run([*a[1:], ("x", 1, "0", "new"), ("z", 2, "q", None)])
+    assert set(two) - set(one) == {("x", 1, "0", "new", 4), ("z", 2, "q", None, 1)} and len(two) == 6
+    assert run(a) == one and run([]) == []
+
+
+def test_digests_tell_changed_layers(spark):
+    from croploom.operators.ledger import layer_digests
+
+    rows = [("a", 1, {"k": "v", "m": None}, "x"), ("a", 1, {"k": "w"}, None), ("b", 1, {}, "x")]
+    schema = "nuts string, year int, attrs map<string,string>, t string"
+    base = {r.nuts: r.digest for r in layer_digests(spark.createDataFrame(rows, schema)).collect()}
+    again = {r.nuts: r.digest for r in layer_digests(spark.createDataFrame([rows[2], rows[1], ("a", 1, {"m": None, "k": "v"}, "x")], schema)).collect()}
+    assert base == again
+    for other in ([("a", 1, {"k": "v"}, "x"), *rows[1:]], [rows[0], rows[0], rows[2]], [*rows[:2], rows[1], rows[2]], [rows[0], ("a", 1, {"k": "w"}, "None"), rows[2]]):
+        new = {r.nuts: r.digest for r in layer_digests(spark.createDataFrame(other, schema)).collect()}
+        assert new["a"] != base["a"] and new["b"] == base["b"]
+
+
+def _source_rows(spark, changed=False):
+    square = bytearray(W.encode(SQUARE))
+    rows = [(n, 2020, {"ID": str(i), "CODE": "c"}, square if i % 4 else None) for n in ("a", "b") for i in range(1, 13)]
+    rows += [("a", 2020, {"ID": None, "CODE": "d"}, square)] * 2
+    if changed:
+        rows = [(n, y, a, square if n == "b" else w) for n, y, a, w in rows] + [("b", 2020, {"ID": "0", "CODE": "c"}, square)]
+    return spark.createDataFrame(rows, "nuts string, year int, attrs map<string,string>, wkb binary")
+
+
+def test_layer_job_can_be_repeated(spark, tmp_path, monkeypatch):
+    from croploom.plans import layers as PL
+
+    listed = spark.createDataFrame([("A", 2020), ("B", 2020)], "nuts string, year int")
+    manifest = spark.createDataFrame([(n, 2020, c, t, 1) for n in "ab" for c, t in (("id", "off_id"), ("code", "original_code"))], "nuts string, year int, column_name string, type string, tokeep int")
+    rows = lambda df: sorted((str(tuple(r)) for r in df.collect()))
+    clean = PL.layer_job(_source_rows(spark), listed, manifest, str(tmp_path / "clean"))
+    out = str(tmp_path / "again")
+    write, calls = PL.export_layers, []
+
+    def failing(*a, **k):
+        calls.append(1)
+        raise OSError("no space")
+
+    monkeypatch.setattr(PL, "export_layers", failing)
+    with pytest.raises(OSError):
+        PL.layer_job(_source_rows(spark), listed, manifest, out)
+    monkeypatch.setattr(PL, "export_layers", write)
+    got = PL.layer_job(_source_rows(spark).orderBy(F.rand(3)), listed, manifest, out)
+    assert rows(got.layers) == rows(clean.layers) and rows(got.quarantine) == rows(clean.quarantine) and rows(got.report) == rows(clean.report)
+    assert got.quarantine.count() == 6 and got.layers.groupBy("nuts").agg(F.count_distinct("cropfield")).count() == 2
+
+    # b has changed since: it is taken in again, its rows keep their numbers, and its quarantine is empty now
+    before = {(r.nuts, r.off_id): r.cropfield for r in got.layers.collect() if r.off_id}
+    done = spark.createDataFrame(got.digests.collect(), got.digests.schema)
+    new = PL.layer_job(_source_rows(spark, changed=True), listed, manifest, out, done)
+    after = {(r.nuts, r.off_id): r.cropfield for r in new.layers.collect() if r.off_id}
+    assert all(after[k] == n for k, n in before.items()) and len(after) == len(before) + 4
+    assert {r.layer: r.status for r in new.report.collect()} == {"a_2020": "present", "b_2020": "complete"}
+    assert {r.nuts for r in new.quarantine.collect()} == {"a"}
