@@ -89,9 +89,14 @@ def in_envelope(
 ) -> DataFrame:
     """Rows that meet a closed rectangle.
 
-    Stored limits ``xmin, ymin, xmax, ymax`` are compared first, so that the scan can skip row
-    groups; ``geom=None`` means the rows are rectangles and the limits are all there is.
+    Stored limits ``xmin, ymin, xmax, ymax``, or those of a struct ``bbox``, are compared first, so that
+    the scan can skip row groups; rows whose ``bbox`` is null are looked at.  ``geom=None`` means the rows
+    are rectangles and the limits are all there is.
     """
+    if "bbox" in df.columns:
+        for limit, value, low in (("xmax", x0, True), ("xmin", x1, False), ("ymax", y0, True), ("ymin", y1, False)):
+            c = F.col(f"bbox.{limit}")
+            df = df.where(c.isNull() | (c >= float(value) if low else c <= float(value)))
     limits = {"xmin", "ymin", "xmax", "ymax"}
     if limits <= set(df.columns):
         df = df.where(

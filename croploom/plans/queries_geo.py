@@ -643,6 +643,29 @@ def _(spark, sf):
     )
 
 
+@query(
+    "s8_f6_window_of_export",
+    T.with_(T.PARCELS, T.COVER) + "select distinct p.nuts, p.year, p.cropfield from cover c join parcels p using (cropfield) where c.x1 >= 2645000 and c.x0 <= 2650010 and c.y1 >= 1562000 and c.y0 <= 1566020",
+)
+def _(spark, sf):
+    path = shared_path(spark, "export")
+    sinks.export_layers(shapes(spark, sf), path)
+    return L.read_window(spark, path, 2645000, 1562000, 2650010, 1566020).select("nuts", F.col("year").cast("int").alias("year"), "cropfield")
+
+
+@query(
+    "s8_geoparquet_files",
+    SIGNED + "select nuts, year, count(distinct cropfield) as n, sum(sign * (x1 - x0) * (y1 - y0)) as area from signed group by nuts, year",
+)
+def _(spark, sf):
+    path = shared_path(spark, "geoparquet")
+    sinks.export_geoparquet(shapes(spark, sf), path)
+    back = spark.read.parquet(path)
+    return back.groupBy("nuts", F.col("year").cast("int").alias("year")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(G.area(from_wkb("geometry"))).alias("area")
+    )
+
+
 # --- names ---------------------------------------------------------------------------------------
 
 

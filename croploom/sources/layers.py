@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from croploom.functions.crs import geom_to_3035
 from croploom.functions.wkb import from_wkb
 from croploom.operators.columns import clean_names, hold, manifest_columns, select_by_manifest
-from croploom.operators.filters import drop_empty
+from croploom.operators.filters import drop_empty, in_envelope
 from croploom.operators.quality import repair_layer
 from croploom.schema import LAYER_FILE
 from croploom.session import materialise
@@ -46,6 +46,16 @@ def read_layers(
     )
 
 
+def read_window(spark: SparkSession, path: str, x0: float, y0: float, x1: float, y1: float) -> DataFrame:
+    """Exported parcels that meet a closed rectangle, with decoded ``geom``.
+
+    The limits that the export has written are compared in the scan, which skips row groups by them.
+    """
+    near = in_envelope(spark.read.parquet(path), x0, y0, x1, y1, geom=None).drop("bbox")
+    decoded = hold(near.withColumnRenamed("geometry", "_wkb"), "geom", from_wkb("_wkb")).drop("_wkb")
+    return in_envelope(decoded, x0, y0, x1, y1)
+
+
 def read_mapping(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """A code table from CSV, column names stripped and in lower case.
 

@@ -6,26 +6,28 @@ import json
 import uuid
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from croploom.functions import geometry as G
 from croploom.functions.wkb import to_wkb
 from croploom.operators.columns import select_available
 from croploom.schema import LAYER_SRID
+from croploom.sources.geoparquet import ROW_GROUP, write_geoparquet
 
 # The columns of a published yearly layer.
 YEARLY_COLUMNS = ("nuts", "year", "cropfield", "original_code", "off_id", "off_area", "area_ha", "geom")
 
-# The column description of the GeoParquet 1.0 metadata.
+# The column description of the GeoParquet 1.1 metadata.
 GEO_METADATA = {
-    "version": "1.0.0",
+    "version": "1.1.0",
     "primary_column": "geometry",
     "columns": {
         "geometry": {
             "encoding": "WKB",
             "geometry_types": ["MultiPolygon"],
             "crs": {"id": {"authority": "EPSG", "code": LAYER_SRID}},
+            "covering": {"bbox": {k: ["bbox", k] for k in ("xmin", "ymin", "xmax", "ymax")}},
         }
     },
 }
@@ -43,26 +45,63 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.close()
 
 
+def _spread(c: Column) -> Column:
+    """The lower 31 bits of a number with a gap after each."""
+    x = c.bitwiseAND(F.lit(0x7FFFFFFF))
+    for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)):
+        x = x.bitwiseOR(F.shiftleft(x, shift)).bitwiseAND(F.lit(mask))
+    return x
+
+
+def curve_key(x: Column, y: Column) -> Column:
+    """Place of a point on a Z-shaped curve over whole metres; null first, far values at the ends."""
+
+    def whole(c: Column) -> Column:
+        return F.floor(F.least(F.greatest(c, F.lit(0.0)), F.lit(float(0x7FFFFFFF)))).cast("bigint")
+
+    return _spread(whole(x)).bitwiseOR(F.shiftleft(_spread(whole(y)), 1))
+
+
+def _prepared(df: DataFrame, stack: bool) -> tuple[DataFrame, DataFrame, list[str]]:
+    """What is exported, the same as WKB with limits and in the order of the files, and the folders' columns."""
+    kept = df if stack else select_available(df, YEARLY_COLUMNS)
+    out = kept.withColumn("bbox", G.bbox(F.col("geom"))).withColumn("geometry", to_wkb("geom")).drop("geom")
+    parts = [c for c in (("nuts",) if stack else ("nuts", "year")) if c in out.columns]
+    # A range of the curve for each task: few files for each layer, several tasks for a large one, and
+    # neighbours in the same row group, whose limits a reader compares first.
+    key = curve_key((F.col("bbox.xmin") + F.col("bbox.xmax")) / 2, (F.col("bbox.ymin") + F.col("bbox.ymax")) / 2)
+    out = out.withColumn("_key", key)
+    return kept, out.repartitionByRange(*parts, "_key").sortWithinPartitions(*parts, "_key").drop("_key"), parts
+
+
+def _types(kept: DataFrame, parts: list[str]) -> DataFrame:
+    return kept.groupBy(*parts, G.geom_type(F.col("geom")).alias("geom_type")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def export_layers(df: DataFrame, path: str, stack: bool = False, mode: str = "overwrite") -> DataFrame | None:
-    """Layers as zstd parquet with WKB ``geometry``, one folder per region (and year).
+    """Layers as zstd parquet with WKB ``geometry`` and its limits ``bbox``, one folder per region (and year).
 
-    Yearly layers keep their standard columns, stacks all of them.  The coordinate system is
-    described in ``_geo_metadata.json`` beside the data.  A frame without geometry is skipped and
-    gives None; otherwise the count per geometry type is returned.
+    Yearly layers keep their standard columns, stacks all of them.  Rows follow a curve through the plane,
+    so that a reader of a window skips row groups.  The coordinate system is described in
+    ``_geo_metadata.json`` beside the data; ``export_geoparquet`` has it in the files.  A frame without
+    geometry is skipped and gives None; otherwise the count per geometry type is returned.
     """
     if "geom" not in df.columns:
         return None
-    kept = df if stack else select_available(df, YEARLY_COLUMNS)
-    out = kept.withColumn("geometry", to_wkb("geom")).drop("geom")
-    parts = [c for c in (("nuts",) if stack else ("nuts", "year")) if c in out.columns]
-    # Rows of a layer are brought together so that few files are written; adaptive execution cuts a
-    # layer that holds a large part of all rows into several tasks again.
-    if parts:
-        out = out.hint("rebalance", *parts)
+    kept, out, parts = _prepared(df, stack)
     # Only the folders of the layers at hand are replaced, whatever the session's setting is.
     out.write.mode(mode).option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(*parts).parquet(path)
     write_text(df.sparkSession, f"{path.rstrip('/')}/_geo_metadata.json", json.dumps(GEO_METADATA))
-    return kept.groupBy(*parts, G.geom_type(F.col("geom")).alias("geom_type")).agg(F.count(F.lit(1)).alias("n"))
+    return _types(kept, parts)
+
+
+def export_geoparquet(df: DataFrame, path: str, stack: bool = False, mode: str = "overwrite", row_group: int = ROW_GROUP) -> DataFrame | None:
+    """As ``export_layers``, with the description of the geometry in each file's footer."""
+    if "geom" not in df.columns:
+        return None
+    kept, out, parts = _prepared(df, stack)
+    write_geoparquet(out, path, GEO_METADATA, tuple(parts), mode, row_group)
+    return _types(kept, parts)
 
 
 MODES = {"replace": "overwrite", "append": "append", "fail": "errorifexists"}

@@ -93,7 +93,7 @@ def test_export(spark, tmp_path):
     types = sinks.export_layers(df, out).collect()
     assert [(r.nuts, r.year, r.geom_type, r.n) for r in types] == [("at", 2018, "Polygon", 2)]
     back = spark.read.parquet(out)
-    assert set(back.columns) == {"cropfield", "original_code", "off_id", "off_area", "area_ha", "geometry", "nuts", "year"}
+    assert set(back.columns) == {"cropfield", "original_code", "off_id", "off_area", "area_ha", "geometry", "bbox", "nuts", "year"}
     assert bytes(back.first().geometry) == W.encode(SQUARE)
     meta = json.loads((tmp_path / "out" / "_geo_metadata.json").read_text())
     assert meta["columns"]["geometry"]["crs"]["id"]["code"] == 3035
@@ -246,3 +246,57 @@ def test_layer_job_can_be_repeated(spark, tmp_path, monkeypatch):
     assert all(after[k] == n for k, n in before.items()) and len(after) == len(before) + 4
     assert {r.layer: r.status for r in new.report.collect()} == {"a_2020": "present", "b_2020": "complete"}
     assert {r.nuts for r in new.quarantine.collect()} == {"a"}
+
+
+def _many_squares(spark, n=4000):
+    x, y = F.col("id") * 7919 % 400 * 50.0, F.col("id") * 104729 % 397 * 50.0
+    rows = spark.range(n).select(F.lit("x").alias("nuts"), F.lit(2020).alias("year"), F.col("id").alias("cropfield"), G.envelope(x, y, x + 30, y + 20).alias("geom"))
+    return rows
+
+
+def test_a_window_reads_few_row_groups(spark, tmp_path):
+    df = _many_squares(spark)
+    out = str(tmp_path / "out")
+    sinks.export_geoparquet(df, out, row_group=100)
+    files = list((tmp_path / "out" / "nuts=x" / "year=2020").glob("*.parquet"))
+    window = (5000.0, 5000.0, 6500.0, 6200.0)
+    met = total = 0
+    for f in files:
+        meta = pq.read_metadata(f)
+        at = {meta.schema.column(i).path: i for i in range(meta.num_columns)}
+        for g in range(meta.num_row_groups):
+            low = [meta.row_group(g).column(at[f"bbox.{k}"]).statistics for k in ("xmin", "ymin", "xmax", "ymax")]
+            total += 1
+            met += low[0].min <= window[2] and low[1].min <= window[3] and low[2].max >= window[0] and low[3].max >= window[1]
+    assert total >= 40 and met <= total / 4
+    got = L.read_window(spark, out, *window)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(bbox.xmax" in plan
+    want = [r.cropfield for r in df.collect() if r.geom[0][0][0].x <= window[2] and r.geom[0][0][0].x + 30 >= window[0] and r.geom[0][0][0].y <= window[3] and r.geom[0][0][0].y + 20 >= window[1]]
+    assert sorted(r.cropfield for r in got.collect()) == sorted(want) and want
+
+
+def test_footers_describe_the_geometry(spark, tmp_path):
+    df = _many_squares(spark, 500).withColumn("year", (F.col("cropfield") % 2 + 2020).cast("int"))
+    out = tmp_path / "geo"
+    sinks.export_geoparquet(df, str(out))
+    sinks.export_geoparquet(df.where("year = 2020").limit(7), str(out))
+    files = list(out.rglob("*.parquet"))
+    limits = []
+    for f in files:
+        geo = json.loads(pq.read_metadata(f).metadata[b"geo"])
+        assert geo["version"] == "1.1.0" and geo["columns"]["geometry"]["crs"]["id"]["code"] == 3035
+        limits.append(geo["columns"]["geometry"]["bbox"])
+    assert all(a[0] < a[2] and a[1] < a[3] for a in limits)
+    assert {(r.year, r["count"]) for r in spark.read.parquet(str(out)).groupBy("year").count().collect()} == {(2020, 7), (2021, 250)}
+
+
+def test_a_failed_export_leaves_no_file(spark, tmp_path):
+    df = _many_squares(spark, 300)
+    out = tmp_path / "geo"
+    sinks.export_geoparquet(df, str(out))
+    before = sorted(out.rglob("*.parquet"))
+    late = df.withColumn("cropfield", F.when(F.col("cropfield") == 299, F.raise_error(F.lit("no"))).otherwise(F.col("cropfield")))
+    with pytest.raises(Exception):
+        sinks.export_geoparquet(late, str(out))
+    assert sorted(out.rglob("*.parquet")) == before and [p.name for p in out.iterdir()] == ["nuts=x"]
