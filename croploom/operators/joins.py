@@ -84,8 +84,8 @@ def map_crops(
 def _pattern_pairs(pc: DataFrame, m: DataFrame) -> DataFrame:
     """Parcel code -> matching mapping codes, worked out on the distinct parcel codes only.
 
-    Codes without wildcard are matched by equality, so only the few with one are compared by
-    pattern within their region.
+    Codes without wildcard are matched by equality.  A pattern meets the mapping codes of its region that
+    begin with what stands before its first wildcard, or end with what stands after its last one.
     """
     codes = pc.where(F.col("original_code").isNotNull()).select("nuts", "original_code").distinct()
     wild = F.col("original_code").rlike(r"[%_\\]")
@@ -93,10 +93,23 @@ def _pattern_pairs(pc: DataFrame, m: DataFrame) -> DataFrame:
         m.withColumn("original_code", F.col("_code")), ["nuts", "original_code"]
     )
     patterns = codes.where(wild).withColumn("_like", _spark_pattern(F.col("original_code")))
-    matched = dim_join(patterns, m, ["nuts"], "inner").where(F.like(F.col("_code"), F.col("_like"))).drop("_like")
+    matched = pattern_candidates(patterns, m).where(F.like(F.col("_code"), F.col("_like"))).drop("_like")
     return plain.unionByName(matched.select(*plain.columns))
 
 
+def pattern_candidates(patterns: DataFrame, m: DataFrame) -> DataFrame:
+    """Patterns (nuts, ``_like``) with the mapping codes (nuts, ``_code``) that share their longer fixed end.
+
+    Mapping codes are indexed by all their beginnings and endings, so the range of codes with a common
+    beginning is one key of the index.  A pattern with wildcards at both ends meets its whole region.
+    """
+    head, tail = (F.regexp_extract("_like", p, 0) for p in (r"^[^%_\\]*", r"[^%_\\]*$"))
+    end = F.when(F.length(head) >= F.length(tail), F.concat(F.lit("^"), head)).otherwise(F.concat(F.lit("$"), tail))
+    ends = "concat(transform(sequence(0, length(_code)), k -> concat('^', left(_code, k))), transform(sequence(1, length(_code) + 1), k -> concat('$', right(_code, k))))"
+    index = m.where(F.col("_code").isNotNull()).withColumn("_end", F.explode(F.array_distinct(F.expr(ends))))
+    return dim_join(patterns.withColumn("_end", end), index, ["nuts", "_end"], "inner").drop("_end")
+
+
 def _spark_pattern(pattern: Column) -> Column:
     """A LIKE pattern in which a backslash takes the next character as itself, made safe for Spark.
 

@@ -222,7 +222,9 @@ def attach_codes(
 ) -> DataFrame:
     """``c<year>`` = the parcel's code for every ``cf<year>``, all years in one join.
 
-    Where an id occurs twice in a year the smallest code is taken.
+    Where an id occurs twice in a year the smallest code is taken.  The stack's rows, each with a
+    ``cropfield`` of its own, travel with their ids and are put together by themselves again, so nothing
+    is joined back.
     """
     years, by = list(years), list(by)
     codes = (
@@ -230,13 +232,16 @@ def attach_codes(
         .groupBy(*by, "year", F.col("cropfield").alias("cf"))
         .agg(F.min("original_code").alias("code"))
     )
-    wide = (
-        _long(stack, years, [*by, "cropfield"])
+    ids = F.array(*[F.struct(F.lit(y).alias("year"), F.col(f"cf{y}").alias("cf")) for y in years])
+    each = stack.withColumn("_y", F.explode_outer(F.filter(ids, lambda s: s["cf"] != 0)))
+    others = [c for c in stack.columns if c not in (*by, "cropfield")]
+    return (
+        each.select(*stack.columns, "_y.year", "_y.cf")
         .join(codes, [*by, "year", "cf"], "left")
         .groupBy(*by, "cropfield")
-        .agg(*[F.max(F.when(F.col("year") == y, F.col("code"))).alias(f"c{y}") for y in years])
+        .agg(*[F.first(c).alias(c) for c in others], *[F.max(F.when(F.col("year") == y, F.col("code"))).alias(f"c{y}") for y in years])
+        .select(*stack.columns, *[f"c{y}" for y in years])
     )
-    return stack.join(wide, [*by, "cropfield"], "left")
 
 
 def coverage_gaps(pc_points: DataFrame, stack_points: DataFrame, size: int = 1000, by: Iterable[str] = ()) -> DataFrame:

@@ -15,6 +15,7 @@ from croploom.operators import matching as M
 from croploom.operators import numbering as N
 from croploom.operators import raster as R
 from croploom.operators import sets as U
+from croploom.operators import stack as S
 from croploom.operators import stats as A
 from croploom.plans.rotation import rotation_products
 from croploom.plans.yearly import yearly_products
@@ -273,3 +274,29 @@ def test_rotation_products(spark, sf):
     for r in rows:
         assert r.c1996 == (known[r.cf1996] if r.cf1996 else None)
     assert out.outlines.count() == len(rows) and out.gaps.columns == ["nuts", "x", "y"]
+
+
+def test_patterns_meet_the_codes_of_their_fixed_end(spark):
+    codes = [f"{a}{b}{c}" for a in "ABCD" for b in "0123456789" for c in "xyz"]
+    m = spark.createDataFrame([("n", c) for c in codes] + [("o", "A0x"), ("n", "%"), ("n", None)], "nuts string, _code string")
+    patterns = ["A1_", "%9z", "B%", "_", "%", "C_z", "D\\\\_%", "\\\\%", "A1x%1x"]
+    p = spark.createDataFrame([("n", x) for x in patterns], "nuts string, _like string")
+    met = J.pattern_candidates(p, m)
+    got = {(r._like, r._code) for r in met.where(F.like(F.col("_code"), F.col("_like"))).collect()}
+    every = p.join(m.where("_code is not null"), "nuts")
+    assert got == {(r._like, r._code) for r in every.where(F.like(F.col("_code"), F.col("_like"))).collect()}
+    counts = {r._like: r["count"] for r in met.groupBy("_like").count().collect()}
+    assert counts["A1_"] == 3 and counts["%9z"] == 4 and counts["B%"] == 30 and counts["C_z"] == 30 and counts["%"] == 121
+
+
+def test_attached_codes_need_two_exchanges_of_the_stack(spark):
+    stack = spark.createDataFrame([("a", 1, 5, None, 2.0), ("a", 2, 6, 7, 1.0), ("b", 1, None, 7, 3.0), ("b", 2, None, None, 0.0)], "nuts string, cropfield long, cf2020 long, cf2021 long, area_ha double")
+    pc = spark.createDataFrame([("a", 2020, 5, "x"), ("a", 2020, 6, "z"), ("a", 2020, 6, "y"), ("a", 2021, 7, "q"), ("b", 2020, 7, "no"), ("b", 2021, 7, "r")], "nuts string, year int, cropfield long, original_code string")
+    out = S.attach_codes(stack, pc, [2020, 2021])
+    assert sorted(map(tuple, out.collect())) == [("a", 1, 5, None, 2.0, "x", None), ("a", 2, 6, 7, 1.0, "y", "q"), ("b", 1, None, 7, 3.0, None, "r"), ("b", 2, None, None, 0.0, None, None)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = S.attach_codes(stack, pc, [2020, 2021])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 3
