@@ -51,8 +51,9 @@ SCHEMAS = {
 def calls_of(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Calls and results from plain conversations.
 
-    Every turn that is not the assistant's is a call that uses the one two turns before, and the
-    assistant's turns are results of the turn before.  Depending on its length the text's argument
+    Every turn that is not the assistant's, one without role included, is a call that uses the one two turns
+    before, and the assistant's turns are results of the turn before, a third of them given once more, with some
+    results of calls that there are not.  Depending on its length the text's argument
     list lacks an argument, has one of a wrong type, is cut off or has one too many.
     """
     t = turns.withColumn("n", F.length("text").cast("long"))
@@ -63,9 +64,12 @@ def calls_of(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     meta = F.concat(F.lit(', "meta": {"z": [1, 2.5, null], "a": '), F.when(F.expr("n % 2 = 0"), F.lit("true")).otherwise(F.lit("false")), F.lit("}"))
     whole = F.concat(F.lit("{ "), text, F.when(F.expr("n % 7 = 0"), F.lit("")).otherwise(chars), F.when(F.expr("n % 5 = 0"), meta).otherwise(F.lit("")), F.when(F.expr("n % 13 = 0"), F.lit("")).otherwise(F.lit(" }")))
     tool = F.when(F.col("role") == "user", "ask").when(F.col("role") == "system", "configure").otherwise(F.col("role"))
-    calls = t.filter("role <> 'assistant'").select("conv_id", name.alias("call_id"), F.when(F.col("turn") >= 2, back(2)).alias("parent_id"), tool.alias("tool"), whole.alias("arguments"), "turn")
-    results = t.filter("role = 'assistant'").select("conv_id", back(1).alias("call_id"), F.col("text").alias("content"), "turn")
-    return calls, results
+    calls = t.filter("not role <=> 'assistant'").select("conv_id", name.alias("call_id"), F.when(F.col("turn") >= 2, back(2)).alias("parent_id"), tool.alias("tool"), whole.alias("arguments"), "turn")
+    said = t.filter("role = 'assistant'")
+    results = said.select("conv_id", back(1).alias("call_id"), F.col("text").alias("content"), "turn")
+    again = said.filter("n % 3 = 0").select("conv_id", back(1).alias("call_id"), F.concat(F.col("text"), F.lit(" (again)")).alias("content"), (F.col("turn") + 100).alias("turn"))
+    astray = said.filter("n % 17 = 0").select("conv_id", F.when(F.expr("n % 2 = 0"), "nobody").alias("call_id"), F.col("text").alias("content"), "turn")
+    return calls, results.unionByName(again).unionByName(astray)
 
 
 @query(
@@ -73,38 +77,49 @@ def calls_of(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     with recursive t as (
         select *, length(text) n, to_json(text)::varchar q from conversations
     ), c as (
-        select conv_id, turn, 't' || turn call_id, case when turn >= 2 then 't' || (turn - 2) end parent_id,
+        select distinct conv_id, turn, 't' || turn call_id, case when turn >= 2 then 't' || (turn - 2) end parent_id,
             case role when 'user' then 'ask' when 'system' then 'configure' else role end tool, n, q,
-            case when n % 11 = 0 then '"' || n || '"' else n::varchar end ch from t where role <> 'assistant'
+            case when n % 11 = 0 then '"' || n || '"' else n::varchar end ch from t where role is distinct from 'assistant'
+    ), res as (
+        select distinct conv_id, 't' || (turn - 1) call_id, text content, turn from t where role = 'assistant'
+        union select conv_id, 't' || (turn - 1), text || ' (again)', turn + 100 from t where role = 'assistant' and n % 3 = 0
+        union select conv_id, case when n % 2 = 0 then 'nobody' end, text, turn from t where role = 'assistant' and n % 17 = 0
+    ), rr as (
+        select res.*, c.call_id is not null has_call, row_number() over (partition by res.conv_id, res.call_id order by res.turn, content) k,
+            count(*) over (partition by res.conv_id, res.call_id) nr from res left join c on c.conv_id = res.conv_id and c.call_id = res.call_id
     ), j as (
-        select c.*, p.call_id is not null has_parent, r.text is not null has_result, to_json(r.text)::varchar rq from c
+        select c.*, p.call_id is not null has_parent, r.content, coalesce(nr, 0) n_results from c
         left join c p on p.conv_id = c.conv_id and p.call_id = c.parent_id
-        left join t r on r.conv_id = c.conv_id and r.turn = c.turn + 1 and r.role = 'assistant'
+        left join rr r on r.conv_id = c.conv_id and r.call_id = c.call_id and r.k = 1
     ), d as (
         select conv_id, call_id, 0::bigint as depth from j where not has_parent
         union all
         select j.conv_id, j.call_id, d.depth + 1 from j join d on d.conv_id = j.conv_id and d.call_id = j.parent_id
-    ), o as (
-        select j.*, depth, row_number() over (partition by j.conv_id order by depth, turn, j.call_id) as pos
-        from j join d on d.conv_id = j.conv_id and d.call_id = j.call_id
     ), a as (
-        select *, n % 13 = 0 cut, '{' || case when n % 7 = 0 then '' else '"chars":' || ch || ',' end
+        select j.*, depth, n % 13 = 0 cut, '{' || case when n % 7 = 0 then '' else '"chars":' || ch || ',' end
             || case when n % 5 = 0 then '"meta":{"a":' || (n % 2 = 0)::varchar || ',"z":[1,2.5,null]},' else '' end || '"text":' || q || '}' canon,
             '{ "text" : ' || q || case when n % 7 = 0 then '' else ', "chars": ' || ch end
-            || case when n % 5 = 0 then ', "meta": {"z": [1, 2.5, null], "a": ' || (n % 2 = 0)::varchar || '}' else '' end raw from o
+            || case when n % 5 = 0 then ', "meta": {"z": [1, 2.5, null], "a": ' || (n % 2 = 0)::varchar || '}' else '' end raw
+        from j join d on d.conv_id = j.conv_id and d.call_id = j.call_id
     ), b as (
-        select *, case when cut then to_json(raw)::varchar else canon end args, list_sort(list_filter([
+        select conv_id, call_id, tool, depth, turn, parent_id, content, n_results, 0 kind, case when cut then to_json(raw)::varchar else canon end args, list_sort(list_filter([
             case when parent_id is not null and not has_parent then 'no_parent' end,
-            case when not has_result then 'no_result' end,
-            case when tool not in ('ask', 'configure') then 'unknown_tool' when cut then 'not_an_object' end,
+            case when n_results = 0 then 'no_result' end,
+            case when tool is null or tool not in ('ask', 'configure') then 'unknown_tool' when cut then 'not_an_object' end,
             case when tool = 'ask' and not cut and n % 7 = 0 then 'missing:chars' end,
             case when tool = 'ask' and not cut and n % 7 <> 0 and n % 11 = 0 then 'type:chars' end,
             case when tool = 'configure' and not cut and n % 7 <> 0 then 'unknown:chars' end,
             case when tool = 'configure' and not cut and n % 5 = 0 then 'unknown:meta' end], lambda x: x is not null)) problems from a
+        union all
+        select conv_id, call_id, null, null, turn, null, content, 1, 1, 'null',
+            case when call_id is null then ['no_call', 'no_id'] when not has_call then ['no_call'] else ['repeated_result'] end
+        from rr where k > 1 or not has_call
+    ), o as (
+        select *, row_number() over (partition by conv_id order by kind, depth, turn, call_id nulls first, content) pos from b
     )
-    select conv_id, call_id, tool, depth, pos::bigint as position, has_result::int::bigint n_results, array_to_string(problems, ',') problems,
-        sha256('{"arguments":' || args || ',"id":"' || call_id || '","parent":' || coalesce('"' || parent_id || '"', 'null') || ',"position":' || pos
-            || ',"result":' || coalesce(rq, 'null') || ',"tool":"' || tool || '"}') line_sha256 from b
+    select conv_id, call_id, tool, depth, pos::bigint as position, n_results::bigint n_results, array_to_string(problems, ',') problems,
+        sha256('{"arguments":' || args || ',"id":' || coalesce('"' || call_id || '"', 'null') || ',"parent":' || coalesce('"' || parent_id || '"', 'null') || ',"position":' || pos
+            || ',"result":' || coalesce(to_json(content)::varchar, 'null') || ',"tool":' || coalesce('"' || tool || '"', 'null') || '}') line_sha256 from o
     """
 )
 def op3_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
