@@ -2,7 +2,8 @@
 
 Detected entities are replaced by made-up ones of the same kind and form: an address keeps the shape of
 its local part and its top-level domain, a number keeps its punctuation and check digits, an IP address
-stays private or public, a name keeps script and, for given names, gender.  What replaces what is drawn
+stays private or public, a name keeps script and, for given names, gender; an initial becomes that of the
+new name where the text has the name it stands for.  What replaces what is drawn
 with a keyed hash, so a corpus can be treated in parts.
 
 Replacement is by identity and not by spelling: a number written in two ways, or a person named in full
@@ -90,10 +91,18 @@ def units(kind: str, found: str) -> list[tuple[str, str]]:
         return [(kind, digits(found)[-10:] if kind == "phone" else digits(found))]  # a country code stays as it is
     if kind == "ip":
         return [("ip", ".".join(str(int(x)) for x in found.split(".")))]
+    return [(k, i) for k, i, _ in name_units(found)]
+
+
+def name_units(found: str) -> list[tuple[str, str, str]]:
+    """The names of a person as (kind, identity, role), initials of kind ``initial``.
+
+    A name is the same whatever its role: family, or given with the gender of the title (f, m or x).
+    """
     gender, tokens = name_tokens(found)
     last = tokens[-1][1]
     family = max((m.end() for m in re.finditer(r"\s|\.", found[:last])), default=0)
-    return [(_name_kind(t, a >= family, gender), plain(t)) for t, a, _ in tokens]
+    return [("initial" if len(t) == 1 else "name_" + script(t), plain(t), "family" if a >= family else gender) for t, a, _ in tokens]
 
 
 def plain(name: str) -> str:
@@ -104,10 +113,6 @@ def plain(name: str) -> str:
     return c if c in letters else letters[ord(c) % len(letters)]
 
 
-def _name_kind(name: str, family: bool, gender: str) -> str:
-    return ("initial_" if len(name) == 1 else "family_" if family else f"given_{gender}_") + script(name)
-
-
 def name_tokens(found: str) -> tuple[str, list[tuple[str, int, int]]]:
     """Gender of a person's titles, and the (name, start, stop) of all that is replaced."""
     head = _HEAD.match(found).end()
@@ -132,16 +137,39 @@ def entities(text: str) -> Iterator[tuple[str, int, int]]:
         yield kind, m.start(), at
 
 
+_BEFORE = re.compile(rf"(?:(?<!\w){_FIRST}\.{_LINE}*)+$")
+
+
+def abbreviations(text: str, found: list[tuple[str, int, int]]) -> dict[tuple[str, str], tuple[str, str]]:
+    """(family name, letter) -> the first given name in the text, as (kind, identity), that the letter can stand for."""
+    out: dict[tuple[str, str], tuple[str, str]] = {}
+    for kind, a, b in found:
+        if kind == "person":
+            own = name_units(text[a:b])
+            for k, i, role in own:
+                if k != "initial" and role != "family":
+                    out.setdefault((own[-1][1], plain(i[0])), (k, i))
+    return out
+
+
 def everything(text: str) -> list[tuple[str, int, int]]:
-    """What is found and, as kind mention, each other whole-word mention of a name found in the text."""
+    """What is found and, as kind mention, each other whole-word mention of a name found in the text.
+
+    Initials before a mention that stand for a given name of the text are found too, of kind initial.
+    """
     found = list(entities(text))
-    names = {i for kind, a, b in found if kind == "person" for k, i in units(kind, text[a:b]) if not k.startswith("initial")}
+    names = {i for kind, a, b in found if kind == "person" for k, i in units(kind, text[a:b]) if k != "initial"}
     if not names:
         return found
+    short = abbreviations(text, found)
     out, at = [], 0
     for kind, a, b in [*found, ("", len(text), len(text))]:
         for m in _TOKEN.finditer(text, at, a):
             if plain(m.group()) in names and len(m.group()) > 1:
+                before = _BEFORE.search(text, at, m.start())
+                for i in _TOKEN.finditer(text, before.start(), before.end()) if before else ():
+                    if (plain(m.group()), plain(i.group())) in short:
+                        out.append((f"initial {plain(m.group())}", i.start(), i.end()))
                 out.append(("mention", m.start(), m.end()))
         if kind:
             out.append((kind, a, b))
@@ -189,7 +217,15 @@ def private(ip: list[int]) -> int:
     return 1 if ip[0] == 10 else 2 if ip[:2] == [192, 168] else 3 if ip[0] == 172 and 16 <= ip[1] < 32 else 4 if ip[0] == 127 else 0
 
 
-def draw(key: bytes, kind: str, identity: str, attempt: int) -> str:
+def new_initial(key: bytes, family: str, letter: str) -> str:
+    """The letter for an initial whose name the text does not have: for each family name another order of the alphabet."""
+    letters = next((x for x in ALPHABETS.values() if letter in x), ALPHABETS["latin"])
+    order = sorted(letters, key=lambda c: hmac.new(key, f"initial\0{family}\0{c}".encode(), hashlib.sha256).digest())
+    at = order.index(letter)
+    return order[(at + 1) % len(order)]
+
+
+def draw(key: bytes, kind: str, identity: str, attempt: int, role: str = "") -> str:
     """The surrogate identity of a unit in a round.
 
     Where a kind has few values left, later rounds draw from a wider form: private addresses from the
@@ -230,13 +266,8 @@ def draw(key: bytes, kind: str, identity: str, attempt: int) -> str:
             ip[: [0, 1, 2, 2, 1][block]] = [[], [10], [192, 168], [172, 16 + d.below(16)], [127]][block]
             if private(ip) == block:
                 return ".".join(map(str, ip))
-    *role, own = kind.split("_")
-    if role == ["initial"]:  # one shift for all, so different ones stay different
-        letters = ALPHABETS[own]
-        shift = 1 + _Draw(key, kind).below(len(letters) - 1)
-        return letters[(letters.index(identity) + shift) % len(letters)]
-    begin, middle, female, male, family = (s.split(" ") for s in SYLLABLES[own])
-    last = family if role == ["family"] else female if role[-1] == "f" else male if role[-1] == "m" else female + male
+    begin, middle, female, male, family = (s.split(" ") for s in SYLLABLES[kind.removeprefix("name_")])
+    last = {"family": family, "f": female, "m": male}.get(role, female + male)
     inner = "".join(middle[d.below(len(middle))] for _ in range(1 + d.below(2) + attempt // 4))
     return (begin[d.below(len(begin))] + inner + last[d.below(len(last))]).lower()
 
@@ -245,8 +276,14 @@ def cased(name: str, new: str) -> str:
     return new.upper() if name.isupper() else new[0].upper() + new[1:]
 
 
-def written(kind: str, found: str, known: Callable[[str, str], str]) -> str:
-    """A found entity's surrogate in the form in which it was found."""
+def written(kind: str, found: str, known: Callable[[str, str], str], initial: Callable[[str, str], str]) -> str:
+    """A found entity's surrogate in the form in which it was found; ``initial`` is asked for those of a family name."""
+    if kind == "person":
+        out, at, own = [], 0, name_units(found)
+        for (name, a, b), (k, i, _) in zip(name_tokens(found)[1], own):
+            out += [found[at:a], cased(name, initial(own[-1][1], i) if k == "initial" else known(k, i))]
+            at = b
+        return "".join([*out, found[at:]])
     own = [known(k, i) for k, i in units(kind, found)]
     if kind == "email":
         local = own[0].split("@")[0]
@@ -254,12 +291,6 @@ def written(kind: str, found: str, known: Callable[[str, str], str]) -> str:
         return text.upper() if found.isupper() else text[0].upper() + text[1:] if found[0].isupper() else text
     if kind == "ip":
         return own[0]
-    if kind == "person":
-        out, at = [], 0
-        for (name, a, b), new in zip(name_tokens(found)[1], own):
-            out += [found[at:a], cased(name, new)]
-            at = b
-        return "".join([*out, found[at:]])
     before = digits(found)[: len(digits(found)) - len(own[0])] if kind == "phone" else ""
     chars = iter(before + own[0])
     return "".join(next(chars) if (c.isalnum() if kind == "iban" else c.isdigit() and c.isascii()) else c for c in found)
@@ -269,59 +300,82 @@ def _mentions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         for key, text in zip(batch.column("text_key").to_pylist(), batch.column("text").to_pylist()):
-            rows += [(key, *u) for u in {u for kind, a, b in entities(text) for u in units(kind, text[a:b])}]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.string())],
-            names=["text_key", "kind", "identity"],
-        )
+            own = set()
+            for kind, a, b in entities(text):
+                own |= {u for u in name_units(text[a:b]) if u[0] != "initial"} if kind == "person" else {(*u, "") for u in units(kind, text[a:b])}
+            rows += [(key, *u) for u in own]
+        cols = list(zip(*rows)) or [(), (), (), ()]
+        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), *(pa.array(c, pa.string()) for c in cols[1:])], names=["text_key", "kind", "identity", "role"])
 
 
 def _drawn(secret: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, attempts = [batch.column(c).to_pylist() for c in ("kind", "identity")], batch.column("attempt").to_pylist()
-            out = [draw(secret, k, i, n) for k, i, n in zip(*names, attempts)]
-            yield pa.RecordBatch.from_arrays([*batch.select(["kind", "identity", "attempt"]).columns, pa.array(out, pa.string())], names=["kind", "identity", "attempt", "surrogate"])
+            own = [batch.column(c).to_pylist() for c in ("kind", "identity", "attempt", "role")]
+            out = [draw(secret, k, i, n, r) for k, i, n, r in zip(*own)]
+            kept = ["kind", "identity", "attempt", "role"]
+            yield pa.RecordBatch.from_arrays([*batch.select(kept).columns, pa.array(out, pa.string())], names=[*kept, "surrogate"])
 
     return run
 
 
 def assign(found: DataFrame, secret: bytes) -> DataFrame:
-    """(kind, identity, surrogate) for distinct (kind, identity): no two surrogates of a kind are equal, none is an identity."""
-    real = found.filter("kind not like 'initial%'").select("kind", F.col("identity").alias("surrogate"))
+    """(kind, identity, surrogate) for distinct (kind, identity): no two surrogates of a kind are equal, none is an identity.
+
+    All names of a script are one kind.  A name of several roles takes the form of the first of f, family, m and x.
+    """
+    roles = F.col("role") if "role" in found.columns else F.lit("")
+    found = found.groupBy("kind", "identity").agg(F.min(roles).alias("role"))
+    real = found.select("kind", F.col("identity").alias("surrogate"))
     kept = None
-    open_ = found.select("kind", "identity", F.lit(0).alias("attempt"))
+    open_ = found.select("kind", "identity", F.lit(0).alias("attempt"), "role")
     while True:
-        tried = materialise(open_.mapInArrow(_drawn(secret), "kind string, identity string, attempt int, surrogate string"), "surrogates-drawn")
+        tried = materialise(open_.mapInArrow(_drawn(secret), "kind string, identity string, attempt int, role string, surrogate string"), "surrogates-drawn")
         free = tried.join(real, ["kind", "surrogate"], "left_anti")
         if kept is not None:
             free = free.join(kept.select("kind", "surrogate"), ["kind", "surrogate"], "left_anti")
         own = free.groupBy("kind", "surrogate").agg(F.min("identity").alias("identity")).select("kind", "identity", "surrogate")
         kept = materialise(own if kept is None else kept.unionByName(own), "surrogates-kept")
         left = tried.join(kept.select("kind", "identity"), ["kind", "identity"], "left_anti")
-        open_ = left.select("kind", "identity", (F.col("attempt") + 1).alias("attempt"))
+        open_ = left.select("kind", "identity", (F.col("attempt") + 1).alias("attempt"), "role")
         if open_.isEmpty():
             return kept
 
 
-def _replaced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts, counts = [], []
-        for text, known in zip(batch.column("text").to_pylist(), batch.column("__known").to_pylist()):
-            names = {(k["kind"], k["identity"]): k["surrogate"] for k in known or ()}
-            out, at, n = [], 0, 0
-            found = everything(text)
-            people = [units(kind, text[a:b]) for kind, a, b in found if kind == "person"]
-            first = {i: names[k, i] for u in reversed(people) for k, i in reversed(u)}  # a name's first form counts
-            for kind, a, b in found:
-                own = text[a:b]
-                out += [text[at:a], cased(own, first[plain(own)]) if kind == "mention" else written(kind, own, lambda k, i: names[k, i])]
-                at, n = b, n + 1
-            texts.append("".join([*out, text[at:]]))
-            counts.append(n)
-        done = {"text": pa.array(texts, pa.string()), "n_entities": pa.array(counts, pa.int64())}
-        names = [n for n in batch.schema.names if n != "__known" and n != "__text_key"]
-        yield pa.RecordBatch.from_arrays([done.get(n, batch.column(n)) for n in names], names=names)
+def _replaced(secret: bytes):
+    def one(text: str, names: dict[tuple[str, str], str]) -> tuple[str, int]:
+        out, at, n = [], 0, 0
+        found = everything(text)
+        short = abbreviations(text, found)
+        by_name = {i: new for (k, i), new in names.items() if k.startswith("name_")}
+
+        def initial(family: str, letter: str) -> str:
+            given = short.get((family, letter))
+            return names[given][0] if given else new_initial(secret, family, letter)
+
+        for kind, a, b in found:
+            own = text[a:b]
+            if kind == "mention":
+                new = cased(own, by_name[plain(own)])
+            elif kind.startswith("initial "):
+                new = cased(own, initial(kind.removeprefix("initial "), plain(own)))
+            else:
+                new = written(kind, own, lambda k, i: names[k, i], initial)
+            out += [text[at:a], new]
+            at, n = b, n + 1
+        return "".join([*out, text[at:]]), n
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [
+                one(text, {(k["kind"], k["identity"]): k["surrogate"] for k in known or ()})
+                for text, known in zip(batch.column("text").to_pylist(), batch.column("__known").to_pylist())
+            ]
+            done = {"text": pa.array([r[0] for r in rows], pa.string()), "n_entities": pa.array([r[1] for r in rows], pa.int64())}
+            names = [n for n in batch.schema.names if n != "__known" and n != "__text_key"]
+            yield pa.RecordBatch.from_arrays([done.get(n, batch.column(n)) for n in names], names=names)
+
+    return run
 
 
 def pseudonymise(docs: DataFrame, secret: bytes) -> DataFrame:
@@ -329,7 +383,9 @@ def pseudonymise(docs: DataFrame, secret: bytes) -> DataFrame:
 
     Emails, IBANs, IP addresses, social-security, card and phone numbers, and names after a title are
     found; names with initials, apostrophes, hyphens and any number of words, and all other capitalised
-    whole-word mentions of their words in the same text.  Names that no title introduces in the text, and
+    whole-word mentions of their words in the same text.  An initial becomes the first letter of the new name
+    that replaces the given name it stands for beside the same family name in the text, elsewhere a letter
+    that depends on the family name; untitled initials are replaced in the first case.  Names that no title introduces in the text, and
     small words inside names (von, de), are not.  The same secret gives the same draw, but an entity's surrogate can depend on the others in
     the table, as draws that collide are repeated.  Null texts stay null, texts without entities as
     they are, n_entities 0.  Repeated rows come out alike.  A column named n_entities is replaced.
@@ -337,10 +393,10 @@ def pseudonymise(docs: DataFrame, secret: bytes) -> DataFrame:
     docs = docs.drop("n_entities").withColumn("n_entities", F.lit(0).cast("long"))
     hinted: Column = F.coalesce(F.col("text").rlike(HINT), F.lit(False))
     some = docs.filter(hinted).withColumn("__text_key", F.xxhash64("text"))
-    mentions = some.select(F.col("__text_key").alias("text_key"), "text").mapInArrow(_mentions, "text_key long, kind string, identity string")
+    mentions = some.select(F.col("__text_key").alias("text_key"), "text").mapInArrow(_mentions, "text_key long, kind string, identity string, role string")
     mentions = materialise(mentions.distinct(), "surrogates-mentions")
-    names = assign(mentions.select("kind", "identity").distinct(), secret)
-    by_text = mentions.join(names, ["kind", "identity"]).groupBy("text_key").agg(F.collect_list(F.struct("kind", "identity", "surrogate")).alias("__known"))
+    names = assign(mentions.select("kind", "identity", "role"), secret)
+    by_text = mentions.select("text_key", "kind", "identity").distinct().join(names, ["kind", "identity"]).groupBy("text_key").agg(F.collect_list(F.struct("kind", "identity", "surrogate")).alias("__known"))
     joined = some.join(by_text.withColumnRenamed("text_key", "__text_key"), "__text_key", "left").select(*some.columns, "__known")
-    done = joined.mapInArrow(_replaced, docs.schema)
+    done = joined.mapInArrow(_replaced(secret), docs.schema)
     return done.unionByName(docs.filter(~hinted))

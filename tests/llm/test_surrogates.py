@@ -105,3 +105,40 @@ def test_widest_forms_keep_the_length():
         new = surrogates.draw(b"k", kind, identity, surrogates.WIDEST)
         assert len(new) == len(identity) and new.isalnum()
     assert all(int(x) > 255 for x in surrogates.draw(b"k", "ip", "8.8.8.8", surrogates.WIDEST).split("."))
+
+
+def test_one_person_under_several_titles_and_by_initial(spark):
+    text = "Dr Anna Schmidt came. Later Mrs Anna Schmidt left. Mr John Smith is J. Smith, that is Mr J. Smith. Mr Q. Smith is not, nor K. Smith."
+    out = run(spark, [text, "Mr John Doe, Herr Anna, Mrs Smith and Frau John; plan B. Mr J.R. Smith"])
+    m = re.fullmatch(
+        r"Dr (\w+) (\w+) came\. Later Mrs (\w+) (\w+) left\. Mr (\w+) (\w+) is (\w)\. (\w+), that is Mr (\w)\. (\w+)\. Mr (\w)\. (\w+) is not, nor K\. (\w+)\.", out[0][0]
+    )
+    assert m, out[0][0]
+    g = m.groups()
+    assert g[:2] == g[2:4] and g[0][-1] == "a" and len({g[5], g[7], g[9], g[11], g[12]}) == 1
+    assert g[6] == g[8] == g[4][0] and g[10] != "Q"
+    other = re.fullmatch(r"Mr (\w+) \w+, Herr (\w+), Mrs (\w+) and Frau (\w+); plan B\. Mr (\w)\.(\w)\. (\w+)", out[1][0]).groups()
+    assert other[0] == other[3] == g[4] and other[1] == g[0] and other[2] == other[6] == g[5]  # over texts and roles
+
+
+def test_all_names_share_one_space(spark):
+    from croploom.llm import surrogates
+
+    rows = [(k, f"n{i}", r) for k in ("name_latin", "name_greek") for i in range(900) for r in ("family", "f", "m", "x")[: 1 + i % 4]]
+    rows += [("name_latin", surrogates.draw(b"k", "name_latin", f"n{i}", 0, "f"), "m") for i in range(50)]
+    found = spark.createDataFrame(rows, "kind string, identity string, role string")
+    got = surrogates.assign(found, b"k").collect()
+    real = {(r[0], r[1]) for r in rows}
+    assert {(r.kind, r.identity) for r in got} == real and len({(r.kind, r.surrogate) for r in got}) == len(real)
+    assert not real & {(r.kind, r.surrogate) for r in got}
+
+
+def test_other_initials_depend_on_the_family_name():
+    from croploom.llm import surrogates
+
+    for letters in surrogates.ALPHABETS.values():
+        for family in ("smith", "doe"):
+            new = [surrogates.new_initial(b"k", family, c) for c in letters]
+            assert sorted(new) == sorted(letters) and all(a != b for a, b in zip(new, letters))
+    shifts = {(ord(surrogates.new_initial(b"k", "smith", c)) - ord(c)) % 26 for c in "abcdefghij"}
+    assert len(shifts) > 3
