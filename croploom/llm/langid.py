@@ -143,7 +143,8 @@ def learn(docs: DataFrame, train_docs: int = TRAIN_DOCS, size: int = SIZE) -> tu
     """
     usable = docs.filter("lang is not null and text is not null and crc32(cast(doc_id as string)) % 3 <> 1")
     counts = usable.groupBy("lang").agg(F.count("*").alias("_n"))
-    sample = usable.join(counts, "lang").filter(taken(F.col("_n"), train_docs, F.col("doc_id"), F.col("text")))
+    # one row for each language, which the prototypes gathered below hold anyway
+    sample = usable.join(F.broadcast(counts), "lang").filter(taken(F.col("_n"), train_docs, F.col("doc_id"), F.col("text")))
     parts = sample.select("text", "lang").mapInArrow(_learn(size), "lang string, place int, value long")
     rows = parts.groupBy("lang", "place").agg(F.sum("value").alias("value"))
     rows = rows.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("place", "value"))).alias("v")).select("lang", F.col("v.value").alias("v")).collect()
