@@ -123,8 +123,8 @@ def link(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFrame:
 
     calls: conv_id, call_id, parent_id, tool, arguments (JSON text), turn; results: conv_id, call_id,
     content, turn; other columns are ignored.  Output: conv_id, call_id, tool, depth, position (from 1
-    in the conversation, parents first, then by turn and id; cycles and what has no id after them, results
-    without a line of a call last), n_results, problems, line.
+    in the conversation, parents first, then by turn, id and a digest of the texts; cycles and what has no id
+    after them, results without a line of a call last), n_results, problems, line.
 
     Rows of one identifier are one call: the earliest turn counts (then the smallest tool, arguments
     and parent); if they differ, ``conflict`` is among the problems.  A call without result has
@@ -154,10 +154,15 @@ def link(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFrame:
     rest = rest.withColumn("problems", F.when(F.col("r").isNull(), F.array(F.lit("no_call"))).otherwise(F.array(F.lit("repeated_result")))).drop("r")
     rest = rest.unionByName(heard.where(~known).withColumn("problems", F.array(F.lit("no_call"), F.lit("no_id"))))
 
-    found = depths(named.select("conv_id", "call_id", "parent_id"))
+    # places among the calls are worked out on identifiers; rows with texts are dealt by their own one only
+    slim = named.select("conv_id", "call_id", "parent_id")
     keys = named.select("conv_id", F.col("call_id").alias("parent_id"), F.lit(True).alias("has_parent"))
+    found = slim.join(keys, ["conv_id", "parent_id"], "left").select("conv_id", "call_id", "has_parent").join(depths(slim), ["conv_id", "call_id"])
     told = told.select("conv_id", "call_id", F.col("r.content").alias("content"), "n_results")
-    out = own.join(told, ["conv_id", "call_id"], "left").join(found, ["conv_id", "call_id"], "left").join(keys, ["conv_id", "parent_id"], "left")
+    out = named.join(told, ["conv_id", "call_id"], "left").join(found, ["conv_id", "call_id"], "left")
+    nameless = own.where(~known).join(keys, ["conv_id", "parent_id"], "left")
+    nameless = nameless.withColumns({"content": F.lit(None).cast("string"), "n_results": F.lit(None).cast("long"), "depth": F.lit(None).cast("long")})
+    out = out.unionByName(nameless)
     flags = {
         "conflict": F.col("conflict"),
         "cycle": F.col("depth").isNull() & known,
@@ -171,7 +176,10 @@ def link(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFrame:
     none = {c: F.lit(None).cast("string") for c in ("tool", "arguments", "parent_id")}
     none |= {"depth": F.lit(None).cast("long"), "n_results": F.lit(1).cast("long"), "sort_kind": F.lit(1), "sort_depth": F.lit(0).cast("long")}
     out = out.unionByName(rest.withColumns(none))
-    out = number_rows(out, "position", ["sort_kind", "sort_depth", "turn", "call_id", "tool", "arguments", "parent_id", "content"], by=["conv_id"], unique=True)
+    # rows without an identifier, and results, may be alike in all but their texts
+    alike = ~known | (F.col("sort_kind") == 1)
+    tie = F.when(alike, F.md5(F.to_json(F.struct("tool", "arguments", "parent_id", "content")).cast("binary")))
+    out = number_rows(out.withColumn("tie", tie), "position", ["sort_kind", "sort_depth", "turn", "call_id", "tie"], by=["conv_id"], unique=True)
     arguments = F.coalesce(canonical("arguments"), quoted(F.col("arguments")))
     pieces = {"arguments": arguments, "id": quoted(F.col("call_id")), "parent": quoted(F.col("parent_id")), "position": F.col("position").cast("string"), "result": quoted(F.col("content")), "tool": quoted(F.col("tool"))}
     line = F.concat(F.lit("{"), F.concat_ws(",", *[F.concat(F.lit(f'"{k}":'), v) for k, v in pieces.items()]), F.lit("}"))
