@@ -9,8 +9,8 @@ decisions of its own.
 
 The distinct words of a batch of texts are merged together without dropout, one merge per word and pass
 over the batch.  An occurrence that skips none of its word's merges is cut like that; the others are merged
-again, each for itself but together as well.  Only words of more than ``LONG`` symbols go through an agenda
-one by one.
+again, each for itself but together as well.  Words of more than ``LONG`` symbols are cut where no piece can
+cross; only parts that are still longer go through an agenda one by one.
 """
 
 from __future__ import annotations
@@ -68,6 +68,8 @@ class Pieces:
                 if a is not None and b is not None:
                     pairs[a * self.symbols + b] = (i, rank[sp.get_score(i)])
         self.pairs = pairs
+        # characters that stand side by side in a piece
+        self.beside = np.array(sorted({ids[a] * self.symbols + ids[b] for i in plain for a, b in zip(names[i], names[i][1:])}), np.int64)
         self.key = np.full(1 << _BITS, -1, np.int64)
         self.merged, self.rank = np.zeros(1 << _BITS, np.int64), np.full(1 << _BITS, NONE)
         for k, (i, r) in pairs.items():
@@ -116,47 +118,95 @@ def skipped(key: np.ndarray, start: np.ndarray, middle: np.ndarray, end: np.ndar
     return (h >> U64(11)).astype(np.float64) < dropout * 2.0**53
 
 
-def agenda(model: Pieces, points: np.ndarray, key: int, dropout: float) -> list[int]:
-    """Symbols of one word; -1-c for a character c that is no piece."""
-    sym = model.char[points].tolist()
-    n = len(sym)
-    left, right, start = list(range(-1, n - 1)), [*range(1, n), -1], list(range(n))
-    stop = list(range(1, n + 1))
-    alive, heap = [True] * n, []
+def _draw(key: int, start: int, middle: int, end: int) -> int:
+    """The number that ``skipped`` draws for one candidate."""
+    for x in (start, middle, end):
+        key = (key + x) & MASK
+        key = (key ^ key >> 30) * 0xBF58476D1CE4E5B9 & MASK
+        key = (key ^ key >> 27) * 0x94D049BB133111EB & MASK
+        key ^= key >> 31
+    return key >> 11
 
-    def offer(i: int, j: int) -> None:
-        if i < 0 or j < 0 or sym[i] < 0 or sym[j] < 0:
-            return
-        hit = model.pairs.get(sym[i] * model.symbols + sym[j])
-        if hit and not skipped(np.array([key], U64), np.array([start[i]]), np.array([start[j]]), np.array([stop[j]]), dropout)[0]:
-            heapq.heappush(heap, (hit[1], i, j, sym[i], sym[j], hit[0]))
 
-    for i in range(n - 1):
-        offer(i, i + 1)
+def agenda(model: Pieces, points: np.ndarray, key: int, dropout: float, offset: int = 0) -> list[int]:
+    """Symbols of one word, or of its part from ``offset`` on; -1-c for a character c that is no piece.
+
+    A candidate is one number, its rank and its place, and holds while it is the last one noted for the place.
+    """
+    chars = model.char[points]
+    n, at = len(chars), np.arange(max(len(chars) - 1, 0)) + offset
+    merged, rank = model.look_up(chars[:-1], chars[1:])
+    rank[skipped(np.full(len(at), key, U64), at, at + 1, at + 2, dropout)] = NONE
+    noted = np.append(np.where(rank < NONE, rank * n + at - offset, -1), -1)
+    heap = np.sort(noted[noted >= 0]).tolist()
+    sym, new, noted = chars.tolist(), [*merged.tolist(), 0], noted.tolist()
+    left, right = list(range(-1, n - 1)), list(range(1, n + 1))
+    pairs, symbols, limit = model.pairs, model.symbols, dropout * 2.0**53
     while heap:
-        _, i, j, a, b, new = heapq.heappop(heap)
-        if not (alive[i] and alive[j]) or sym[i] != a or sym[j] != b or right[i] != j:
+        best = heapq.heappop(heap)
+        i = best % n
+        if noted[i] != best:
             continue
-        sym[i], stop[i], alive[j] = new, stop[j], False
-        right[i] = right[j]
-        if right[i] >= 0:
-            left[right[i]] = i
-        offer(left[i], i)
-        offer(i, right[i])
-    return [sym[i] if sym[i] >= 0 else -1 - int(points[i]) for i in range(n) if alive[i]]
+        j = right[i]
+        sym[i], noted[j] = new[i], -1
+        right[i] = after = right[j]
+        if after < n:
+            left[after] = i
+        for p in (left[i], i):
+            if p < 0:
+                continue
+            noted[p], q = -1, right[p]
+            hit = pairs.get(sym[p] * symbols + sym[q]) if q < n and sym[p] >= 0 and sym[q] >= 0 else None
+            if hit and not (dropout > 0 and _draw(key, p + offset, q + offset, right[q] + offset) < limit):
+                new[p], noted[p] = hit[0], hit[1] * n + p
+                heapq.heappush(heap, noted[p])
+    out, i = [], 0
+    while i < n:
+        out.append(sym[i] if sym[i] >= 0 else -1 - int(points[i]))
+        i = right[i]
+    return out
+
+
+def long_word(model: Pieces, points: np.ndarray, key: int, dropout: float) -> np.ndarray:
+    """Symbols of a word of any length.
+
+    No merge crosses a place whose two characters stand side by side in no piece, so the word falls into parts
+    there: short ones are merged together, longer ones go through an agenda each.
+    """
+    chars = model.char[points]
+    pair = np.where((chars[:-1] < 0) | (chars[1:] < 0), -1, chars[:-1] * model.symbols + chars[1:])
+    at = np.minimum(np.searchsorted(model.beside, pair), len(model.beside) - 1)
+    first = np.concatenate([[0], np.flatnonzero(model.beside[at] != pair) + 1, [len(points)]])
+    size, kept = np.diff(first), np.zeros(len(first) - 1, np.int64)
+    start, out, total = kept.copy(), [], 0
+    short = np.flatnonzero(size <= LONG)
+    for lo in range(0, len(short), OCCURRENCES):
+        some = short[lo : lo + OCCURRENCES]
+        part = points[_ranges(first[some], size[some])]
+        own = np.concatenate([[0], np.cumsum(size[some])])
+        sym, kept[some] = merge_all(model, part, own, np.full(len(some), key, U64), dropout, offset=first[some])
+        start[some] = total + np.cumsum(kept[some]) - kept[some]
+        out.append(sym)
+        total += len(sym)
+    for k in np.flatnonzero(size > LONG).tolist():
+        out.append(np.array(agenda(model, points[first[k] : first[k + 1]], key, dropout, int(first[k])), np.int64))
+        start[k], kept[k] = total, len(out[-1])
+        total += len(out[-1])
+    return np.concatenate(out)[_ranges(start, kept)]
 
 
 def merge_all(
-    model: Pieces, points: np.ndarray, first: np.ndarray, key: np.ndarray, dropout: float, made: list[tuple[np.ndarray, ...]] | None = None
+    model: Pieces, points: np.ndarray, first: np.ndarray, key: np.ndarray, dropout: float,
+    made: list[tuple[np.ndarray, ...]] | None = None, offset: np.ndarray | int = 0,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Symbols of many words, as ``agenda`` gives them, and how many each word has.
 
     ``first`` tells where each word's characters begin; no word is empty.  The merges, as word and spans,
-    are added to ``made``.
+    are added to ``made``.  ``offset`` is where each one begins in its word, where they are parts of words.
     """
     n, words = len(points), len(first) - 1
     word = np.repeat(np.arange(words), np.diff(first))
-    place = np.arange(n) - first[word]
+    place = np.arange(n) - (first[:-1] - offset)[word]
     sym = model.char[points]
     nxt = np.arange(1, n + 1)
     nxt[first[1:] - 1] = -1
@@ -256,7 +306,7 @@ def encode_texts(model: Pieces, texts: list[str | None], streams: np.ndarray, dr
         return _with_bytes(model, sym, n)
 
     def alone(name: int, key: int) -> np.ndarray:
-        sym = np.array(agenda(model, points[begin[name] : begin[name + 1]], key, dropout), np.int64)
+        sym = long_word(model, points[begin[name] : begin[name + 1]], key, dropout)
         return _with_bytes(model, sym, np.array([len(sym)]))[0]
 
     # every distinct word without dropout: its ids, and its merges one after another

@@ -1,6 +1,7 @@
 """Segmentations against the library (without dropout), against a plain agenda (with), and round trips."""
 
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -128,3 +129,24 @@ def test_sharing_changes_nothing(model, dropout, monkeypatch):
     monkeypatch.setattr(P, "merge_all", with_a_skipped_step)
     monkeypatch.setattr(P, "skipped", lambda key, a, b, c, rate: skipped(key, a, b, c, rate) | (a == -1))
     assert coded(model, texts, dropout, keys)[0] == got
+
+
+@pytest.mark.parametrize("dropout", [0.0, 0.1, 0.5])
+def test_long_words_are_cut_without_changing_their_ids(model, dropout):
+    rnd = random.Random(6)
+    for alphabet in ("theinorasd", "the字 é▁\x07", " ", "ab字"):
+        p = np.array([ord(rnd.choice(alphabet)) for _ in range(400)], np.uint32)
+        key = rnd.randrange(1 << 63)
+        want = slow(model, p, key, dropout)
+        assert P.long_word(model, p, key, dropout).tolist() == want == P.agenda(model, p, key, dropout)
+
+
+def test_a_word_of_a_million_characters(model, monkeypatch):
+    calls, skipped = [], P.skipped
+    monkeypatch.setattr(P, "skipped", lambda key, *rest: calls.append(len(key)) or skipped(key, *rest))
+    rnd = random.Random(7)
+    word = "".join(rnd.choices("theinorasdlucmfgpy", k=1_000_000))
+    t = time.time()
+    _, ids, first = coded(model, [word], 0.1)
+    assert time.time() - t < 60 and len(calls) < len(word) // 10  # no array step for each candidate
+    assert P.decode_ids(model, ids, first) == [word]
