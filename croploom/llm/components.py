@@ -20,17 +20,17 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternating large-star and small-star steps: neighbours hang themselves under the smallest known
     one until every component is a star.  The number of rounds grows with the logarithm of the longest
-    path.  The smallest neighbour is aggregated before it is joined back, so no task holds all
-    neighbours of a node.
+    path.  The smallest neighbour is aggregated and stored before it is joined back, so that the join may
+    split the neighbours of one node over tasks.
     """
     now = materialise(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     before, state = None, _state(now)
     while state != before and state[0]:
         near = _both(now)
-        low = near.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        low = materialise(near.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "lowest")
         large = near.join(low, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         large = materialise(large, "edges")
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        low = materialise(large.groupBy("a").agg(F.min("b").alias("m")), "lowest")
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
         small = small.unionByName(low.select("a", F.col("m").alias("b"))).distinct()
         now = materialise(small, "edges")

@@ -257,12 +257,13 @@ def _groups(docs: DataFrame, numerator: int, denominator: int, nameless: bool =
         "dedup-nodes",
     )
     each = nodes.select("node", F.explode("bands").alias("band"))
-    shared = each.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
+    # Sums by band or leader are stored before they are joined back, so that both sides of the join are plain
+    # shuffles and the planner may split a hot key's rows over tasks.
+    shared = materialise(each.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1"), "dedup-shared")
     members = materialise(each.join(shared, "band"), "dedup-members")
     weight = members.groupBy("node").agg(F.sum("n").alias("weight"))
-    leaders = (
-        members.join(weight, "node").groupBy("band").agg(F.max(F.struct("weight", "node")).alias("top")).select("band", F.col("top.node").alias("a"))
-    )
+    best = members.join(weight, "node").groupBy("band").agg(F.max(F.struct("weight", "node")).alias("top"))
+    leaders = materialise(best.select("band", F.col("top.node").alias("a")), "dedup-leaders")
     stars = materialise(
         members.join(leaders, "band").filter("node <> a").select("a", F.col("node").alias("b")).distinct(), "dedup-stars"
     )
@@ -289,6 +290,7 @@ def _groups(docs: DataFrame, numerator: int, denominator: int, nameless: bool =
     sizes = met.join(texts.select("node", "size"), "node").groupBy("leader").agg(*(c.alias(k) for k, c in tally.items()))
     parts = {k: F.ceil(F.greatest(F.col(f"{k}_n") / BLOCK_ROWS, F.col(f"{k}_b") / BLOCK_BYTES)).cast("int") for k in ("false", "true")}
     sizes = sizes.filter("true_n > 0").select("leader", parts["false"].alias("closed_parts"), parts["true"].alias("open_parts"))
+    sizes = materialise(sizes, "dedup-sizes")
     own = F.expr("if(open, closed_parts + pmod(xxhash64(node), open_parts), pmod(xxhash64(node), closed_parts))").cast("int")
     cells = F.expr(
         "if(open, concat(transform(sequence(0, part), i -> named_struct('i', i, 'j', part)), "
