@@ -17,8 +17,11 @@ SALTS = 16
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a stored frame may be broadcast; counting it reads no columns."""
-    return size_in_bytes(df) <= BROADCAST_BYTES and df.count() <= max_rows
+    """Whether a stored frame may be broadcast; where it was not counted yet, counting it reads no columns."""
+    if size_in_bytes(df) > BROADCAST_BYTES:
+        return False
+    n = getattr(df, "n_rows", None)
+    return (df.count() if n is None else n) <= max_rows
 
 
 def _salt(df: DataFrame, salts: int) -> Column:
@@ -46,7 +49,7 @@ def dim_join(
     repeated once per salt value.  ``dim`` is stored first, so that it is worked out once however it
     came about.
     """
-    on, dim = list(on), stored(dim, "codes")
+    on, dim = list(on), stored(dim, "codes", counted=True)
     if is_small(dim, max_rows):
         return big.join(F.broadcast(dim), on, how)
     left = big.withColumn("_salt", _salt(big, salts))

@@ -35,18 +35,25 @@ def reconcile(src: DataFrame, dst: DataFrame, key: str, present: DataFrame | Non
     """Rows in the source and rows loaded, per layer, with their ratio, what is missing and a status.
 
     Status: ``complete``, ``partial``, ``missing`` (nothing was loaded; null count and ratio), or
-    ``present`` for layers named in ``present``, which an earlier run has loaded.
+    ``present`` for layers named in ``present``, which an earlier run has loaded.  Where ``present`` has
+    their rows as ``n_present``, these are compared too, and a layer whose rows are not as many as in the
+    source is ``present partial``.
     """
     a = src.groupBy(key).agg(F.count(F.lit(1)).alias("n_original"))
     b = dst.groupBy(key).agg(F.count(F.lit(1)).alias("n_final"))
-    out = a.join(b, key, "full").withColumns(
+    out = a.join(b, key, "full")
+    if present is not None:
+        n = F.max("n_present") if "n_present" in present.columns else F.lit(None).cast("bigint")
+        out = out.join(present.groupBy(key).agg(n.alias("_n"), F.max(F.lit(True)).alias("_present")), key, "left")
+        out = out.withColumn("n_final", F.coalesce("n_final", "_n"))
+    out = out.withColumns(
         {"ratio": F.col("n_final") / F.col("n_original"), "n_missing": F.col("n_original") - F.coalesce("n_final", F.lit(0))}
     )
     status = F.when(F.col("n_final").isNull(), "missing").when(F.col("n_missing") == 0, "complete").otherwise("partial")
     if present is None:
         return out.withColumn("status", status)
-    done = present.select(key).distinct().withColumn("_present", F.lit(True))
-    return out.join(done, key, "left").withColumn("status", F.when(F.col("_present"), "present").otherwise(status)).drop("_present")
+    was = F.when((F.col("n_missing") != 0) & F.col("n_final").isNotNull(), "present partial").otherwise("present")
+    return out.withColumn("status", F.when(F.col("_present"), was).otherwise(status)).drop("_present", "_n")
 
 
 def layer_extent(pc: DataFrame, keys: Iterable[str] = ("year",)) -> DataFrame:

@@ -62,7 +62,8 @@ def layer_job(sources: DataFrame, import_list: DataFrame, manifest: DataFrame, o
     areas, and exports one folder per layer below ``out``; rows without a usable geometry are written
     to quarantine with a reason.  Numbers come from a ledger below ``out``: a row that was there in an
     earlier run has the number it had.  The report has a row per listed layer: rows in the source,
-    exported and missing, and whether the layer is complete, partial, missing, or was there before.
+    exported and missing, and whether the layer is complete, partial, missing, or was there before, whole
+    or in part.
 
     ``done`` may have a ``digest`` as well, as in the ``digests`` of an earlier run: then a listed layer
     whose source rows have changed since is taken in again.  All that is written is written by layer
@@ -97,7 +98,11 @@ def layer_job(sources: DataFrame, import_list: DataFrame, manifest: DataFrame, o
         good = keep_numbers(fixed.where("reason is null").drop("reason", "method"), f"{out}/keys", ["off_id", "off_area", "original_code", "_wkb"])
         export_layers(good.drop("_wkb").withColumn("area_ha", area_ha(G.area(F.col("geom")))), f"{out}/layers")
         replace_layers(digests, f"{out}/digests", listed)
-        present = None if done is None else known.select(name)
+        present = None
+        if done is not None:
+            there = spark.read.parquet(f"{out}/layers").select(F.col("nuts").cast("string").alias("nuts"), F.col("year").cast("int").alias("year"))
+            there = there.groupBy("nuts", "year").agg(F.count(F.lit(1)).alias("n_present"))
+            present = known.join(there, ["nuts", "year"], "left").select(name, "n_present")
         report = reconcile(asked.select(name), fixed.where("reason is null").select(name), "layer", present)
         path = write_report(report, f"{out}/report", "layers.csv", stamp="%Y%m%d%H%M%S%f")
     read = lambda df, sub: spark.read.schema(df.schema).parquet(f"{out}/{sub}")

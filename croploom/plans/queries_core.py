@@ -16,7 +16,7 @@ from croploom.operators import sets as U
 from croploom.operators import stats as A
 from croploom.plans import trial as T
 from croploom.plans.registry import query
-from croploom.session import shared_path
+from croploom.session import shared_path, stored
 from croploom.sources import layers as L
 from croploom.sources import sinks
 from croploom.sources.catalog import layer_catalog
@@ -28,7 +28,8 @@ MAPPED = T.with_(T.PARCELS, T.CROP_MAP, T.USAGE_MAP, T.MAPPED)
 
 def mapped(spark, sf) -> DataFrame:
     pc = T.parcels(spark, sf)
-    return J.map_crops(pc, T.crop_map(pc), T.usage_map(pc))
+    codes = stored(pc.select("nuts", "original_code").distinct(), "parcel-codes")
+    return J.map_crops(pc, T.crop_map(codes), T.usage_map(codes))
 
 
 def file_names(pc: DataFrame) -> DataFrame:
@@ -78,6 +79,28 @@ def _(spark, sf):
     )
 
 
+@query(
+    "s2_unreadable_geometry",
+    BASE
+    + """select nuts, year, count(*) as n, count(*) filter (where cropfield % 10 = 1) as n_missing, count(*) filter (where cropfield % 10 in (0, 2)) as n_unreadable,
+      count(*) filter (where cropfield % 10 > 2) as n_kept, sum(cropfield) filter (where cropfield % 10 in (0, 2)) :: bigint as unreadable_ids
+    from parcels group by nuts, year""",
+)
+def _(spark, sf):
+    # Some geometries are missing, some are cut off and some are text; they are counted, left out and told.
+    root = shared_path(spark, "layers")
+    pc = T.shaped(T.parcels(spark, sf)).withColumn("geometry", to_wkb("geom"))
+    digit = F.col("cropfield") % 10
+    wkb = F.when(digit == 0, F.substring("geometry", 1, 20)).when(digit == 2, F.encode(F.lit("MULTIPOLYGON EMPTY"), "utf-8")).when(digit > 2, F.col("geometry"))
+    name = F.concat("nuts", F.lit("_"), "year", F.lit(".parquet"))
+    pc.select("cropfield", "original_code", wkb.alias("geometry"), name.alias("layer")).write.partitionBy("layer").parquet(root)
+    kept = L.read_layers(spark, f"{root}/*", unreadable="drop").groupBy("nuts", "year").agg(F.count("geom").alias("n_kept"))
+    told = L.unreadable_rows(spark, f"{root}/*").where("reason = 'unreadable geometry'")
+    told = told.groupBy("nuts", "year").agg(F.sum("cropfield").alias("unreadable_ids"))
+    out = L.geometry_counts(spark, f"{root}/*").drop("n_empty").join(kept, ["nuts", "year"], "left").join(told, ["nuts", "year"], "left")
+    return out.withColumn("n_kept", F.coalesce("n_kept", F.lit(0)))
+
+
 @query(
     "s4_mapping_scan",
     T.with_(T.PARCELS, T.CROP_MAP) + "select nuts, original_code, hcat4_code from crop_map",
@@ -107,6 +130,22 @@ def _(spark, sf):
     return A.reconcile(pc, loaded, "layer")
 
 
+@query(
+    "s6_present_layers",
+    BASE
+    + """, s as (select nuts || '_' || cast(year as varchar) as layer, year, count(*) as n_original, count(*) filter (where w > 100 or year > 1996) as n_good from parcels group by nuts, year)
+    select layer, n_original, case when n_good > 0 then n_good end as n_final, case when n_good > 0 then n_good / n_original end as ratio, n_original - n_good as n_missing,
+      case when year < 1998 then case when n_good in (0, n_original) then 'present' else 'present partial' end when n_good = n_original then 'complete' when n_good = 0 then 'missing' else 'partial' end as status
+    from s""",
+)
+def _(spark, sf):
+    # Layers of the first years are there from an earlier run, some of them in part.
+    pc = T.parcels(spark, sf).withColumn("layer", C.layer_name(F.col("nuts"), F.col("year")))
+    good = pc.where("w > 100 or year > 1996")
+    there = pc.where("year < 1998").select("layer").distinct().join(good.groupBy("layer").agg(F.count(F.lit(1)).alias("n_present")), "layer", "left")
+    return A.reconcile(pc, good.where("year >= 1998"), "layer", there)
+
+
 @query(
     "s7_layers_to_do",
     BASE

@@ -27,6 +27,7 @@ from croploom.plans.layers import layer_job
 from croploom.plans.registry import query
 from croploom.schema import GEOM
 from croploom.session import materialise, shared_path
+from croploom.sources import geoparquet as GP
 from croploom.sources import layers as L
 from croploom.sources import sinks
 from croploom.streaming import incremental as I
@@ -666,6 +667,17 @@ def _(spark, sf):
     )
 
 
+@query("g18_srid_of_export", BASE + "select nuts, year, 3035 as srid, count(*) as n, min(xmin) :: double as xmin, max(ymax) :: double as ymax from parcels group by nuts, year")
+def _(spark, sf):
+    # The coordinate system as the exported files themselves describe it.
+    path = shared_path(spark, "geoparquet")
+    sinks.export_geoparquet(shapes(spark, sf), path)
+    part = [F.regexp_extract("path", p, 1) for p in ("nuts=([^/]+)/", "year=([0-9]+)/")]
+    return GP.footers(spark, path).groupBy(part[0].alias("nuts"), part[1].cast("int").alias("year"), "srid").agg(
+        F.sum("n_rows").alias("n"), F.min(F.get("bbox", F.lit(0))).alias("xmin"), F.max(F.get("bbox", F.lit(3))).alias("ymax")
+    )
+
+
 # --- names ---------------------------------------------------------------------------------------
 
 

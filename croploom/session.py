@@ -8,7 +8,8 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _FOLDER: ContextVar[str | None] = ContextVar("folder of the running job", default=None)
 
@@ -60,23 +61,27 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
+def materialise(df: DataFrame, label: str = "stage", counted: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Used where a result feeds several later steps: it cuts the lineage, survives lost executors,
-    keeps later scans columnar and gives the planner a real size to choose joins by.
+    keeps later scans columnar and gives the planner a real size to choose joins by.  With ``counted``
+    the rows are counted as they are written (repeated tasks may count twice) and kept as ``n_rows``.
     """
     spark = df.sparkSession
     path = shared_path(spark, label)
-    df.write.parquet(path)
+    seen = Observation() if counted else None
+    (df.observe(seen, F.count(F.lit(1)).alias("n")) if counted else df).write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.stored_at = path
+    if counted:
+        out.n_rows = seen.get["n"]
     return out
 
 
-def stored(df: DataFrame, label: str = "stage") -> DataFrame:
+def stored(df: DataFrame, label: str = "stage", counted: bool = False) -> DataFrame:
     """``df`` if it is a stored stage already, else ``materialise(df)``."""
-    return df if getattr(df, "stored_at", None) else materialise(df, label)
+    return df if getattr(df, "stored_at", None) else materialise(df, label, counted)
 
 
 def size_in_bytes(df: DataFrame) -> int:
@@ -84,6 +89,17 @@ def size_in_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def discard(df: DataFrame) -> None:
+    """Removes a stored stage that nothing will read any more; other frames are left alone."""
+    if getattr(df, "stored_at", None):
+        _remove(df.sparkSession, df.stored_at)
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[str]:
     """A folder for the stages stored within, removed at the end.
@@ -96,8 +112,7 @@ def scratch(spark: SparkSession) -> Iterator[str]:
         yield path
     finally:
         _FOLDER.reset(token)
-        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        _remove(spark, path)
 
 
 def settled(spark: SparkSession, label: str, make: Callable[[], DataFrame]) -> DataFrame:

@@ -16,6 +16,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 ROW_GROUP = 20_000
@@ -162,3 +163,37 @@ def write_geoparquet(df: DataFrame, path: str, geo: dict, partitions: tuple[str,
     spark.dataSource.register(GeoParquetSource)
     out = df.write.format("croploom_geoparquet").mode(mode).option("geo", json.dumps(geo)).option("partitions", ",".join(partitions))
     out.option("rowgroup", str(row_group)).option("path", path).save()
+
+
+FOOTER = "path string, n_rows bigint, version string, srid int, bbox array<double>"
+
+
+def _footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    fields = pa.schema([("path", pa.string()), ("n_rows", pa.int64()), ("version", pa.string()), ("srid", pa.int32()), ("bbox", pa.list_(pa.float64()))])
+    for batch in batches:
+        rows = []
+        for path in batch.column("path").to_pylist():
+            fs, inner = file_system(path)
+            meta = pq.read_metadata(inner, filesystem=fs)
+            geo = json.loads((meta.metadata or {}).get(b"geo", b"{}"))
+            column = geo.get("columns", {}).get(geo.get("primary_column"), {})
+            code = ((column.get("crs") or {}).get("id") or {}).get("code")
+            rows.append({"path": path, "n_rows": meta.num_rows, "version": geo.get("version"), "srid": code, "bbox": column.get("bbox")})
+        yield pa.RecordBatch.from_pylist(rows, schema=fields)
+
+
+def footers(spark: SparkSession, path: str) -> DataFrame:
+    """Rows, coordinate system and limits of each GeoParquet file below a path, by its footer alone.
+
+    Executors read the footers.  A file without a ``geo`` entry, or whose entry names no system by a
+    number, has a null ``srid``.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path)
+    return files.select("path").mapInArrow(_footers, FOOTER)
+
+
+def require_srid(spark: SparkSession, path: str, srid: int) -> None:
+    """Raises where a file below the path is not described as having the coordinate system ``srid``."""
+    other = footers(spark, path).where(~F.col("srid").eqNullSafe(F.lit(srid))).limit(1).collect()
+    if other:
+        raise ValueError(f"{other[0].path} has the coordinate system {other[0].srid}, not {srid}")

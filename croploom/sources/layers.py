@@ -29,20 +29,52 @@ def path_year(path: Column) -> Column:
     return F.nullif(F.regexp_extract(path, _LAYER_PATH, 2), F.lit("stack")).cast("int")
 
 
+def _scan(spark: SparkSession, paths: str | Iterable[str], schema: T.StructType) -> DataFrame:
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    raw, path = spark.read.schema(schema).parquet(*paths), F.col("_metadata.file_path")
+    return raw.select(path_region(path).alias("nuts"), path_year(path).alias("year"), "*", path.alias("_file"))
+
+
 def read_layers(
-    spark: SparkSession, paths: str | Iterable[str], schema: T.StructType = LAYER_FILE
+    spark: SparkSession, paths: str | Iterable[str], schema: T.StructType = LAYER_FILE, unreadable: str = "null"
 ) -> DataFrame:
     """Yearly layers as one frame with ``nuts``, ``year`` from the file names and decoded ``geom``.
 
     Columns a layer does not have are null.  Only ``geometry`` costs decoding; a job that does not
-    use ``geom`` does not read it.
+    use ``geom`` does not read it.  A geometry that is no WKB is null; with ``unreadable="fail"`` it ends
+    the job that uses it, naming the file, and with ``"drop"`` rows without a geometry are left out.
+    ``unreadable_rows`` has what is left out, ``geometry_counts`` how much there is.
     """
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    raw = spark.read.schema(schema).parquet(*paths)
-    path = F.col("_metadata.file_path")
-    kept = [c for c in raw.columns if c != "geometry"]
-    return raw.select(
-        path_region(path).alias("nuts"), path_year(path).alias("year"), *kept, from_wkb("geometry").alias("geom")
+    if unreadable not in ("null", "drop", "fail"):
+        raise ValueError("unreadable is null, drop or fail")
+    raw = _scan(spark, paths, schema)
+    kept = [c for c in raw.columns if c not in ("geometry", "_file")]
+    if unreadable == "null":
+        return raw.select(*kept, from_wkb("geometry").alias("geom"))
+    held = hold(raw, "geom", from_wkb("geometry"))
+    if unreadable == "drop":
+        return held.where(F.col("geom").isNotNull()).select(*kept, "geom")
+    refused = F.raise_error(F.concat(F.lit("unreadable geometry in "), F.col("_file")))
+    bad = F.col("geom").isNull() & F.col("geometry").isNotNull()
+    return held.select(*kept, F.when(bad, refused).otherwise(F.col("geom")).alias("geom"))
+
+
+def unreadable_rows(spark: SparkSession, paths: str | Iterable[str], schema: T.StructType = LAYER_FILE) -> DataFrame:
+    """Rows of layers without a readable geometry, as they are in the files, with ``file`` and ``reason``."""
+    held = hold(_scan(spark, paths, schema), "geom", from_wkb("geometry")).where(F.col("geom").isNull())
+    reason = F.when(F.col("geometry").isNull(), "no geometry").otherwise("unreadable geometry")
+    return held.withColumnRenamed("_file", "file").withColumn("reason", reason).drop("geom")
+
+
+def geometry_counts(spark: SparkSession, paths: str | Iterable[str], schema: T.StructType = LAYER_FILE) -> DataFrame:
+    """Rows of each layer, and those with no, an unreadable and an empty geometry; sums only are moved."""
+    held = hold(_scan(spark, paths, schema), "geom", from_wkb("geometry"))
+    unread = F.col("geom").isNull() & F.col("geometry").isNotNull()
+    return held.groupBy("nuts", "year").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("geometry").isNull()).alias("n_missing"),
+        F.count_if(unread).alias("n_unreadable"),
+        F.count_if(F.size("geom") == 0).alias("n_empty"),
     )
 
 

@@ -1,4 +1,5 @@
 import json
+import pathlib
 from datetime import datetime
 
 import pyarrow as pa
@@ -6,10 +7,13 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from croploom import session
 from croploom.functions import geometry as G
 from croploom.functions import wkb as W
+from croploom.operators import joins as J
 from croploom.operators import stats as A
 from croploom.schema import CROP_HIERARCHY, FADN_CROSSWALK
+from croploom.sources import geoparquet as GP
 from croploom.sources import layers as L
 from croploom.sources import sinks
 from croploom.sources.catalog import layer_catalog, table_catalog
@@ -40,6 +44,48 @@ def test_read_layers(spark, tmp_path):
     assert "geometry" not in plan and "ArrowEvalPython" not in plan
 
 
+def test_unreadable_geometry(spark, tmp_path):
+    whole = W.encode(SQUARE)
+    geometry = [whole, None, whole[:20], b"POLYGON EMPTY", b"", whole]
+    write_layer(tmp_path, "at_2018", [1, 2, 3, 4, 5, 6], geometry=pa.array(geometry, pa.binary()))
+    write_layer(tmp_path, "at_2019", [7])
+    write_layer(tmp_path, "be_2019", [])
+    paths = [str(p) for p in sorted(tmp_path.glob("*.parquet"))]
+    counts = {(r.nuts, r.year): (r.n, r.n_missing, r.n_unreadable, r.n_empty) for r in L.geometry_counts(spark, paths).collect()}
+    assert counts == {("at", 2018): (6, 1, 3, 0), ("at", 2019): (1, 0, 0, 0)}
+    told = {r.cropfield: (r.reason, r.geometry, r.file.endswith("at_2018.parquet")) for r in L.unreadable_rows(spark, paths).collect()}
+    assert told == {2: ("no geometry", None, True), **{i + 1: ("unreadable geometry", geometry[i], True) for i in (2, 3, 4)}}
+    assert sorted(r.cropfield for r in L.read_layers(spark, paths, unreadable="drop").collect()) == [1, 6, 7]
+    assert L.read_layers(spark, paths).where("geom is null").count() == 4
+    assert L.read_layers(spark, paths[1:], unreadable="fail").count() == 1
+    with pytest.raises(Exception, match="unreadable geometry in .*at_2018"):
+        L.read_layers(spark, paths, unreadable="fail").collect()
+    with pytest.raises(ValueError):
+        L.read_layers(spark, paths, unreadable="skip")
+
+
+def test_reconcile_counts_what_was_there(spark):
+    src = spark.createDataFrame([(k,) for k in "aaabbccd"], "layer string")
+    dst = spark.createDataFrame([("d",)], "layer string")
+    there = spark.createDataFrame([("a", 2), ("b", 2), ("c", None)], "layer string, n_present long")
+    rows = {r.layer: (r.n_original, r.n_final, r.n_missing, r.status) for r in A.reconcile(src, dst, "layer", there).collect()}
+    assert rows == {"a": (3, 2, 1, "present partial"), "b": (2, 2, 0, "present"), "c": (2, None, 2, "present"), "d": (1, 1, 0, "complete")}
+    bare = A.reconcile(src, dst, "layer", there.select("layer"))
+    assert {r.layer: r.status for r in bare.collect()} == {"a": "present", "b": "present", "c": "present", "d": "complete"}
+
+
+def test_stages_are_counted_as_they_are_written(spark):
+    df = session.stored(spark.range(1000).where("id % 3 = 0"), "codes", counted=True)
+    assert df.n_rows == df.count() == 334 and J.is_small(df, 334) and not J.is_small(df, 333)
+    empty = session.stored(spark.range(0), counted=True)
+    assert empty.n_rows == 0 and J.is_small(empty)
+    path = pathlib.Path(df.stored_at.removeprefix("file:"))
+    assert path.exists()
+    session.discard(df)
+    session.discard(spark.range(3))
+    assert not path.exists()
+
+
 def test_catalog_names(spark):
     names = ["at_2018.parquet", "at_2019.parquet", "at_stack.parquet", "be_2018.parquet", "be_stack.parquet", "at_2018.parquet"]
     df = spark.createDataFrame([(n,) for n in names], "name string")
@@ -244,7 +290,11 @@ def test_layer_job_can_be_repeated(spark, tmp_path, monkeypatch):
     new = PL.layer_job(_source_rows(spark, changed=True), listed, manifest, out, done)
     after = {(r.nuts, r.off_id): r.cropfield for r in new.layers.collect() if r.off_id}
     assert all(after[k] == n for k, n in before.items()) and len(after) == len(before) + 4
-    assert {r.layer: r.status for r in new.report.collect()} == {"a_2020": "present", "b_2020": "complete"}
+    # a is there, but for the rows in its quarantine
+    report = {r.layer: r for r in new.report.collect()}
+    assert {k: r.status for k, r in report.items()} == {"a_2020": "present partial", "b_2020": "complete"}
+    kept = new.layers.where("nuts = 'a'").count()
+    assert report["a_2020"].n_final == kept and report["a_2020"].n_missing == new.quarantine.count() > 0
     assert {r.nuts for r in new.quarantine.collect()} == {"a"}
 
 
@@ -288,6 +338,14 @@ def test_footers_describe_the_geometry(spark, tmp_path):
         assert geo["version"] == "1.1.0" and geo["columns"]["geometry"]["crs"]["id"]["code"] == 3035
         limits.append(geo["columns"]["geometry"]["bbox"])
     assert all(a[0] < a[2] and a[1] < a[3] for a in limits)
+    told = GP.footers(spark, str(out)).collect()
+    assert sorted(list(r.bbox) for r in told) == sorted(limits) and {(r.version, r.srid) for r in told} == {("1.1.0", 3035)}
+    assert sum(r.n_rows for r in told) == 257
+    GP.require_srid(spark, str(out), 3035)
+    pq.write_table(pa.table({"id": [1]}), out / "plain.parquet")
+    with pytest.raises(ValueError, match="plain.parquet"):
+        GP.require_srid(spark, str(out), 3035)
+    (out / "plain.parquet").unlink()
     assert {(r.year, r["count"]) for r in spark.read.parquet(str(out)).groupBy("year").count().collect()} == {(2020, 7), (2021, 250)}
 
 
