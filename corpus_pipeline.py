@@ -6,11 +6,13 @@ again as the next stage's input.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from croploom.llm import decontam, dedup, langid, pieces, secrets
 from croploom.llm.queries import PIECES, table
-from croploom.session import materialise
+from croploom.session import discard, settled
 
 #: Jaccard similarity of word shingles from which documents are near copies.
 SIMILAR = 80, 100
@@ -66,8 +68,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on the documents."""
+    """All stages on the documents.
+
+    What a stage stores on its way goes when its result is written, and so does the result of the stage before.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        kept = settled(spark, f"pipeline-{name}", partial(stage, spark, docs, sf_dir))
+        discard(docs)
+        docs = kept
     return docs
