@@ -1,6 +1,7 @@
 """The pipeline against its stages done by hand on a small corpus."""
 
 import random
+from pathlib import Path
 
 import public_tokenizers
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline as P
 from croploom.llm import pieces
+from croploom.session import shared_dir
 
 KEY = "AKIA" + "QZ7M" * 4
 
@@ -32,7 +34,12 @@ def corpus(spark, tmp_path_factory):
 
 def test_run(spark, corpus):
     path, rows, clean = corpus
-    out = P.run(spark, path).collect()
+    folder = Path(shared_dir(spark).removeprefix("file:"))
+    before = set(folder.iterdir())
+    out = P.run(spark, path)
+    left = set(folder.iterdir()) - before
+    assert [p.name.rsplit("-", 1)[0] for p in left] == ["pipeline-segment"]
+    out = out.collect()
     assert sorted(str(r.doc_id) for r in out) == sorted(map(str, [*clean, 300, 301, None]))
     texts = dict((r[0], r[1]) for r in rows)
     model = pieces.pieces(public_tokenizers.path("piece_bpe_32k.model"))
