@@ -8,17 +8,19 @@ that ``(row, block)`` is a bounded unit of work however many parcels pile up the
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from croploom.functions import geometry as G
+from croploom.functions import runs as N
 
 BLOCK = 512
-# Rows handled together when a polygon is scanned, and when runs are compared with their neighbours.
-SCAN_BAND = 64
-HALO_BAND = 32
+# Pixel rows of a tile: rows of a block that are worked on together.
+BAND = 64
 
 
 def _first_pixel(v: Column, scale: float) -> Column:
@@ -48,116 +50,91 @@ def rasterise(
     geom: str | None = "geom",
     by: Iterable[str] = ("nuts",),
     value: str = "cropfield",
+    extra: Iterable[str] = (),
+    merged: bool = False,
 ) -> DataFrame:
-    """Runs ``(by..., year, cf, py, px, x0, x1)`` of every parcel; nothing is shuffled.
+    """Runs ``(by..., year, cf, extra..., py, px, x0, x1)`` of every parcel; nothing is shuffled.
 
-    ``geom=None`` means the rows are rectangles given by ``xmin, ymin, xmax, ymax``.
+    ``geom=None`` means the rows are rectangles given by ``xmin, ymin, xmax, ymax``.  With ``merged``
+    equal runs of polygons of one batch are left to the highest id, as ``burn`` does; so parcels that
+    pile up are not moved one by one.
     """
+    extra = list(extra)
     keys = [*by, "year"]
     if geom is None:
         rows = pc.select(
             *keys,
             F.col(value).alias("cf"),
+            *extra,
             _first_pixel(F.col("xmin"), scale).alias("x0"),
             _first_pixel(F.col("xmax"), scale).alias("x1"),
             _first_pixel(F.col("ymin"), scale).alias("_r0"),
             (_first_pixel(F.col("ymax"), scale) - 1).alias("_r1"),
         ).where((F.col("_r0") <= F.col("_r1")) & (F.col("x0") < F.col("x1")))
         runs = rows.withColumn("py", F.explode(F.sequence("_r0", "_r1")))
-        return _cut_at_blocks(runs).select(*keys, "cf", "py", "px", "x0", "x1")
-
-    # Each step's array is a column of its own and empty cases fall out of explode(): a filter on such
-    # a column would be pushed below it and have the array worked out twice.
-    scanned = pc.select(
-        *keys,
-        F.col(value).alias("cf"),
-        F.filter(G.edges(F.col(geom)), lambda e: e.ay != e.by).alias("_e"),
-    ).withColumns(
-        {
-            "_r0": _first_pixel(F.array_min(F.transform("_e", lambda e: F.least(e.ay, e.by))), scale),
-            "_r1": _first_pixel(F.array_max(F.transform("_e", lambda e: F.greatest(e.ay, e.by))), scale) - 1,
-        }
-    )
-    # Bands first: each carries only the edges that reach it, so that a polygon with very many
-    # edges and rows does not compare all of them with all.
-    first, last = F.floor(F.col("_r0") / SCAN_BAND), F.floor(F.col("_r1") / SCAN_BAND)
-    banded = (
-        scanned.withColumn("_band", F.explode(F.when(F.col("_r0") <= F.col("_r1"), F.sequence(first, last))))
-        .withColumns(
-            {
-                "_r0": F.greatest(F.col("_r0"), F.col("_band") * SCAN_BAND),
-                "_r1": F.least(F.col("_r1"), F.col("_band") * SCAN_BAND + SCAN_BAND - 1),
-            }
-        )
-        .withColumns({"_lo": (F.col("_r0") + 0.5) * scale, "_hi": (F.col("_r1") + 0.5) * scale})
-        .withColumn(
-            "_e",
-            F.filter(
-                "_e",
-                lambda e: (F.least(e.ay, e.by) <= F.col("_hi")) & (F.greatest(e.ay, e.by) > F.col("_lo")),
-            ),
-        )
-        .drop("_band", "_lo", "_hi")
-    )
-    lines = banded.withColumn("py", F.explode(F.sequence("_r0", "_r1"))).withColumn(
-        "_y", (F.col("py") + 0.5) * scale
-    )
-    # Even-odd rule: between the first and second crossing of the row's centre line is inside, ...
-    crossings = F.sort_array(
-        F.transform(
-            F.filter(
-                "_e",
-                lambda e: (F.least(e.ay, e.by) <= F.col("_y")) & (F.greatest(e.ay, e.by) > F.col("_y")),
-            ),
-            lambda e: e.ax + (F.col("_y") - e.ay) * (e.bx - e.ax) / (e.by - e.ay),
+        return _cut_at_blocks(runs).select(*keys, "cf", *extra, "py", "px", "x0", "x1")
+
+    rows = pc.select(*keys, F.col(value).alias("cf"), *extra, F.col(geom).alias("_g"))
+    schema = T.StructType([*rows.schema.fields[:-1], *[T.StructField(c, T.IntegerType()) for c in ("py", "px", "x0", "x1")]])
+    names = schema.names
+
+    def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            t = pa.Table.from_batches([b])
+            edges, owner = N.edges(t["_g"].combine_chunks())
+            for who, *run in N.scan(edges, owner, scale, BLOCK):
+                out = t.drop_columns("_g").take(pa.array(who))
+                for name, v in zip(("py", "px", "x0", "x1"), run):
+                    out = out.append_column(name, pa.array(v.astype(np.int32)))
+                if merged:
+                    out = N.merge_equal(out, keys)
+                yield from out.select(names).to_batches(max_chunksize=50_000)
+
+    return rows.mapInArrow(scanned, schema)
+
+
+def _by_tiles(runs: DataFrame, by: list[str], halo: bool = False) -> DataFrame:
+    """Runs sorted by tile, ``BAND`` rows of a block, whose rows all are in one task.
+
+    With ``halo`` a tile also has the pixels next to it.
+    """
+    if not halo:
+        tiled = runs.withColumn("_band", F.floor(F.col("py") / BAND).cast("int"))
+    else:
+        first, last = (F.floor((F.col("py") + d) / BAND).cast("int") for d in (-1, 1))
+        part = lambda p, a, b: F.struct(p.alias("px"), a.alias("x0"), b.alias("x1"))
+        px, x0, x1 = (F.col(c) for c in ("px", "x0", "x1"))
+        parts = F.array_compact(
+            F.array(part(px, x0, x1), F.when(x0 == px * BLOCK, part(px - 1, x0, x0 + 1)), F.when(x1 == (px + 1) * BLOCK, part(px + 1, x1 - 1, x1)))
         )
-    )
-    inside = F.when(
-        F.size("_x") >= 2,
-        F.transform(
-            F.sequence(F.lit(0), F.expr("size(_x) div 2 - 1").cast("int")),
-            lambda i: F.struct(F.get("_x", i * 2).alias("a"), F.get("_x", i * 2 + 1).alias("b")),
-        ),
-    )
-    spans = (
-        lines.withColumn("_x", crossings)
-        .select(*keys, "cf", "py", F.explode(inside).alias("_s"))
-        .select(
-            *keys,
-            "cf",
-            "py",
-            _first_pixel(F.col("_s.a"), scale).alias("x0"),
-            _first_pixel(F.col("_s.b"), scale).alias("x1"),
+        tiled = (
+            runs.withColumn("_p", F.explode(parts))
+            .withColumns({c: F.col(f"_p.{c}") for c in ("px", "x0", "x1")})
+            .drop("_p")
+            .withColumn("_band", F.explode(F.sequence(first, last)))
         )
-    )
-    return _cut_at_blocks(spans).select(*keys, "cf", "py", "px", "x0", "x1")
+    tile = [*by, "_band", "px"]
+    # As many tasks as the session has partitions: small rows, much work.
+    n = int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return tiled.repartition(n, *tile).sortWithinPartitions(*tile)
 
 
 def burn(runs: DataFrame, by: Iterable[str] = ("nuts",)) -> DataFrame:
     """One parcel per pixel and year: where several overlap, the highest id wins.
 
     All runs of a ``(row, block)`` are cut at each other's ends, over all years at once, so that the
-    pieces of different years line up.  Equal runs are merged before anything is moved, which bounds
-    a unit by its pixels no matter how many parcels lie on it.
+    pieces of different years line up.  Runs move once, to their tile's task, which works on many tiles
+    at a time; a tile never holds more than its pixels, no matter how many parcels lie on it.
     """
     by = list(by)
-    unit = [*by, "py", "px"]
-    distinct = runs.groupBy(*unit, "year", "x0", "x1").agg(F.max("cf").alias("cf"))
-    ends = F.sort_array(
-        F.array_distinct(F.flatten(F.collect_set(F.array("x0", "x1")).over(Window.partitionBy(*unit))))
-    )
-    inner = F.slice(
-        "_ends",
-        F.array_position("_ends", F.col("x0")).cast("int"),
-        (F.array_position("_ends", F.col("x1")) - F.array_position("_ends", F.col("x0")) + 1).cast("int"),
-    )
-    pieces = (
-        distinct.withColumn("_ends", ends)
-        .withColumn("_in", inner)
-        .select(*unit, "year", "cf", F.posexplode(F.expr("slice(_in, 1, size(_in) - 1)")).alias("_i", "x0"), "_in")
-        .withColumn("x1", F.get("_in", F.col("_i") + 1))
-    )
-    return pieces.groupBy(*unit, "year", "x0", "x1").agg(F.max("cf").alias("cf"))
+    rows = _by_tiles(runs.select(*by, "year", F.col("cf").cast("bigint").alias("cf"), "py", "px", "x0", "x1"), by)
+    schema, tile = rows.schema, [*by, "_band", "px"]
+
+    def burned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = lambda t: N.burn_table(t, tile)
+        return N.by_tile(batches, tile, work, work)
+
+    return rows.mapInArrow(burned, schema).select(*by, "py", "px", "year", "x0", "x1", "cf")
 
 
 def pixel_support(burned: DataFrame, by: Iterable[str] = ("nuts",)) -> DataFrame:
@@ -200,57 +177,88 @@ def combine_years(burned: DataFrame, years: Iterable[int], by: Iterable[str] = (
     )
 
 
+def overlay(runs: DataFrame, years: Iterable[int], by: Iterable[str] = ("nuts",), inset: bool = False) -> DataFrame:
+    """``combine_years(burn(runs))`` in one shuffle, with touching pieces of the same ids joined.
+
+    Ids of runs marked ``weak`` become 0 once they have won their pixels.  With ``inset`` only pixels
+    whose eight neighbours carry the same ids are left, and rows without ``py`` tell in ``n`` how many
+    pixels each combination of ids had before in one tile.
+    """
+    years, by = list(years), list(by)
+    marks = [c for c in ("weak",) if c in runs.columns]
+    rows = runs.where(F.col("year").isin(years)).select(*by, "year", F.col("cf").cast("bigint").alias("cf"), *marks, "py", "px", "x0", "x1")
+    rows, tile = _by_tiles(rows, by, inset), [*by, "_band", "px"]
+
+    def combined(t: pa.Table) -> pa.Table:
+        p = N.Pieces(t, tile, years)
+        cf = np.where(p.cf > N.LEAST, p.cf, 0)
+        if p.weak is not None:
+            cf[p.weak] = 0
+        return _labelled(t, p.row, p.tile, p.py, p.x0, p.x1, cf, years, by, inset)
+
+    def burned(t: pa.Table) -> pa.Table:
+        return N.burn_table(t, tile)
+
+    return rows.mapInArrow(lambda batches: N.by_tile(batches, tile, combined, burned), _label_schema(rows, years, by, inset))
+
+
 def erode(combined: DataFrame, years: Iterable[int], by: Iterable[str] = ("nuts",)) -> DataFrame:
     """Only pixels whose eight neighbours carry the same ids in all years.
 
-    Rows are worked on in bands that also hold their two neighbour rows, so one shuffle serves all
-    steps: join touching runs, take a pixel off both ends, and keep what three rows in turn share.
+    Tiles also hold the pixels next to them, so one shuffle serves all steps: join touching runs, take
+    a pixel off both ends, and keep what three rows in turn share.
     """
-    label = [*by, *[f"cf{y}" for y in years]]
-    py = F.col("py")
-    banded = combined.select(
-        *label,
-        "py",
-        "x0",
-        "x1",
-        F.explode(
-            F.array_distinct(F.array(*[F.floor((py + d) / HALO_BAND).cast("int") for d in (-1, 0, 1)]))
-        ).alias("_band"),
-    ).repartition(*label, "_band")
-    row = Window.partitionBy(*label, "_band", "py").orderBy("x0")
-    new_run = F.when(F.lag("x1").over(row) == F.col("x0"), 0).otherwise(1)
-    joined = (
-        banded.withColumn("_new", new_run)
-        .withColumn("_run", F.sum("_new").over(row))
-        .groupBy(*label, "_band", "py", "_run")
-        .agg((F.min("x0") + 1).alias("a"), (F.max("x1") - 1).alias("b"))
-        .where(F.col("a") < F.col("b"))
-    )
-    shifted = joined.withColumn("_y", F.explode(F.array(*[py + d for d in (-1, 0, 1)]))).where(
-        F.floor(F.col("_y") / HALO_BAND) == F.col("_band")
-    )
-    steps = (
-        shifted.select(
-            *label,
-            "_band",
-            "_y",
-            F.explode(
-                F.array(
-                    F.struct(F.col("a").alias("x"), F.lit(1).alias("d")),
-                    F.struct(F.col("b").alias("x"), F.lit(-1).alias("d")),
-                )
-            ).alias("_s"),
-        )
-        .groupBy(*label, "_band", "_y", F.col("_s.x").alias("x0"))
-        .agg(F.sum("_s.d").alias("_d"))
-    )
-    line = Window.partitionBy(*label, "_band", "_y").orderBy("x0")
-    return (
-        steps.withColumn("x1", F.lead("x0").over(line))
-        .withColumn("_cover", F.sum("_d").over(line))
-        .where(F.col("_cover") == 3)
-        .select(*label, F.col("_y").alias("py"), "x0", "x1")
-    )
+    years, by = list(years), list(by)
+    cf = [f"cf{y}" for y in years]
+    rows = _cut_at_blocks(combined.select(*by, "py", "x0", "x1", *[F.col(c).cast("bigint").alias(c) for c in cf]))
+    rows, tile = _by_tiles(rows, by, halo=True), [*by, "_band", "px"]
+
+    def taken_in(t: pa.Table) -> pa.Table:
+        py, x0, x1 = (N.numbers(t, c) for c in ("py", "x0", "x1"))
+        code = N.codes(t, tile)
+        order = np.lexsort((x0, py, code))
+        ids = np.column_stack([N.numbers(t, c) for c in cf])[order]
+        return _labelled(t, order, code[order], py[order], x0[order], x1[order], ids, years, by, True)
+
+    out = rows.mapInArrow(lambda batches: N.by_tile(batches, tile, taken_in, None), _label_schema(rows, years, by, True))
+    return out.where(F.col("n").isNull()).select(*by, *cf, "py", "x0", "x1")
+
+
+def _label_schema(rows: DataFrame, years: list[int], by: list[str], inset: bool) -> T.StructType:
+    fields = [rows.schema[c] for c in by]
+    fields += [T.StructField(c, T.IntegerType()) for c in ("py", "px", "x0", "x1")]
+    fields += [T.StructField(f"cf{y}", T.LongType()) for y in years]
+    return T.StructType([*fields, T.StructField("n", T.LongType())] if inset else fields)
+
+
+def _labelled(t: pa.Table, row, tile, py, x0, x1, cf, years: list[int], by: list[str], inset: bool) -> pa.Table:
+    """Joined runs of pieces, in order of tile, row and place; with ``inset`` what is left of them, and
+    each combination's pixels within its tile."""
+    label = N.label_numbers(tile, cf)
+    first, end = N.runs_of_labels(tile, py, x0, x1, label)
+    row, label, cf, py, x0 = row[first], label[first], cf[first], py[first], x0[first]
+    keys = t.select([*by, "px"])
+
+    def frame(k, columns: dict, n=None) -> pa.Table:
+        out = keys.take(pa.array(row[k]))
+        out = {c: out[c] for c in by} | {"py": columns["py"], "px": out["px"], "x0": columns["x0"], "x1": columns["x1"]}
+        out |= {f"cf{y}": cf[k, i] for i, y in enumerate(years)}
+        if inset:
+            out["n"] = pa.nulls(len(k), pa.int64()) if n is None else n
+        return pa.table({c: v if isinstance(v, (pa.Array, pa.ChunkedArray)) else pa.array(v.astype(np.int32 if c in ("py", "px", "x0", "x1") else np.int64)) for c, v in out.items()})
+
+    if not inset:
+        return frame(np.arange(len(first)), {"py": py, "x0": x0, "x1": end})
+    k, y, a, b = N.taken_in(py, x0, end, label)
+    left = frame(k, {"py": y, "x0": a, "x1": b})
+    band, px = N.numbers(t, "_band")[row], N.numbers(t, "px")[row]
+    n = np.minimum(end, (px + 1) * BLOCK) - np.maximum(x0, px * BLOCK)
+    n = np.where(py // BAND == band, np.maximum(n, 0), 0)
+    one = np.unique(label, return_index=True, return_inverse=True)
+    total = np.bincount(one[2], weights=n, minlength=len(one[0])).astype(np.int64)
+    some = np.flatnonzero(total)
+    none = pa.nulls(len(some), pa.int32())
+    return pa.concat_tables([left, frame(one[1][some], {"py": none, "x0": none, "x1": none}, total[some])])
 
 
 def pixels(runs: DataFrame) -> DataFrame:

@@ -305,7 +305,7 @@ def _(spark, sf):
     PIXELS.rstrip() + "," + BURNED + "," + SUPPORT + " select nuts, year, cf, n from support",
 )
 def _(spark, sf):
-    return R.pixel_support(R.burn(R.rasterise(shapes(spark, sf), SCALE)))
+    return R.pixel_support(R.burn(R.rasterise(shapes(spark, sf), SCALE, merged=True)))
 
 
 @query(
@@ -313,7 +313,7 @@ def _(spark, sf):
     PIXELS.rstrip() + "," + BURNED + "," + SUPPORT + " select year, count(*) as n, sum(cf) :: bigint as ids from burned join support using (nuts, year, cf) where n >= 10 group by year",
 )
 def _(spark, sf):
-    kept = R.min_support(materialise(R.burn(R.rasterise(shapes(spark, sf), SCALE)), "burned"), 10)
+    kept = R.min_support(materialise(R.burn(R.rasterise(shapes(spark, sf), SCALE, merged=True)), "burned"), 10)
     n = F.col("x1") - F.col("x0")
     return kept.groupBy("year").agg(F.sum(n).alias("n"), F.sum(n * F.col("cf")).alias("ids"))
 
@@ -333,9 +333,9 @@ STACK = f"""stack as (select nuts, {', '.join(f'nullif({c}, 0) as {c}' for c in
 OVERLAY = PIXELS.rstrip() + ",\n" + ",\n".join([BURNED, SUPPORT, STRONG, SIZES, ERODED, STACK]) + "\n"
 
 
-def combined(spark, sf) -> DataFrame:
+def combined(spark, sf, inset: bool = False) -> DataFrame:
     pc = shapes(spark, sf).where(F.col("year").isin(YEARS))
-    return R.combine_years(R.burn(R.rasterise(pc, SCALE)), YEARS)
+    return R.overlay(R.rasterise(pc, SCALE, merged=True), YEARS, inset=inset)
 
 
 @query(
@@ -360,7 +360,7 @@ def _(spark, sf):
     PIXELS.rstrip() + "," + BURNED + "," + COMBINED + "," + ERODED.replace("overlay", "combined") + f" select nuts, {CF}, count(*) as n from eroded group by nuts, {CF}",
 )
 def _(spark, sf):
-    return R.erode(combined(spark, sf), YEARS).groupBy("nuts", *CF.split(", ")).agg(F.sum(F.col("x1") - F.col("x0")).alias("n"))
+    return combined(spark, sf, inset=True).where("n is null").groupBy("nuts", *CF.split(", ")).agg(F.sum(F.col("x1") - F.col("x0")).alias("n"))
 
 
 @query("r7_rotation_stack", OVERLAY + f"select nuts, cropfield, {CF}, n_pixels, area_ha from numbered")
@@ -456,7 +456,7 @@ def _(spark, sf):
     select nuts, year, gx, gy, median(cf) as median from l group by nuts, year, gx, gy""",
 )
 def _(spark, sf):
-    burned = R.burn(R.rasterise(shapes(spark, sf), SCALE))
+    burned = R.burn(R.rasterise(shapes(spark, sf), SCALE, merged=True))
     px = R.pixels(burned).select("nuts", "year", F.expr("px div 20").alias("gx"), F.expr("py div 20").alias("gy"), "cf")
     return A.median_by(px, ["nuts", "year", "gx", "gy"], "cf")
 
