@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from croploom.functions import geometry as G
 from croploom.operators.joins import lookup
+from croploom.session import materialise
 
 
 def area_stats(pc: DataFrame) -> DataFrame:
@@ -107,6 +108,7 @@ def median_by(
         .agg((F.count(F.lit(1)) if weight is None else F.sum(weight)).alias("_n"))
         .withColumn("_hi", F.shiftright("_v", 16))
     )
+    counts = materialise(counts, "counts")  # read twice
     slices = counts.groupBy(*by, "_hi").agg(F.sum("_n").alias("_s"))
     whole = Window.partitionBy(*by)
     upto = whole.orderBy("_hi").rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -457,8 +457,13 @@ def _(spark, sf):
 )
 def _(spark, sf):
     burned = R.burn(R.rasterise(shapes(spark, sf), SCALE, merged=True))
-    px = R.pixels(burned).select("nuts", "year", F.expr("px div 20").alias("gx"), F.expr("py div 20").alias("gy"), "cf")
-    return A.median_by(px, ["nuts", "year", "gx", "gy"], "cf")
+    # Parts of runs between the cells' borders stand for their pixels.
+    gx = F.explode(F.sequence(F.floor(F.col("x0") / 20), F.floor((F.col("x1") - 1) / 20)))
+    parts = burned.withColumn("gx", gx).select(
+        "nuts", "year", "gx", F.floor(F.col("py") / 20).alias("gy"), "cf",
+        (F.least("x1", (F.col("gx") + 1) * 20) - F.greatest("x0", F.col("gx") * 20)).alias("n"),
+    )
+    return A.median_by(parts, ["nuts", "year", "gx", "gy"], "cf", weight="n")
 
 
 # --- geometry quality ----------------------------------------------------------------------------

@@ -77,3 +77,17 @@ def test_changed_labels_are_not_repeated(spark):
     out = S._relabelled(runs, materialise(changes), [2020], ["nuts"])
     assert "Generate" not in out._jdf.queryExecution().executedPlan().toString()
     assert out.agg(F.count("*"), F.min("cf2020")).first()[:] == (300_000, 2)
+
+
+def test_medians_store_their_counts(spark):
+    """Counts are read for the slices and for the values, and worked out once."""
+    from croploom.operators import stats as A
+
+    seen, plain = [], A.materialise
+    A.materialise = lambda df, label="stage": seen.append(label) or plain(df, label)
+    try:
+        df = spark.createDataFrame([("a", 1, 3), ("a", 9, 1), ("b", 4, 1), ("b", 8, 1)], "k string, v long, n long")
+        assert {tuple(r) for r in A.median_by(df, ["k"], "v", weight="n").collect()} == {("a", 1.0), ("b", 6.0)}
+    finally:
+        A.materialise = plain
+    assert seen == ["counts"]
