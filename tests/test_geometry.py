@@ -338,3 +338,34 @@ def test_a_part_in_the_hole_of_another_is_valid():
     frame = [ring(0, 10), ring(1, 9)[::-1]]
     for geom, want in (([frame, [ring(2, 8)]], True), ([[ring(2, 8)], frame], True), ([[ring(0, 10)], [ring(2, 8)]], False), ([[ring(2, 8)], [ring(0, 10)]], False)):
         assert valid_batch([geom]) == [want]
+
+
+def test_plain_holes_and_parts_need_no_test_one_by_one(monkeypatch):
+    slow = V._nested_rightly
+
+    def box(x, y, w, h):
+        return np.array([(x, y), (x + w, y), (x + w, y + h), (x, y + h), (x, y)], float)
+
+    rng = np.random.default_rng(5)
+    turn = np.array([[0.6, 0.8], [-0.8, 0.6]])
+    geoms = []
+    for k in range(3000):
+        geom = [[box(*rng.integers(0, 8, 2), *rng.integers(1, 7, 2)) for _ in range(rng.integers(1, 4))] for _ in range(rng.integers(1, 4))]
+        geoms.append([[r @ turn for r in poly] for poly in geom] if k % 3 == 0 else geom)
+    # a hole that hangs on a notch of its outline, which is on no edge's inside
+    notch = np.array([(0, 0), (4, 4), (8, 0), (8, 9), (0, 9), (0, 0)], float)
+    geoms += [[[notch, np.array(h, float)]] for h in ([(4, 4), (6, 6), (2, 6), (4, 4)], [(4, 4), (5, 1), (3, 1), (4, 4)])]
+    got = V.valid_batch(geoms)
+    monkeypatch.setattr(V, "_clearly_nested", lambda geoms: np.zeros(len(geoms), bool))
+    assert got == V.valid_batch(geoms)
+    assert got[-2:] == [True, False]
+    monkeypatch.undo()
+
+    def refused(geom):
+        raise AssertionError("tested one by one")
+
+    monkeypatch.setattr(V, "_nested_rightly", refused)
+    plain = [[[box(0, 0, 9, 9), box(2, 2, 3, 3)[::-1], box(6, 6, 2, 2)[::-1]]], [[box(0, 0, 2, 9)], [box(3, 0, 2, 9)]]]
+    assert V.valid_batch(plain) == [True, True]
+    monkeypatch.setattr(V, "_nested_rightly", slow)
+    assert V.valid_batch([[[box(0, 0, 9, 9)], [box(1, 1, 2, 2)]]]) == [False]
