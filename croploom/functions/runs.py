@@ -124,6 +124,53 @@ def merge_equal(t: pa.Table, keys: list[str]) -> pa.Table:
     return t if not same.any() else t.take(pa.array(np.sort(order[np.append(~same, True)])))
 
 
+def packed(t: pa.Table, who: str, band: int, block: int, halo: bool) -> pa.Table:
+    """Runs of each owner and tile, ``band`` rows of a block, as one row with lists of rows, first pixels and ends.
+
+    With ``halo`` a tile also has the pixels next to it, as runs of one pixel where they lie in the blocks beside it.
+    """
+    row = np.arange(t.num_rows)
+    py, px, x0, x1 = (numbers(t, c) for c in ("py", "px", "x0", "x1"))
+    at = py // band
+    if halo:
+        left, right = np.flatnonzero(x0 == px * block), np.flatnonzero(x1 == (px + 1) * block)
+        row = np.concatenate([row, left, right])
+        px = np.concatenate([px, px[left] - 1, px[right] + 1])
+        x0, x1 = np.concatenate([x0, x0[left], x1[right] - 1]), np.concatenate([x1, x0[left] + 1, x1[right]])
+        py = py[row]
+        first = (py - 1) // band
+        k, i = _repeat((py + 1) // band - first + 1)
+        row, px, x0, x1, py, at = row[k], px[k], x0[k], x1[k], py[k], first[k] + i
+    own = numbers(t, who)[row]
+    order = np.lexsort((x0, py, px, at, own))
+    own, at, px = own[order], at[order], px[order]
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (own[1:] != own[:-1]) | (at[1:] != at[:-1]) | (px[1:] != px[:-1])
+    start = np.flatnonzero(new)
+    offsets = pa.array(np.append(start, len(order)).astype(np.int32))
+    out = t.drop_columns([who, "py", "px", "x0", "x1"]).take(pa.array(row[order][start]))
+    for name, v in (("_band", at[start]), ("px", px[start])):
+        out = out.append_column(name, pa.array(v.astype(np.int32)))
+    for name, v in (("_ys", py), ("_x0s", x0), ("_x1s", x1)):
+        out = out.append_column(name, pa.ListArray.from_arrays(offsets, pa.array(v[order].astype(np.int32))))
+    return out
+
+
+def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per run of what ``packed`` has made; other batches as they come."""
+    for b in batches:
+        if "_ys" not in b.schema.names:
+            yield b
+            continue
+        t = pa.Table.from_batches([b])
+        lists = [t[c].combine_chunks() for c in ("_ys", "_x0s", "_x1s")]
+        row = np.repeat(np.arange(t.num_rows), lists[0].value_lengths().to_numpy(zero_copy_only=False))
+        out = t.drop_columns(["_ys", "_x0s", "_x1s"]).take(pa.array(row))
+        for name, v in zip(("py", "x0", "x1"), lists):
+            out = out.append_column(name, v.flatten())
+        yield from out.combine_chunks().to_batches()
+
+
 def by_tile(batches: Iterator[pa.RecordBatch], tile: list[str], work: Callable[[pa.Table], pa.Table], burned: Callable[[pa.Table], pa.Table] | None) -> Iterator[pa.RecordBatch]:
     """``work`` on whole tiles, many at a time, of rows sorted by tile.
 

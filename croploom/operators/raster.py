@@ -21,6 +21,18 @@ from croploom.functions import runs as N
 BLOCK = 512
 # Pixel rows of a tile: rows of a block that are worked on together.
 BAND = 64
+# Lists of packed runs: rows, first pixels, ends.
+PACKED = ("_ys", "_x0s", "_x1s")
+
+
+def _run_columns(runs: DataFrame) -> list[str]:
+    return ["_band", "px", *PACKED] if "_ys" in runs.columns else ["py", "px", "x0", "x1"]
+
+
+def _unpacked_schema(rows: DataFrame) -> T.StructType:
+    """That of tiles' rows once their runs are unpacked."""
+    kept = [f for f in rows.schema.fields if f.name not in (*PACKED, "py", "x0", "x1")]
+    return T.StructType([*kept, *[T.StructField(c, T.IntegerType()) for c in ("py", "x0", "x1")]])
 
 
 def _first_pixel(v: Column, scale: float) -> Column:
@@ -52,12 +64,17 @@ def rasterise(
     value: str = "cropfield",
     extra: Iterable[str] = (),
     merged: bool = False,
+    packed: str | None = None,
 ) -> DataFrame:
     """Runs ``(by..., year, cf, extra..., py, px, x0, x1)`` of every parcel; nothing is shuffled.
 
     ``geom=None`` means the rows are rectangles given by ``xmin, ymin, xmax, ymax``.  With ``merged``
     equal runs of polygons of one batch are left to the highest id, as ``burn`` does; so parcels that
     pile up are not moved one by one.
+
+    ``packed="tiles"`` gives polygons' runs packed by tile, one row for all runs of a parcel in a tile, as
+    ``burn``, ``overlay`` and ``rare_values_of`` take them as well; with ``packed="halo"`` tiles have the
+    pixels next to them too.
     """
     extra = list(extra)
     keys = [*by, "year"]
@@ -75,7 +92,11 @@ def rasterise(
         return _cut_at_blocks(runs).select(*keys, "cf", *extra, "py", "px", "x0", "x1")
 
     rows = pc.select(*keys, F.col(value).alias("cf"), *extra, F.col(geom).alias("_g"))
-    schema = T.StructType([*rows.schema.fields[:-1], *[T.StructField(c, T.IntegerType()) for c in ("py", "px", "x0", "x1")]])
+    if packed:
+        lists = [T.StructField(c, T.ArrayType(T.IntegerType())) for c in PACKED]
+        schema = T.StructType([*rows.schema.fields[:-1], *[T.StructField(c, T.IntegerType()) for c in ("_band", "px")], *lists])
+    else:
+        schema = T.StructType([*rows.schema.fields[:-1], *[T.StructField(c, T.IntegerType()) for c in ("py", "px", "x0", "x1")]])
     names = schema.names
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,8 +107,11 @@ def rasterise(
                 out = t.drop_columns("_g").take(pa.array(who))
                 for name, v in zip(("py", "px", "x0", "x1"), run):
                     out = out.append_column(name, pa.array(v.astype(np.int32)))
+                out = out.append_column("_who", pa.array(who)) if packed else out
                 if merged:
                     out = N.merge_equal(out, keys)
+                if packed:
+                    out = N.packed(out, "_who", BAND, BLOCK, packed == "halo")
                 yield from out.select(names).to_batches(max_chunksize=50_000)
 
     return rows.mapInArrow(scanned, schema)
@@ -96,9 +120,11 @@ def rasterise(
 def _by_tiles(runs: DataFrame, by: list[str], halo: bool = False) -> DataFrame:
     """Runs sorted by tile, ``BAND`` rows of a block, whose rows all are in one task.
 
-    With ``halo`` a tile also has the pixels next to it.
+    With ``halo`` a tile also has the pixels next to it.  Packed runs have their tiles already.
     """
-    if not halo:
+    if "_ys" in runs.columns:
+        tiled = runs
+    elif not halo:
         tiled = runs.withColumn("_band", F.floor(F.col("py") / BAND).cast("int"))
     else:
         first, last = (F.floor((F.col("py") + d) / BAND).cast("int") for d in (-1, 1))
@@ -127,16 +153,34 @@ def burn(runs: DataFrame, by: Iterable[str] = ("nuts",)) -> DataFrame:
     at a time; a tile never holds more than its pixels, no matter how many parcels lie on it.
     """
     by = list(by)
-    rows = _by_tiles(runs.select(*by, "year", F.col("cf").cast("bigint").alias("cf"), "py", "px", "x0", "x1"), by)
-    schema, tile = rows.schema, [*by, "_band", "px"]
+    rows = _by_tiles(runs.select(*by, "year", F.col("cf").cast("bigint").alias("cf"), *_run_columns(runs)), by)
+    schema, tile = _unpacked_schema(rows), [*by, "_band", "px"]
 
     def burned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        work = lambda t: N.burn_table(t, tile)
-        return N.by_tile(batches, tile, work, work)
+        work = lambda t: N.burn_table(t, tile).select(schema.names)
+        return N.by_tile(N.unpacked(batches), tile, work, work)
 
     return rows.mapInArrow(burned, schema).select(*by, "py", "px", "year", "x0", "x1", "cf")
 
 
+def rare_values_of(runs: DataFrame, min_pixels: int = 10, by: Iterable[str] = ("nuts",)) -> DataFrame:
+    """``rare_values(burn(runs))``, of which only the pixels of each id in some tiles at a time leave a task."""
+    by = list(by)
+    rows = _by_tiles(runs.select(*by, "year", F.col("cf").cast("bigint").alias("cf"), *_run_columns(runs)), by)
+    tile, keys = [*by, "_band", "px"], [*by, "year", "cf"]
+    schema = T.StructType([*(rows.schema[c] for c in keys), T.StructField("n", T.LongType())])
+
+    def counted(t: pa.Table) -> pa.Table:
+        t = N.burn_table(t, tile)
+        n = pa.array(N.numbers(t, "x1") - N.numbers(t, "x0"))
+        return t.select(keys).append_column("n", n).group_by(keys).aggregate([("n", "sum")]).rename_columns([*keys, "n"])
+
+    def support(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return N.by_tile(N.unpacked(batches), tile, counted, lambda t: N.burn_table(t, tile))
+
+    return rows.mapInArrow(support, schema).groupBy(*keys).agg(F.sum("n").alias("n")).where(F.col("n") < min_pixels).drop("n")
+
+
 def pixel_support(burned: DataFrame, by: Iterable[str] = ("nuts",)) -> DataFrame:
     """Pixels per parcel and year."""
     return burned.groupBy(*by, "year", "cf").agg(F.sum(F.col("x1") - F.col("x0")).alias("n"))
@@ -182,11 +226,12 @@ def overlay(runs: DataFrame, years: Iterable[int], by: Iterable[str] = ("nuts",)
 
     Ids of runs marked ``weak`` become 0 once they have won their pixels.  With ``inset`` only pixels
     whose eight neighbours carry the same ids are left, and rows without ``py`` tell in ``n`` how many
-    pixels each combination of ids had before in one tile.
+    pixels each combination of ids had before in one tile; packed runs must have been packed with
+    ``halo`` then, and without it otherwise.
     """
     years, by = list(years), list(by)
     marks = [c for c in ("weak",) if c in runs.columns]
-    rows = runs.where(F.col("year").isin(years)).select(*by, "year", F.col("cf").cast("bigint").alias("cf"), *marks, "py", "px", "x0", "x1")
+    rows = runs.where(F.col("year").isin(years)).select(*by, "year", F.col("cf").cast("bigint").alias("cf"), *marks, *_run_columns(runs))
     rows, tile = _by_tiles(rows, by, inset), [*by, "_band", "px"]
 
     def combined(t: pa.Table) -> pa.Table:
@@ -199,7 +244,7 @@ def overlay(runs: DataFrame, years: Iterable[int], by: Iterable[str] = ("nuts",)
     def burned(t: pa.Table) -> pa.Table:
         return N.burn_table(t, tile)
 
-    return rows.mapInArrow(lambda batches: N.by_tile(batches, tile, combined, burned), _label_schema(rows, years, by, inset))
+    return rows.mapInArrow(lambda batches: N.by_tile(N.unpacked(batches), tile, combined, burned), _label_schema(rows, years, by, inset))
 
 
 def erode(combined: DataFrame, years: Iterable[int], by: Iterable[str] = ("nuts",)) -> DataFrame:

@@ -305,7 +305,7 @@ def _(spark, sf):
     PIXELS.rstrip() + "," + BURNED + "," + SUPPORT + " select nuts, year, cf, n from support",
 )
 def _(spark, sf):
-    return R.pixel_support(R.burn(R.rasterise(shapes(spark, sf), SCALE, merged=True)))
+    return R.pixel_support(R.burn(R.rasterise(shapes(spark, sf), SCALE, merged=True, packed="tiles")))
 
 
 @query(
@@ -313,7 +313,7 @@ def _(spark, sf):
     PIXELS.rstrip() + "," + BURNED + "," + SUPPORT + " select year, count(*) as n, sum(cf) :: bigint as ids from burned join support using (nuts, year, cf) where n >= 10 group by year",
 )
 def _(spark, sf):
-    kept = R.min_support(materialise(R.burn(R.rasterise(shapes(spark, sf), SCALE, merged=True)), "burned"), 10)
+    kept = R.min_support(materialise(R.burn(R.rasterise(shapes(spark, sf), SCALE, merged=True, packed="tiles")), "burned"), 10)
     n = F.col("x1") - F.col("x0")
     return kept.groupBy("year").agg(F.sum(n).alias("n"), F.sum(n * F.col("cf")).alias("ids"))
 
@@ -335,7 +335,7 @@ OVERLAY = PIXELS.rstrip() + ",\n" + ",\n".join([BURNED, SUPPORT, STRONG, SIZES,
 
 def combined(spark, sf, inset: bool = False) -> DataFrame:
     pc = shapes(spark, sf).where(F.col("year").isin(YEARS))
-    return R.overlay(R.rasterise(pc, SCALE, merged=True), YEARS, inset=inset)
+    return R.overlay(R.rasterise(pc, SCALE, merged=True, packed="halo" if inset else "tiles"), YEARS, inset=inset)
 
 
 @query(
@@ -456,7 +456,7 @@ def _(spark, sf):
     select nuts, year, gx, gy, median(cf) as median from l group by nuts, year, gx, gy""",
 )
 def _(spark, sf):
-    burned = R.burn(R.rasterise(shapes(spark, sf), SCALE, merged=True))
+    burned = R.burn(R.rasterise(shapes(spark, sf), SCALE, merged=True, packed="tiles"))
     # Parts of runs between the cells' borders stand for their pixels.
     gx = F.explode(F.sequence(F.floor(F.col("x0") / 20), F.floor((F.col("x1") - 1) / 20)))
     parts = burned.withColumn("gx", gx).select(

@@ -269,3 +269,29 @@ def test_grid_area_is_parcel_area(spark):
     cells = GR.grid_join(pc).groupBy("cropfield").agg(F.sum("inter_m2").alias("m2"))
     for r in pc.join(cells, "cropfield").select("m2", G.area(F.col("geom")).alias("a")).collect():
         assert r.m2 == pytest.approx(r.a, rel=1e-9)
+
+
+def test_packed_runs_move_once_per_parcel_and_tile(spark):
+    rng = np.random.default_rng(21)
+    layers = []
+    for k in range(1, 61):
+        # stars over the borders of blocks (512 pixels) and bands (64 rows), some below zero, some without region or id
+        cx, cy = rng.uniform(-600, 3200, 2)
+        shape = [[star(rng, cx, cy, 12, 40, 700)]]
+        layers.append((None if k % 9 == 0 else "ab"[k % 2], 2019 + k % 3, None if k == 7 else k, "x", shape))
+    layers += [("a", 2020, 100 + k, "x", box(0, 0, 4 * k, 4)) for k in range(1, 4)]
+    pc = spark.createDataFrame(layers, LAYER)
+    plain = R.rasterise(pc, 3)
+    tiled = R.rasterise(pc, 3, packed="tiles")
+    tile = F.floor(F.col("py") / R.BAND).cast("int").alias("_band")
+    parts = plain.select("nuts", "year", "cf", tile, "px").distinct().count()
+    assert tiled.count() == parts < plain.count() / 8
+    opened = tiled.withColumn("_r", F.explode(F.arrays_zip("_ys", "_x0s", "_x1s"))).select("nuts", "year", "cf", F.col("_r._ys").alias("py"), "px", F.col("_r._x0s").alias("x0"), F.col("_r._x1s").alias("x1"))
+    rows = lambda df: Counter(tuple(r) for r in df.select(sorted(df.columns)).collect())
+    assert rows(opened) == rows(plain)
+    assert rows(R.burn(tiled)) == rows(R.burn(plain))
+    assert rows(R.rare_values_of(tiled, 400)) == rows(R.rare_values(R.burn(plain), 400))
+    years = [2019, 2020, 2021]
+    for inset, form in ((False, "tiles"), (True, "halo")):
+        got = R.overlay(R.rasterise(pc, 3, packed=form), years, inset=inset)
+        assert rows(got) == rows(R.overlay(plain, years, inset=inset))
