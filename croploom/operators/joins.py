@@ -40,6 +40,7 @@ def dim_join(
     how: str = "left",
     max_rows: int = BROADCAST_ROWS,
     salts: int = SALTS,
+    null_safe: bool = False,
 ) -> DataFrame:
     """Join a large frame to a code table without depending on how the keys are spread.
 
@@ -47,14 +48,25 @@ def dim_join(
     that the large side is shuffled on the keys plus a salt taken from the row's own content, so a
     key that holds a large part of all rows still goes to ``salts`` tasks; the code table is
     repeated once per salt value.  ``dim`` is stored first, so that it is worked out once however it
-    came about.
+    came about.  With ``null_safe`` null keys are matched too.
     """
     on, dim = list(on), stored(dim, "codes", counted=True)
-    if is_small(dim, max_rows):
-        return big.join(F.broadcast(dim), on, how)
-    left = big.withColumn("_salt", _salt(big, salts))
-    right = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [*on, "_salt"], how).drop("_salt")
+    small = is_small(dim, max_rows)
+    keys: list = on
+    if null_safe:
+        dim = dim.withColumnsRenamed({c: f"_on_{c}" for c in on})
+        keys = [F.col(c).eqNullSafe(F.col(f"_on_{c}")) for c in on]
+    if small:
+        out = big.join(F.broadcast(dim), keys, how)
+    else:
+        left = big.withColumn("_salt", _salt(big, salts))
+        right = dim.withColumn("_on_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        if null_safe:
+            out = left.join(right, [*keys, F.col("_salt") == F.col("_on_salt")], how)
+        else:
+            out = left.join(right.withColumnRenamed("_on_salt", "_salt"), [*on, "_salt"], how)
+        out = out.drop("_salt", "_on_salt")
+    return out.drop(*[f"_on_{c}" for c in on]) if null_safe else out
 
 
 def map_crops(

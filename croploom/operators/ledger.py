@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +18,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
+def row_digest(*content: str) -> Column:
+    """What tells a layer's rows apart in a ledger."""
+    return F.md5(F.to_json(F.struct(*content), {"ignoreNullFields": "false"}).cast("binary"))
+
+
 def keep_numbers(
     rows: DataFrame, path: str, content: Iterable[str], order: Iterable[str] = ("off_id",), by: Iterable[str] = ("nuts", "year"), name: str = "cropfield"
 ) -> DataFrame:
@@ -29,25 +34,41 @@ def keep_numbers(
     again.  The ledger is extended before this returns, so a job that fails later and is repeated finds
     the numbers it had given.
     """
-    spark, by = rows.sparkSession, list(by)
-    digest = F.md5(F.to_json(F.struct(*content), {"ignoreNullFields": "false"}).cast("binary"))
-    keyed = materialise(rows.withColumn("_key", digest), "ledger-rows")
+    return number_keyed(materialise(rows.withColumn("_key", row_digest(*content)), "ledger-rows"), path, order, by, name)
+
+
+def number_keyed(keyed: DataFrame, path: str, order: Iterable[str] = ("off_id",), by: Iterable[str] = ("nuts", "year"), name: str = "cropfield") -> DataFrame:
+    """As ``keep_numbers``, for rows of a stored stage that have their ``row_digest`` as ``_key``.
+
+    Numbers are looked up and given on keys and ``order`` alone; whole rows are moved once, to their numbers.
+    """
+    spark, by, order = keyed.sparkSession, list(by), list(order)
+    columns = [*[c for c in keyed.columns if c not in (name, "_key")], name]
     repeated = keyed.groupBy(*by, "_key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*by, "_key")
-    repeated = materialise(repeated, "ledger-repeated")
-    single = dim_join(keyed, repeated, [*by, "_key"], "left_anti").withColumn("_occ", F.lit(1).cast("long"))
-    several = number_rows(dim_join(keyed, repeated, [*by, "_key"], "left_semi"), "_occ", [], [*by, "_key"])
-    keyed = single.unionByName(several)
-
-    entry = T.StructType([*(rows.schema[c] for c in by), T.StructField("_key", T.StringType()), T.StructField("_occ", T.LongType()), T.StructField(name, T.LongType())])
-    known = spark.read.schema(entry).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], entry)
-    found = materialise(keyed.join(known, [*by, "_key", "_occ"], "left"), "ledger-found")
-    tops = materialise(known.groupBy(*by).agg(F.max(name).alias("_top")), "ledger-tops")
-    new = number_rows(found.where(F.col(name).isNull()).drop(name), "_n", [*order, "_key", "_occ"], by, unique=True)
-    new = dim_join(new, tops, by).withColumn(name, F.col("_n") + F.coalesce("_top", F.lit(0))).drop("_n", "_top")
+    repeated = materialise(repeated, "ledger-repeated", counted=True)
+    single = dim_join(keyed, repeated, [*by, "_key"], "left_anti", null_safe=True) if repeated.n_rows else keyed
+    placed = single.drop(name).withColumn("_occ", F.lit(1).cast("long"))
+    if repeated.n_rows:
+        several = number_rows(dim_join(keyed, repeated, [*by, "_key"], "left_semi", null_safe=True), "_occ", [], [*by, "_key"])
+        placed = placed.unionByName(several.drop(name))
+
+    entry = T.StructType([*(keyed.schema[c] for c in by), T.StructField("_key", T.StringType()), T.StructField("_occ", T.LongType()), T.StructField(name, T.LongType())])
+    fresh = placed.select(*dict.fromkeys([*by, *order, "_key", "_occ"]))
+    known = spark.read.schema(entry).parquet(path) if path_exists(spark, path) else None
+    if known is not None:
+        found = materialise(fresh.join(known, [*by, "_key", "_occ"], "left"), "ledger-found")
+        tops = materialise(known.groupBy(*by).agg(F.max(name).alias("_top")), "ledger-tops")
+        fresh = found.where(F.col(name).isNull()).drop(name)
+    new = number_rows(fresh, "_n", [*order, "_key", "_occ"], by, unique=True)
+    new = new.withColumn("_top", F.lit(0)) if known is None else dim_join(new, tops, by)
+    new = new.withColumn(name, F.col("_n") + F.coalesce("_top", F.lit(0))).select(*entry.names)
     new = materialise(new, "ledger-new")
-    new.select(*entry.names).write.mode("append").parquet(path)
-    columns = [*[c for c in rows.columns if c != name], name]
-    return found.where(F.col(name).isNotNull()).select(*columns).unionByName(new.select(*columns))
+    new.write.mode("append").parquet(path)
+    given = new if known is None else new.unionByName(found.where(F.col(name).isNotNull()).select(*entry.names))
+    # Rows without layer have a number as well, hence the null-safe comparison.
+    given = given.select(*[F.col(c).alias(f"_k_{c}") for c in [*by, "_key", "_occ"]], name)
+    cond = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) if c in by else F.col(c) == F.col(f"_k_{c}") for c in [*by, "_key", "_occ"]]
+    return placed.join(given, cond).select(*columns)
 
 
 def layer_digests(rows: DataFrame, by: Iterable[str] = ("nuts", "year"), columns: Iterable[str] | None = None) -> DataFrame:

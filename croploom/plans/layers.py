@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 from croploom.functions import geometry as G
 from croploom.functions.scalars import layer_name
 from croploom.functions.wkb import from_wkb
-from croploom.operators.columns import area_ha
+from croploom.operators.columns import area_ha, hold
 from croploom.operators.joins import dim_join
-from croploom.operators.ledger import keep_numbers, layer_digests
+from croploom.operators.ledger import layer_digests, number_keyed, row_digest
 from croploom.operators.quality import repair_layer
 from croploom.operators.stats import reconcile
 from croploom.session import materialise, scratch
-from croploom.sources.sinks import export_layers, replace_layers, write_report
+from croploom.sources.sinks import encoded, export_layers, replace_layers, write_report
 from croploom.streaming.incremental import layers_changed
 
 # Standard columns that a manifest can name, and their types.
@@ -74,6 +74,7 @@ def layer_job(sources: DataFrame, import_list: DataFrame, manifest: DataFrame, o
     rows = sources.withColumn("nuts", F.lower("nuts"))
     name = layer_name(F.col("nuts"), F.col("year")).alias("layer")
     with scratch(spark):
+        listed = materialise(listed, "listed", counted=True)
         asked = dim_join(rows, listed, ["nuts", "year"], "left_semi")
         digests = materialise(layer_digests(asked.select("nuts", "year", "attrs", "wkb")), "digests")
         wanted = listed
@@ -81,22 +82,28 @@ def layer_job(sources: DataFrame, import_list: DataFrame, manifest: DataFrame, o
             known = done.withColumn("nuts", F.lower("nuts")).select(*[c for c in ("nuts", "year", "digest") if c in done.columns]).distinct()
             if "digest" in known.columns:
                 changed = layers_changed(digests, known).select("nuts", "year", F.lit(True).alias("_changed"))
-                known = materialise(known.join(changed, ["nuts", "year"], "left").where("_changed is null").select("nuts", "year"), "done")
-            wanted = listed.join(known, ["nuts", "year"], "left_anti")
-        wanted = materialise(wanted, "wanted")
+                known = known.join(changed, ["nuts", "year"], "left").where("_changed is null").select("nuts", "year")
+            known = materialise(known, "done")
+            wanted = materialise(listed.join(known, ["nuts", "year"], "left_anti"), "wanted", counted=True)
         todo = dim_join(rows, wanted, ["nuts", "year"], "left_semi")
         raw = harmonised(todo, manifest).withColumn("_wkb", F.md5("wkb"))
-        fixed = repair_layer(raw.withColumn("geom", from_wkb("wkb")).drop("wkb"))
+        raw = raw.withColumn("_key", row_digest("off_id", "off_area", "original_code", "_wkb")).withColumn("geom", from_wkb("wkb"))
+        fixed = hold(repair_layer(raw.drop("wkb", "_wkb")), "geom", F.col("geom"))
         reason = (
             F.when(F.col("geom").isNull(), "no readable geometry")
             .when(F.size("geom") == 0, "empty geometry")
             .when(F.col("method") == 9, "could not be repaired")
         )
-        fixed = materialise(fixed.withColumn("reason", reason), "layers")
-        bad = fixed.where("reason is not null").drop("method", "_wkb")
+        fixed = fixed.withColumn("reason", reason).withColumn("_good", F.when(F.col("reason").isNull(), F.col("geom")))
+        # Good geometries are stored as they are exported, which moves them as bytes; the others as they came.
+        fixed = encoded(fixed, "_good").withColumns(
+            {"area_ha": area_ha(G.area(F.col("_good"))), "geom": F.when(F.col("reason").isNotNull(), F.col("geom"))}
+        )
+        fixed = materialise(fixed.drop("_good", "method"), "layers")
+        bad = fixed.where("reason is not null").drop("_key", "bbox", "geometry", "area_ha")
         replace_layers(bad, f"{out}/quarantine", wanted)
-        good = keep_numbers(fixed.where("reason is null").drop("reason", "method"), f"{out}/keys", ["off_id", "off_area", "original_code", "_wkb"])
-        export_layers(good.drop("_wkb").withColumn("area_ha", area_ha(G.area(F.col("geom")))), f"{out}/layers")
+        good = number_keyed(fixed.where("reason is null").drop("reason", "geom"), f"{out}/keys")
+        export_layers(good, f"{out}/layers")
         replace_layers(digests, f"{out}/digests", listed)
         present = None
         if done is not None:

@@ -582,6 +582,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     # Source rows with the column names of their region; some geometries are missing, one year is done.
+    # They are stored once, as source layers are.
     pc = shapes(spark, sf)
     odd = F.expr("cast(substring(nuts, 2) as int) % 2 = 1")
     attrs = F.when(odd, F.create_map(F.lit("FID"), F.col("cropfield").cast("string"), F.lit("Kultur"), F.col("original_code"))).otherwise(
@@ -589,7 +590,8 @@ def _(spark, sf):
     )
     wkb = F.when(F.col("cropfield") % 10 != 0, F.col("wkb"))
     sources = pc.withColumn("wkb", to_wkb("geom")).select("nuts", "year", attrs.alias("attrs"), wkb.alias("wkb"))
-    layers = pc.select("nuts", "year", odd.alias("odd")).distinct()
+    sources = materialise(sources, "source-layers")
+    layers = materialise(sources.select("nuts", "year", odd.alias("odd")).distinct(), "source-list", counted=True)
     names = F.when(F.col("odd"), F.array(*[F.struct(F.lit(a).alias("column_name"), F.lit(b).alias("type")) for a, b in (("fid", "off_id"), ("kultur", "original_code"))]))
     names = names.otherwise(F.array(*[F.struct(F.lit(a).alias("column_name"), F.lit(b).alias("type")) for a, b in (("id_parcel", "off_id"), ("code", "original_code"))]))
     manifest = layers.select("nuts", "year", F.inline(names)).withColumn("tokeep", F.lit(1))

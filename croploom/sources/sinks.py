@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from croploom.functions import geometry as G
-from croploom.functions.wkb import to_wkb
+from croploom.functions.wkb import from_wkb, to_wkb
 from croploom.operators.columns import select_available
 from croploom.schema import LAYER_SRID
 from croploom.sources.geoparquet import ROW_GROUP, write_geoparquet
@@ -62,10 +62,22 @@ def curve_key(x: Column, y: Column) -> Column:
     return _spread(whole(x)).bitwiseOR(F.shiftleft(_spread(whole(y)), 1))
 
 
+ENCODED = ("bbox", "geometry")
+
+
+def encoded(df: DataFrame, geom: str = "geom") -> DataFrame:
+    """The geometry's limits ``bbox`` and its WKB ``geometry``, as files have them, beside it."""
+    return df.withColumn("bbox", G.bbox(F.col(geom))).withColumn("geometry", to_wkb(geom))
+
+
 def _prepared(df: DataFrame, stack: bool) -> tuple[DataFrame, DataFrame, list[str]]:
     """What is exported, the same as WKB with limits and in the order of the files, and the folders' columns."""
-    kept = df if stack else select_available(df, YEARLY_COLUMNS)
-    out = kept.withColumn("bbox", G.bbox(F.col("geom"))).withColumn("geometry", to_wkb("geom")).drop("geom")
+    if "geom" in df.columns:
+        kept = df if stack else select_available(df, YEARLY_COLUMNS)
+        out = encoded(kept).drop("geom")
+    else:
+        out = df if stack else select_available(df, (*YEARLY_COLUMNS, *ENCODED))
+        kept = out.withColumn("geom", from_wkb("geometry"))
     parts = [c for c in (("nuts",) if stack else ("nuts", "year")) if c in out.columns]
     # A range of the curve for each task: few files for each layer, several tasks for a large one, and
     # neighbours in the same row group, whose limits a reader compares first.
@@ -74,6 +86,10 @@ def _prepared(df: DataFrame, stack: bool) -> tuple[DataFrame, DataFrame, list[st
     return kept, out.repartitionByRange(*parts, "_key").sortWithinPartitions(*parts, "_key").drop("_key"), parts
 
 
+def _has_geometry(df: DataFrame) -> bool:
+    return "geom" in df.columns or set(ENCODED) <= set(df.columns)
+
+
 def _types(kept: DataFrame, parts: list[str]) -> DataFrame:
     return kept.groupBy(*parts, G.geom_type(F.col("geom")).alias("geom_type")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -84,9 +100,10 @@ def export_layers(df: DataFrame, path: str, stack: bool = False, mode: str = "ov
     Yearly layers keep their standard columns, stacks all of them.  Rows follow a curve through the plane,
     so that a reader of a window skips row groups.  The coordinate system is described in
     ``_geo_metadata.json`` beside the data; ``export_geoparquet`` has it in the files.  A frame without
-    geometry is skipped and gives None; otherwise the count per geometry type is returned.
+    geometry is skipped and gives None; otherwise the count per geometry type is returned.  One that is
+    ``encoded`` already, without ``geom``, is written as it is.
     """
-    if "geom" not in df.columns:
+    if not _has_geometry(df):
         return None
     kept, out, parts = _prepared(df, stack)
     # Only the folders of the layers at hand are replaced, whatever the session's setting is.
@@ -97,7 +114,7 @@ def export_layers(df: DataFrame, path: str, stack: bool = False, mode: str = "ov
 
 def export_geoparquet(df: DataFrame, path: str, stack: bool = False, mode: str = "overwrite", row_group: int = ROW_GROUP) -> DataFrame | None:
     """As ``export_layers``, with the description of the geometry in each file's footer."""
-    if "geom" not in df.columns:
+    if not _has_geometry(df):
         return None
     kept, out, parts = _prepared(df, stack)
     write_geoparquet(out, path, GEO_METADATA, tuple(parts), mode, row_group)
@@ -138,9 +155,11 @@ def replace_layers(df: DataFrame, path: str, layers: DataFrame) -> None:
     """Rows of some layers (nuts, year), one folder each; those of ``layers`` without rows are emptied.
 
     Writing the same again changes nothing.  The list of layers, not their rows, is looked at here.
+    Rows are dealt by layer first, a large layer's over several tasks: few files for each layer, not one from every task.
     """
     spark = df.sparkSession
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("nuts", "year").parquet(path)
+    dealt = df.withColumn("_task", F.spark_partition_id()).repartitionByRange("nuts", "year", "_task").drop("_task")
+    dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("nuts", "year").parquet(path)
     have = df.select("nuts", "year").distinct()
     jvm = spark.sparkContext._jvm
     for r in layers.select("nuts", "year").distinct().join(have, ["nuts", "year"], "left_anti").collect():

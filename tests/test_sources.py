@@ -240,6 +240,43 @@ def test_numbers_stay_with_their_rows(spark, tmp_path):
     assert run(a) == one and run([]) == []
 
 
+def test_numbers_are_given_on_keys_alone(spark, tmp_path, monkeypatch):
+    from croploom.operators import ledger
+
+    sorted_on = []
+    number = ledger.number_rows
+
+    def seen(df, *a, **k):
+        sorted_on.append(set(df.columns))
+        return number(df, *a, **k)
+
+    monkeypatch.setattr(ledger, "number_rows", seen)
+    rows = [("x", 1, str(i), "shape") for i in range(20)] + [(None, 1, "q", "shape")] * 3
+    df = spark.createDataFrame(rows, "nuts string, year int, off_id string, geom string")
+    for _ in range(2):
+        got = ledger.keep_numbers(df.where("nuts is not null"), str(tmp_path / "keys"), ["off_id", "geom"])
+        assert got.columns == ["nuts", "year", "off_id", "geom", "cropfield"] and sorted(r.cropfield for r in got.collect()) == list(range(1, 21))
+    assert len(sorted_on) == 2 and all("geom" not in c for c in sorted_on)
+    # equal rows without a layer are numbered each
+    got = ledger.keep_numbers(df, str(tmp_path / "other"), ["off_id", "geom"])
+    assert sorted(r.cropfield for r in got.where("nuts is null").collect()) == [1, 2, 3] and got.count() == 23
+
+
+def test_layers_have_few_files_however_many_tasks(spark, tmp_path):
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = spark.range(0, 2000, 1, 60).selectExpr("concat('n', id % 5) nuts", "cast(2000 + id % 2 as int) year", "id")
+    sinks.replace_layers(rows, str(tmp_path / "out"), rows)
+    assert len(list((tmp_path / "out").rglob("*.parquet"))) <= 10 + n
+    assert spark.read.parquet(str(tmp_path / "out")).agg(F.sum("id")).first()[0] == 1999000
+
+
+def test_an_encoded_frame_is_exported_as_it_is(spark, tmp_path):
+    df = _many_squares(spark, 50)
+    types = [sinks.export_layers(d, str(tmp_path / n)).collect() for n, d in (("a", df), ("b", sinks.encoded(df).drop("geom")))]
+    a, b = (spark.read.parquet(str(tmp_path / n)) for n in "ab")
+    assert types[0] == types[1] and a.columns == b.columns and sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+
+
 def test_digests_tell_changed_layers(spark):
     from croploom.operators.ledger import layer_digests
 
