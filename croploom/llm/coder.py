@@ -24,7 +24,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from croploom.llm.words import U64, buffers, slices
+from croploom.llm.words import SPACED, U64, Words, buffers, slices
 from croploom.session import materialise
 
 BLOCK = 4096  # ids in a block
@@ -238,11 +238,46 @@ def decode_blocks(coded: list[bytes], steps: int, vocabulary: int) -> np.ndarray
     return out.T
 
 
+_LETTER, _MARK, _LOWER = np.zeros(256, bool), np.zeros(256, bool), np.arange(256, dtype=np.uint8)
+_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+_MARK[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
+_LOWER[0x41:0x5B] += 32
+
+# What may give a word's ASCII letters another meaning in upper and lower case: accents that a letter joins with
+# (the first bytes of U+0300 to U+037F), and the beginning of a special token.
+_CASED = (b"\xcc", b"\xcd", b"<|")
+
+
+def _apart(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A-Z lower-cased, and a blank between an ASCII letter and an ASCII mark that follows it."""
+    cut = np.flatnonzero(_LETTER[data[:-1]] & _MARK[data[1:]]) + 1
+    return np.insert(_LOWER[data], cut, 0x20), offsets + np.searchsorted(cut, offsets)
+
+
+def _distinct(words: Words, data: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+    """Number of each word among the distinct ones, and the place of each one's first occurrence.
+
+    Words are told apart by their hashes and then compared with the first one of the same hash; None if two differ.
+    """
+    code, _ = pd.factorize(words.hash)
+    first = np.empty(int(code.max()) + 1 if len(code) else 0, np.int64)
+    first[code[::-1]] = np.arange(len(code))[::-1]
+    size = words.end - words.start
+    same = first[code]
+    if np.any(size != size[same]):
+        return None
+    at = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+    if np.any(data[at + np.repeat(words.start, size)] != data[at + np.repeat(words.start[same], size)]):
+        return None
+    return code, first
+
+
 class WordIds:
     """Ids of a tokenizer that never joins across white space, by distinct words.
 
     A word, here a run without ASCII white space, is encoded by the library when it is first met;
-    at most ``MOST`` words are remembered.
+    at most ``MOST`` words are remembered.  The tokenizer takes no notice of case and parts letters from marks,
+    so where nothing depends on case, words are lower-cased and cut before a mark: that leaves fewer distinct ones.
     """
 
     MOST = 300_000
@@ -252,35 +287,63 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size()
+        special = self.tokenizer.get_added_tokens_decoder()
+        #: a special token that no text without "<|" holds, to part words with
+        self.between = next(((i, t.content) for i, t in sorted(special.items()) if t.content.startswith("<|") and not t.normalized), None)
         self.known: dict[bytes, int] = {}
         self.ids = np.zeros(1 << 20, np.uint32)
         self.first = [0]
 
-    def encode(self, data: np.ndarray, offsets: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts, each with ``end`` after it, and how many each text has."""
+    def _words(self, data: np.ndarray, offsets: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """Distinct words, the number of each word among them, and how many words each text has."""
         raw = data.tobytes()
+        if not any(m in raw for m in _CASED):
+            data, at = _apart(data, offsets)
+            words = Words(data, at, SPACED)
+            found = _distinct(words, data)
+            if found is not None:
+                raw, (code, first) = data.tobytes(), found
+                names = [raw[a:b] for a, b in zip(words.start[first].tolist(), words.end[first].tolist())]
+                return names, code, np.diff(words.first)
         texts = [raw[a:b].split() for a, b in zip(offsets[:-1], offsets[1:])]
+        flat = list(chain.from_iterable(texts))
+        code, names = pd.factorize(np.fromiter(flat, object, len(flat)))
+        return list(names), code, np.array([len(t) for t in texts], np.int64)
+
+    def _library(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words one after the other, and how many each has."""
+        texts = [w.decode() for w in words]
+        if self.between is None or any("<|" in t for t in texts):
+            coded = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            size = np.array([len(c) for c in coded], np.int64)
+            return np.fromiter(chain.from_iterable(coded), np.uint32, int(size.sum())), size
+        mark, text = self.between
+        joined = [f" {text} ".join([*texts[k : k + 64], ""]) for k in range(0, len(texts), 64)]
+        coded = [e.ids for e in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)]
+        ids = np.fromiter(chain.from_iterable(coded), np.uint32, sum(map(len, coded)))
+        stop = np.flatnonzero(ids == mark)
+        return np.delete(ids, stop), np.diff(stop, prepend=-1) - 1
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, each with ``end`` after it, and how many each text has."""
         if len(self.known) > self.MOST:
             self.known, self.first = {}, [0]
-        flat, known = list(chain.from_iterable(texts)), self.known
-        code, names = pd.factorize(np.fromiter(flat, object, len(flat)))
+        names, code, n = self._words(data, offsets)
+        known = self.known
         fresh = [w for w in names if w not in known]
         known.update(zip(fresh, range(len(known), len(known) + len(fresh))))
         if fresh:
-            coded = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in fresh], add_special_tokens=False)]
-            size = np.array([len(c) for c in coded], np.int64)
-            new = np.fromiter(chain.from_iterable(coded), np.uint32, int(size.sum()))
+            new, size = self._library(fresh)
             start = int(self.first[-1])
             while start + len(new) > len(self.ids):
                 self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
             self.ids[start : start + len(new)] = new
             self.first = np.concatenate([np.asarray(self.first, np.int64), start + np.cumsum(size)])
         first = np.asarray(self.first, np.int64)
-        n = np.array([len(t) for t in texts], np.int64)
-        code = np.fromiter(map(known.__getitem__, names), np.int64, len(names))[code] if len(flat) else np.zeros(0, np.int64)
+        code = np.fromiter(map(known.__getitem__, names), np.int64, len(names))[code] if len(code) else np.zeros(0, np.int64)
         size = first[code + 1] - first[code] if len(code) else np.zeros(0, np.int64)
-        text = np.repeat(np.arange(len(texts)), n)
-        total = np.bincount(text, weights=size, minlength=len(texts)).astype(np.int64) + 1
+        text = np.repeat(np.arange(len(n)), n)
+        total = np.bincount(text, weights=size, minlength=len(n)).astype(np.int64) + 1
         out = np.empty(int(total.sum()), np.uint32)
         stop = np.cumsum(total)
         out[stop - 1] = end

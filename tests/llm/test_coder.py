@@ -61,6 +61,39 @@ def test_ids_by_word_are_those_of_whole_texts(texts):
         assert ids[a:b].tolist() == [*LIB.encode(t, add_special_tokens=False).ids, 2]
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet="aTtSsDs9é\u0308\u0344 \n'.,|<>字", max_size=40), min_size=1, max_size=4))
+def test_cut_and_lowered_words_have_the_ids_of_whole_texts(texts):
+    from croploom.llm.words import buffers
+
+    texts = [*texts, "<|ENDOFTEXT|> it<|endoftext|>S"] if len(texts) == 4 else texts
+    ids, n = C.WordIds(PATH).encode(*buffers(pa.array(texts)), 2)
+    want = [[*LIB.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+    assert n.tolist() == list(map(len, want)) and ids.tolist() == sum(want, [])
+
+
+def test_marks_and_case_make_no_new_words():
+    from croploom.llm.words import buffers
+
+    w = C.WordIds(PATH)
+    w.encode(*buffers(pa.array(["Tree tree, (tree) TREE. don't", "DON'T tree; (Tree"])), 2)
+    assert set(w.known) == {b"tree", b",", b"(tree", b")", b".", b"don", b"'t", b";"}
+
+
+def test_words_of_one_hash_are_told_apart(monkeypatch):
+    from croploom.llm.words import buffers
+
+    class Same(C.Words):
+        def __init__(self, *a):
+            super().__init__(*a)
+            self.hash = self.hash * np.uint64(0)
+
+    monkeypatch.setattr(C, "Words", Same)
+    t = "one two, six One"
+    ids, _ = C.WordIds(PATH).encode(*buffers(pa.array([t])), 2)
+    assert ids.tolist() == [*LIB.encode(t, add_special_tokens=False).ids, 2]
+
+
 def test_forgetting_words_changes_nothing(monkeypatch):
     from croploom.llm.words import buffers
 
