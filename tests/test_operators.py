@@ -23,6 +23,17 @@ from croploom.plans import trial as T
 from croploom.session import materialise
 
 
+def test_null_keys_meet_when_asked(spark):
+    big = spark.createDataFrame([(None, 1), (None, 2), ("a", 3), ("b", 4)], "k string, v int")
+    dim = spark.createDataFrame([(None, 10), ("a", 20)], "k string, w int")
+    want = {"left": [(1, 10), (2, 10), (3, 20), (4, None)], "left_anti": [4], "left_semi": [1, 2, 3]}
+    for how, rows in want.items():
+        for most in (500_000, 0):
+            got = J.dim_join(big, dim, ["k"], how, max_rows=most, null_safe=True)
+            assert got.columns == (["k", "v", "w"] if how == "left" else ["k", "v"])
+            assert sorted((r.v, r.w) if how == "left" else r.v for r in got.collect()) == rows
+
+
 def test_number_rows_with_dominant_and_null_groups(spark):
     df = spark.range(6000).select(
         F.when(F.col("id") % 3 == 0, "big").when(F.col("id") % 3 == 1, F.lit(None)).otherwise(F.concat(F.lit("g"), (F.col("id") % 50).cast("string"))).alias("g"),
