@@ -1,151 +1,161 @@
 """Token-id files: an adaptive range coder over independent, checksummed blocks.
 
 An id is coded by three mixed predictions: what followed the last two ids before, what followed the last
-id, and how often ids of its neighbourhood occurred.  The first two name one id each, with a confidence;
+id, and how often ids of the block occurred.  The first two name one id each, with a confidence;
 how far they are trusted is learned for every pair of confidences.  The third divides what is left of
 the range among all ids, and follows the counts in intervals.  All models start anew in each block, so
 blocks can be read in any order and by any number of tasks.
 
-A task codes many blocks side by side, one id of each per step, with array arithmetic.  The coder keeps a
-64-bit low end with carries and a 64-bit range, and gives out 32-bit words.
+A block is cut into strands, consecutive runs of its ids, which are coded side by side, one id of each per
+step, with array arithmetic; they share the block's models, so what one strand learns helps all.  The coder keeps a
+64-bit low end with carries and a 64-bit range for each strand, and gives out 32-bit words, which stand in the block
+in the order in which its reader asks for them.
 
-A file is a table of blocks: file and block number, a checksum of the ids, the coded words, and for the
+A file is a table of blocks: file and block number, how many ids a block of the file has if it is not the last, a
+checksum of the ids, the coded words, and for the
 documents that begin in the block their ids, starting places and lengths.
 """
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, compress
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from croploom.llm.words import SPACED, U64, Words, buffers, slices
+from croploom.llm.words import SPACED, U64, Words, buffers, release, slices
 from croploom.session import materialise
 
-BLOCK = 4096  # ids in a block
-LANES = 1536  # blocks coded side by side
+BLOCK = 1 << 21  # ids in a block
+STRANDS = 4096  # runs of a block that are coded side by side, at most
 END = 2  # id after each document
 
-_SLOTS = 11  # bits of a prediction table's index
+_SLOTS = 18  # bits of an index to what followed two ids
 _SHARE = 16  # bits of an id's share in the third prediction
+_REST = 64  # of which at least so much is left for ids without a share
+_PAUSE = 32  # steps between two times that trust and shares are worked out
+_EARLY = frozenset((1, 2, 3, 4, 6, 8, 12, 16, 24, 48))  # more of them while a block begins
 _TOP = U64(1 << 32)
 _ALL = slice(None)
 _LEAST, _MOST = 64, 3800  # bounds of a learned trust, of 4096
 
 
 class _Models:
-    """The state of all predictions, for each lane."""
-
-    def __init__(self, lanes: int) -> None:
-        n = 1 << _SLOTS
-        self.slot = np.arange(lanes) * n
-        self.cum = np.arange(lanes) * (n + 2)
-        self.trust = np.arange(lanes) << 7
-        self.after2 = np.zeros(lanes * n, np.int32)  # predicted id, times 8, plus confidence
-        self.after1 = np.zeros(lanes * n, np.int32)
-        start = np.arange(128, dtype=np.int32)
-        self.trust2 = np.tile(256 + 440 * (start >> 4), lanes)
-        self.trust1 = np.tile(256 + 300 * (start >> 1 & 7), lanes)
-        self.held = np.full(lanes * n, -1, np.int32)  # the id that a slot stands for
-        self.count = np.zeros((lanes, n + 1), np.int32)  # the last one counts ids that no slot holds
-        self.count[:, n] = 32
-        self.before1 = np.zeros(lanes, np.int64)
-        self.before2 = np.zeros(lanes, np.int64)
-        self.step = 0
+    """The state of all predictions of a block, which its strands share."""
+
+    def __init__(self, strands: int, vocabulary: int) -> None:
+        self.after2 = np.zeros(1 << _SLOTS, np.int64)  # predicted id, times 8, plus confidence
+        self.after1 = np.zeros(vocabulary, np.int64)
+        kind = np.arange(128)  # both confidences, and whether both name one id
+        self.seen = np.full(128, 32)
+        self.right2 = 2 + 3 * (kind >> 4)
+        self.right1 = np.where(kind & 1, 0, (1 + 2 * (kind >> 1 & 7)) * (32 - self.right2) // 32)
+        self.kinds = np.empty((_PAUSE, strands), np.int64)
+        self.count = np.zeros(vocabulary, np.int64)
+        self.missed: list[np.ndarray] = []
+        self.before1 = np.zeros(strands, np.int64)
+        self.part2 = np.zeros(strands, np.int64)
+        self.step = self.rows = 0
         self.share()
 
     def share(self) -> None:
-        """Shares of all slots, each at least 1 of 2**_SHARE; the rest goes to ids that no slot holds."""
-        n = 1 << _SLOTS
-        scale = ((1 << _SHARE) - n - 64) / self.count.sum(axis=1, dtype=np.int64)
-        q = (self.count * scale[:, None]).astype(np.int32) + 1
-        cum = np.zeros((len(q), n + 2), np.int32)
-        np.cumsum(q, axis=1, out=cum[:, 1:])
-        cum[:, n + 1] = 1 << _SHARE
-        self.cums = cum.ravel()
+        """Trust in both predictions, and the shares of ids; ids without a share use what is left."""
+        k = np.bincount(self.kinds[: self.rows].ravel(), minlength=512).reshape(4, 128)
+        self.seen += k.sum(axis=0)
+        self.right2 += k[1]
+        self.right1 += k[2]
+        self.rows = 0
+        w2 = np.clip((self.right2 << 12) // self.seen, _LEAST, _MOST)
+        both = np.clip((self.right2 + self.right1 << 12) // self.seen, w2 + _LEAST // 2, _MOST + _LEAST)
+        self.w2, self.w12 = w2.astype(U64), np.where(np.arange(128) & 1, w2, both).astype(U64)
+        if self.missed:
+            self.count += np.bincount(np.concatenate(self.missed), minlength=len(self.count))
+            self.missed = []
+        q = self.count * ((1 << _SHARE) - _REST) // max(1, int(self.count.sum()))
+        self.ids = np.flatnonzero(q)
+        q = q[self.ids]
+        n = len(q)
+        self.cum = np.zeros(n + 2, U64)
+        self.cum[1 : n + 1] = np.cumsum(q)
+        self.cum[n + 1] = 1 << _SHARE
+        self.width = np.diff(self.cum)
+        self.place = np.full(len(self.count), n)
+        self.place[self.ids] = np.arange(n)
+        self.at = np.repeat(np.arange(n + 1), self.width.astype(np.int64))  # what a place in the shares belongs to
 
     def predict(self) -> None:
-        h = self.before1 * 0x9E3779B1
-        self.i1 = self.slot + ((h & 0xFFFFFFFF) >> (32 - _SLOTS))
-        self.i2 = self.slot + (((h ^ self.before2 * 0x85EBCA6B) * 0xC2B2AE35 & 0xFFFFFFFF) >> (32 - _SLOTS))
-        self.e2, self.e1 = self.after2[self.i2], self.after1[self.i1]
+        b = self.before1
+        self.i2 = (b * 0x9E3779B1 + self.part2 >> 13) & ((1 << _SLOTS) - 1)
+        self.e2, self.e1 = self.after2.take(self.i2), self.after1.take(b)
         self.p2, self.p1 = self.e2 >> 3, self.e1 >> 3
-        same = self.p1 == self.p2
-        self.it = self.trust + ((self.e2 & 7) << 4 | (self.e1 & 7) << 1 | same)
-        self.t2, self.t1 = self.trust2[self.it], self.trust1[self.it]
-        self.w2 = self.t2
-        self.w12 = np.where(same, self.t2, self.t2 + ((4096 - self.t2) * self.t1 >> 12))
-
-    def place(self, ids: np.ndarray, lanes: np.ndarray) -> np.ndarray:
-        return self.slot[lanes] + ((ids * 0x9E3779B1 & 0xFFFFFFFF) >> (32 - _SLOTS))
-
-    def learn(self, s: np.ndarray, hit2: np.ndarray, hit1: np.ndarray, missed: np.ndarray, held: np.ndarray) -> None:
-        """hit1: p1 is right and p2 was wrong; missed: lanes with neither; held: which of those a slot holds."""
-        self.trust2[self.it] = np.minimum(np.maximum(self.t2 + (((hit2 << 12) - self.t2) >> 5), _LEAST), _MOST)
-        t1 = np.minimum(np.maximum(self.t1 + (((hit1 << 12) - self.t1) >> 5), _LEAST), _MOST)
-        self.trust1[self.it] = np.where(hit2, self.t1, t1)
+        self.c2, self.c1 = self.e2 & 7, self.e1 & 7
+        self.kind = self.c2 << 4 | self.c1 << 1 | (self.p1 == self.p2)
+
+    def learn(self, s: np.ndarray, hit2: np.ndarray, hit1: np.ndarray, missed: np.ndarray) -> None:
+        """hit1: p1 is right and p2 was wrong; missed: the ids that neither named."""
+        self.kinds[self.rows] = self.kind + (hit2 * 128 + hit1 * 256)
+        self.rows += 1
+        self.missed.append(missed)
         fresh = s << 3 | 1
-        c2, c1 = self.e2 & 7, self.e1 & 7
-        self.after2[self.i2] = np.where(hit2, self.e2 + (c2 < 7), np.where(c2 > 1, self.e2 - c2 + (c2 >> 1), fresh))
+        c2, c1 = self.c2, self.c1
+        # of strands that meet in a slot the last one's change holds, in coding and decoding alike
+        self.after2[self.i2] = np.where(hit2, self.e2 + (c2 < 7), np.where(c2 > 1, self.e2 - (c2 + 1 >> 1), fresh))
         right1 = s == self.p1
-        self.after1[self.i1] = np.where(right1, self.e1 + (c1 < 7), np.where(c1 > 1, self.e1 - c1 + (c1 >> 1), fresh))
-        x = s[missed]
-        at = self.place(x, missed)
-        cell = at + missed  # counts have one more column
-        count = self.count.ravel()
-        count[cell[held]] += 8
-        new, cell = at[~held], cell[~held]
-        old = count[cell]
-        keep = (old > 16) & (self.held[new] >= 0)
-        count[cell] = np.where(keep, old >> 1, 8)
-        self.held[new] = np.where(keep, self.held[new], x[~held])
-        self.count[missed[~held], -1] += 8
-        self.before2, self.before1 = self.before1, s
+        self.after1[self.before1] = np.where(right1, self.e1 + (c1 < 7), np.where(c1 > 1, self.e1 - (c1 + 1 >> 1), fresh))
+        self.part2 = self.before1 * 0x85EBCA6B
+        self.before1 = s
         self.step += 1
-        if self.step % 512 == 0 or self.step < 512 and self.step % 64 == 0:
+        if self.step % _PAUSE == 0 or self.step in _EARLY:
             self.share()
 
 
 class _Encoder:
-    """Range coder states of all lanes, and the words they have given out."""
-
-    def __init__(self, lanes: int, steps: int) -> None:
-        self.words = np.zeros((lanes, steps // 2 + 8), np.uint32)
-        self.used = np.zeros(lanes, np.int64)
-        self.low, self.range = np.zeros(lanes, U64), np.full(lanes, (1 << 64) - 1, U64)
-        self.all = np.arange(lanes)
-
-    def narrow(self, lanes: np.ndarray | slice, at: np.ndarray, width: np.ndarray, depth: int) -> None:
-        """Narrow the ranges of some lanes to [at, at + width) of 2**depth."""
-        r = self.range[lanes] >> U64(depth)
-        low = self.low[lanes]
-        new = low + r * at.astype(U64)
-        rng = r * width.astype(U64)
+    """Range coder states of all strands, and the words they have given out."""
+
+    def __init__(self, strands: int, steps: int) -> None:
+        self.words = np.zeros((strands, steps // 2 + 8), np.uint32)
+        self.used = np.zeros(strands, np.int64)
+        self.low, self.range = np.zeros(strands, U64), np.full(strands, (1 << 64) - 1, U64)
+        self.all = np.arange(strands)
+        self.given: list[np.ndarray] = []  # which strands gave out a word, in the order in which a reader needs the next
+
+    def narrow(self, strands: np.ndarray | slice, at: np.ndarray, width: np.ndarray) -> None:
+        """Narrow the ranges of some strands to their parts of ``width`` from ``at``."""
+        low = self.low[strands]
+        new = low + at
         over = new < low
         if over.any():
-            _carry(self.words, self.used, self.all[lanes][over])
-        out = np.flatnonzero(rng < _TOP)
-        where = out if isinstance(lanes, slice) else lanes[out]
-        self.words[where, self.used[where]] = new[out] >> U64(32)
+            _carry(self.words, self.used, self.all[strands][over])
+        out = np.flatnonzero(width < _TOP)
+        where = out if isinstance(strands, slice) else strands[out]
+        first = new[out]
+        self.words[where, self.used[where]] = first >> U64(32)
         self.used[where] += 1
-        new[out] <<= U64(32)
-        rng[out] <<= U64(32)
-        self.low[lanes], self.range[lanes] = new, rng
+        self.given.append(where)
+        new[out] = first << U64(32)
+        width[out] <<= U64(32)
+        self.low[strands], self.range[strands] = new, width
 
     def room(self) -> None:
-        """Room for the words of one more id, which are three at most, and the end."""
+        """Room for the words of one more id, which are two at most, and the end."""
         if self.used.max() + 5 > self.words.shape[1]:
             self.words = np.concatenate([self.words, np.zeros_like(self.words)], axis=1)
 
-    def end(self) -> list[bytes]:
+    def end(self) -> bytes:
+        """All words: the first two of each strand, then one whenever a strand of the reader asks for it."""
         self.words[self.all, self.used] = self.low >> U64(32)
         self.words[self.all, self.used + 1] = self.low & U64(0xFFFFFFFF)
-        return [self.words[i, : self.used[i] + 2].astype("<u4").tobytes() for i in self.all]
+        given = np.concatenate([self.all, self.all, *self.given])
+        order = np.argsort(given, kind="stable")
+        total = self.used + 2
+        place = np.empty(len(given), np.int64)
+        place[order] = np.arange(len(given)) - np.repeat(np.cumsum(total) - total, total)
+        return self.words[given, place].astype("<u4").tobytes()
 
 
 def _carry(words: np.ndarray, used: np.ndarray, lanes: np.ndarray) -> None:
@@ -157,85 +167,107 @@ def _carry(words: np.ndarray, used: np.ndarray, lanes: np.ndarray) -> None:
 
 
 class _Decoder:
-    def __init__(self, coded: list[bytes]) -> None:
-        sizes = [len(c) // 4 for c in coded]
-        self.words = np.zeros((len(coded), max(sizes) + 2), np.uint32)
-        for i, c in enumerate(coded):
-            self.words[i, : sizes[i]] = np.frombuffer(c, "<u4", count=sizes[i])
-        self.code = self.words[:, 0].astype(U64) << U64(32) | self.words[:, 1].astype(U64)
-        self.used, self.range = np.full(len(coded), 2), np.full(len(coded), (1 << 64) - 1, U64)
-
-    def ask(self, lanes: np.ndarray | slice, depth: int) -> np.ndarray:
-        """Where in 2**depth the code of each lane lies."""
-        self.step = self.range[lanes] >> U64(depth)
-        return np.minimum(self.code[lanes] // self.step, U64((1 << depth) - 1)).astype(np.int64)
-
-    def narrow(self, lanes: np.ndarray | slice, at: np.ndarray, width: np.ndarray) -> None:
-        code = self.code[lanes] - self.step * at.astype(U64)
-        rng = self.step * width.astype(U64)
-        more = np.flatnonzero(rng < _TOP)
-        where = more if isinstance(lanes, slice) else lanes[more]
-        code[more] = code[more] << U64(32) | self.words[where, np.minimum(self.used[where], self.words.shape[1] - 1)].astype(U64)
-        self.used[where] += 1
-        rng[more] <<= U64(32)
-        self.code[lanes], self.range[lanes] = code, rng
-
-
-def encode_blocks(ids: np.ndarray, vocabulary: int) -> list[bytes]:
-    """Coded words of equally long blocks, one per row."""
-    lanes, steps = ids.shape
-    m, coder = _Models(lanes), _Encoder(lanes, steps)
-    n, bits = 1 << _SLOTS, max(1, (vocabulary - 1).bit_length())
-    for column in np.ascontiguousarray(ids.T):
-        s = column.astype(np.int64)
+    def __init__(self, coded: bytes, strands: int) -> None:
+        words = np.frombuffer(coded, "<u4", count=len(coded) // 4).astype(U64)
+        self.words = np.concatenate([words, np.zeros(2 * strands, U64)])  # a damaged block may ask for more than there is
+        self.code = self.words[:strands] << U64(32) | self.words[strands : 2 * strands]
+        self.used, self.range = 2 * strands, np.full(strands, (1 << 64) - 1, U64)
+
+    def narrow(self, strands: np.ndarray | slice, code: np.ndarray, width: np.ndarray) -> None:
+        """Go on in a part of each range: ``code`` is counted from its beginning."""
+        more = np.flatnonzero(width < _TOP)
+        lo = min(self.used, len(self.words) - len(more))
+        code[more] = code[more] << U64(32) | self.words[lo : lo + len(more)]
+        self.used += len(more)
+        width[more] <<= U64(32)
+        self.code[strands], self.range[strands] = code, width
+
+
+def _strands(n: int) -> int:
+    """How many strands a block of so many ids has: consecutive runs of equal length, the last one filled up."""
+    return min(max(n // 128, 1), STRANDS)
+
+
+def encode_block(ids: np.ndarray, vocabulary: int) -> bytes:
+    """The coded words of a block."""
+    strands = _strands(len(ids))
+    steps = -(-len(ids) // strands)
+    m, coder = _Models(strands, vocabulary), _Encoder(strands, steps)
+    bits = U64(max(1, (vocabulary - 1).bit_length()))
+    padded = np.zeros(strands * steps, np.int64)
+    padded[: len(ids)] = ids
+    for s in np.ascontiguousarray(padded.reshape(strands, steps).T):
         coder.room()
         m.predict()
         hit2 = s == m.p2
         hit1 = (s == m.p1) & ~hit2
-        at = np.where(hit2, 0, np.where(hit1, m.w2, m.w12))
-        coder.narrow(_ALL, at, np.where(hit2, m.w2, np.where(hit1, m.w12 - m.w2, 4096 - m.w12)), 12)
+        part = coder.range >> U64(12)
+        t2, t12 = part * m.w2.take(m.kind), part * m.w12.take(m.kind)
+        at = np.where(hit2, U64(0), np.where(hit1, t2, t12))
+        width = np.where(hit2, t2, np.where(hit1, t12 - t2, coder.range - t12))
         missed = np.flatnonzero(~(hit2 | hit1))
         x = s[missed]
-        slot = m.place(x, missed)
-        held = m.held[slot] == x
-        k = m.cum[missed] + np.where(held, slot - m.slot[missed], n)
-        coder.narrow(missed, m.cums[k], m.cums[k + 1] - m.cums[k], _SHARE)
-        new = missed[~held]
-        coder.narrow(new, s[new], np.ones(len(new), np.int64), bits)
-        m.learn(s, hit2, hit1, missed, held)
+        k = m.place.take(x)
+        rest = width[missed]
+        part, cum = rest >> U64(_SHARE), m.cum.take(k)
+        left = k == len(m.ids)
+        at[missed] += part * cum
+        width[missed] = np.where(left, rest - part * cum, part * m.width.take(k))
+        coder.narrow(_ALL, at, width)
+        if left.any():
+            new = missed[left]
+            part = coder.range[new] >> bits
+            coder.narrow(new, part * s[new].astype(U64), part)
+        m.learn(s, hit2, hit1, x)
     return coder.end()
 
 
-def decode_blocks(coded: list[bytes], steps: int, vocabulary: int) -> np.ndarray:
-    """Ids of blocks, ``steps`` of each; a shorter block's row goes on with whatever its words say."""
-    lanes = len(coded)
-    m, coder = _Models(lanes), _Decoder(coded)
-    n, bits = 1 << _SLOTS, max(1, (vocabulary - 1).bit_length())
-    out = np.empty((steps, lanes), np.uint32)
+def decode_block(coded: bytes, n: int, vocabulary: int) -> np.ndarray:
+    """The n ids of a block."""
+    strands = _strands(n)
+    steps = -(-n // strands)
+    m, coder = _Models(strands, vocabulary), _Decoder(coded, strands)
+    bits = U64(max(1, (vocabulary - 1).bit_length()))
+    out = np.empty((steps, strands), np.uint32)
     for t in range(steps):
         m.predict()
-        v = coder.ask(_ALL, 12)
-        hit2 = v < m.w2
-        hit1 = (v < m.w12) & ~hit2
-        at = np.where(hit2, 0, np.where(hit1, m.w2, m.w12))
-        coder.narrow(_ALL, at, np.where(hit2, m.w2, np.where(hit1, m.w12 - m.w2, 4096 - m.w12)))
-        s = np.where(hit2, m.p2, m.p1).astype(np.int64)
-        missed = np.flatnonzero(~(hit2 | hit1))
-        v, base = coder.ask(missed, _SHARE), m.cum[missed]
-        b = np.zeros(len(missed), np.int64)
-        for k in range(_SLOTS, -1, -1):
-            up = np.minimum(b + (1 << k), n)
-            b = np.where(m.cums[base + up] <= v, up, b)
-        coder.narrow(missed, m.cums[base + b], m.cums[base + b + 1] - m.cums[base + b])
-        held = b < n
-        x = m.held[m.slot[missed] + np.minimum(b, n - 1)].astype(np.int64)
-        new = missed[~held]
-        x[~held] = coder.ask(new, bits)
-        coder.narrow(new, x[~held], np.ones(len(new), np.int64))
-        s[missed] = np.maximum(x, 0)
+        part = coder.range >> U64(12)
+        t2, t12 = part * m.w2.take(m.kind), part * m.w12.take(m.kind)
+        hit2, either = coder.code < t2, coder.code < t12
+        hit1 = either & ~hit2
+        code = coder.code - np.where(hit2, U64(0), np.where(either, t2, t12))
+        width = np.where(hit2, t2, np.where(either, t12 - t2, coder.range - t12))
+        s = np.where(hit2, m.p2, m.p1)
+        missed = np.flatnonzero(~either)
+        rest, c = width[missed], code[missed]
+        part = rest >> U64(_SHARE)
+        k = m.at.take(np.minimum(c // part, U64((1 << _SHARE) - 1)).astype(np.int64))
+        below = part * m.cum.take(k)
+        left = k == len(m.ids)
+        code[missed] = c - below
+        width[missed] = np.where(left, rest - below, part * m.width.take(k))
+        coder.narrow(_ALL, code, width)
+        x = np.append(m.ids, 0).take(k)
+        if left.any():
+            new = missed[left]
+            part, c = coder.range[new] >> bits, coder.code[new]
+            got = np.minimum(c // part, U64(vocabulary - 1))
+            coder.narrow(new, c - got * part, part)
+            x[left] = got
+        s[missed] = x
         out[t] = s
-        m.learn(s, hit2, hit1, missed, held)
-    return out.T
+        m.learn(s, hit2, hit1, x)
+    return np.ascontiguousarray(out.T).ravel()[:n]
+
+
+def encode_blocks(ids: np.ndarray, vocabulary: int) -> list[bytes]:
+    """Coded words of equally long blocks, one per row."""
+    return [encode_block(row, vocabulary) for row in ids]
+
+
+def decode_blocks(coded: list[bytes], steps: int, vocabulary: int) -> np.ndarray:
+    """Ids of equally long blocks, one per row."""
+    return np.stack([decode_block(c, steps, vocabulary) for c in coded])
 
 
 _LETTER, _MARK, _LOWER = np.zeros(256, bool), np.zeros(256, bool), np.arange(256, dtype=np.uint8)
@@ -254,22 +286,34 @@ def _apart(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.insert(_LOWER[data], cut, 0x20), offsets + np.searchsorted(cut, offsets)
 
 
-def _distinct(words: Words, data: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
-    """Number of each word among the distinct ones, and the place of each one's first occurrence.
+def _spread(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """first[0], first[0] + 1, ... (size[0] of them), first[1], and so on; no size is 0."""
+    step = np.ones(int(size.sum()), np.int64)
+    if len(step):
+        step[0] = first[0]
+        step[np.cumsum(size[:-1])] = first[1:] - first[:-1] - size[:-1] + 1
+    return np.cumsum(step, out=step)
 
-    Words are told apart by their hashes and then compared with the first one of the same hash; None if two differ.
-    """
-    code, _ = pd.factorize(words.hash)
-    first = np.empty(int(code.max()) + 1 if len(code) else 0, np.int64)
-    first[code[::-1]] = np.arange(len(code))[::-1]
-    size = words.end - words.start
-    same = first[code]
-    if np.any(size != size[same]):
-        return None
-    at = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-    if np.any(data[at + np.repeat(words.start, size)] != data[at + np.repeat(words.start[same], size)]):
-        return None
-    return code, first
+
+def _equal(data: np.ndarray, one: np.ndarray, two: np.ndarray, size: np.ndarray) -> bool:
+    """Whether runs of bytes that begin at ``one`` are those that begin at ``two``; eight bytes are read at a time."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    long = size > 64
+    if long.any():
+        if np.any(data[_spread(one[long], size[long])] != data[_spread(two[long], size[long])]):
+            return False
+        one, two, size = one[~long], two[~long], size[~long]
+    while len(one):
+        differ = eight[one] ^ eight[two]
+        if np.any(differ & _FIRST[np.minimum(size, 8)]):
+            return False
+        more = np.flatnonzero(size > 8)
+        one, two, size = one[more] + 8, two[more] + 8, size[more] - 8
+    return True
+
+
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], U64)  # masks of the first bytes of eight
 
 
 class WordIds:
@@ -278,6 +322,7 @@ class WordIds:
     A word, here a run without ASCII white space, is encoded by the library when it is first met;
     at most ``MOST`` words are remembered.  The tokenizer takes no notice of case and parts letters from marks,
     so where nothing depends on case, words are lower-cased and cut before a mark: that leaves fewer distinct ones.
+    Those words are found again by their hashes, and every one is compared with the word remembered for its hash.
     """
 
     MOST = 300_000
@@ -285,73 +330,133 @@ class WordIds:
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
+        # a task has one core: the library's threads would only wait for each other
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size()
         special = self.tokenizer.get_added_tokens_decoder()
         #: a special token that no text without "<|" holds, to part words with
         self.between = next(((i, t.content) for i, t in sorted(special.items()) if t.content.startswith("<|") and not t.normalized), None)
-        self.known: dict[bytes, int] = {}
+        #: which ids end a run of letters, if every run has such an id and no other has
+        self.closing = self._closing()
         self.ids = np.zeros(1 << 20, np.uint32)
-        self.first = [0]
+        self.forget()
 
-    def _words(self, data: np.ndarray, offsets: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-        """Distinct words, the number of each word among them, and how many words each text has."""
+    def _closing(self) -> np.ndarray | None:
+        model = self.tokenizer.model
+        suffix = getattr(model, "end_of_word_suffix", None)
+        vocabulary = self.tokenizer.get_vocab()
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        if not suffix or any(c + suffix not in vocabulary for c in ByteLevel.alphabet()):
+            return None
+        closing = np.zeros(max(vocabulary.values()) + 1, bool)
+        closing[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
+        return closing
+
+    def forget(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.first = np.ones(1, np.int64)  # where the ids of a word begin; the first place is that of the end of a text
+        self.hashes, self.number = np.zeros(0, U64), np.zeros(0, np.int64)
+        self.at, self.bytes = np.zeros(1, np.int64), np.zeros(0, np.uint8)
+
+    def _numbers(self, names: list[bytes]) -> np.ndarray:
+        """Numbers of distinct words among the known ones; new ones are encoded."""
+        known = self.known
+        fresh = [w for w in names if w not in known]
+        known.update(zip(fresh, range(len(known), len(known) + len(fresh))))
+        if fresh:
+            new, size = self._library(fresh)
+            start = int(self.first[-1])
+            while start + len(new) > len(self.ids):
+                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+            self.ids[start : start + len(new)] = new
+            self.first = np.concatenate([self.first, start + np.cumsum(size)])
+        return np.fromiter(map(known.__getitem__, names), np.int64, len(names))
+
+    def _found(self, words: Words, data: np.ndarray) -> np.ndarray | None:
+        """Number of each word among the known ones, by its hash; None if two words of one hash differ."""
+        k, used = len(self.hashes), len(self.bytes)
+        code, hashes = pd.factorize(np.concatenate([self.hashes, words.hash]))
+        code = code[k:]
+        new = np.flatnonzero(code >= k)[::-1]
+        first = np.empty(len(hashes) - k, np.int64)
+        first[code[new] - k] = new  # the first occurrence, which comes last here
+        start, end, size = words.start[first], words.end[first], words.end - words.start
+        if np.any(size != np.concatenate([np.diff(self.at), end - start])[code]):
+            return None
+        if not _equal(np.concatenate([self.bytes, data]), words.start + used, np.concatenate([self.at[:-1], start + used])[code], size):
+            return None
+        raw = data.tobytes()
+        names = [raw[a:b] for a, b in zip(start.tolist(), end.tolist())]
+        self.number = np.concatenate([self.number, self._numbers(names)])
+        self.hashes = hashes
+        self.bytes = np.concatenate([self.bytes, np.frombuffer(b"".join(names), np.uint8)])
+        self.at = np.concatenate([self.at, used + np.cumsum(end - start)])
+        return self.number[code]
+
+    def _words(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The number of each word among the known ones, and how many words each text has."""
         raw = data.tobytes()
         if not any(m in raw for m in _CASED):
             data, at = _apart(data, offsets)
             words = Words(data, at, SPACED)
-            found = _distinct(words, data)
-            if found is not None:
-                raw, (code, first) = data.tobytes(), found
-                names = [raw[a:b] for a, b in zip(words.start[first].tolist(), words.end[first].tolist())]
-                return names, code, np.diff(words.first)
+            code = self._found(words, data)
+            if code is not None:
+                return code, np.diff(words.first)
         texts = [raw[a:b].split() for a, b in zip(offsets[:-1], offsets[1:])]
         flat = list(chain.from_iterable(texts))
         code, names = pd.factorize(np.fromiter(flat, object, len(flat)))
-        return list(names), code, np.array([len(t) for t in texts], np.int64)
+        return self._numbers(list(names))[code], np.array([len(t) for t in texts], np.int64)
+
+    def _coded(self, texts: list[str]) -> np.ndarray:
+        coded = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(coded), np.uint32, sum(map(len, coded)))
 
     def _library(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words one after the other, and how many each has."""
         texts = [w.decode() for w in words]
+        if self.closing is not None:
+            # A word of letters has one closing id or more: one each, if there are as many as words.
+            plain = [t.isalpha() for t in texts]
+            letters = list(compress(texts, plain))
+            ids = self._coded([" ".join(letters[k : k + 64]) for k in range(0, len(letters), 64)])
+            stop = np.flatnonzero(self.closing[ids])
+            if len(stop) == len(letters):
+                plain = np.array(plain, bool)
+                other, other_size = self._parted([t for t in texts if not t.isalpha()])
+                size = np.empty(len(texts), np.int64)
+                size[plain], size[~plain] = np.diff(stop, prepend=-1), other_size
+                out, own = np.empty(int(size.sum()), np.uint32), np.repeat(plain, size)
+                out[own], out[~own] = ids, other
+                return out, size
+        return self._parted(texts)
+
+    def _parted(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words one after the other, and how many each has: a special token stands between them, or each goes alone."""
         if self.between is None or any("<|" in t for t in texts):
             coded = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
             size = np.array([len(c) for c in coded], np.int64)
             return np.fromiter(chain.from_iterable(coded), np.uint32, int(size.sum())), size
         mark, text = self.between
-        joined = [f" {text} ".join([*texts[k : k + 64], ""]) for k in range(0, len(texts), 64)]
-        coded = [e.ids for e in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)]
-        ids = np.fromiter(chain.from_iterable(coded), np.uint32, sum(map(len, coded)))
+        ids = self._coded([f" {text} ".join([*texts[k : k + 64], ""]) for k in range(0, len(texts), 64)])
         stop = np.flatnonzero(ids == mark)
         return np.delete(ids, stop), np.diff(stop, prepend=-1) - 1
 
     def encode(self, data: np.ndarray, offsets: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each with ``end`` after it, and how many each text has."""
         if len(self.known) > self.MOST:
-            self.known, self.first = {}, [0]
-        names, code, n = self._words(data, offsets)
-        known = self.known
-        fresh = [w for w in names if w not in known]
-        known.update(zip(fresh, range(len(known), len(known) + len(fresh))))
-        if fresh:
-            new, size = self._library(fresh)
-            start = int(self.first[-1])
-            while start + len(new) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            self.ids[start : start + len(new)] = new
-            self.first = np.concatenate([np.asarray(self.first, np.int64), start + np.cumsum(size)])
-        first = np.asarray(self.first, np.int64)
-        code = np.fromiter(map(known.__getitem__, names), np.int64, len(names))[code] if len(code) else np.zeros(0, np.int64)
-        size = first[code + 1] - first[code] if len(code) else np.zeros(0, np.int64)
-        text = np.repeat(np.arange(len(n)), n)
-        total = np.bincount(text, weights=size, minlength=len(n)).astype(np.int64) + 1
-        out = np.empty(int(total.sum()), np.uint32)
-        stop = np.cumsum(total)
-        out[stop - 1] = end
-        place = np.ones(len(out), bool)
-        place[stop - 1] = False
-        ends = np.cumsum(size)
-        out[place] = self.ids[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(first[code] - (ends - size), size)]
-        return out, total
+            self.forget()
+        code, n = self._words(data, offsets)
+        self.ids[0] = end
+        sizes, stop = np.diff(self.first)[code], np.cumsum(n)
+        before = np.concatenate([[0], np.cumsum(sizes)])
+        total = before[stop] - before[stop - n] + 1
+        first, sizes = np.insert(self.first[code], stop, 0), np.insert(sizes, stop, 1)
+        some = sizes > 0
+        if not some.all():
+            first, sizes = first[some], sizes[some]
+        return self.ids[_spread(first, sizes)], total
 
 
 _tokenizers: dict[str, WordIds] = {}
@@ -364,43 +469,32 @@ def word_ids(path: str) -> WordIds:
 
 
 BLOCKS = (
-    "file int, block long, n_ids int, vocabulary int, checksum long, words binary, "
+    "file int, block long, size int, n_ids int, vocabulary int, checksum long, words binary, "
     "docs array<struct<doc_id:bigint,place:int,n_tokens:bigint>>"
 )
 _DOCS = pa.list_(pa.struct([("doc_id", pa.int64()), ("place", pa.int32()), ("n_tokens", pa.int64())]))
 
 
-def _rows(file: int, block: int, ids: np.ndarray, vocabulary: int, docs: list[tuple[int, int | None, int]]) -> pa.RecordBatch:
-    """Coded blocks of a run of ids; docs: (starting place in the run, id, length)."""
-    n = -(-len(ids) // BLOCK)
-    sizes = np.full(n, BLOCK)
-    sizes[-1] = len(ids) - BLOCK * (n - 1)
-    width = BLOCK if n > 1 else len(ids)
-    padded = np.zeros(n * width, np.uint32)
-    padded[: len(ids)] = ids
-    padded = padded.reshape(n, width)
-    heads: list[list[dict]] = [[] for _ in range(n)]
-    for place, doc, length in docs:
-        heads[place // BLOCK].append({"doc_id": doc, "place": place % BLOCK, "n_tokens": length})
-    sums = [zlib.crc32(padded[i, : sizes[i]].astype("<u4").tobytes()) for i in range(n)]
+def _row(file: int, block: int, size: int, ids: np.ndarray, vocabulary: int, docs: list[tuple[int, int | None, int]]) -> pa.RecordBatch:
+    """A coded block; docs: (starting place in the block, id, length)."""
     return pa.RecordBatch.from_arrays(
         [
-            pa.array(np.full(n, file), pa.int32()),
-            pa.array(np.arange(block, block + n), pa.int64()),
-            pa.array(sizes, pa.int32()),
-            pa.array(np.full(n, vocabulary), pa.int32()),
-            pa.array(sums, pa.int64()),
-            pa.array(encode_blocks(padded, vocabulary), pa.binary()),
-            pa.array(heads, _DOCS),
+            pa.array([file], pa.int32()),
+            pa.array([block], pa.int64()),
+            pa.array([size], pa.int32()),
+            pa.array([len(ids)], pa.int32()),
+            pa.array([vocabulary], pa.int32()),
+            pa.array([zlib.crc32(ids.astype("<u4"))], pa.int64()),
+            pa.array([encode_block(ids, vocabulary)], pa.binary()),
+            pa.array([[{"doc_id": d, "place": place, "n_tokens": n} for place, d, n in docs]], _DOCS),
         ],
-        names=["file", "block", "n_ids", "vocabulary", "checksum", "words", "docs"],
+        names=_COLUMNS,
     )
 
 
-def _write(path: str, end: int):
+def _write(path: str, end: int, whole: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n, block, docs, file, ids = [], 0, 0, [], None, word_ids(path)
-        whole = BLOCK * LANES
         for wide in batches:
             for batch in slices(wide, "text"):
                 if not batch.num_rows:
@@ -414,19 +508,23 @@ def _write(path: str, end: int):
                 held.append(own)
                 n += len(own)
                 if n >= whole:
-                    flat = np.concatenate(held)
-                    while n >= whole:
-                        yield _rows(file, block, flat[:whole], ids.size, [x for x in docs if x[0] < whole])
-                        docs = [(a - whole, d, s) for a, d, s in docs if a >= whole]
-                        flat, n, block = flat[whole:], n - whole, block + LANES
-                    held = [flat]
+                    flat, lo, k = np.concatenate(held), 0, 0
+                    while n - lo >= whole:
+                        first = k
+                        while k < len(docs) and docs[k][0] < lo + whole:
+                            k += 1
+                        yield _row(file, block, whole, flat[lo : lo + whole], ids.size, [(a - lo, d, s) for a, d, s in docs[first:k]])
+                        lo, block = lo + whole, block + 1
+                    docs = [(a - lo, d, s) for a, d, s in docs[k:]]
+                    held, n = [flat[lo:].copy()], n - lo
         if n:
-            yield _rows(file, block, np.concatenate(held), ids.size, docs)
+            yield _row(file, block, whole, np.concatenate(held), ids.size, docs)
+        release()
 
     return run
 
 
-def write_ids(docs: DataFrame, tokenizer: str, path: str, end: int = END) -> None:
+def write_ids(docs: DataFrame, tokenizer: str, path: str, end: int = END, block: int = BLOCK) -> None:
     """Write the ids of all texts, in ascending order of doc_id, as files of coded blocks at ``path``.
 
     Null and empty texts are documents of ``end`` alone.  Null ids come first; rows of one id are
@@ -435,35 +533,34 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str, end: int = END) -> Non
     keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = keyed.repartitionByRange(n, "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
-    placed.select("doc_id", "text", F.spark_partition_id().alias("file")).mapInArrow(_write(tokenizer, end), BLOCKS).write.parquet(path)
+    coded = placed.select("doc_id", "text", F.spark_partition_id().alias("file")).mapInArrow(_write(tokenizer, end, block), BLOCKS)
+    # a reader holds a row group at a time
+    coded.write.option("parquet.block.size", 32 << 20).parquet(path)
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pieces of documents: file, place in the file, length and checksum of what one block has of them."""
-    for whole in batches:
-        for lo in range(0, whole.num_rows, LANES):
-            batch = whole.slice(lo, LANES)
-            n = batch.column("n_ids").to_numpy()
-            ids = decode_blocks(batch.column("words").to_pylist(), int(n.max()), int(batch.column("vocabulary")[0].as_py()))
-            file, block, sums = (batch.column(c).to_pylist() for c in ("file", "block", "checksum"))
+    for batch in batches:
+        for row in range(batch.num_rows):
+            file, block, size, n, vocabulary, check, words, docs = (batch.column(c)[row].as_py() for c in _COLUMNS)
+            raw = memoryview(decode_block(words, n, vocabulary).astype("<u4")).cast("B")
+            if zlib.crc32(raw) != check:
+                raise ValueError(f"block {block} of file {file} is damaged")
+            cuts, before = [d["place"] for d in docs], block * size
             rows = []
-            for i, docs in enumerate(batch.column("docs").to_pylist()):
-                raw = ids[i, : n[i]].astype("<u4").tobytes()
-                if zlib.crc32(raw) != sums[i]:
-                    raise ValueError(f"block {block[i]} of file {file[i]} is damaged")
-                cuts = [d["place"] for d in docs]
-                if not cuts or cuts[0] > 0:  # the rest of a document that began in an earlier block
-                    stop = cuts[0] if cuts else int(n[i])
-                    rows.append((file[i], block[i], block[i] * BLOCK, None, None, stop, zlib.crc32(raw[: 4 * stop])))
-                for d, stop in zip(docs, [*cuts[1:], int(n[i])]):
-                    rows.append(
-                        (file[i], block[i], block[i] * BLOCK + d["place"], d["doc_id"], d["n_tokens"], stop - d["place"], zlib.crc32(raw[4 * d["place"] : 4 * stop]))
-                    )
-            kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+            if not cuts or cuts[0] > 0:  # the rest of a document that began in an earlier block
+                stop = cuts[0] if cuts else n
+                rows.append((file, block, size, before, None, None, stop, zlib.crc32(raw[: 4 * stop])))
+            for d, stop in zip(docs, [*cuts[1:], n]):
+                at = d["place"]
+                rows.append((file, block, size, before + at, d["doc_id"], d["n_tokens"], stop - at, zlib.crc32(raw[4 * at : 4 * stop])))
+            kinds = [pa.int32(), pa.int64(), pa.int32(), *[pa.int64()] * 5]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=_PIECES)
+    release()
 
 
-_PIECES = ["file", "block", "place", "doc_id", "n_tokens", "n", "crc"]
+_COLUMNS = ["file", "block", "size", "n_ids", "vocabulary", "checksum", "words", "docs"]
+_PIECES = ["file", "block", "size", "place", "doc_id", "n_tokens", "n", "crc"]
 
 
 def _appending() -> list[list[int]]:
@@ -516,12 +613,12 @@ def read_digests(blocks: DataFrame) -> DataFrame:
     Blocks are decoded independently and checked; a damaged one raises an error.  A document that
     reaches over several blocks is put together from what each says of it.
     """
-    pieces = materialise(blocks.mapInArrow(_read, "file int, block long, place long, doc_id long, n_tokens long, n long, crc long"), "id-pieces")
-    heads = pieces.filter("n_tokens is not null").select("file", "block", "place", "doc_id", "n_tokens", "n", "crc")
-    later = F.explode(F.expr(f"sequence(block + 1, (place + n_tokens - 1) div {BLOCK})"))
+    pieces = materialise(blocks.mapInArrow(_read, "file int, block long, size int, place long, doc_id long, n_tokens long, n long, crc long"), "id-pieces")
+    heads = pieces.filter("n_tokens is not null").select("file", "block", "size", "place", "doc_id", "n_tokens", "n", "crc")
+    later = F.explode(F.expr("sequence(block + 1, (place + n_tokens - 1) div size)"))
     long = heads.filter("n < n_tokens").select("file", "place", "doc_id", "n_tokens", later.alias("block"))
     rest = pieces.filter("n_tokens is null").select("file", "block", "n", "crc")
-    parts = long.join(rest, ["file", "block"]).unionByName(heads.filter("n < n_tokens"))
+    parts = long.join(rest, ["file", "block"]).unionByName(heads.filter("n < n_tokens").drop("size"))
     # one row for each block that a document fills
     parts = parts.groupBy("file", "place").agg(
         F.first("doc_id").alias("doc_id"), F.first("n_tokens").alias("n_tokens"), F.sort_array(F.collect_list(F.struct("block", "n", "crc"))).alias("parts")

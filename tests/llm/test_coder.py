@@ -134,3 +134,53 @@ def test_files(spark, tmp_path):
 def test_empty_table(spark, tmp_path):
     C.write_ids(spark.createDataFrame([], "doc_id long, text string"), PATH, str(tmp_path / "none"))
     assert C.read_digests(spark.read.parquet(str(tmp_path / "none"))).count() == 0
+
+
+@pytest.mark.parametrize("n", [1, 127, 128, 257, 5000, 300_000])
+def test_strands_of_a_block_share_what_they_learn(n):
+    rng = np.random.default_rng(n)
+    ids = rng.integers(0, 49408, 1000)[np.minimum(rng.exponential(100, n).astype(int), 999)]
+    ids[::7] = ids[0]
+    coded = C.encode_block(ids, 49408)
+    assert (C.decode_block(coded, n, 49408) == ids).all()
+    if n == 300_000:
+        seen = np.bincount(ids) / n
+        assert len(coded) < 1.1 * n * -(seen[seen > 0] * np.log2(seen[seen > 0])).sum() / 8
+    cut = C.decode_block(coded[: len(coded) // 8 * 4], n, 49408)
+    assert len(cut) == n and cut.max() < 49408
+
+
+def test_documents_over_many_blocks(spark, tmp_path):
+    rnd = random.Random(2)
+    rows = [(i, " ".join(rnd.choice(["the", "Étoile,", "#9", "neither"]) for _ in range(rnd.choice([0, 1, 5, 90, 2000])))) for i in range(60)]
+    path = str(tmp_path / "ids")
+    C.write_ids(spark.createDataFrame(rows, "doc_id long, text string").repartition(1), PATH, path, block=300)
+    blocks = spark.read.parquet(path)
+    assert blocks.agg(F.max("n_ids")).first()[0] == 300
+    assert sorted(tuple(r) for r in C.read_digests(blocks).collect()) == brute(rows)
+
+
+def test_words_of_letters_have_the_ids_of_whole_texts():
+    from croploom.llm.words import buffers
+
+    letters = [c for c in map(chr, range(0x110000)) if c.isalpha() and not 0x3400 <= ord(c) < 0xAC00 and ord(c) < 0x20000][::3]
+    texts = [" ".join(f"{c}a a{c} {c}" for c in letters[k : k + 40]) for k in range(0, len(letters), 40)]
+    w = C.WordIds(PATH)
+    assert w.closing is not None
+    ids, n = w.encode(*buffers(pa.array(texts)), 2)
+    ends = np.cumsum(n)
+    for t, a, b in zip(texts, ends - n, ends):
+        assert ids[a:b].tolist() == [*LIB.encode(t, add_special_tokens=False).ids, 2]
+
+
+@given(st.lists(st.sampled_from(["", "a", "b", "x" * 7, "x" * 8, "x" * 9, "x" * 64, "x" * 65, "x" * 64 + "y", "x" * 200]), min_size=1, max_size=6), st.integers(0, 5))
+def test_runs_of_bytes_are_compared(runs, k):
+    data = np.frombuffer("".join(runs).encode(), np.uint8)
+    size = np.array([len(r) for r in runs if r], np.int64)
+    at = np.cumsum(size) - size
+    other = np.roll(at, k)
+    known = [r for r in runs if r]
+    same = np.flatnonzero(np.roll(size, k) == size)
+    want = all(known[i] == np.roll(np.array(known, object), k)[i] for i in same)
+    assert C._equal(data, at[same], other[same], size[same]) == want
+    assert C._spread(at[same], size[same]).tolist() == [j for i in same for j in range(at[i], at[i] + size[i])]
