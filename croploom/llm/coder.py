@@ -21,6 +21,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from hashlib import blake2b
 from itertools import chain, compress
 
 import numpy as np
@@ -28,10 +29,11 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from croploom.llm.words import SPACED, U64, Words, buffers, release, slices
+from croploom.llm.words import FOLD, SPACED, U64, Spans, WordClass, buffers, mix, release, slices
 from croploom.session import materialise
 
 BLOCK = 1 << 21  # ids in a block
+TEXT = 4 << 20  # bytes of texts that are encoded at a time
 STRANDS = 4096  # runs of a block that are coded side by side, at most
 END = 2  # id after each document
 
@@ -77,15 +79,16 @@ class _Models:
             self.count += np.bincount(np.concatenate(self.missed), minlength=len(self.count))
             self.missed = []
         q = self.count * ((1 << _SHARE) - _REST) // max(1, int(self.count.sum()))
-        self.ids = np.flatnonzero(q)
-        q = q[self.ids]
-        n = len(q)
+        ids = np.flatnonzero(q)
+        q = q[ids]
+        self.n = n = len(q)
+        self.ids = np.append(ids, 0)
         self.cum = np.zeros(n + 2, U64)
         self.cum[1 : n + 1] = np.cumsum(q)
         self.cum[n + 1] = 1 << _SHARE
         self.width = np.diff(self.cum)
         self.place = np.full(len(self.count), n)
-        self.place[self.ids] = np.arange(n)
+        self.place[ids] = np.arange(n)
         self.at = np.repeat(np.arange(n + 1), self.width.astype(np.int64))  # what a place in the shares belongs to
 
     def predict(self) -> None:
@@ -122,7 +125,8 @@ class _Encoder:
         self.used = np.zeros(strands, np.int64)
         self.low, self.range = np.zeros(strands, U64), np.full(strands, (1 << 64) - 1, U64)
         self.all = np.arange(strands)
-        self.given: list[np.ndarray] = []  # which strands gave out a word, in the order in which a reader needs the next
+        self.given: list[np.ndarray] = []  # which strands gave out a word, when a reader needs a further one
+        self.later: list[np.ndarray] = []  # and which of their words that one is
 
     def narrow(self, strands: np.ndarray | slice, at: np.ndarray, width: np.ndarray) -> None:
         """Narrow the ranges of some strands to their parts of ``width`` from ``at``."""
@@ -133,10 +137,11 @@ class _Encoder:
             _carry(self.words, self.used, self.all[strands][over])
         out = np.flatnonzero(width < _TOP)
         where = out if isinstance(strands, slice) else strands[out]
-        first = new[out]
-        self.words[where, self.used[where]] = first >> U64(32)
-        self.used[where] += 1
+        first, used = new[out], self.used[where]
+        self.words[where, used] = first >> U64(32)
+        self.used[where] = used + 1
         self.given.append(where)
+        self.later.append(used + 2)
         new[out] = first << U64(32)
         width[out] <<= U64(32)
         self.low[strands], self.range[strands] = new, width
@@ -151,10 +156,7 @@ class _Encoder:
         self.words[self.all, self.used] = self.low >> U64(32)
         self.words[self.all, self.used + 1] = self.low & U64(0xFFFFFFFF)
         given = np.concatenate([self.all, self.all, *self.given])
-        order = np.argsort(given, kind="stable")
-        total = self.used + 2
-        place = np.empty(len(given), np.int64)
-        place[order] = np.arange(len(given)) - np.repeat(np.cumsum(total) - total, total)
+        place = np.concatenate([self.all * 0, self.all * 0 + 1, *self.later])
         return self.words[given, place].astype("<u4").tobytes()
 
 
@@ -210,7 +212,7 @@ def encode_block(ids: np.ndarray, vocabulary: int) -> bytes:
         k = m.place.take(x)
         rest = width[missed]
         part, cum = rest >> U64(_SHARE), m.cum.take(k)
-        left = k == len(m.ids)
+        left = k == m.n
         at[missed] += part * cum
         width[missed] = np.where(left, rest - part * cum, part * m.width.take(k))
         coder.narrow(_ALL, at, width)
@@ -243,11 +245,11 @@ def decode_block(coded: bytes, n: int, vocabulary: int) -> np.ndarray:
         part = rest >> U64(_SHARE)
         k = m.at.take(np.minimum(c // part, U64((1 << _SHARE) - 1)).astype(np.int64))
         below = part * m.cum.take(k)
-        left = k == len(m.ids)
+        left = k == m.n
         code[missed] = c - below
         width[missed] = np.where(left, rest - below, part * m.width.take(k))
         coder.narrow(_ALL, code, width)
-        x = np.append(m.ids, 0).take(k)
+        x = m.ids.take(k)
         if left.any():
             new = missed[left]
             part, c = coder.range[new] >> bits, coder.code[new]
@@ -286,6 +288,32 @@ def _apart(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.insert(_LOWER[data], cut, 0x20), offsets + np.searchsorted(cut, offsets)
 
 
+class Words(Spans):
+    """All words of some texts, with hashes of eight bytes at a time."""
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, kind: WordClass) -> None:
+        super().__init__(data, offsets, kind.inside[data])
+        eight, size = _eights(data), self.end - self.start
+        self.hash = mix((eight[self.start] & _FIRST[np.minimum(size, 8)]) * FOLD + size.astype(U64))
+        more, done = np.flatnonzero((size > 8) & (size <= _LONG)), 8
+        while len(more):
+            part = eight[self.start[more] + done] & _FIRST[np.minimum(size[more] - done, 8)]
+            self.hash[more] = mix(self.hash[more] * FOLD + part)
+            done += 8
+            more = more[size[more] > done]
+        for i in np.flatnonzero(size > _LONG).tolist():
+            self.hash[i] = int.from_bytes(blake2b(data[self.start[i] : self.end[i]], digest_size=8).digest())
+
+
+_LONG = 64  # bytes of a word that are handled eight at a time
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], U64)  # masks of the first bytes of eight
+
+
+def _eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on, as a number; zeros follow the last one."""
+    return np.ndarray((len(data) + 1,), "<u8", np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,))
+
+
 def _spread(first: np.ndarray, size: np.ndarray) -> np.ndarray:
     """first[0], first[0] + 1, ... (size[0] of them), first[1], and so on; no size is 0."""
     step = np.ones(int(size.sum()), np.int64)
@@ -297,9 +325,7 @@ def _spread(first: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 def _equal(data: np.ndarray, one: np.ndarray, two: np.ndarray, size: np.ndarray) -> bool:
     """Whether runs of bytes that begin at ``one`` are those that begin at ``two``; eight bytes are read at a time."""
-    padded = np.concatenate([data, np.zeros(8, np.uint8)])
-    eight = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
-    long = size > 64
+    eight, long = _eights(data), size > _LONG
     if long.any():
         if np.any(data[_spread(one[long], size[long])] != data[_spread(two[long], size[long])]):
             return False
@@ -313,9 +339,6 @@ def _equal(data: np.ndarray, one: np.ndarray, two: np.ndarray, size: np.ndarray)
     return True
 
 
-_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], U64)  # masks of the first bytes of eight
-
-
 class WordIds:
     """Ids of a tokenizer that never joins across white space, by distinct words.
 
@@ -325,7 +348,7 @@ class WordIds:
     Those words are found again by their hashes, and every one is compared with the word remembered for its hash.
     """
 
-    MOST = 300_000
+    MOST = 1_000_000
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -355,23 +378,34 @@ class WordIds:
         return closing
 
     def forget(self) -> None:
-        self.known: dict[bytes, int] = {}
         self.first = np.ones(1, np.int64)  # where the ids of a word begin; the first place is that of the end of a text
-        self.hashes, self.number = np.zeros(0, U64), np.zeros(0, np.int64)
-        self.at, self.bytes = np.zeros(1, np.int64), np.zeros(0, np.uint8)
-
-    def _numbers(self, names: list[bytes]) -> np.ndarray:
-        """Numbers of distinct words among the known ones; new ones are encoded."""
-        known = self.known
-        fresh = [w for w in names if w not in known]
-        known.update(zip(fresh, range(len(known), len(known) + len(fresh))))
-        if fresh:
-            new, size = self._library(fresh)
+        self.hashes, self.number = np.zeros(0, U64), np.zeros(0, np.int64)  # words that are found by hash
+        self.at, self.bytes = np.zeros(1, np.int64), np.zeros(0, np.uint8)  # and what they are
+        self.spelled: dict[bytes, int] = {}  # words that are not
+
+    @property
+    def known(self) -> dict[bytes, int]:
+        """Numbers of all words that are remembered."""
+        raw, at = self.bytes.tobytes(), self.at.tolist()
+        return self.spelled | {raw[a:b]: n for a, b, n in zip(at, at[1:], self.number.tolist())}
+
+    def _add(self, words: list[bytes]) -> np.ndarray:
+        """Encode words that are not known, and number them."""
+        n = len(self.first) - 1
+        if words:
+            new, size = self._library(words)
             start = int(self.first[-1])
             while start + len(new) > len(self.ids):
                 self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
             self.ids[start : start + len(new)] = new
             self.first = np.concatenate([self.first, start + np.cumsum(size)])
+        return np.arange(n, n + len(words))
+
+    def _numbers(self, names: list[bytes]) -> np.ndarray:
+        """Numbers of distinct words by their spelling; new ones are encoded."""
+        known = self.spelled
+        fresh = [w for w in names if w not in known]
+        known.update(zip(fresh, self._add(fresh).tolist()))
         return np.fromiter(map(known.__getitem__, names), np.int64, len(names))
 
     def _found(self, words: Words, data: np.ndarray) -> np.ndarray | None:
@@ -389,7 +423,7 @@ class WordIds:
             return None
         raw = data.tobytes()
         names = [raw[a:b] for a, b in zip(start.tolist(), end.tolist())]
-        self.number = np.concatenate([self.number, self._numbers(names)])
+        self.number = np.concatenate([self.number, self._add(names)])
         self.hashes = hashes
         self.bytes = np.concatenate([self.bytes, np.frombuffer(b"".join(names), np.uint8)])
         self.at = np.concatenate([self.at, used + np.cumsum(end - start)])
@@ -445,7 +479,7 @@ class WordIds:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each with ``end`` after it, and how many each text has."""
-        if len(self.known) > self.MOST:
+        if len(self.first) > self.MOST:
             self.forget()
         code, n = self._words(data, offsets)
         self.ids[0] = end
@@ -496,7 +530,7 @@ def _write(path: str, end: int, whole: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n, block, docs, file, ids = [], 0, 0, [], None, word_ids(path)
         for wide in batches:
-            for batch in slices(wide, "text"):
+            for batch in slices(wide, "text", TEXT):
                 if not batch.num_rows:
                     continue
                 file = batch.column("file")[0].as_py()

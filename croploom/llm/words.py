@@ -91,12 +91,11 @@ def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Itera
     release()
 
 
-class Words:
-    """Hashes of all words of some texts: ``hash[first[i]:first[i+1]]`` are those of text i."""
+class Spans:
+    """Where all words of some texts begin and end: ``start[first[i]:first[i+1]]`` are those of text i."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, kind: WordClass) -> None:
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> None:
         n = len(data)
-        inside = kind.inside[data]
         begins, ends = inside.copy(), inside.copy()
         if n:
             begins[1:] &= ~inside[:-1]
@@ -106,6 +105,16 @@ class Words:
             ends[cut - 1] = inside[cut - 1]
         self.start = np.flatnonzero(begins)
         self.end = np.flatnonzero(ends) + 1
+        self.first = np.searchsorted(self.start, offsets)
+
+
+class Words(Spans):
+    """Hashes of all words of some texts: ``hash[first[i]:first[i+1]]`` are those of text i."""
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, kind: WordClass) -> None:
+        n = len(data)
+        inside = kind.inside[data]
+        super().__init__(data, offsets, inside)
         at = np.empty(len(self.start), U64)
         to = np.empty(len(self.start), U64)
         carry = U64(0)
@@ -129,7 +138,6 @@ class Words:
             to[i:j] = sums[self.end[i:j] - lo]
             carry = sums[-1]
         self.hash = mix(to - at)
-        self.first = np.searchsorted(self.start, offsets)
 
     def windows(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Positions of the first words of all k-word windows within a text, and the windows' hashes."""
