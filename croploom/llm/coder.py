@@ -29,12 +29,12 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from croploom.llm.words import FOLD, SPACED, U64, Spans, WordClass, buffers, mix, release, slices
+from croploom.llm.words import FOLD, SPACED, U64, Spans, buffers, mix, release, slices
 from croploom.session import materialise
 
 BLOCK = 1 << 21  # ids in a block
 TEXT = 4 << 20  # bytes of texts that are encoded at a time
-STRANDS = 4096  # runs of a block that are coded side by side, at most
+STRANDS = 8192  # runs of a block that are coded side by side, at most
 END = 2  # id after each document
 
 _SLOTS = 18  # bits of an index to what followed two ids
@@ -50,7 +50,8 @@ _LEAST, _MOST = 64, 3800  # bounds of a learned trust, of 4096
 class _Models:
     """The state of all predictions of a block, which its strands share."""
 
-    def __init__(self, strands: int, vocabulary: int) -> None:
+    def __init__(self, strands: int, vocabulary: int, reading: bool = False) -> None:
+        self.reading = reading
         self.after2 = np.zeros(1 << _SLOTS, np.int64)  # predicted id, times 8, plus confidence
         self.after1 = np.zeros(vocabulary, np.int64)
         kind = np.arange(128)  # both confidences, and whether both name one id
@@ -87,9 +88,11 @@ class _Models:
         self.cum[1 : n + 1] = np.cumsum(q)
         self.cum[n + 1] = 1 << _SHARE
         self.width = np.diff(self.cum)
-        self.place = np.full(len(self.count), n)
-        self.place[ids] = np.arange(n)
-        self.at = np.repeat(np.arange(n + 1), self.width.astype(np.int64))  # what a place in the shares belongs to
+        if self.reading:
+            self.at = np.repeat(np.arange(n + 1), self.width.astype(np.int64))  # what a place in the shares belongs to
+        else:
+            self.place = np.full(len(self.count), n)  # and what an id's place is
+            self.place[ids] = np.arange(n)
 
     def predict(self) -> None:
         b = self.before1
@@ -101,15 +104,14 @@ class _Models:
 
     def learn(self, s: np.ndarray, hit2: np.ndarray, hit1: np.ndarray, missed: np.ndarray) -> None:
         """hit1: p1 is right and p2 was wrong; missed: the ids that neither named."""
-        self.kinds[self.rows] = self.kind + (hit2 * 128 + hit1 * 256)
-        self.rows += 1
+        if self.step < _PAUSE or self.step & 3 == 0:  # trust changes little, so a part of the steps tells it
+            self.kinds[self.rows] = self.kind + (hit2 * 128 + hit1 * 256)
+            self.rows += 1
         self.missed.append(missed)
-        fresh = s << 3 | 1
-        c2, c1 = self.c2, self.c1
+        fresh, e2, e1 = s << 3 | 1, self.e2, self.e1
         # of strands that meet in a slot the last one's change holds, in coding and decoding alike
-        self.after2[self.i2] = np.where(hit2, self.e2 + (c2 < 7), np.where(c2 > 1, self.e2 - (c2 + 1 >> 1), fresh))
-        right1 = s == self.p1
-        self.after1[self.before1] = np.where(right1, self.e1 + (c1 < 7), np.where(c1 > 1, self.e1 - (c1 + 1 >> 1), fresh))
+        self.after2[self.i2] = np.where(hit2, np.minimum(e2 + 1, e2 | 7), np.where(self.c2 > 1, e2 - 2, fresh))
+        self.after1[self.before1] = np.where(s == self.p1, np.minimum(e1 + 1, e1 | 7), np.where(self.c1 > 1, e1 - 2, fresh))
         self.part2 = self.before1 * 0x85EBCA6B
         self.before1 = s
         self.step += 1
@@ -196,9 +198,10 @@ def encode_block(ids: np.ndarray, vocabulary: int) -> bytes:
     steps = -(-len(ids) // strands)
     m, coder = _Models(strands, vocabulary), _Encoder(strands, steps)
     bits = U64(max(1, (vocabulary - 1).bit_length()))
-    padded = np.zeros(strands * steps, np.int64)
+    padded = np.zeros(strands * steps, np.uint32)
     padded[: len(ids)] = ids
-    for s in np.ascontiguousarray(padded.reshape(strands, steps).T):
+    for column in np.ascontiguousarray(padded.reshape(strands, steps).T):
+        s = column.astype(np.int64)
         coder.room()
         m.predict()
         hit2 = s == m.p2
@@ -228,7 +231,7 @@ def decode_block(coded: bytes, n: int, vocabulary: int) -> np.ndarray:
     """The n ids of a block."""
     strands = _strands(n)
     steps = -(-n // strands)
-    m, coder = _Models(strands, vocabulary), _Decoder(coded, strands)
+    m, coder = _Models(strands, vocabulary, reading=True), _Decoder(coded, strands)
     bits = U64(max(1, (vocabulary - 1).bit_length()))
     out = np.empty((steps, strands), np.uint32)
     for t in range(steps):
@@ -272,27 +275,25 @@ def decode_blocks(coded: list[bytes], steps: int, vocabulary: int) -> np.ndarray
     return np.stack([decode_block(c, steps, vocabulary) for c in coded])
 
 
-_LETTER, _MARK, _LOWER = np.zeros(256, bool), np.zeros(256, bool), np.arange(256, dtype=np.uint8)
-_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
-_MARK[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
+_GAP, _LETTER, _MARK, _OTHER = range(4)
+_KIND = np.full(256, _OTHER, np.uint8)
+_KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = _LETTER
+_KIND[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = _MARK
+_KIND[~SPACED.inside] = _GAP
 
 # What may give a word's ASCII letters another meaning in upper and lower case: accents that a letter joins with
 # (the first bytes of U+0300 to U+037F), and the beginning of a special token.
 _CASED = (b"\xcc", b"\xcd", b"<|")
 
 
-def _apart(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A-Z lower-cased, and a blank between an ASCII letter and an ASCII mark that follows it."""
-    cut = np.flatnonzero(_LETTER[data[:-1]] & _MARK[data[1:]]) + 1
-    return np.insert(_LOWER[data], cut, 0x20), offsets + np.searchsorted(cut, offsets)
-
-
 class Words(Spans):
-    """All words of some texts, with hashes of eight bytes at a time."""
+    """All words of some texts, cut between an ASCII letter and an ASCII mark after it, with hashes of eight bytes at a time."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, kind: WordClass) -> None:
-        super().__init__(data, offsets, kind.inside[data])
+    def __init__(self, data: np.ndarray, offsets: np.ndarray) -> None:
+        kind = _KIND[data]
+        super().__init__(data, offsets, kind != _GAP, (kind[:-1] == _LETTER) & (kind[1:] == _MARK))
         eight, size = _eights(data), self.end - self.start
         self.hash = mix((eight[self.start] & _FIRST[np.minimum(size, 8)]) * FOLD + size.astype(U64))
         more, done = np.flatnonzero((size > 8) & (size <= _LONG)), 8
@@ -339,6 +340,45 @@ def _equal(data: np.ndarray, one: np.ndarray, two: np.ndarray, size: np.ndarray)
     return True
 
 
+class _Places:
+    """The place of each distinct hash among those that were added, in the order of their adding."""
+
+    def __init__(self) -> None:
+        self.hashes, self.n = np.zeros(1 << 12, U64), 0
+        self.slots = np.full(1 << 13, -1, np.int32)  # places, or -1; never more than half full
+
+    def _slot(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes & U64(len(self.slots) - 1)).astype(np.int64)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """Places of some hashes, -1 for those that were not added."""
+        out, at, left = np.full(len(hashes), -1), self._slot(hashes), np.arange(len(hashes))
+        while len(left):
+            place = self.slots[at]
+            right = (self.hashes[place] == hashes[left]) & (place >= 0)
+            out[left[right]] = place[right]
+            on = ~right & (place >= 0)
+            left, at = left[on], at[on] + 1 & len(self.slots) - 1
+        return out
+
+    def add(self, hashes: np.ndarray) -> None:
+        """Add distinct hashes that were not added before."""
+        first, self.n = self.n, self.n + len(hashes)
+        if self.n > len(self.hashes):
+            size = 1 << self.n.bit_length()
+            self.hashes = np.concatenate([self.hashes[:first], np.zeros(size - first, U64)])
+            self.slots = np.full(2 * size, -1, np.int32)
+            self.hashes[first : self.n] = hashes
+            first, hashes = 0, self.hashes[: self.n]
+        self.hashes[first : self.n] = hashes
+        place, at = np.arange(first, self.n), self._slot(hashes)
+        while len(place):
+            free = self.slots[at] < 0
+            self.slots[at[free]] = place[free]
+            on = self.slots[at] != place
+            place, at = place[on], at[on] + 1 & len(self.slots) - 1
+
+
 class WordIds:
     """Ids of a tokenizer that never joins across white space, by distinct words.
 
@@ -356,7 +396,7 @@ class WordIds:
         # a task has one core: the library's threads would only wait for each other
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.size = self.tokenizer.get_vocab_size()
+        self.size = max(self.tokenizer.get_vocab().values()) + 1  # all ids are smaller
         special = self.tokenizer.get_added_tokens_decoder()
         #: a special token that no text without "<|" holds, to part words with
         self.between = next(((i, t.content) for i, t in sorted(special.items()) if t.content.startswith("<|") and not t.normalized), None)
@@ -379,7 +419,7 @@ class WordIds:
 
     def forget(self) -> None:
         self.first = np.ones(1, np.int64)  # where the ids of a word begin; the first place is that of the end of a text
-        self.hashes, self.number = np.zeros(0, U64), np.zeros(0, np.int64)  # words that are found by hash
+        self.places, self.number = _Places(), np.zeros(0, np.int64)  # words that are found by hash
         self.at, self.bytes = np.zeros(1, np.int64), np.zeros(0, np.uint8)  # and what they are
         self.spelled: dict[bytes, int] = {}  # words that are not
 
@@ -410,21 +450,26 @@ class WordIds:
 
     def _found(self, words: Words, data: np.ndarray) -> np.ndarray | None:
         """Number of each word among the known ones, by its hash; None if two words of one hash differ."""
-        k, used = len(self.hashes), len(self.bytes)
-        code, hashes = pd.factorize(np.concatenate([self.hashes, words.hash]))
-        code = code[k:]
-        new = np.flatnonzero(code >= k)[::-1]
-        first = np.empty(len(hashes) - k, np.int64)
-        first[code[new] - k] = new  # the first occurrence, which comes last here
-        start, end, size = words.start[first], words.end[first], words.end - words.start
+        used = len(self.bytes)
+        own, hashes = pd.factorize(words.hash)
+        one = np.empty(len(hashes), np.int64)
+        one[own[::-1]] = np.arange(len(own))[::-1]  # the first word of each hash
+        place = self.places.find(hashes)
+        new = np.flatnonzero(place < 0)
+        place[new] = np.arange(len(self.number), len(self.number) + len(new))
+        start, end = words.start[one[new]], words.end[one[new]]
+        code, size = place[own], words.end - words.start
+        at = np.concatenate([self.at[:-1], start + used])
         if np.any(size != np.concatenate([np.diff(self.at), end - start])[code]):
             return None
-        if not _equal(np.concatenate([self.bytes, data]), words.start + used, np.concatenate([self.at[:-1], start + used])[code], size):
+        if not _equal(np.concatenate([self.bytes, data]), words.start + used, at[code], size):
             return None
+        if not len(new):
+            return self.number[code]
         raw = data.tobytes()
         names = [raw[a:b] for a, b in zip(start.tolist(), end.tolist())]
         self.number = np.concatenate([self.number, self._add(names)])
-        self.hashes = hashes
+        self.places.add(hashes[new])
         self.bytes = np.concatenate([self.bytes, np.frombuffer(b"".join(names), np.uint8)])
         self.at = np.concatenate([self.at, used + np.cumsum(end - start)])
         return self.number[code]
@@ -433,8 +478,8 @@ class WordIds:
         """The number of each word among the known ones, and how many words each text has."""
         raw = data.tobytes()
         if not any(m in raw for m in _CASED):
-            data, at = _apart(data, offsets)
-            words = Words(data, at, SPACED)
+            data = _LOWER[data]
+            words = Words(data, offsets)
             code = self._found(words, data)
             if code is not None:
                 return code, np.diff(words.first)
@@ -529,6 +574,7 @@ def _row(file: int, block: int, size: int, ids: np.ndarray, vocabulary: int, doc
 def _write(path: str, end: int, whole: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n, block, docs, file, ids = [], 0, 0, [], None, word_ids(path)
+        vocabulary = max(ids.size, end + 1)
         for wide in batches:
             for batch in slices(wide, "text", TEXT):
                 if not batch.num_rows:
@@ -547,12 +593,12 @@ def _write(path: str, end: int, whole: int):
                         first = k
                         while k < len(docs) and docs[k][0] < lo + whole:
                             k += 1
-                        yield _row(file, block, whole, flat[lo : lo + whole], ids.size, [(a - lo, d, s) for a, d, s in docs[first:k]])
+                        yield _row(file, block, whole, flat[lo : lo + whole], vocabulary, [(a - lo, d, s) for a, d, s in docs[first:k]])
                         lo, block = lo + whole, block + 1
                     docs = [(a - lo, d, s) for a, d, s in docs[k:]]
                     held, n = [flat[lo:].copy()], n - lo
         if n:
-            yield _row(file, block, whole, np.concatenate(held), ids.size, docs)
+            yield _row(file, block, whole, np.concatenate(held), vocabulary, docs)
         release()
 
     return run

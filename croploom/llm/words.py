@@ -94,12 +94,16 @@ def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Itera
 class Spans:
     """Where all words of some texts begin and end: ``start[first[i]:first[i+1]]`` are those of text i."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> None:
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, inside: np.ndarray, apart: np.ndarray | None = None) -> None:
+        """apart: whether a word ends with a byte, and another one begins with the next, for all but the last byte."""
         n = len(data)
         begins, ends = inside.copy(), inside.copy()
         if n:
             begins[1:] &= ~inside[:-1]
             ends[:-1] &= ~inside[1:]
+            if apart is not None:
+                begins[1:] |= apart
+                ends[:-1] |= apart
             cut = offsets[(offsets > 0) & (offsets < n)]
             begins[cut] = inside[cut]
             ends[cut - 1] = inside[cut - 1]

@@ -184,3 +184,28 @@ def test_runs_of_bytes_are_compared(runs, k):
     want = all(known[i] == np.roll(np.array(known, object), k)[i] for i in same)
     assert C._equal(data, at[same], other[same], size[same]) == want
     assert C._spread(at[same], size[same]).tolist() == [j for i in same for j in range(at[i], at[i] + size[i])]
+
+
+def test_places_of_hashes_are_found_after_growing():
+    rng = np.random.default_rng(3)
+    hashes = np.unique(rng.integers(0, 1 << 62, 30_000).astype(np.uint64) << np.uint64(10))  # all meet in few slots
+    hashes[:5000] = np.unique(rng.integers(0, 1 << 62, 6000).astype(np.uint64))[:5000]
+    hashes = rng.permutation(np.unique(hashes))
+    p = C._Places()
+    for lo in range(0, 9000, 700):
+        part = hashes[lo : lo + 700]
+        assert (p.find(part) == -1).all()
+        p.add(part)
+    assert (p.find(hashes[:9100]) == np.arange(9100)).all() and (p.find(hashes[9100:]) == -1).all()
+
+
+def test_words_of_all_lengths_have_the_ids_of_whole_texts():
+    from croploom.llm.words import buffers
+
+    texts = [" ".join("ab1é"[k % 4] * n + "x" * (k % 3) for k in range(4)) for n in [*range(1, 30), 63, 64, 65, 130, 5000]]
+    texts += [t + "\x00" for t in texts] + ["a\x00 a", "  　 a", "İİ ß ﬁ ǅ", "é é"]
+    w = C.WordIds(PATH)
+    for _ in range(2):
+        ids, n = w.encode(*buffers(pa.array(texts)), 2)
+        want = [[*LIB.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+        assert n.tolist() == list(map(len, want)) and ids.tolist() == sum(want, [])
