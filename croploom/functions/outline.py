@@ -80,12 +80,33 @@ def _without_straight(ring):
 
 def draw(runs: np.ndarray, scale: float) -> list[list[list[tuple[float, float]]]]:
     """Multipolygon of 4-connected regions from rows of ``(py, x0, x1)``."""
-    return close(_border_steps(runs), scale)
-
-
-def close(steps: dict, scale: float) -> list[list[list[tuple[float, float]]]]:
-    """Multipolygon from directed border pieces."""
+    if not len(runs):
+        return []
+    blocks, ys = _equal_rows(runs)
+    return close(_border_steps(blocks), scale, ys)
+
+
+def _equal_rows(runs: np.ndarray) -> tuple[np.ndarray, list[int]]:
+    """Runs of one row for each stretch of rows that have the same ones, and the lower limits of these."""
+    runs = runs[np.lexsort((runs[:, 1], runs[:, 0]))]
+    y, first, n = np.unique(runs[:, 0], return_index=True, return_counts=True)
+    row = np.repeat(np.arange(len(y)), n)
+    before = np.maximum(np.arange(len(runs)) - n[row], 0)
+    same = np.logical_and.reduceat((runs[:, 1:] == runs[before, 1:]).all(axis=1), first)
+    same[1:] &= (n[1:] == n[:-1]) & (y[1:] == y[:-1] + 1)
+    same[0] = False
+    start = np.flatnonzero(~same)
+    low, high = y[start], y[np.append(start[1:], len(y)) - 1] + 1
+    ys = np.union1d(low, high)  # rows without runs between two stretches are one of their own
+    kept = runs[~same[row]]
+    return np.column_stack([np.searchsorted(ys, kept[:, 0]), kept[:, 1:]]), ys.tolist()
+
+
+def close(steps: dict, scale: float, ys: list[int] | None = None) -> list[list[list[tuple[float, float]]]]:
+    """Multipolygon from directed border pieces; with ``ys`` their rows are places in that list."""
     rings = _rings(steps)
+    if ys is not None:
+        rings = [[(x, ys[y]) for x, y in r] for r in rings]
     areas = [signed_area(r) for r in rings]
     polys = [[r] for r, a in zip(rings, areas) if a > 0]
     sizes = [a for a in areas if a > 0]

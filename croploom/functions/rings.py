@@ -7,14 +7,37 @@ from math import atan2
 import numpy as np
 
 
+SHORT = 8  # points of a ring for which plain numbers are faster than arrays; sums have the same order
+
+
+def _points(ring) -> list:
+    return ring.tolist() if isinstance(ring, np.ndarray) else ring
+
+
 def signed_area(ring: np.ndarray) -> float:
+    if 0 < len(ring) <= SHORT:
+        (x0, y0), *others = _points(ring)
+        total, ax, ay = 0.0, 0.0, 0.0
+        for x, y in others:
+            bx, by = x - x0, y - y0
+            total += ax * by - bx * ay
+            ax, ay = bx, by
+        return total / 2
     a = np.asarray(ring, dtype=float)
     a = a - a[0]
     return float(np.sum(a[:-1, 0] * a[1:, 1] - a[1:, 0] * a[:-1, 1]) / 2)
 
 
+def _crossings(pts: list, y: float) -> list[float]:
+    """Where the edges of a short ring cross a row."""
+    return [ax + (y - ay) * (bx - ax) / (by - ay) for (ax, ay), (bx, by) in zip(pts, pts[1:]) if (ay > y) != (by > y)]
+
+
 def holds(ring: np.ndarray, x: float, y: float) -> bool:
     """Even-odd test of a point against a closed ring."""
+    if 0 < len(ring) <= SHORT:
+        pts = _points(ring)
+        return sum(c > x for c in _crossings(pts, y)) % 2 == 1
     a = np.asarray(ring, dtype=float)
     up = (a[:-1, 1] > y) != (a[1:, 1] > y)
     lo, hi = a[:-1][up], a[1:][up]
@@ -85,6 +108,17 @@ def part_at_meetings(walk: list) -> list[list]:
 
 def inner_point(ring: np.ndarray) -> tuple[float, float]:
     """Some point strictly inside a simple ring: middle of the widest span of a row that avoids corners."""
+    if 0 < len(ring) <= SHORT:
+        pts = _points(ring)
+        best, where = -1.0, (float(pts[0][0]), float(pts[0][1]))
+        ys = sorted({y for _, y in pts})
+        for low, high in zip(ys, ys[1:]):
+            y = (low + high) / 2
+            xs = sorted(_crossings(pts, y))
+            for x0, x1 in zip(xs[::2], xs[1::2]):
+                if x1 - x0 > best:
+                    best, where = x1 - x0, (float((x0 + x1) / 2), float(y))
+        return where
     a = np.asarray(ring, dtype=float)
     ys = np.unique(a[:, 1])
     best, where = -1.0, (float(a[0, 0]), float(a[0, 1]))

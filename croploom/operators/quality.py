@@ -31,15 +31,16 @@ def with_validity(df: DataFrame, geom: str = "geom", most_points: int = MOST_POI
     ones by ``large_validity``, whose edges meet in cells.
     """
     easy = F.col("_easy").isNotNull()
-    eased = _with_suspect(df, geom)
     n = F.expr("aggregate(_suspect, 0, (s, poly) -> s + aggregate(poly, 0, (t, r) -> t + size(r)))")
-    large = F.coalesce(n > most_points, F.lit(False))
-    small = eased.where(~large).withColumn("valid", F.when(easy, V.is_closed(F.col(geom))).otherwise(V.is_valid(F.col("_suspect"))))
-    rest = materialise(eased.where(large).drop("_easy", "_suspect"), "large")
-    small = small.drop("_easy", "_suspect")
+    eased = _with_suspect(df, geom).withColumn("_large", F.coalesce(n > most_points, F.lit(False)))
+    eased = eased.withColumn("_suspect", F.when(~F.col("_large"), F.col("_suspect")))
+    valid = F.when(easy, V.is_closed(F.col(geom))).otherwise(V.is_valid(F.col("_suspect")))
+    # Stored, as large ones are picked from it: ``df`` may be a repair, which must not be done twice.
+    tested = materialise(eased.withColumn("valid", valid).drop("_easy", "_suspect"), "tested")
+    small, rest = (tested.where(c).drop("_large") for c in ("not _large", "_large"))
     if not rest.limit(1).count():
         return small
-    return small.unionByName(large_validity(rest, geom))
+    return small.unionByName(large_validity(rest.drop("valid"), geom))
 
 
 def invalid_rows(df: DataFrame, geom: str = "geom", most_points: int = MOST_POINTS) -> DataFrame:
