@@ -247,6 +247,37 @@ def overlay(runs: DataFrame, years: Iterable[int], by: Iterable[str] = ("nuts",)
     return rows.mapInArrow(lambda batches: N.by_tile(N.unpacked(batches), tile, combined, burned), _label_schema(rows, years, by, inset))
 
 
+def overlay_marked(runs: DataFrame, years: Iterable[int], by: Iterable[str] = ("nuts",)) -> DataFrame:
+    """``overlay`` with all ids kept: one row for each combination of ids in a tile, its runs packed.
+
+    Bit ``i`` of ``_weak`` tells that the id of the i-th year was marked ``weak``; ``_n`` are the pixels.
+    """
+    years, by = list(years), list(by)
+    cf = [f"cf{y}" for y in years]
+    rows = runs.where(F.col("year").isin(years)).select(*by, "year", F.col("cf").cast("bigint").alias("cf"), "weak", *_run_columns(runs))
+    rows, tile = _by_tiles(rows, by), [*by, "_band", "px"]
+    lists = [T.StructField(c, T.ArrayType(T.IntegerType())) for c in PACKED]
+    schema = T.StructType([*(rows.schema[c] for c in by), *[T.StructField(c, T.LongType()) for c in (*cf, "_weak", "_n")], *lists])
+
+    def combined(t: pa.Table) -> pa.Table:
+        p = N.Pieces(t, tile, years)
+        ids = np.where(p.cf > N.LEAST, p.cf, 0)
+        weak = (p.weak * (1 << np.arange(len(years)))).sum(axis=1)
+        # Bits follow from the ids, so that they part no combination.
+        out = _labelled(t, p.row, p.tile, p.py, p.x0, p.x1, np.column_stack([ids, weak]), [*years, "_weak"], by, False)
+        out = out.append_column("_who", pa.array(N.codes(out, [*by, *cf])))
+        out = N.packed(out, "_who", BAND, BLOCK, False)
+        ends = out["_x1s"].combine_chunks()
+        width = ends.flatten().to_numpy() - out["_x0s"].combine_chunks().flatten().to_numpy()
+        n = np.add.reduceat(width, np.cumsum(ends.value_lengths().to_numpy()) - ends.value_lengths().to_numpy()) if len(ends) else width
+        return out.append_column("_n", pa.array(n.astype(np.int64))).rename_columns({"cf_weak": "_weak"}).select(schema.names)
+
+    def burned(t: pa.Table) -> pa.Table:
+        return N.burn_table(t, tile)
+
+    return rows.mapInArrow(lambda batches: N.by_tile(N.unpacked(batches), tile, combined, burned), schema)
+
+
 def erode(combined: DataFrame, years: Iterable[int], by: Iterable[str] = ("nuts",)) -> DataFrame:
     """Only pixels whose eight neighbours carry the same ids in all years.
 

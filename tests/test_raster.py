@@ -152,6 +152,29 @@ def test_sequential_labels_against_brute_force(spark):
     assert got != {tuple(r[f"cf{y}"] or 0 for y in years): r.n_pixels for r in plain}
 
 
+def test_sequential_labels_over_tiles_regions_and_copies(spark, monkeypatch):
+    """Several tiles and regions, parcels that come twice, ids that are null: labels fall back and start anew."""
+    rng = np.random.default_rng(7)
+    years = [2018, 2019, 2020]
+    rows, want, moved = [], {}, []
+    for nuts in ("a", "b", None):
+        boxes = []
+        for k in range(1, 90):
+            x, y = rng.integers(0, 500, 2) + 1900
+            w, h = rng.integers(3, 40, 2) * rng.choice([1, 1, 6])
+            boxes.append((int(rng.choice(years)), k % 40 + 1, (x, y, x + w, y + h)))
+        rows += [(nuts, y, k, "x", box(*b)) for y, k, b in boxes + boxes[:9]] + [(nuts, 2018, None, "x", box(1900, 1900, 1950, 1950))]
+        if nuts:
+            want |= {(nuts, *ids): n for ids, n in brute_sequential(boxes, years, 4, 10).items()}
+    plain = S.median_by
+    monkeypatch.setattr(S, "median_by", lambda df, by, *a, **b: moved.append(df) or plain(df, by, *a, **b))
+    pc = spark.createDataFrame(rows, LAYER)
+    stack = S.rotation_stack(pc, years, 4, min_ha=0, inset=False, sequential=True, numbered=False).collect()
+    assert {(r.nuts, *[r[f"cf{y}"] or 0 for y in years]): r.n_pixels for r in stack} == want
+    # in a year that a label has an id of there is no median to be found
+    assert moved[0].where("case year " + " ".join(f"when {y} then _f{y}" for y in years) + " end != 0").isEmpty()
+
+
 def test_stack_geometry_over_tiles(spark):
     pc = spark.createDataFrame([("a", 2020, 1, "x", box(0, 0, 3000, 2000)), ("a", 2020, 2, "y", box(4000, 0, 4100, 100))], LAYER)
     runs = S.stack_runs(pc, [2020], 2, inset=False)
